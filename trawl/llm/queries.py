@@ -1,8 +1,8 @@
 """The queries of this subpackage and their SQL."""
 
-from trawl.llm import q_secrets, q_urls
+from trawl.llm import q_secrets, q_topk, q_urls
 
-MODULES = (q_secrets, q_urls)
+MODULES = (q_secrets, q_topk, q_urls)
 
 
 def queries():
