@@ -74,7 +74,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     mark = None
     for _ in range(max_rounds):
         edges = staged(star(star(edges, True), False), "edges")
-        now = edges.agg(F.count("*"), F.sum("v"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 30)))).first()
+        now = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit((1 << 31) - 1))), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit((1 << 31) - 1)))).first()
         if now == mark:
             break
         mark = now
