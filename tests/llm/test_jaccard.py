@@ -61,7 +61,7 @@ def test_shingles():
     texts = [None, "", " \t ", "a", "A b", "a b c", "a b c d", "a B c d e", "x\xa0y z", "é É", *corpus(rnd, 3, 3)]
     known = {}
     for size in (1, 50, 1 << 18):
-        for t, got in zip(texts, shingles.sets(texts, size), strict=True):
+        for t, got in zip(texts, shingles.sets(texts, 4, size), strict=True):
             want = shingled(t)
             assert len(got) == len(want) and (np.diff(got.astype(object)) > 0).all()
             assert known.setdefault(want, got.tolist()) == got.tolist()
@@ -99,6 +99,23 @@ def test_against_brute_force(spark, monkeypatch, small):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
 
 
+def test_one_of_each(spark):
+    rnd = random.Random(9)
+    texts = corpus(rnd, 6, 5)
+    rows = [(i, t, "x", 5) for i, t in enumerate(texts)] + [(500, None, "x", 5), (501, "", "x", 5), (None, texts[0], "x", 5), (0, texts[0], "x", 5), (1, texts[-1], "x", 5), (502, texts[3], "x", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _hash string, component_id long")
+    got = jaccard.one_of_each(df, words=4, part=85)
+    assert got.columns == df.columns
+    want = {i: c for i, _, c in brute([(n, r[1]) for n, r in enumerate(rows)])}
+    # the row with the smallest id of each group; -1 for none
+    groups = {}
+    for n, r in enumerate(rows):
+        if r[0] is not None:
+            groups.setdefault(want[n], []).append((r[0], n))
+    kept = sorted(((r.doc_id if r.doc_id is not None else -1), r.text or "") for r in got.collect())
+    assert kept == sorted([(min(g)[0], rows[min(g)[1]][1] or "") for g in groups.values()] + [(-1, texts[0])])
+
+
 def test_empty(spark):
     assert jaccard.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

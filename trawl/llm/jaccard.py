@@ -26,17 +26,17 @@ from pyspark.sql import functions as F
 from trawl.llm import shingles
 from trawl.llm.common import bounded_fraction, components, share, staged
 
-#: Linked: PART * union <= 100 * intersection.
-PART = 85
+#: Words of a shingle; linked: part * union <= 100 * intersection.
+WORDS, PART = 4, 85
 SAMPLE, FREQUENT = 4_000, 50_000
 BLOCK, BLOCK_BYTES, FAN = 512, 4 << 20, 8
 #: Representatives' ids are broadcast up to this many, joined otherwise.
 SENT = 1_000_000
 
 
-def need(n):
+def need(n, part=PART):
     """Least overlap of a set of n with any set that it links with."""
-    return -(-PART * n // 100)
+    return -(-part * n // 100)
 
 
 def extra(n):
@@ -44,11 +44,11 @@ def extra(n):
     return 1 + n // 50
 
 
-def prefix(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+def prefix(s: np.ndarray, frequent: np.ndarray, part: int = PART) -> np.ndarray:
     n = len(s)
     if not n:
         return s
-    k = min(n, n - need(n) + extra(n))
+    k = min(n, n - need(n, part) + extra(n))
     at = np.searchsorted(frequent, s)
     late = frequent[np.minimum(at, len(frequent) - 1)] == s if len(frequent) else np.zeros(n, bool)
     return np.concatenate([s[~late], s[late]])[:k]
@@ -59,13 +59,13 @@ def _mark(s: np.ndarray) -> int:
         return int((shingles.mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum() + np.uint64(len(s))).astype(np.int64))
 
 
-def frequent_shingles(docs: DataFrame, n_rows: int) -> np.ndarray:
+def frequent_shingles(docs: DataFrame, n_rows: int, words: int = WORDS) -> np.ndarray:
     """Up to FREQUENT shingles that are in more than one of 200 texts of a sample of about SAMPLE."""
     sample = docs.where(share(F.col("doc_id"), bounded_fraction(max(1, n_rows), SAMPLE)))
 
     def cut(batches):
         for batch in batches:
-            found = list(shingles.sets(batch.column(1).to_pylist()))
+            found = list(shingles.sets(batch.column(1).to_pylist(), words))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["s"])
 
@@ -121,7 +121,7 @@ def _same(roots: np.ndarray, n: int, depth: int) -> list[np.ndarray]:
     return out
 
 
-def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
+def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None, part: int = PART) -> list[tuple[int, int]]:
     """Links that connect the sets of a (with b None) or of a with b: positions, b's being counted from 0. A spanning forest of all such links."""
     if not a or (b is not None and not b):
         return []
@@ -141,11 +141,11 @@ def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> list[tu
 
     def possible(la: int, lb: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         (ba, loa, hia, xa), (bb, lob, hib, xb) = left.levels[la], right.levels[lb]
-        ok = (100 * hia[x] >= PART * lob[y]) & (100 * hib[y] >= PART * loa[x])
+        ok = (100 * hia[x] >= part * lob[y]) & (100 * hib[y] >= part * loa[x])
         out = np.zeros(len(x), bool)
         at = np.flatnonzero(ok)
         most = np.bitwise_count(ba[x[at]] & bb[y[at]]).sum(axis=1).astype(np.int64) + np.minimum(xa[x[at]], xb[y[at]])
-        out[at] = (100 + PART) * most >= PART * (loa[x[at]] + lob[y[at]])
+        out[at] = (100 + part) * most >= part * (loa[x[at]] + lob[y[at]])
         return out
 
     def walk(la: int, lb: int, x: np.ndarray, y: np.ndarray) -> None:
@@ -163,7 +163,7 @@ def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> list[tu
                 for i, j in zip(xs.tolist(), ys.tolist(), strict=True):
                     if (b is not a or i < j) and joined.root(i) != joined.root(shift + j):
                         n = len(np.intersect1d(a[i], b[j], assume_unique=True))
-                        if n and 100 * n >= PART * (len(a[i]) + len(b[j]) - n):
+                        if n and 100 * n >= part * (len(a[i]) + len(b[j]) - n):
                             joined.up[joined.root(i)] = joined.root(shift + j)
                             links.append((oa[i], ob[j]))
                 continue
@@ -178,43 +178,43 @@ def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> list[tu
     return links
 
 
-def _join_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+def _join_blocks(pdf: pd.DataFrame, part: int) -> pd.DataFrame:
     pdf = pdf.sort_values("cid")
     first = pdf[pdf["side"] == 0]
     sets = [np.frombuffer(x, np.uint64) for x in first["set"]]
     ids = first["cid"].to_numpy()
     if (pdf["side"] == 1).any():
         second = pdf[pdf["side"] == 1]
-        links = tree_join(sets, [np.frombuffer(x, np.uint64) for x in second["set"]])
+        links = tree_join(sets, [np.frombuffer(x, np.uint64) for x in second["set"]], part)
         other = second["cid"].to_numpy()
     else:
-        links, other = (tree_join(sets) if pdf["alone"].iloc[0] else []), ids
+        links, other = (tree_join(sets, None, part) if pdf["alone"].iloc[0] else []), ids
     return pd.DataFrame({"a": [ids[i] for i, _ in links], "b": [other[j] for _, j in links]}).astype("int64")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n, cid (the class's fingerprint), keys (its prefix); one row per row of docs (doc_id, text), written once."""
+def classes(docs: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
+    """doc_id, text_hash, n, cid (the class's fingerprint), keys (its prefix); one row per row of docs (doc_id, text), written once."""
     n_rows = docs.count()
-    sent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, n_rows))
+    sent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, n_rows, words))
 
     def cut(batches):
         frequent = sent.value
         for batch in batches:
             n, cid, keys = [], [], []
-            for s in shingles.sets(batch.column(1).to_pylist()):
+            for s in shingles.sets(batch.column(1).to_pylist(), words):
                 n.append(len(s))
                 cid.append(_mark(s))
-                keys.append(prefix(s, frequent).view(np.int64))
+                keys.append(prefix(s, frequent, part).view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))], ["doc_id", "n", "cid", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))], ["doc_id", "text_hash", "n", "cid", "keys"])
 
-    return staged(docs.mapInArrow(cut, "doc_id long, n long, cid long, keys array<long>"), "classes")
+    return staged(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(cut, "doc_id long, text_hash long, n long, cid long, keys array<long>"), "classes")
 
 
-def families(rows: DataFrame) -> DataFrame:
+def families(rows: DataFrame, part: int = PART) -> DataFrame:
     """(cid, family) of the classes that may link with another one."""
     keyed = rows.where("n > 0 AND doc_id IS NOT NULL").dropDuplicates(["cid"])
-    least = F.ceil(PART * F.col("n") / 100)
+    least = F.ceil(part * F.col("n") / 100)
     keyed = keyed.select("cid", (1 + F.floor(least / 50)).cast("int").alias("least"), F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").count().where("count > 1").select("key")
     hits = staged(keyed.join(shared, "key"), "hits")
@@ -225,9 +225,9 @@ def families(rows: DataFrame) -> DataFrame:
     return components(edges).select(F.col("node").alias("cid"), F.col("root").alias("family"))
 
 
-def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
+def links(docs: DataFrame, rows: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
     """(a, b): links between classes; with equal sets being one class, these connect all that is linked."""
-    members = staged(families(rows), "families")
+    members = staged(families(rows, part), "families")
     first = rows.where("doc_id IS NOT NULL").join(members, "cid").groupBy("cid", "family").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
     first = staged(first, "members")
     sizes = first.groupBy("family").agg(F.count("*").alias("docs"), F.sum("n").alias("tokens"))
@@ -238,7 +238,7 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            sets = list(shingles.sets(batch.column(4).to_pylist()))
+            sets = list(shingles.sets(batch.column(4).to_pylist(), words))
             # another row may have the same id and another text
             good = pa.array([_mark(s) == c for s, c in zip(sets, batch.column(0).to_pylist(), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in (0, 2, 3)), pa.array([s.tobytes() for s in sets], pa.binary())], ["cid", "family", "blocks", "set"]).filter(good)
@@ -247,17 +247,33 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     sets = sets.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     sets = sets.select("*", other.alias("other")).select("cid", "set", "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"), (F.col("block") == F.col("other")).alias("alone"))
-    return sets.groupBy("family", "i", "j").applyInPandas(lambda pdf: _join_blocks(pdf.drop_duplicates("cid")), "a long, b long")
+    return sets.groupBy("family", "i", "j").applyInPandas(lambda pdf: _join_blocks(pdf.drop_duplicates("cid"), part), "a long, b long")
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable by links), copies (rows with the same set)."""
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, part: int = PART) -> DataFrame:
+    """One row per row of docs: doc_id, text_hash, n_shingles, component_id (smallest doc_id reachable by links), copies (rows with the same set)."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = classes(docs)
-    roots = staged(components(links(docs, rows)), "linked").select(F.col("node").alias("cid"), "root")
+    rows = classes(docs, words, part)
+    roots = staged(components(links(docs, rows, words, part)), "linked").select(F.col("node").alias("cid"), "root")
     same = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("copies"))
     low = same.join(roots, "cid").groupBy("root").agg(F.min("lowest").alias("component"))
     of = same.join(roots.join(low, "root").select("cid", "component"), "cid", "left").select("cid", F.coalesce("component", "lowest").alias("component"), "copies")
-    out = rows.select("doc_id", "n", "cid").join(of, "cid", "left")
+    out = rows.select("doc_id", "text_hash", "n", "cid").join(of, "cid", "left")
     alone = (F.col("n") == 0) | F.col("doc_id").isNull()
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"), F.when(alone, 1).otherwise(F.col("copies")).cast("long").alias("copies"))
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"), F.when(alone, 1).otherwise(F.col("copies")).cast("long").alias("copies"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, part: int = 80) -> DataFrame:
+    """docs, with their columns, but of each group of linked rows only the one with the smallest id; rows without an id stay.
+
+    What goes is a list of ids and text hashes: broadcast up to SENT rows, joined otherwise."""
+    judged = staged(join(docs, key, text, words, part).where("doc_id IS NOT NULL"), "groups").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    gone = judged.where("_id <> component_id").select("_id", "_hash").distinct()
+    # a row that occurs several times, id and all, is kept once
+    twice = judged.where("_id = component_id AND n_shingles > 0").groupBy("_id", "_hash").count().where("count > 1").select("_id", "_hash")
+    hint = F.broadcast if judged.where("_id <> component_id").count() <= SENT else lambda x: x
+    same = lambda other: (docs[key] == other["_id"]) & F.xxhash64(docs[text]).eqNullSafe(other["_hash"])
+    kept = docs.join(hint(gone), same(gone), "left_anti")
+    if twice.limit(1).count():
+        kept = kept.join(twice, same(twice), "left_anti").unionByName(docs.join(twice, same(twice), "left_semi").dropDuplicates([key, text]))
+    return kept
