@@ -1,8 +1,8 @@
 """All registered queries of the library and their SQL."""
 
-from trawl.plans import site_report
+from trawl.plans import classes, site_report
 
-MODULES = (site_report,)
+MODULES = (site_report, classes)
 
 
 def queries():
