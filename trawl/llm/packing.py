@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trawl.llm.common import staged
+
 EXACT, CELL = 4096, 256
 
 
@@ -75,7 +77,8 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 65_536, key: str = "d
     """One row per document: doc_id, n_tokens, bucket (from 0, short to long), bucket_len, batch (within the bucket), slot, batch_docs (capacity)."""
     length = words(F.col("text")) if length is None else length
     d = docs.select(F.col(key).alias("doc_id"), length.cast("long").alias("n_tokens"))
-    d = d.withColumn("_r", rounded(F.col("n_tokens")))
+    # written once: else each condition below would count the words again
+    d = staged(d.withColumn("_r", rounded(F.col("n_tokens"))), "lengths")
     seen = d.groupBy("_r").count().collect()  # bounded: see rounded()
     bounds = boundaries([r[0] for r in seen], [r[1] for r in seen], buckets)
     # counts by bucket, for the number of cells
