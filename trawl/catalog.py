@@ -1,8 +1,8 @@
 """All registered queries of the library and their SQL."""
 
-from trawl.plans import classes, site_report
+from trawl.plans import classes, site_report, texts
 
-MODULES = (site_report, classes)
+MODULES = (site_report, classes, texts)
 
 
 def queries():
