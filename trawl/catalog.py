@@ -1,8 +1,8 @@
 """All registered queries of the library and their SQL."""
 
-from trawl.plans import classes, ledgers, site_report, texts
+from trawl.plans import audits, classes, ledgers, metrics, site_report, texts
 
-MODULES = (site_report, classes, texts, ledgers)
+MODULES = (site_report, classes, texts, ledgers, metrics, audits)
 
 
 def queries():

@@ -24,5 +24,5 @@ def requests(spark, sf_dir):
 
 
 _list = lambda values: "[" + ", ".join("NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v) for v in values) + "]"
-REQUESTS = f"""req AS (SELECT event_id, user_id AS domain, ts, epoch(ts)::BIGINT AS t, event_type, value, ({_list(STATUS)})[event_id * 7 % {len(STATUS)} + 1] AS status, ({_list(NAMES)})[event_id % {len(NAMES)} + 1] AS exc,
+REQUESTS = f"""req AS (SELECT event_id, user_id AS domain, ts, floor(epoch(ts))::BIGINT AS t, event_type, value, ({_list(STATUS)})[event_id * 7 % {len(STATUS)} + 1] AS status, ({_list(NAMES)})[event_id % {len(NAMES)} + 1] AS exc,
   ({_list(MESSAGES)})[event_id * 3 % {len(MESSAGES)} + 1] AS msg, event_id % 4 AS attempt, CASE event_id % 3 WHEN 0 THEN 500 WHEN 1 THEN 1 ELSE 50 END AS lim FROM events)"""
