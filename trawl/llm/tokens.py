@@ -13,6 +13,7 @@ separate documents in a defined, if arbitrary, order. An empty table gives no sh
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
 
@@ -28,7 +29,9 @@ SHARD = 1 << 20
 SAMPLE = 512  # bits from one rank sample to the next
 HEAD = struct.Struct("<4sBQI")
 #: Words whose ids a worker remembers.
-WORDS = 500_000
+WORDS = 1_000_000
+#: Signs that form a piece of their own behind letters (the apostrophe may begin another).
+SIGNS = string.punctuation.replace("'", "")
 
 
 class Encoder:
@@ -42,32 +45,61 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = bool(mark) and token.endswith(mark)
 
     def _learn(self, words: set[str]) -> None:
         known = self.known
         if len(known) + len(words) > WORDS:
             known.clear()
             known[""] = b""
-        # latin letters with or without one comma or full stop behind them: their ids are those of the lower-case letters and the sign
-        plain = {w: ((w[:-1], w[-1]) if w[-1] in ",." and len(w) > 1 else (w, "")) for w in words if w}
-        plain = {w: (a.lower(), b) for w, (a, b) in plain.items() if a.isalpha() and max(a) < "İ"}
-        ask = {w for w in words if w and w not in plain} | {a for a, _ in plain.values()} | {b for _, b in plain.values() if b}
-        ask = [w for w in ask if w not in known]
-        for w, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False), strict=True):
+        # latin letters with or without a run of signs behind them: two pieces, the ids of the lower-case letters and those of the signs
+        full, cores, signs, rest = [], [], [], []
+        for w in words:
+            core = w.rstrip(SIGNS)
+            if core.isalpha() and (core.isascii() or max(core) < "İ"):
+                full.append(w)
+                cores.append(core.lower())
+                signs.append(w[len(core) :])
+            elif w:
+                rest.append(w)
+        rest += {s for s in signs if s not in known}
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             known[w] = np.array(e.ids, "<u4").tobytes()
-        for w, (a, b) in plain.items():
-            known[w] = known[a] + known[b]
+        new = [c for c in set(cores) if c not in known]
+        for at in range(0, len(new), 128):
+            self._learn_joined(new[at : at + 128])
+        known.update((w, known[c] + known[s]) for w, c, s in zip(full, cores, signs, strict=True) if s or w != c)
+
+    def _learn_joined(self, words: list[str]) -> None:
+        """Words of letters only: each is one piece, so in a joined text each ends with one token that ends a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):  # not so with this tokenizer
+            for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+                self.known[w] = np.array(e.ids, "<u4").tobytes()
+            return
+        blob, start = ids.tobytes(), 0
+        for w, end in zip(words, (ends * 4).tolist(), strict=True):
+            self.known[w] = blob[start:end]
+            start = end
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        out = []
         parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*parts) if parts else set()
-        missing = words - self.known.keys()
-        if missing:
-            self._learn(missing)
-            if not words <= self.known.keys():
-                self._learn(words)  # what was known was forgotten
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), "<u4") for p in parts]
+        get = self.known.get
+        found = [list(map(get, p)) for p in parts]
+        missing = [[i for i, x in enumerate(f) if x is None] for f in found]
+        new = {p[i] for p, m in zip(parts, missing, strict=True) for i in m}
+        if new:
+            self._learn(new)
+        for p, f, m in zip(parts, found, missing, strict=True):
+            for i in m:
+                f[i] = get(p[i])
+            out.append(np.frombuffer(b"".join(f), "<u4"))
+        return out
 
 
 def pack(doc_ids: np.ndarray, lengths: np.ndarray, tokens: np.ndarray) -> bytes:
