@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import bounded_fraction, share
+from trawl.llm.common import bounded_fraction, share, staged
 
 SAMPLE, TERMS, LEAST_Z, BLOCK, K = 2_000, 512, 3.0, 64, 16
 _BLANK = bytes(c if c > 127 or 97 <= c <= 122 else 32 for c in range(256))
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             w = [words(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(w, pa.list_(pa.binary()))], ["id", "y", "w"])
 
-    bags = sample.select(F.col("id").cast("long"), "y", "text").mapInArrow(cut, "id long, y int, w array<binary>")
+    bags = staged(sample.select(F.col("id").cast("long"), "y", "text").mapInArrow(cut, "id long, y int, w array<binary>"), "bags")
     n = {r.y: r["count"] for r in bags.groupBy("y").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
