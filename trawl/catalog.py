@@ -1,8 +1,8 @@
 """All registered queries of the library and their SQL."""
 
-from trawl.plans import audits, classes, ledgers, metrics, site_report, texts
+from trawl.plans import audits, classes, health, ledgers, metrics, site_report, sources, texts
 
-MODULES = (site_report, classes, texts, ledgers, metrics, audits)
+MODULES = (site_report, classes, texts, ledgers, metrics, audits, health, sources)
 
 
 def queries():
