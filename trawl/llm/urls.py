@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trawl.llm.common import staged
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A page is bad when symbols of SYMBOLS make up more than one in NOISE of its characters.
 SYMBOLS, NOISE = "%#$*", 25
@@ -82,7 +84,7 @@ def reputation(outcomes: DataFrame) -> DataFrame:
 
     Only counts per host leave the map side; domains and suffixes are summed from these."""
     hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    hosts = hosts.select("*", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
+    hosts = staged(hosts.select("*", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix")), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     (base, s0), (_, s1), (_, s2) = _strength(suffixes), _strength(domains), _strength(hosts)
