@@ -6,6 +6,8 @@ import re
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
+from pyspark.sql.functions import pandas_udf as udf
 
 from trawl.functions import text as T
 from trawl.operators import health as H
@@ -101,10 +103,11 @@ def vd_11_monitor(spark, d):
     return v.join(words, "site_id").select("site_id", "versions", "changes", "flaps", "watch_hits")
 
 
+IDENTIFIERS = T_.ArrayType(T_.StructType([T_.StructField(n, T_.StringType()) for n in ("kind", "value", "evidence")]))
 PATTERNS = (("number", r"(?<![\w.])(\d{5,10})\b"), ("email", r"([\w.+-]+@[\w-]+\.[\w.]+)"), ("handle", r"token ?[=:] ?\"?([0-9a-f]{8,40})"))
 
 
-@F.pandas_udf("array<struct<kind:string,value:string,evidence:string>>")
+@udf(IDENTIFIERS)
 def _identifiers(texts: pd.Series) -> pd.Series:
     """Identifiers by pattern with 60 characters of evidence on each side; each (kind, value) once a page."""
     rules = [(k, re.compile(p)) for k, p in PATTERNS]
@@ -123,7 +126,7 @@ def txt_10_identifiers(spark, d):
     return read(spark, d, "documents").select("doc_id", F.explode(_identifiers("text")).alias("x")).select("doc_id", "x.kind", "x.value", F.length("x.evidence").alias("evidence_len"))
 
 
-@F.pandas_udf("string")
+@udf(T_.StringType())
 def diff_preview(old: pd.Series, new: pd.Series) -> pd.Series:
     """Unified diff with one line of context, 60 lines of 240 characters."""
 

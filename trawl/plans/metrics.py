@@ -8,7 +8,9 @@ from trawl.operators import ledger as L
 from trawl.operators import metrics as M
 from trawl.plans.tables import REQUESTS, read, requests
 
-BAD = F.col("status").isNull() | (F.col("status") >= 400)
+def bad():
+    return F.col("status").isNull() | (F.col("status") >= 400)
+
 _BAD = "(status IS NULL OR status >= 400)"
 
 
@@ -75,7 +77,7 @@ def ag_16_limiter_snapshot(spark, d):
     r = L.top_per(requests(spark, d).select("domain", "event_id", "t", "status"), ["domain"], [F.desc("t"), F.desc("event_id")], 20)
     gap = F.col("t") - F.lag("t").over(Window.partitionBy("domain").orderBy("t", "event_id"))
     r = r.withColumn("gap", gap)
-    return r.groupBy("domain").agg(F.count("*").alias("n"), F.sum(BAD.cast("long")).alias("errors"), F.min("gap").alias("gap_min"), F.max("gap").alias("gap_max"), M.nearest_rank("gap", 0.5).alias("gap_p50"), M.nearest_rank("gap", 0.8).alias("gap_p80"))
+    return r.groupBy("domain").agg(F.count("*").alias("n"), F.sum(bad().cast("long")).alias("errors"), F.min("gap").alias("gap_min"), F.max("gap").alias("gap_max"), M.nearest_rank("gap", 0.5).alias("gap_p50"), M.nearest_rank("gap", 0.8).alias("gap_p80"))
 
 
 def ag_19_issue_rollup(spark, d):
@@ -91,17 +93,17 @@ def ag_20_progress_view(spark, d):
 
 
 def wn_08_streaks(spark, d):
-    r = requests(spark, d).select("domain", "t", "event_id", BAD.alias("bad"))
+    r = requests(spark, d).select("domain", "t", "event_id", bad().alias("bad"))
     return M.streaks(r, "domain", ["t", "event_id"], "bad").groupBy("domain", "bad").agg(F.max("streak").alias("longest"))
 
 
 def wn_09_trailing_rate(spark, d):
-    r = M.trailing_rate(requests(spark, d), "domain", "t", BAD, 86400)
+    r = M.trailing_rate(requests(spark, d), "domain", "t", bad(), 86400)
     return r.select("event_id", "n_window", "bad_window")
 
 
 def wn_10_count_windows(spark, d):
-    r = M.count_window(requests(spark, d), "domain", ["t", "event_id"], BAD, 20, 10, 3)
+    r = M.count_window(requests(spark, d), "domain", ["t", "event_id"], bad(), 20, 10, 3)
     return r.select("event_id", "bad_20", "bad_10", "bad_3", (F.col("bad_3") == 3).alias("burst"))
 
 
@@ -126,12 +128,12 @@ def wn_13_most_in_window(spark, d):
 
 def sm_02_tumbling_batch(spark, d):
     r = requests(spark, d)
-    return r.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum(BAD.cast("long")).alias("bad")).select(F.unix_timestamp("w.start").alias("start"), "event_type", "n", "bad")
+    return r.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum(bad().cast("long")).alias("bad")).select(F.unix_timestamp("w.start").alias("start"), "event_type", "n", "bad")
 
 
 def sm_03_sliding_batch(spark, d):
     r = requests(spark, d)
-    return r.groupBy(F.window("ts", "2 hours", "1 hour").alias("w")).agg(F.count("*").alias("n"), F.sum(BAD.cast("long")).alias("bad")).select(F.unix_timestamp("w.start").alias("start"), "n", "bad")
+    return r.groupBy(F.window("ts", "2 hours", "1 hour").alias("w")).agg(F.count("*").alias("n"), F.sum(bad().cast("long")).alias("bad")).select(F.unix_timestamp("w.start").alias("start"), "n", "bad")
 
 
 def sm_04_sessions_batch(spark, d):

@@ -23,7 +23,9 @@ def _requests(spark, d):
     return requests(_Streaming(spark), d).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-BAD = F.col("status").isNull() | (F.col("status") >= 400)
+def bad():
+    return F.col("status").isNull() | (F.col("status") >= 400)
+
 
 
 def sm_01_seen(spark, d):
@@ -32,12 +34,12 @@ def sm_01_seen(spark, d):
 
 
 def sm_02_tumbling(spark, d):
-    out = J.run(J.outcome_counts(_requests(spark, d), "ts", ["event_type"], BAD, "1 hour"), "tumbling", "complete")
+    out = J.run(J.outcome_counts(_requests(spark, d), "ts", ["event_type"], bad(), "1 hour"), "tumbling", "complete")
     return out.select(F.unix_timestamp("window.start").alias("start"), "event_type", "n", "bad")
 
 
 def sm_03_sliding(spark, d):
-    out = J.run(J.outcome_counts(_requests(spark, d), "ts", [], BAD, "2 hours", "1 hour"), "sliding", "complete")
+    out = J.run(J.outcome_counts(_requests(spark, d), "ts", [], bad(), "2 hours", "1 hour"), "sliding", "complete")
     return out.select(F.unix_timestamp("window.start").alias("start"), "n", "bad")
 
 

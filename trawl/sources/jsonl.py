@@ -7,6 +7,11 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
+from pyspark.sql.functions import pandas_udf as udf
+
+
+SALVAGED = T_.StructType([T_.StructField("salvaged", T_.StringType()), T_.StructField("offset", T_.IntegerType())])
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +46,7 @@ def valid_record(value: Column) -> Column:
     return F.coalesce(F.array_contains(keys, "prefix") & (F.schema_of_variant(F.try_variant_get(v, "$.mms", "variant")) == "STRING") & (F.length(F.get_json_object(value, "$.mms")) > 0), F.lit(False))
 
 
-@F.pandas_udf("struct<salvaged:string,offset:int>")
+@udf(SALVAGED)
 def salvage(raw: pd.Series) -> pd.DataFrame:
     """The complete record glued behind a fragment: '{"mms"' is tried first, then '{', 64 starts each."""
 
@@ -86,7 +91,7 @@ def flat_record(doc: Column, prefix: Column) -> Column:
     return F.struct(first("mms").alias("mms"), first("title").alias("title"), first("creator").alias("creator"), first("creationdate").alias("year"), prefix.alias("prefix"), holdings.alias("holdings"))
 
 
-@F.pandas_udf("string")
+@udf(T_.StringType())
 def decoded(data: pd.Series, charset: pd.Series) -> pd.Series:
     """Declared charset, then utf-8, then gbk, else utf-8 without what can't be read."""
 
