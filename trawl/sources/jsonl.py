@@ -22,7 +22,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tree(spark: SparkSession, path: str, glob: str = "*.{md,txt,html}") -> DataFrame:
-    """One row per text file of a tree."""
+    """One row per text file of a tree; empty files give none."""
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
