@@ -1,8 +1,8 @@
 """All registered queries of the library and their SQL."""
 
-from trawl.plans import audits, classes, health, ledgers, metrics, site_report, sources, streams, texts
+from trawl.plans import audits, classes, health, ledgers, metrics, site_report, sources, streams, texts, verdicts
 
-MODULES = (site_report, classes, texts, ledgers, metrics, audits, health, sources, streams)
+MODULES = (site_report, classes, texts, ledgers, metrics, audits, health, sources, streams, verdicts)
 
 
 def queries():
