@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from trawl.llm import leaks
 
 
@@ -28,7 +30,9 @@ def edited(rnd, s, n):
     return "".join(s)
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("group", [4 << 20, 300])
+def test_against_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(leaks, "GROUP", group)
     rnd = random.Random(4)
     word = lambda: "".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 6)))
     prose = lambda n: " ".join(word() for _ in range(n))

@@ -9,8 +9,8 @@ reach the bound are verified by an alignment held to the band.
 
 Texts and items are taken as UTF-8 with A-Z in lower case and blanks squeezed; lengths and edits count bytes there. Items shorter than q + 1 bytes are
 matched exactly. Null and empty texts, and null or blank items, match nothing. Repeated rows are judged alike.
-Items are sent to the tasks in groups of at most GROUP bytes, each group a pass of its own over the text, so what is
-broadcast is bounded however long the benchmark is.
+Items are sent to the tasks in groups of at most GROUP bytes, each group a pass of its own over the texts, so what is
+broadcast and held is bounded however long the benchmark is.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trawl.llm.common import staged
+
 Q, EDITS, GROUP = 12, 0.06, 4 << 20
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _UP = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -149,37 +151,53 @@ def groups(benchmark: DataFrame, key: str = "item_id", text: str = "text"):
         yield rows
 
 
+def _passes(df: DataFrame, benchmark: DataFrame, step, **names) -> DataFrame:
+    """step(df, broadcast, whether it is the last) for each group of items; what a pass gives is written before the next one, so tasks hold one group only."""
+    sc, todo = df.sparkSession.sparkContext, groups(benchmark, **names)
+    rows = next(todo, [])
+    while True:
+        after = next(todo, None)
+        df = step(df, sc.broadcast(rows), after is None)
+        if after is None:
+            return df
+        df, rows = staged(df, "leaks"), after
+
+
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_items, items (ids in order, each once), edits (of each, the least found)."""
-    sc = docs.sparkSession.sparkContext
-    sent = [sc.broadcast(rows) for rows in groups(benchmark, item_key, item_text)]
-    kind = docs.schema[key].dataType
-
-    def scan(batches):
-        tables = [Items(b.value) for b in sent]
-        for batch in batches:
-            found = []
-            for t in batch.column(1).to_pylist():
-                t, best = plain(t), {}
-                for x in tables:
-                    for i, d, _ in x.found(t):
+    shape = f"doc_id {docs.schema[key].dataType.simpleString()}, {{}}items array<long>, edits array<int>"
+
+    def step(df, sent, last):
+        def scan(batches):
+            table = Items(sent.value)
+            for batch in batches:
+                found = []
+                for t, items, edits in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                    best = dict(zip(items, edits, strict=True))
+                    for i, d, _ in table.found(plain(t)):
                         best[i] = min(d, best.get(i, d))
-                found.append(sorted(best.items()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(f) for f in found], pa.int32()), pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int64())), pa.array([[d for _, d in f] for f in found], pa.list_(pa.int32()))], ["doc_id", "n_items", "items", "edits"])
+                    found.append(sorted(best.items()))
+                out = {"doc_id": batch.column(0), "text": batch.column(1), "items": pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int64())), "edits": pa.array([[d for _, d in f] for f in found], pa.list_(pa.int32()))}
+                if last:  # the text is of no more use
+                    del out["text"]
+                yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(scan, f"doc_id {kind.simpleString()}, n_items int, items array<long>, edits array<int>")
+        return df.mapInArrow(scan, shape.format("" if last else "text string, "))
 
+    empty = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.array().cast("array<long>").alias("items"), F.array().cast("array<int>").alias("edits"))
+    return _passes(empty, benchmark, step, key=item_key, text=item_text).select("doc_id", F.size("items").alias("n_items"), "items", "edits")
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs, with their columns, in whose text no item occurs."""
-    sc = docs.sparkSession.sparkContext
-    sent = [sc.broadcast(rows) for rows in groups(benchmark)]
     at = docs.columns.index(text)
 
-    def keep(batches):
-        tables = [Items(b.value) for b in sent]
-        for batch in batches:
-            good = [not any(x.found(t) for x in tables) for t in map(plain, batch.column(at).to_pylist())]
-            yield batch.filter(pa.array(good, pa.bool_()))
+    def step(df, sent, last):
+        def keep(batches):
+            table = Items(sent.value)
+            for batch in batches:
+                yield batch.filter(pa.array([not table.found(plain(t)) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        return df.mapInArrow(keep, docs.schema)
 
-    return docs.mapInArrow(keep, docs.schema)
+    return _passes(docs, benchmark, step)
