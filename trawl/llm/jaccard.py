@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.llm import shingles
@@ -29,7 +29,7 @@ from trawl.llm.common import bounded_fraction, components, share, staged
 #: Words of a shingle; linked: part * union <= 100 * intersection.
 WORDS, PART = 4, 85
 SAMPLE, FREQUENT = 4_000, 50_000
-BLOCK, BLOCK_BYTES, FAN = 512, 4 << 20, 8
+BLOCK, BLOCK_BYTES, FAN, SPARE = 512, 4 << 20, 8, 16
 #: Representatives' ids are broadcast up to this many, joined otherwise.
 SENT = 1_000_000
 
@@ -41,17 +41,27 @@ def need(n, part=PART):
 
 def extra(n):
     """How many shared keys the prefix of a set of n is long enough for."""
-    return 1 + n // 50
+    return 1 + n // SPARE
 
 
-def prefix(s: np.ndarray, frequent: np.ndarray, part: int = PART) -> np.ndarray:
+def edges(part: int, most: int = 1 << 40) -> np.ndarray:
+    """Sizes at which a band begins: sets that link are in the same band or in neighbouring ones."""
+    out = [1]
+    while out[-1] < most:
+        out.append(out[-1] * 100 // part + 1)
+    return np.array(out)
+
+
+def prefix(s: np.ndarray, frequent: np.ndarray, part: int = PART) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of a set: those that aren't frequent, and those that are."""
     n = len(s)
     if not n:
-        return s
+        return s, s
     k = min(n, n - need(n, part) + extra(n))
     at = np.searchsorted(frequent, s)
     late = frequent[np.minimum(at, len(frequent) - 1)] == s if len(frequent) else np.zeros(n, bool)
-    return np.concatenate([s[~late], s[late]])[:k]
+    early = s[~late][:k]
+    return early, s[late][: k - len(early)]
 
 
 def _mark(s: np.ndarray) -> int:
@@ -192,62 +202,91 @@ def _join_blocks(pdf: pd.DataFrame, part: int) -> pd.DataFrame:
     return pd.DataFrame({"a": [ids[i] for i, _ in links], "b": [other[j] for _, j in links]}).astype("int64")
 
 
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)))
+
+
 def classes(docs: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
-    """doc_id, text_hash, n, cid (the class's fingerprint), keys (its prefix); one row per row of docs (doc_id, text), written once."""
+    """doc_id, text_hash, n, band (of sizes), cid (the class's fingerprint), keys and late (its prefix, late being what is frequent); one row per row of docs (doc_id, text), written once."""
     n_rows = docs.count()
     sent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, n_rows, words))
 
     def cut(batches):
-        frequent = sent.value
+        frequent, starts = sent.value, edges(part)
         for batch in batches:
-            n, cid, keys = [], [], []
+            n, cid, keys, late = [], [], [], []
             for s in shingles.sets(batch.column(1).to_pylist(), words):
                 n.append(len(s))
                 cid.append(_mark(s))
-                keys.append(prefix(s, frequent, part).view(np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))], ["doc_id", "text_hash", "n", "cid", "keys"])
+                early, rest = prefix(s, frequent, part)
+                keys.append(early)
+                late.append(rest)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(np.searchsorted(starts, n, "right"), pa.int32()), pa.array(cid, pa.int64()), _lists(keys), _lists(late)], ["doc_id", "text_hash", "n", "band", "cid", "keys", "late"])
+
+    shape = "doc_id long, text_hash long, n long, band int, cid long, keys array<long>, late array<long>"
+    return staged(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(cut, shape), "classes")
 
-    return staged(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(cut, "doc_id long, text_hash long, n long, cid long, keys array<long>"), "classes")
 
+def families(rows: DataFrame, part: int = PART, rounds: int = 2) -> DataFrame:
+    """(cid, family) of the classes that may link with another one.
 
-def families(rows: DataFrame, part: int = PART) -> DataFrame:
-    """(cid, family) of the classes that may link with another one."""
-    keyed = rows.where("n > 0 AND doc_id IS NOT NULL").dropDuplicates(["cid"])
+    Frequent keys are shared without counting; the others are few of a kind, so each kind is counted in one place. Keys are then told
+    apart by bands of size: sets that link are in the same band or in neighbouring ones. Classes left with too few shared keys go, round by round."""
+    base = rows.where("n > 0 AND doc_id IS NOT NULL").dropDuplicates(["cid"])
     least = F.ceil(part * F.col("n") / 100)
-    keyed = keyed.select("cid", (1 + F.floor(least / 50)).cast("int").alias("least"), F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").count().where("count > 1").select("key")
-    hits = staged(keyed.join(shared, "key"), "hits")
-    enough = hits.groupBy("cid").agg(F.count("*").alias("n"), F.first("least").alias("least")).where("n >= least").select("cid")
-    hits = staged(hits.join(enough, "cid").select("key", "cid"), "keys")
-    low = hits.groupBy("key").agg(F.min("cid").alias("b"), F.max("cid").alias("c")).where("b != c")
-    edges = hits.join(low, "key").select(F.col("cid").alias("a"), "b").where("a != b").distinct()
+    base = base.select("cid", (1 + F.floor(least / SPARE)).cast("int").alias("least"), "band", "keys", "late")
+    early = base.select("cid", "least", "band", F.explode("keys").alias("key"))
+    early = early.withColumn("df", F.count("*").over(Window.partitionBy("key"))).where("df > 1").drop("df")
+    hits = staged(early.unionByName(base.select("cid", "least", "band", F.explode("late").alias("key"))), "hits")
+    for _ in range(rounds):
+        near = hits.select("*", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("near")).withColumn("key_band", F.xxhash64("key", "near"))
+        low = near.groupBy("key_band").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low != high").drop("high")
+        near = staged(near.join(low, "key_band").select("cid", "least", "band", "key", "low"), "near")
+        one = near.select("cid", "least", "band", "key").distinct()
+        enough = one.groupBy("cid").agg(F.count("*").alias("n"), F.first("least").alias("least")).where("n >= least").select("cid")
+        hits = staged(one.join(enough, "cid"), "hits")
+    # the lowest class of each key may be gone by now: look again
+    near = hits.select("cid", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("near"), "key").select("cid", F.xxhash64("key", "near").alias("key_band"))
+    low = near.groupBy("key_band").agg(F.min("cid").alias("b"), F.max("cid").alias("c")).where("b != c").drop("c")
+    edges = near.join(low, "key_band").select(F.col("cid").alias("a"), "b").where("a != b").distinct()
     return components(edges).select(F.col("node").alias("cid"), F.col("root").alias("family"))
 
 
 def links(docs: DataFrame, rows: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
     """(a, b): links between classes; with equal sets being one class, these connect all that is linked."""
     members = staged(families(rows, part), "families")
-    first = rows.where("doc_id IS NOT NULL").join(members, "cid").groupBy("cid", "family").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    first = rows.where("doc_id IS NOT NULL").join(members, "cid").groupBy("cid", "family", "band").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
     first = staged(first, "members")
-    sizes = first.groupBy("family").agg(F.count("*").alias("docs"), F.sum("n").alias("tokens"))
-    blocks = F.greatest(F.ceil(F.col("docs") / BLOCK), F.ceil(F.col("tokens") * 8 / BLOCK_BYTES)).cast("int")
-    first = first.join(sizes.select("family", blocks.alias("blocks")), "family")
+    # blocks of each family's band, and of the bands beside it
+    sizes = first.groupBy("family", "band").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+    for name, step in (("below", 1), ("above", -1)):
+        beside = sizes.select("family", (F.col("band") + step).alias("band"), F.col("blocks").alias(name))
+        first = first.join(beside, ["family", "band"], "left").fillna(0, [name])
+    first = first.join(sizes, ["family", "band"])
     first = F.broadcast(first) if members.count() <= SENT else first
-    texts = docs.join(first, "doc_id").select("cid", "n", "family", "blocks", "text")
+    texts = docs.join(first, "doc_id").select("cid", "n", "family", "band", "blocks", "below", "above", "text")
 
     def cut(batches):
         for batch in batches:
-            sets = list(shingles.sets(batch.column(4).to_pylist(), words))
+            sets = list(shingles.sets(batch.column(7).to_pylist(), words))
             # another row may have the same id and another text
             good = pa.array([_mark(s) == c for s, c in zip(sets, batch.column(0).to_pylist(), strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in (0, 2, 3)), pa.array([s.tobytes() for s in sets], pa.binary())], ["cid", "family", "blocks", "set"]).filter(good)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in (0, 2, 3, 4, 5, 6)), pa.array([s.tobytes() for s in sets], pa.binary())], ["cid", "family", "band", "blocks", "below", "above", "set"]).filter(good)
 
-    sets = texts.mapInArrow(cut, "cid long, family long, blocks int, set binary")
+    sets = texts.mapInArrow(cut, "cid long, family long, band int, blocks int, below int, above int, set binary")
     sets = sets.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    sets = sets.select("*", other.alias("other")).select("cid", "set", "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"), (F.col("block") == F.col("other")).alias("alone"))
-    return sets.groupBy("family", "i", "j").applyInPandas(lambda pdf: _join_blocks(pdf.drop_duplicates("cid"), part), "a long, b long")
+    # tasks: two blocks of one band, or a block of a band and one of the band above it
+    own, up = F.sequence(F.lit(0), F.col("blocks") - 1), lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    block, band = F.col("block"), F.col("band")
+    task = lambda band, across, i, j, side: F.struct(band.alias("band"), F.lit(across).alias("across"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+    tasks = F.concat(
+        F.transform(own, lambda o: task(band, False, F.least(block, o), F.greatest(block, o), block > o)),
+        F.transform(up(F.col("above")), lambda o: task(band, True, block, o, F.lit(0))),
+        F.transform(up(F.col("below")), lambda o: task(band - 1, True, o, block, F.lit(1))),
+    )
+    sets = sets.select("cid", "set", "family", F.explode(tasks).alias("t")).select("cid", "set", "family", "t.*").withColumn("alone", ~F.col("across") & (F.col("i") == F.col("j")))
+    return sets.groupBy("family", "band", "across", "i", "j").applyInPandas(lambda pdf: _join_blocks(pdf.drop_duplicates("cid"), part), "a long, b long")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, part: int = PART) -> DataFrame:
