@@ -56,7 +56,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     rounds: each one is a minimum per node, which is summed on the map side, and a join; the state is written to
     the shared folder after every round. No neighbourhood is ever gathered in one task or at the driver. An empty
     graph gives no rows; loops count as single nodes."""
-    spark = edges.sparkSession
+    edges = staged(edges.select("a", "b"), "links")  # used several times below
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     edges = staged(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
 
