@@ -29,7 +29,7 @@ from trawl.llm.common import bounded_fraction, components, share, staged
 #: Words of a shingle; linked: part * union <= 100 * intersection.
 WORDS, PART = 4, 85
 SAMPLE, FREQUENT = 4_000, 50_000
-BLOCK, BLOCK_BYTES, FAN, SPARE = 512, 4 << 20, 8, 16
+BLOCK, BLOCK_BYTES, FAN, SPARE = 1024, 16 << 20, 8, 16
 #: Representatives' ids are broadcast up to this many, joined otherwise.
 SENT = 1_000_000
 
