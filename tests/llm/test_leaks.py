@@ -56,3 +56,25 @@ def test_against_brute_force(spark, monkeypatch, group):
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(n for n, k, *_ in want if not k)
     assert leaks.find(df.limit(0), bench).count() == 0 and {r.n_items for r in leaks.find(df, bench.limit(0)).collect()} == {0}
+
+
+@pytest.mark.parametrize("missing", [1, 2, 3])
+def test_planted_items_with_words_missing(spark, missing):
+    """Copies within a tenth of the item's length are found; the budget is worked out here and not asked of the module."""
+    rnd = random.Random(missing)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 7)))
+    items, docs = [], []
+    for i in range(40):
+        words = [word() for _ in range(rnd.randint(15, 50))]
+        left = list(words)
+        for _ in range(missing):
+            del left[rnd.randrange(len(left))]
+        items.append((i, " ".join(words)))
+        docs.append((i, " ".join([word() for _ in range(30)] + left + [word() for _ in range(30)])))
+    least = {i: brute(a.encode(), b.encode()) for (i, a), (_, b) in zip(items, docs, strict=True)}
+    want = {i: d for i, d in least.items() if d * 10 <= len(items[i][1])}
+    assert sum(d * 100 > 6 * len(items[i][1]) for i, d in want.items()) >= 3  # more than 6 %, as 12-grams allowed
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: dict(zip(r["items"], r.edits, strict=True)) for r in leaks.find(df, bench).collect()}
+    assert {i: g[i] for i, g in got.items() if i in g} == want
+    assert {r.doc_id for r in leaks.clean(df, bench).collect()}.isdisjoint(want)

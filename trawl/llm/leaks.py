@@ -1,11 +1,11 @@
-"""Benchmark decontamination: q-gram filtering in diagonal bands, then banded alignment.
+"""Benchmark decontamination: q-gram filtering in diagonal bands, then alignment near the bands that are left.
 
 An item of m characters occurs in a text when a stretch of the text is within k = EDITS * m edits of it. By the q-gram
 lemma such a stretch shares at least m - q + 1 - k * q of the item's q-grams, on diagonals (text position less item
 position) that differ by k at most. Texts are scanned once: every position's q-gram is looked up in a bitmap of the
-items' q-grams; stretches in which too few positions hit are left; the hits of the others are looked up
-exactly and counted by item in diagonal bands of width 2 * (k + 1), each overlapping half of the next; bands that
-reach the bound are verified by an alignment held to the band.
+items' q-grams; stretches in which too few positions hit are left; the hits of the others are counted by item in
+diagonal bands of width 2 * (k + 1), each overlapping half of the next: first in a hashed table, whose counts are too
+high at most, then exactly; bands that reach the bound are verified by an alignment near the band.
 
 Texts and items are taken as UTF-8 with A-Z in lower case and blanks squeezed; lengths and edits count bytes there. Items shorter than q + 1 bytes are
 matched exactly. Null and empty texts, and null or blank items, match nothing. Repeated rows are judged alike.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from trawl.llm.common import staged
 
-Q, EDITS, GROUP = 12, 0.06, 4 << 20
+Q, EDITS, GROUP = 8, 0.1, 4 << 20
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _UP = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -60,10 +60,12 @@ class Items:
         keys, item, at = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((keys, np.uint64), (item, np.int64), (at, np.int64)))
         order = np.argsort(keys, kind="stable")
         self.keys, self.item, self.at = keys[order], item[order], at[order]
-        self.hit = np.zeros(1 << bits, bool)
-        self.hit[self.keys >> self.bits] = True
+        #: where the entries begin whose keys have the same upper bits
+        self.first = np.searchsorted(self.keys >> self.bits, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        self.hit = self.first[1:] > self.first[:-1]
         self.length = np.array([len(b) for _, b in self.rows], np.int64)
         self.edits = np.array([budget(len(b)) for _, b in self.rows], np.int64)
+        self.half = self.edits + 1
         self.least = np.maximum(1, self.length - Q + 1 - self.edits * Q)
         self.short = [n for n, (_, b) in enumerate(self.rows) if len(b) <= Q]
         long_ = self.length > Q
@@ -89,15 +91,25 @@ class Items:
         near[: len(first)] += dense
         near[self.floor : self.floor + len(first)] -= dense
         pos = pos[np.cumsum(near[:-1]) > 0]
-        lo, hi = np.searchsorted(self.keys, g[pos], "left"), np.searchsorted(self.keys, g[pos], "right")
-        n = hi - lo
+        top = g[pos] >> self.bits
+        lo = self.first[top]
+        n = self.first[top + np.uint64(1)] - lo
         at = np.repeat(pos, n)
-        entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-        item, diagonal = self.item[entry], at - self.at[entry] + self.window  # above 0
-        half = self.edits[item] + 1
-        band = diagonal // half
+        entry = np.arange(len(at)) + np.repeat(lo - np.cumsum(n) + n, n)
+        item = self.item[entry]
+        cell = (at - self.at[entry] + self.window) // self.half[item]  # above 0; a band is two cells
+        # counts in a hashed table, which are too high at most: what is in no band with enough of them is left
+        mask = (1 << max(12, int(len(at)).bit_length() + 1)) - 1
+        slot = (item * 0x9E3779B1 + cell) & mask
+        count = np.bincount(slot, minlength=mask + 1)
+        mine, least = count[slot], self.least[item]
+        live = np.flatnonzero((mine + np.maximum(count[(slot - 1) & mask], count[(slot + 1) & mask])) >= least)
+        live = live[self.keys[entry[live]] == g[at[live]]]
+        if not len(live):
+            return out
+        at, item, cell = at[live], item[live], cell[live]
         # one count for each text position, so that a repeated q-gram of the item doesn't count twice
-        key = np.concatenate([np.stack([item, band, at]), np.stack([item, band - 1, at])], axis=1)
+        key = np.concatenate([np.stack([item, cell, at]), np.stack([item, cell - 1, at])], axis=1)
         key = np.unique(key, axis=1)
         change = np.flatnonzero(np.any(np.diff(key[:2], axis=1, prepend=-5), axis=0))
         counts = np.diff(np.append(change, key.shape[1]))
@@ -115,26 +127,28 @@ class Items:
 def align(item: bytes, text: bytes, diagonal: int, width: int, k: int) -> tuple[int, int]:
     """(least edits, where the band starts) between the item and any stretch of the text near diagonals diagonal .. + width - 1.
 
-    An alignment that touches the band leaves it by k diagonals at most, so the table has k more on each side."""
-    lo, n = diagonal - k, width + 2 * k
-    p, t = np.frombuffer(item, np.uint8), np.frombuffer(text, np.uint8)
-    cols = np.arange(n)
-    far = 1 << 20
-    start = lo + cols  # text position of each cell in row 0
-    row = np.where((start >= 0) & (start <= len(t)), 0, far)
-    for i in range(1, len(p) + 1):
-        end = lo + cols + i  # text characters used up
-        ok = (end >= 1) & (end <= len(t))
-        same = np.zeros(n, bool)
-        same[ok] = t[end[ok] - 1] == p[i - 1]
-        new = np.where(ok, row + ~same, far)  # substitution or match, along the diagonal
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)  # an item character without a text character
-        new = np.where((end >= 0) & (end <= len(t)), new, far)
-        row = np.minimum.accumulate(new - cols) + cols  # text characters without an item character
-        row = np.where((end >= 0) & (end <= len(t)), row, far)
-        if row.min() > k:
-            return far, max(0, lo)
-    return int(row.min()), max(0, diagonal)
+    An alignment that touches the band leaves it by k diagonals at most, so k more on each side are searched. Myers'
+    bit vectors: a column of the edit table is two numbers of as many bits as the item has bytes."""
+    m = len(item)
+    full, high = (1 << m) - 1, 1 << (m - 1)
+    same: dict[int, int] = {}
+    for i, c in enumerate(item):
+        same[c] = same.get(c, 0) | 1 << i
+    up, down, score, best = full, 0, m, m
+    for c in text[max(0, diagonal - k) : max(0, diagonal + width + k + m)]:
+        eq = same.get(c, 0)
+        x = ((((eq & up) + up) ^ up) | eq | down) & full
+        more, less = down | (full & ~(x | up)), up & x
+        if more & high:
+            score += 1
+        elif less & high:
+            score -= 1
+            if score < best:
+                best = score
+        more, less = (more << 1) & full, (less << 1) & full
+        x = eq | down
+        up, down = less | (full & ~(x | more)), more & x
+    return best, max(0, diagonal)
 
 
 def groups(benchmark: DataFrame, key: str = "item_id", text: str = "text"):
