@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from trawl.operators import health as H
+from trawl.plans import health as P
 from trawl.streaming import jobs
 
 
@@ -91,3 +92,12 @@ def test_heartbeat_order(spark):
     got = {r.run: (r.verdict, r.reasons) for r in H.heartbeat_verdict(h).collect()}
     assert got == {"a": ("STALL", ["no_progress"]), "b": ("OK", []), "c": ("OK", []), "d": ("WARN", ["gate_frozen"]), "e": ("DONE", []), "f": ("WARN", ["backoff"]), "g": ("WARN", ["gate_closed", "clamped"])}
     assert H.heartbeat_verdict(h.where(F.lit(False))).count() == 0
+
+
+def test_diff_at_every_change(spark, tmp_path):
+    """a: x, x, y, y, x, z has three changes, b none, c one."""
+    data = [("a", 1, "x\nk"), ("b", 2, "p"), ("a", 3, "x\nk"), ("a", 4, "y\nk"), ("c", 5, None), ("a", 6, "y\nk"), ("a", 7, "x\nk"), ("c", 8, "q"), ("a", 9, "x\nk\nz"), ("b", 10, "p")]
+    spark.createDataFrame(data, "source string, doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    # lines: two of the head, one of the place, one a text line shown
+    got = sorted((r.site_id, r.ver, r.lines) for r in P.txt_23_diff(spark, str(tmp_path)).collect())
+    assert got == [("a", 2, 6), ("a", 3, 6), ("a", 4, 5), ("c", 2, 4)]

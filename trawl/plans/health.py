@@ -138,12 +138,15 @@ def diff_preview(old: pd.Series, new: pd.Series) -> pd.Series:
 
 
 def txt_23_diff(spark, d):
-    """Previews for changed pairs only: the first and second version of each site."""
+    """Previews at every change: each version of a site against the version before it. Ids are paired first, then both texts are joined by id."""
     docs = read(spark, d, "documents").select(F.col("source").alias("site_id"), F.col("doc_id").alias("ord"), "text")
-    v = S.versions(docs.select("site_id", "ord", F.sha2("text", 256).alias("sha"))).where("is_new = 1 AND ver <= 2").select("site_id", "ver", "ord")
-    t = v.join(docs.select("ord", "text"), "ord")
-    pair = t.groupBy("site_id").agg(F.max(F.when(F.col("ver") == 1, F.col("text"))).alias("old"), F.max(F.when(F.col("ver") == 2, F.col("text"))).alias("new")).where("new IS NOT NULL")
-    return pair.select("site_id", diff_preview("old", "new").alias("diff")).select("site_id", F.size(F.split("diff", "\n")).alias("lines"), F.length("diff").alias("chars"))
+    v = S.versions(docs.select("site_id", "ord", F.sha2("text", 256).alias("sha"))).where("is_new = 1")
+    # each version is the new one of its change and the old one of the next
+    sides = v.select("site_id", "ord", F.explode(F.array(F.struct("ver", F.lit(True).alias("is_new")), F.struct((F.col("ver") + 1).alias("ver"), F.lit(False).alias("is_new")))).alias("x"))
+    pair = sides.groupBy("site_id", "x.ver").agg(F.max(F.when(~F.col("x.is_new"), F.col("ord"))).alias("old_ord"), F.max(F.when(F.col("x.is_new"), F.col("ord"))).alias("new_ord")).where("old_ord IS NOT NULL AND new_ord IS NOT NULL")
+    text = docs.select("ord", "text")
+    pair = pair.join(text.toDF("old_ord", "old"), "old_ord").join(text.toDF("new_ord", "new"), "new_ord")
+    return pair.select("site_id", "ver", diff_preview("old", "new").alias("diff")).select("site_id", "ver", F.size(F.split("diff", "\n")).alias("lines"), F.length("diff").alias("chars"))
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k[:3] in ("wn_", "vd_", "jn_", "ag_") or k[:4] == "txt_"}
