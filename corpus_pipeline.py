@@ -7,10 +7,11 @@ ORACLE_SQL is None: learned filters, alignment and the tagger aren't SQL; the st
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import jaccard, language, leaks, packing, pii
+from trawl.llm import jaccard, language, leaks, packing, pii, tokens
 from trawl.llm.common import staged, table
 
 ORACLE_SQL = None
@@ -38,8 +39,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document is packed: bucket, batch and slot."""
-    return packing.pack(docs, buckets=16, budget=65_536)
+    """Where each document is packed: bucket, batch and slot. Lengths are tokens, with the end id."""
+    lengths = tokens.lengths(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(lengths, buckets=16, budget=65_536, length=lengths["n_tokens"])
 
 
 STAGES = [("language", language_id), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("personal_data", personal_data), ("packing", batches)]

@@ -2,7 +2,11 @@ import itertools
 import random
 from collections import Counter, defaultdict
 
-from trawl.llm import packing
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from trawl.llm import packing, q_packing
 
 
 def padding(bounds, lengths):
@@ -39,3 +43,19 @@ def test_batches(spark, monkeypatch):
         assert n == last[b] or len(rs) == rs[0].batch_docs
     assert len({r.bucket for r in got}) <= 4
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_lengths_are_tokens(spark, tmp_path):
+    """In op8 and in the pipeline's stage: the tokenizer's count and the end id; the length in words says something else."""
+    texts = [None, "", "one", "日本語日本語日本語", "QUJD" * 3000, "a b c " * 40, "unbelievably internationalised " * 4000, "x" * 70_000]
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {i: len(t.encode(x or "", add_special_tokens=False).ids) + 1 for i, x in enumerate(texts)}
+    assert want[3] > 2 and want[4] > 1000
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for got in (q_packing.op8_length_buckets(spark, str(tmp_path)), corpus_pipeline.batches(spark, docs, str(tmp_path))):
+        rows = {r.doc_id: r for r in got.collect()}
+        assert {i: r.n_tokens for i, r in rows.items()} == want
+        # 16 buckets hold each of these lengths, and none within the budget is rounded
+        assert all(r.bucket_len == r.n_tokens for r in rows.values() if r.n_tokens <= 65_536)
+        assert all(r.batch_docs == max(1, 65_536 // r.bucket_len) for r in rows.values())

@@ -1,7 +1,8 @@
 """Packing: length buckets with the least padding, and token-budget batches inside each.
 
-A document's length is its number of words (runs of characters other than blanks), or a given column. The histogram of
-lengths over all rows goes to the driver; its size is bounded, as lengths above EXACT are rounded up in
+A document's length is a given column, such as the number of tokens by tokens.lengths(), which op8 and the pipeline
+give; without one it is the number of words (runs of characters other than blanks), and the budget is one of words.
+The histogram of lengths over all rows goes to the driver; its size is bounded, as lengths above EXACT are rounded up in
 steps of 1/64. Dynamic programming over it finds the bucket boundaries whose total padding is least. A batch of a bucket
 holds as many documents as fit the token budget at the bucket's length, one at least.
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from trawl.llm.common import staged
 
-EXACT, CELL = 4096, 256
+EXACT, CELL = 65_536, 256
 
 
 def rounded(length):

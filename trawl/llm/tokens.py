@@ -249,6 +249,20 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 1, key: str = "d
     return staged(dealt.mapInArrow(shards, "part int, shard int, n_tokens long, payload binary"), "shards")
 
 
+def lengths(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, n_tokens. The end id counts, as in the shards' lengths, so an empty text has one token."""
+
+    def count(batches):
+        encode = _encoder(tokenizer)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
+                n = [len(t) + 1 for t in encode(rows.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
+
+    return docs.select(F.col(key).alias("doc_id"), text).mapInArrow(count, f"doc_id {docs.schema[key].dataType.simpleString()}, n_tokens long")
+
+
 _NULL = -(1 << 63)  # stands for a null id in a shard
 _SHARDS = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("n_tokens", pa.int64()), ("payload", pa.binary())])
 
