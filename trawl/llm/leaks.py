@@ -61,7 +61,8 @@ class Items:
         order = np.argsort(keys, kind="stable")
         self.keys, self.item, self.at = keys[order], item[order], at[order]
         #: where the entries begin whose keys have the same upper bits
-        self.first = np.searchsorted(self.keys >> self.bits, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        gaps = np.diff((self.keys >> self.bits).astype(np.int64), prepend=-1, append=1 << bits)
+        self.first = np.repeat(np.arange(len(gaps), dtype=np.int32), gaps)
         self.hit = self.first[1:] > self.first[:-1]
         self.length = np.array([len(b) for _, b in self.rows], np.int64)
         self.edits = np.array([budget(len(b)) for _, b in self.rows], np.int64)
