@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,10 +23,12 @@ def fold(col: str, n: int):
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is the one named by spark.checkpoint.dir; where that is unset, as in local tests, a temporary
-    folder is made once and set for the session."""
+    It is the one named by spark.checkpoint.dir. Where that is unset and Spark runs in one process, as in local tests, a
+    temporary folder is made once and set for the session; on a cluster that is an error, as executors share no local folder."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="trawl-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -36,7 +39,37 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def released(*tables: DataFrame) -> None:
+    """Deletes staged tables that no later step reads."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Keys that hold more than one in HOT of all rows: fewer than HOT by arithmetic, so that they can be broadcast.
+HOT = 1024
+
+
+def skew_join(left: DataFrame, right: DataFrame, key: str, count: str, total: int, how: str = "left") -> DataFrame:
+    """left joined with right, which has one row for each key and the count of left's rows with it; total is left's number of rows.
+
+    Rows of hot keys meet their match by a broadcast of fewer than HOT rows, whatever the size; the others by shuffle,
+    where no key has more than one in HOT of the rows. Rows of hot keys are spread by their own hash there."""
+    names = [c for c in right.columns if c != key]
+    hot = right.where(F.col(count) * HOT > total).select(F.col(key).alias("_key"), F.struct(*names).alias("_hot"))
+    cold = right.where(F.col(count) * HOT <= total).select(F.col(key).cast("string").alias("_cold_key"), F.struct(*names).alias("_cold"))
+    out = left.join(F.broadcast(hot), left[key] == hot["_key"], "left").drop("_key")
+    at = F.when(F.col("_hot").isNull(), F.coalesce(F.col(key).cast("string"), F.lit(""))).otherwise(F.concat(F.lit("\0"), F.xxhash64(*[left[c] for c in left.columns]).cast("string")))
+    out = out.withColumn("_at", at).join(cold, F.col("_at") == F.col("_cold_key"), "left")
+    found = F.coalesce("_hot", "_cold")
+    out = out.where(found.isNotNull()) if how == "inner" else out
+    return out.select(*[left[c] for c in left.columns], *[found[n].alias(n) for n in names])
 
 
 def share(col, fraction: float):
@@ -49,40 +82,39 @@ def bounded_fraction(n: int, cap: int) -> float:
     return 1.0 if n <= cap else cap / n
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph given as rows (a, b) of longs.
 
     Returns (node, root): root is the smallest node that can be reached. Alternating large-star and small-star
-    rounds: each one is a minimum per node, which is summed on the map side, and a join; the state is written to
-    the shared folder after every round. No neighbourhood is ever gathered in one task or at the driver. An empty
+    rounds until nothing changes: each one is a minimum per node, which is summed on the map side, and a join that splits hot nodes; the state is written to
+    the shared folder after every round, and the one before it deleted. No neighbourhood is ever gathered in one task or at the driver. An empty
     graph gives no rows; loops count as single nodes."""
     edges = staged(edges.select("a", "b"), "links")  # used several times below
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     edges = staged(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, n: int, large: bool) -> DataFrame:
         # large: both directions, so that each node sees all its neighbours; small: only those below it
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        joined = both.join(low, "u")
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        joined = skew_join(both, low, "u", "n", n * (1 + large), "inner")
         if large:
             out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
             out = joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         return out.where("u != v").distinct()
 
-    mark = None
-    for _ in range(max_rounds):
-        edges = staged(star(star(edges, True), False), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit((1 << 31) - 1))), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit((1 << 31) - 1)))).first()
+    part = lambda a, b: F.coalesce(F.sum(F.pmod(F.xxhash64(a, b), F.lit((1 << 31) - 1))), F.lit(0))
+    state = lambda e: e.agg(F.count("*"), part("u", "v"), part("v", "u")).first()
+    mark = state(edges)
+    while mark[0]:
+        large = staged(star(edges, mark[0], True), "edges")
+        small = staged(star(large, large.count(), False), "edges")
+        released(edges, large)
+        edges, now = small, state(small)
         if now == mark:
             break
         mark = now
-    else:
-        raise RuntimeError("the components did not settle")
     roots = edges.groupBy("u").agg(F.min("v").alias("root"))
     return nodes.join(roots, nodes.node == roots.u, "left").select("node", F.coalesce("root", "node").alias("root"))
 
-
-def empty_like(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
