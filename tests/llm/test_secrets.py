@@ -1,5 +1,9 @@
 import hashlib
+import math
+import random
 import re
+import string
+from collections import Counter
 
 from trawl.llm import q_secrets, secrets
 
@@ -33,5 +37,69 @@ def test_base_spans(spark, tmp_path):
     assert next(r for r in got if r.doc_id == 9).spans == ""
 
 
+def phi(z):
+    z = max(-8.0, min(8.0, z))
+    return 1 / (1 + math.exp(-1.5976 * z - 0.07056 * z**3))
+
+
+def p_of(w):
+    """The three tests of a token by hand: chi-squared, runs, serial steps, joined by Fisher's method."""
+    v = re.sub("[-_/=]", "", w)
+    n = len(v)
+    if n < 12:
+        return 1.0
+    kinds = (("[0-9]+", 10), ("[0-9a-f]+", 16), ("[0-9A-F]+", 16), ("[A-Z2-7]+", 32), ("[a-z0-9]+", 36), ("[A-Z0-9]+", 36))
+    k = next((size for p, size in kinds if re.fullmatch(p, v)), 63)
+    sq = sum(c * c for c in Counter(v).values())
+    z_chi = ((k * sq / n - n) - (k * (1 + (n - 1) * secrets.IC) - n)) / (k * math.sqrt(2 * n * (n - 1) * secrets.IC) / n)
+    classes = ["A" if c.isupper() else "a" if c.islower() else "0" if c.isdigit() else "+" for c in re.sub("[A-Z](?=[a-z]{2})", "a", v)]
+    turns = sum(a != b for a, b in zip(classes, classes[1:]))
+    z_runs = (turns - 0.5 - (n - 1) * secrets.TURN) / math.sqrt((n - 1) * secrets.TURN * (1 - secrets.TURN))
+    at = ["abcdefghijklmnopqrstuvwxyz0123456789+".index(c.lower()) for c in v]
+    z_step = (sum((a - b) ** 2 for a, b in zip(at, at[1:])) / (n - 1) - secrets.STEP) / (secrets.SPREAD / math.sqrt(n))
+    f = -sum(math.log(max(secrets.LEAST, p)) for p in (phi(z_chi), 1 - phi(z_runs), 1 - phi(z_step)))
+    return math.exp(-f) * (1 + f + f * f / 2)
+
+
+def planted():
+    """(text, wanted): tokens of random characters, and words, names and dates that aren't."""
+    rnd = random.Random(3)
+    full, low = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits
+    draw = lambda abc, n: "".join(rnd.choice(abc) for _ in range(n))
+    out = [(f"x {draw(full, n)} y", True) for n in (12, 16, 24, 40) for _ in range(25)] + [(f"x {draw(low, n)} y", True) for n in (24, 40) for _ in range(25)]
+    syllables = "th an er in tion ou re ed st ble ing ver sch".split()
+    word = lambda k: "".join(rnd.choice(syllables) for _ in range(k))
+    names = "getElementByIdFromMap understand-the-problem-now 2024-01-15T10-30-00 HTTPServerConnection ThreadPoolExecutor MAX_CONNECTIONS_PER_HOST aaaaaaaaaaaaaaaa 1234567890123456 ---------------- index_html_template_v2 src/main/java/com/example Donaudampfschifffahrt".split()
+    return out + [(f"see {w} here", False) for w in names * 5] + [(f"{word(5)} {'-'.join(word(3) for _ in range(3))}", False) for _ in range(1500)]
+
+
+def test_battery_and_false_discoveries(spark):
+    texts = planted()
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    tokens = df.selectExpr("doc_id", f"explode(regexp_extract_all(text, '{secrets.CANDIDATE}', 0)) AS w").selectExpr("doc_id", "w", f"{secrets.battery('w')}.p AS p").collect()
+    for r in tokens:
+        assert math.isclose(r.p, p_of(r.w), rel_tol=1e-6, abs_tol=1e-12), r
+    # Benjamini-Hochberg by bands of length, over quarter decades of p
+    bands = {}
+    for r in tokens:
+        n = len(re.sub("[-_/=]", "", r.w))
+        band = min((n if n >= 12 else 0) // 8, secrets.BANDS)
+        bands.setdefault(band, []).append(min(math.floor(-math.log10(max(r.p, 1e-30)) * 4), secrets.BINS))
+    limit = {b: next((10 ** (-x / 4) for x in range(secrets.BINS + 1) if (k := sum(y >= x for y in bins)) and len(bins) * 10 ** (-x / 4) / k <= secrets.ALPHA), -1) for b, bins in bands.items()}
+    want = Counter(r.doc_id for r in tokens if r.p <= limit[min((len(v) if len(v := re.sub("[-_/=]", "", r.w)) >= 12 else 0) // 8, secrets.BANDS)])
+    got = {r.doc_id: sum(x.k == 3 for x in r.spans) for r in secrets.scan(df).collect()}
+    assert {i: n for i, n in got.items() if n} == dict(want)
+    found = [bool(got[i]) for i, (_, y) in enumerate(texts) if y]
+    false = [i for i, (_, y) in enumerate(texts) if not y and got[i]]
+    assert sum(found) > 0.95 * len(found) and not false
+
+
+def test_very_long_text(spark):
+    """Half a million characters with twenty thousand matches: positions across stretches, and no quadratic growth."""
+    text = "é password=abcdefgh deadbeefdeadbeefdeadbeef " * 10_000
+    r = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [tuple(x) for x in r.base] == [(s, k, e) for s, k, e in brute(text)]
+
+
 def test_empty(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -1,16 +1,20 @@
 """Secret scan with SQL functions only: fixed patterns, and a battery of randomness tests for other tokens.
 
 Positions of matches come from the pieces between them: split() by the pattern gives the pieces, regexp_extract_all()
-the matches, and one pass over both adds up the lengths. All positions are code points, ends exclusive.
-
-Tokens of CANDIDATE characters that no pattern has found are tested. The encoding is inferred from the characters
-(digits, hex, base32, lower or upper letters with digits, base64) and gives the alphabet's size. Two p-values are
-taken under the hypothesis that a token is written like text: the number of coinciding character pairs is as high as
-in text (IC), and its runs of one character class are as few. Fisher's method joins them. A token must also
-pass as uniform over its alphabet (chi-squared) and as free of serial correlation. Benjamini-Hochberg within bands of
+the matches; lengths are added up within stretches of STRETCH matches, and then over stretches, so that a text with very many
+matches isn't quadratic. All positions are code points, ends exclusive.
+
+Tokens of 12 characters or more (CANDIDATE) that touch no pattern's span are tested. The encoding is inferred from the characters
+(digits, hex, base32, lower or upper letters with digits, base64); separators within a token, and capitals that begin a
+word, don't count as a change. Three tests give p-values under the hypothesis that a token is written like text:
+chi-squared against a uniform alphabet (text is further from uniform, as its pairs of characters coincide with chance IC),
+runs of one character class (text changes class with chance TURN), and serial correlation (the mean square step
+between neighbours, in places of an alphabet of letters and digits without regard to case, is about STEP in text and more where unrelated characters follow each other). Each p is LEAST at least, so that no
+test decides alone. Fisher's method joins the three. Benjamini-Hochberg within bands of
 length keeps the false discovery rate at ALPHA; it needs only a histogram of p-values, whose size is fixed.
 
-Null texts count as empty and have no spans; an empty table gives an empty result; repeated rows are judged alike.
+Null texts count as empty and have no spans; an empty table gives an empty result; repeated rows are judged alike. Very long texts are
+read whole. Overlapping spans of several kinds all stay; spans with one start are in the order of KINDS. Only key and text are read, so other columns' names can't clash.
 """
 
 from __future__ import annotations
@@ -24,10 +28,12 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: As long as a match may not be retried from within, runs of the least length are what a filter by length leaves.
 ACCESS, HEX = r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}"
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"
 ALPHA = 0.01
-#: Text: chance that two characters are the same, chance of a change of class between neighbours.
-IC, TURN = 0.065, 0.08
+#: Text: chance that two characters are the same, chance of a change of class between neighbours, mean square step, and its spread for one pair.
+IC, TURN, STEP, SPREAD = 0.065, 0.08, 112.0, 140.0
+LEAST = 1e-5
+STRETCH = 256
 #: Bands of 8 characters, quarter decades of p.
 BANDS, BINS = 16, 80
 _SPANS = "array<struct<s:int,k:int,e:int>>"
@@ -37,15 +43,21 @@ def _sql(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def find(pattern: str, kind: int, least: str = "true", group: int = 0) -> str:
-    """SQL for the spans (start, kind, end) of a pattern's leftmost matches in column t. least: on g, the group's text."""
+def find(pattern: str, kind: int, least: str = "true", group: int = 0, words: bool = False) -> str:
+    """SQL for the spans (start, kind, end, with words the text) of a pattern's leftmost matches in column t. least: on x.g, the group's text."""
+    shape = _SPANS.replace(">>", ",w:string>>") if words else _SPANS
+    w, yw = (", x.w AS w", ", y.w AS w") if words else ("", "")
     p = _sql(pattern)
-    none = f"cast(array() as {_SPANS})"
-    return f"""CASE WHEN t RLIKE {p} THEN aggregate(
-      zip_with(zip_with(regexp_extract_all(t, {p}, 0), regexp_extract_all(t, {p}, {group}), (w, g) -> struct(w AS w, g AS g)), split(t, {p}, -1), (x, y) -> struct(x.w AS w, x.g AS g, y AS p)),
-      cast(struct(0 AS pos, {none} AS arr) AS struct<pos:int,arr:{_SPANS}>),
-      (a, x) -> struct(a.pos + length(x.p) + coalesce(length(x.w), 0) AS pos, CASE WHEN x.w IS NOT NULL AND {least} THEN concat(a.arr, array(struct(a.pos + length(x.p) AS s, {kind} AS k, a.pos + length(x.p) + length(x.w) AS e))) ELSE a.arr END AS arr),
-      a -> a.arr) ELSE {none} END"""
+    group_of = f"regexp_extract(w, {p}, {group})" if group else "w"
+    none = f"cast(array() as {shape})"
+    cut = f"zip_with(transform(regexp_extract_all(t, {p}, 0), w -> struct(w AS w, {group_of} AS g)), split(t, {p}, -1), (x, y) -> struct(x.w AS w, x.g AS g, length(y) AS p))"
+    part = f"""transform(sequence(0, size(all) - 1, {STRETCH}), i -> aggregate(slice(all, i + 1, {STRETCH}),
+      cast(struct(0 AS pos, {none} AS arr) AS struct<pos:int,arr:{shape}>),
+      (a, x) -> struct(a.pos + x.p + coalesce(length(x.w), 0) AS pos, CASE WHEN x.w IS NOT NULL AND {least} THEN concat(a.arr, array(struct(a.pos + x.p AS s, {kind} AS k, a.pos + x.p + length(x.w) AS e{w}))) ELSE a.arr END AS arr)))"""
+    before = "aggregate(parts, cast(array(0) AS array<int>), (a, x) -> concat(a, array(element_at(a, -1) + x.pos)))"
+    named = lambda value, name, then: f"transform(array({value}), {name} -> {then})[0]"
+    joined = f"flatten(zip_with(parts, slice(starts, 1, size(parts)), (x, d) -> transform(x.arr, y -> struct(y.s + d AS s, y.k AS k, y.e + d AS e{yw}))))"
+    return f"CASE WHEN t RLIKE {p} THEN {named(cut, 'all', named(part, 'parts', named(before, 'starts', joined)))} ELSE {none} END"
 
 
 def _phi(z: str) -> str:
@@ -54,36 +66,44 @@ def _phi(z: str) -> str:
 
 
 def battery(w: str) -> str:
-    """SQL for struct(p, uniform, serial, n) of a token."""
-    alphabet = f"""CASE WHEN {w} RLIKE '^[0-9]+$' THEN '0123456789' WHEN {w} RLIKE '^[0-9a-f]+$' THEN '0123456789abcdef' WHEN {w} RLIKE '^[0-9A-F]+$' THEN '0123456789ABCDEF'
-      WHEN {w} RLIKE '^[A-Z2-7]+=*$' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' WHEN {w} RLIKE '^[a-z0-9]+$' THEN 'abcdefghijklmnopqrstuvwxyz0123456789' WHEN {w} RLIKE '^[A-Z0-9]+$' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789'
-      ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_' END"""
-    classes = f"translate({w}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-', '{'A' * 26}{'a' * 26}{'0' * 10}-----')"
-    step = lambda of, source, name, then: f"transform(array(struct({of})), {name} -> {then})[0]"  # noqa: E731  a name for a value
-    first = f"""length({w}) AS n, length({alphabet}) AS k,
-      aggregate(filter(split({alphabet}, ''), ch -> ch != ''), 0D, (acc, ch) -> acc + pow(length({w}) - length(replace({w}, ch, '')), 2)) AS sq,
-      length(regexp_replace({classes}, '(.)\\\\1*', 'x')) - 1 AS turns,
-      transform(filter(split({w}, ''), ch -> ch != ''), ch -> cast(ascii(ch) AS double)) AS codes"""
-    second = """a.n AS n, a.k AS k, a.sq AS sq, a.turns AS turns, aggregate(a.codes, 0D, (acc, v) -> acc + v) / a.n AS m, a.codes AS codes"""
-    third = """b.n AS n, b.k AS k, b.sq AS sq, b.turns AS turns,
-      aggregate(b.codes, 0D, (acc, v) -> acc + (v - b.m) * (v - b.m)) AS var,
-      aggregate(zip_with(slice(b.codes, 1, b.n - 1), slice(b.codes, 2, b.n - 1), (x, y) -> (x - b.m) * (y - b.m)), 0D, (acc, v) -> acc + v) AS cov"""
-    z_pairs = f"((d.sq - d.n - d.n * (d.n - 1) * {IC}) / sqrt(2 * d.n * (d.n - 1) * {IC}))"
-    z_turns = f"((d.turns - 0.5 - (d.n - 1) * {TURN}) / sqrt((d.n - 1) * {TURN * (1 - TURN)}))"
-    both = f"(-ln({_phi(z_pairs)}) - ln(1 - {_phi(z_turns)} + 1e-12))"
-    last = f"""struct(exp(-{both}) * (1 + {both}) AS p, (d.k * d.sq / d.n - d.n - (d.k - 1)) / sqrt(2 * (d.k - 1)) < 4 AS uniform,
-      d.var > 0 AND abs(d.cov / d.var) * sqrt(d.n) < 3 AS free, d.n AS n)"""
-    return step(first, w, "a", step(second, w, "b", step(third, w, "d", last)))
+    """SQL for struct(p, n) of a token."""
+    kind = lambda v: f"""CASE WHEN {v} RLIKE '^[0-9]+$' THEN '0123456789' WHEN {v} RLIKE '^[0-9a-f]+$' THEN '0123456789abcdef' WHEN {v} RLIKE '^[0-9A-F]+$' THEN '0123456789ABCDEF'
+      WHEN {v} RLIKE '^[A-Z2-7]+$' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' WHEN {v} RLIKE '^[a-z0-9]+$' THEN 'abcdefghijklmnopqrstuvwxyz0123456789' WHEN {v} RLIKE '^[A-Z0-9]+$' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789'
+      ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+' END"""
+    classes = f"translate(regexp_replace(z.v, '[A-Z](?=[a-z]{{2}})', 'a'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+', '{'A' * 26}{'a' * 26}{'0' * 10}+')"
+    step = lambda of, name, then: f"transform(array(struct({of})), {name} -> {then})[0]"  # noqa: E731  a name for a value
+    bare = f"translate({w}, '-_/=', '') AS v"
+    first = f"z.v AS v, length(z.v) AS n, {kind('z.v')} AS abc, length(regexp_replace({classes}, '(.)\\\\1*', 'x')) - 1 AS turns"
+    second = """a.n AS n, a.turns AS turns, length(a.abc) AS k,
+      aggregate(array_distinct(split(a.v, '')), 0D, (acc, ch) -> acc + pow(a.n - length(replace(a.v, ch, '')), 2)) AS sq,
+      transform(split(a.v, ''), ch -> cast(instr('abcdefghijklmnopqrstuvwxyz0123456789+', lower(ch)) AS double)) AS at"""
+    third = "b.n AS n, b.turns AS turns, b.k AS k, b.sq AS sq, aggregate(zip_with(slice(b.at, 1, b.n - 1), slice(b.at, 2, b.n - 1), (x, y) -> (x - y) * (x - y)), 0D, (acc, v) -> acc + v) / (b.n - 1) AS step"
+    # chi-squared is k * sq / n - n; in text, sq is n + n * (n - 1) * IC, give or take
+    chi, chi_text, chi_sd = "(d.k * d.sq / d.n - d.n)", f"(d.k * (1 + (d.n - 1) * {IC}) - d.n)", f"(d.k * sqrt(2 * d.n * (d.n - 1) * {IC}) / d.n)"
+    least = lambda p: f"-ln(greatest({LEAST}D, {p}))"
+    tests = (
+        least(_phi(f"(({chi} - {chi_text}) / {chi_sd})")),
+        least(f"1 - {_phi(f'((d.turns - 0.5 - (d.n - 1) * {TURN}) / sqrt((d.n - 1) * {TURN * (1 - TURN)}))')}"),
+        least(f"1 - {_phi(f'((d.step - {STEP}) / ({SPREAD} / sqrt(d.n)))')}"),
+    )
+    last = "struct(exp(-e.f) * (1 + e.f + e.f * e.f / 2) AS p, e.n AS n)"  # chi-squared with six degrees of freedom
+    tested = step(bare, "z", step(first, "a", step(second, "b", step(third, "d", step(f"{' + '.join(tests)} AS f, d.n AS n", "e", last)))))
+    return f"CASE WHEN length(translate({w}, '-_/=', '')) >= 12 THEN {tested} ELSE struct(1D AS p, 0 AS n) END"
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: key, spans (array of struct(s, k, e); k indexes KINDS) and base (without the tests' own)."""
     t = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("t"))
     base = f"concat({find(ASSIGN, 0, 'length(x.g) >= 6', 2)}, {find(ACCESS, 1)}, {find(HEX, 2)})"
-    t = t.selectExpr("key", "t", f"array_sort({base}) AS base", f"{find(CANDIDATE, 3)} AS cand")
-    t = t.selectExpr("key", "base", "transform(filter(cand, c -> NOT exists(base, b -> b.s < c.e AND c.s < b.e)), c -> struct(c.s AS s, c.k AS k, c.e AS e, substring(t, c.s + 1, c.e - c.s) AS w)) AS cand")
+    t = t.selectExpr("key", "t", f"array_sort({base}) AS base", f"{find(CANDIDATE, 3, words=True)} AS cand")
+    # stretch by stretch, so that a text with many of both isn't quadratic
+    near = "filter(base, b -> b.s < element_at(part, -1).e AND b.e > part[0].s)"
+    free = f"transform(array({near}), near -> filter(part, c -> NOT exists(near, b -> b.s < c.e AND c.s < b.e)))[0]"
+    free = f"flatten(transform(transform(sequence(0, size(cand) - 1, {2 * STRETCH}), i -> slice(cand, i + 1, {2 * STRETCH})), part -> {free}))"
+    free = f"CASE WHEN size(base) > 0 AND size(cand) > 0 THEN {free} ELSE cand END"
+    t = t.selectExpr("key", "base", f"{free} AS cand")
     tested = f"transform(cand, tok -> struct(tok.s AS s, tok.k AS k, tok.e AS e, {battery('tok.w')} AS f))"
-    t = t.selectExpr("key", "base", f"transform({tested}, c -> struct(c.s AS s, c.k AS k, c.e AS e, c.f.p AS p, c.f.uniform AND c.f.free AS fit, least(div(c.f.n, 8), {BANDS}) AS band)) AS cand")
+    t = t.selectExpr("key", "base", f"transform({tested}, c -> struct(c.s AS s, c.k AS k, c.e AS e, c.f.p AS p, least(div(c.f.n, 8), {BANDS}) AS band)) AS cand")
     t = staged(t, "secrets")
     rows = t.where("size(cand) > 0").select(F.explode("cand").alias("c")).select("c.*")
     n_bins = rows.selectExpr("cast(band AS int) AS band", f"cast(least(floor(-log10(greatest(p, 1e-30)) * 4), {BINS}) AS int) AS bin").groupBy("band", "bin").count().collect()  # (BANDS + 1) * (BINS + 1) rows at most
@@ -96,7 +116,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 limits[band] = 10 ** (-b / 4)
                 break
     limit = "CASE " + " ".join(f"WHEN c.band = {k} THEN {v!r}D" for k, v in sorted(limits.items())) + " ELSE -1D END" if limits else "-1D"
-    return t.selectExpr("key", "base", f"array_sort(concat(base, transform(filter(cand, c -> c.fit AND c.p <= {limit}), c -> struct(c.s AS s, c.k AS k, c.e AS e)))) AS spans").withColumnRenamed("key", key)
+    return t.selectExpr("key", "base", f"array_sort(concat(base, transform(filter(cand, c -> c.p <= {limit}), c -> struct(c.s AS s, c.k AS k, c.e AS e)))) AS spans").withColumnRenamed("key", key)
 
 
 def written(spans: str) -> str:
