@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -19,16 +20,33 @@ def data(n):
 
 
 def test_nearest_is_exact():
-    d = data(500)
-    terms = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}".encode() for i in range(60)] + [b"vilea", b"vileb"]
-    index = toxicity.Index(terms, np.linspace(1, 3, len(terms)), [(i, y, toxicity.words(t)) for i, t, y in d], (375, 125))
-    q = index.vectors([toxicity.words(t) for _, t, _ in data(40)])
-    cosine, row = index.nearest(q, k=9)
-    full = np.round((q @ index.vec.T).astype(float), 6)
-    for c, r, f in zip(cosine, row, full, strict=True):
-        want = sorted(range(len(f)), key=lambda j: (-f[j], index.ids[j]))[:9]
-        assert np.allclose(c, f[want], atol=2e-6)
-        assert len(set(r)) == 9
+    """Against all cosines, over the whole vocabulary; and most blocks are never scored."""
+    d = data(700)
+    bags = [Counter(toxicity.words(t)) for _, t, _ in d]
+    terms = sorted(set().union(*bags))
+    weight = np.linspace(1, 3, len(terms)) * np.where([t.startswith(b"vile") for t in terms], 3, 0.1)
+    index = toxicity.Index(terms, weight, [(i, y, b) for (i, _, y), b in zip(d, bags, strict=True)], (525, 175))
+    dense = np.zeros((len(index.ids), len(terms)))
+    where = {i: r for r, i in enumerate(index.ids)}
+    for (i, _, _), b in zip(d, bags, strict=True):
+        t, w = index.vector(b)
+        dense[where[i], t] = w
+    for j, (_, t, _) in enumerate(data(60)):
+        terms_, w = index.vector(Counter(toxicity.words(t)))
+        q = np.zeros(len(terms))
+        q[terms_] = w
+        full = np.round(dense @ q, 6)
+        own = int(index.ids[j]) if j % 2 else None
+        want = sorted((r for r in range(len(full)) if full[r] > 0 and index.ids[r] != own), key=lambda r: (-full[r], index.ids[r]))[:9]
+        cosine, row = index.nearest(terms_, w, own=own, k=9)
+        assert np.allclose(cosine, full[want], atol=2e-6) and len(set(row)) == len(want)
+        if len(set(np.round(full[want], 5))) == 9:
+            assert row.tolist() == want
+
+
+def test_document_frequencies_cover_all_rows(spark):
+    df = spark.createDataFrame([("a b b",), ("b c",), (None,), ("",), ("zz b",)] * 50, "text string").repartition(3)
+    assert toxicity.document_frequencies(df, [b"a", b"b", b"c", b"none"]).tolist() == [50, 150, 50, 0]
 
 
 def test_held_out(spark, tmp_path):

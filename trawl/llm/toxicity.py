@@ -1,14 +1,17 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
 
-Fit, on a sample of about SAMPLE labelled texts of each class (a documented bound; rows chosen by hash): the TERMS words
-whose share differs most between the classes, and the examples' TF-IDF vectors over these words. Examples stand in blocks of BLOCK
-that share words; for each word and block the index has the largest weight, so a text's product with these bounds its cosine with
-every example of a block. Blocks whose bound is under the text's K-th best are skipped; the others are scored exactly, so the K
+Fit, on a sample of about SAMPLE labelled texts of each class (a documented bound; rows chosen by hash of their id): all words of
+the examples are the index's words, each with the inverse of its document frequency over the whole corpus. That is multiplied
+by the word's relevance, which grows from FLOOR to 1 with how surely its share differs between the classes: no word is left out, but
+plain TF-IDF finds neighbours by subject, not by tone. The index has postings (example, weight) by word. Examples stand in blocks of
+BLOCK that share words; for each word and block there is the largest weight, so a text's product with these bounds its cosine with
+every example of a block. The FIRST blocks by bound are scored exactly from their postings, then all blocks whose bound reaches the K-th best score so far: the K
 nearest are exact. The vote is the share of label 1 among them, weighted by the squared cosine. A monotone table, fitted on the examples'
-own leave-one-out votes with weights that undo the sampling of classes, turns votes into calibrated scores.
+own leave-one-out votes with weights that undo the sampling of classes, turns votes into calibrated scores; the neighbours are the evidence.
 
-Null texts count as empty. Texts without any chosen word have the score that such examples have. Rows whose label is null aren't learned from;
+Null texts count as empty. Texts without any word of the index have the score that such examples have. Rows whose label is null aren't learned from;
 a text labelled twice counts as its highest label. Ties among neighbours go to the smaller example id. Without two classes to learn from, every score is the share of label 1 (0 without any).
+Very long texts are read whole. An empty table gives an empty result; repeated rows are judged alike. Only key and text of docs are read, so other columns' names can't clash.
 """
 
 from __future__ import annotations
@@ -22,7 +25,9 @@ from pyspark.sql import functions as F
 
 from trawl.llm.common import bounded_fraction, share, staged
 
-SAMPLE, TERMS, LEAST_Z, BLOCK, K = 2_000, 512, 3.0, 64, 16
+SAMPLE, BLOCK, FIRST, K = 600, 64, 2, 16
+#: Relevance of a word that tells nothing, and the z-score at which it is about one half.
+FLOOR, HALF = 0.02, 6.0
 _BLANK = bytes(c if c > 127 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -30,88 +35,110 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "surrogatepass").translate(_BLANK).split()
 
 
+def relevance(d0: np.ndarray, d1: np.ndarray, n0: int, n1: int) -> np.ndarray:
+    """FLOOR to 1 + FLOOR by the z-score of the difference between the shares d0 / n0 and d1 / n1."""
+    p = (d0 + d1 + 1) / (n0 + n1 + 2)
+    z2 = (d1 / n1 - d0 / n0) ** 2 / (p * (1 - p) * (1 / n0 + 1 / n1))
+    return FLOOR + z2 / (z2 + HALF**2)
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """All positions of the ranges start .. start + n - 1, one range after the other."""
+    return np.arange(int(n.sum())) + np.repeat(start - np.cumsum(n) + n, n)
+
+
+def _slices(column: np.ndarray, start: list[int], end: list[int]) -> np.ndarray:
+    return np.concatenate([column[a:b] for a, b in zip(start, end, strict=True)])
+
+
 class Index:
-    def __init__(self, terms: list[bytes], idf: np.ndarray, examples: list[tuple[int, int, list[bytes]]], class_sizes: tuple[int, int]):
-        """examples: (id, label, words)."""
-        self.terms, self.idf = {t: i for i, t in enumerate(terms)}, idf.astype(np.float32)
+    def __init__(self, terms: list[bytes], weight: np.ndarray, examples: list[tuple[int, int, dict[bytes, int]]], class_sizes: tuple[int, int]):
+        """weight: of each term; examples: (id, label, how often each word occurs)."""
+        self.terms, self.weight = {t: i for i, t in enumerate(terms)}, np.asarray(weight, np.float64)
         n = [max(1, sum(e[1] == c for e in examples)) for c in (0, 1)]
-        weight = np.array([class_sizes[0] / n[0], class_sizes[1] / n[1]])
-        total = max(1, sum(class_sizes))
-        self.base = self.blank = class_sizes[1] / total
-        vectors = self.vectors([e[2] for e in examples])
-        some = vectors.any(axis=1)
-        y = np.array([e[1] for e in examples], np.int64)
-        if (~some).any():
-            w = weight[y[~some]]
-            self.blank = float((w * y[~some]).sum() + 0.5 * self.base) / float(w.sum() + 0.5)
+        per = np.array([class_sizes[0] / n[0], class_sizes[1] / n[1]])
+        self.base = self.blank = class_sizes[1] / max(1, sum(class_sizes))
+        vectors = [self.vector(e[2]) for e in examples]
+        empty = np.array([e[1] for e, v in zip(examples, vectors, strict=True) if not len(v[0])], np.int64)
+        if len(empty):
+            w = per[empty]
+            self.blank = float((w * empty).sum() + 0.5 * self.base) / float(w.sum() + 0.5)
         # examples that share their strongest word stand together
-        ids = np.array([e[0] for e in examples], np.int64)
-        order = np.lexsort([ids, -vectors.max(axis=1, initial=0), vectors.argmax(axis=1) if len(terms) else ids])
-        order = order[some[order]]
-        self.vec, self.y, self.ids = vectors[order], y[order], ids[order]
-        starts = range(0, len(order), BLOCK)
-        self.blocks = [(a, np.ascontiguousarray(self.vec[a : a + BLOCK].T)) for a in starts]
-        self.most = np.stack([self.vec[a : a + BLOCK].max(axis=0) for a in starts], axis=1) if len(order) else np.zeros((len(terms), 0), np.float32)
+        rows = [(int(v[0][v[1].argmax()]), -float(v[1].max()), e[0], i) for i, (e, v) in enumerate(zip(examples, vectors, strict=True)) if len(v[0])]
+        order = [r[3] for r in sorted(rows)]
+        self.ids, self.y = np.array([examples[i][0] for i in order], np.int64), np.array([examples[i][1] for i in order], np.int64)
+        vectors = [vectors[i] for i in order]
+        word = np.concatenate([v[0] for v in vectors] or [np.zeros(0, np.int64)])
+        example = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
+        by = np.argsort(word, kind="stable")
+        word, self.example, self.value = word[by], example[by].astype(np.int32), np.concatenate([v[1] for v in vectors] or [np.zeros(0)])[by]
+        # for each word and block: where its postings begin, and the largest (a little above, for its rounding)
+        self.blocks = -(-len(vectors) // BLOCK)
+        cell = word * self.blocks + self.example // BLOCK
+        self.start = np.searchsorted(cell, np.arange(len(terms) * self.blocks + 1)).astype(np.int32)
+        self.most = np.zeros(len(terms) * self.blocks, np.float32)
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.most[cell[first]] = np.maximum.reduceat(self.value, first) * 1.000001 if len(first) else 0
+        self.most = self.most.reshape(len(terms), self.blocks)
         self.at, self.level = np.array([0.0]), np.array([self.base])
-        if len(order):
-            vote = self.votes(*self.nearest(self.vec, own=self.ids))
-            self.at, self.level = _monotone(vote, self.y, weight[self.y])
+        if len(vectors):
+            vote = np.array([self.vote(*self.nearest(*v, own=i)) for v, i in zip(vectors, self.ids, strict=True)])
+            self.at, self.level = _monotone(vote, self.y, per[self.y])
 
-    def vectors(self, texts: list[list[bytes]]) -> np.ndarray:
-        """Rows of unit length (or zero): (1 + ln tf) * idf."""
-        out = np.zeros((len(texts), len(self.terms)), np.float32)
+    def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Terms, and weights of unit length: (1 + ln tf) * weight."""
         get = self.terms.get
-        for row, t in zip(out, texts, strict=True):
-            for i, n in Counter(i for i in map(get, t) if i is not None).items():
-                row[i] = 1 + np.log(n)
-        out *= self.idf
-        size = np.sqrt((out * out).sum(axis=1, keepdims=True))
-        return np.divide(out, size, out=out, where=size > 0)
-
-    def nearest(self, q: np.ndarray, own: np.ndarray | None = None, k: int = K) -> tuple[np.ndarray, np.ndarray]:
-        """(cosines, example rows) of the k nearest to each row of q, nearest first; rows of -1 where there are fewer. own: ids to leave out."""
-        best, row = np.zeros((len(q), k)), np.full((len(q), k), -1)
-        bound = q @ self.most
-        for b in np.argsort(-bound.sum(axis=0), kind="stable"):
-            todo = np.flatnonzero((bound[:, b] > 0) & (bound[:, b] >= best[:, -1] - 1e-5))
-            if not len(todo):
-                continue
-            a, block = self.blocks[b]
-            s = np.round((q[todo] @ block).astype(np.float64), 6)
-            if own is not None:
-                s[own[todo][:, None] == self.ids[a : a + BLOCK]] = 0
-            s = np.concatenate([best[todo], s], axis=1)
-            r = np.concatenate([row[todo], np.broadcast_to(np.arange(a, a + block.shape[1]), (len(todo), block.shape[1]))], axis=1)
-            r[s <= 0] = -1
-            tie = np.where(r >= 0, self.ids[r], np.iinfo(np.int64).max)
-            top = _first(s, tie, k)
-            best[todo], row[todo] = np.take_along_axis(s, top, 1), np.take_along_axis(r, top, 1)
-        return best, row
-
-    def votes(self, cosine: np.ndarray, row: np.ndarray) -> np.ndarray:
-        w = np.where(row >= 0, cosine, 0) ** 2
-        total = w.sum(axis=1)
-        return np.where(total > 0, (w * self.y[row]).sum(axis=1) / np.where(total > 0, total, 1), 0)
-
-    def judge(self, texts: list[str | None]) -> tuple[np.ndarray, list[list[int]]]:
-        """Scores, and the ids of the examples that voted."""
-        q = self.vectors([words(t) for t in texts])
-        score = np.full(len(texts), self.blank)
-        ids: list[list[int]] = [[] for _ in texts]
-        some = np.flatnonzero(q.any(axis=1)) if len(self.vec) else np.zeros(0, np.int64)
-        if len(some):
-            cosine, row = self.nearest(q[some])
-            score[some] = np.interp(self.votes(cosine, row), self.at, self.level)
-            for i, r in zip(some, row, strict=True):
-                ids[i] = self.ids[r[r >= 0]].tolist()
-        return np.clip(score, 0, 1), ids
-
-
-def _first(s: np.ndarray, tie: np.ndarray, k: int) -> np.ndarray:
-    """Columns of the k largest of each row, ties to the smaller of tie."""
-    by_tie = np.argsort(tie, axis=1, kind="stable")
-    by = np.argsort(-np.take_along_axis(s, by_tie, 1), axis=1, kind="stable")[:, :k]
-    return np.take_along_axis(by_tie, by, 1)
+        ids, n = np.array([get(w, -1) for w in counts], np.int64), np.array(list(counts.values()), np.float64)
+        known = ids >= 0
+        ids = ids[known]
+        w = (1 + np.log(n[known])) * self.weight[ids]
+        size = np.sqrt((w * w).sum())
+        return (ids, w / size) if size else (ids[:0], w[:0])
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, own: int | None = None, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+        """(cosines, example rows) of the k nearest, nearest first; fewer where fewer share a word. own: an id to leave out."""
+        score = np.zeros(len(self.ids))
+        bound = weights @ self.most[terms]
+        left = bound > 0
+
+        def evaluate(some: np.ndarray) -> None:
+            """Adds the scores of some blocks' examples, from the postings of these blocks alone."""
+            at = (terms[:, None] * self.blocks + some).ravel()
+            n = self.start[at + 1] - self.start[at]
+            posting = _ranges(self.start[at], n)
+            score[:] += np.bincount(self.example[posting], np.repeat(np.repeat(weights, len(some)), n) * self.value[posting], minlength=len(score))
+
+        first = np.argsort(-bound, kind="stable")[:FIRST]
+        evaluate(first[left[first]])
+        out = self.ids == own if own is not None else np.zeros(len(score), bool)
+        best = np.sort(score[~out])[-k:]
+        left[first] = False
+        rest = np.flatnonzero(left & (bound >= (best[0] if len(best) == k else 0) - 1e-6))
+        if len(rest) > self.blocks // 4:  # the lists are read from end to end, which costs less than many pieces
+            a, b = self.start[terms * self.blocks], self.start[(terms + 1) * self.blocks]
+            w, (a, b) = np.repeat(weights, b - a), (a.tolist(), b.tolist())
+            score = np.bincount(_slices(self.example, a, b), w * _slices(self.value, a, b), minlength=len(score))
+        elif len(rest):
+            evaluate(rest)
+        score = np.round(score, 6)
+        score[out] = 0
+        row = np.flatnonzero(score > 0)
+        if len(row) > k:
+            row = row[score[row] >= np.partition(score[row], -k)[-k]]
+        row = row[np.lexsort([self.ids[row], -score[row]])[:k]]
+        return score[row], row
+
+    def vote(self, cosine: np.ndarray, row: np.ndarray) -> float:
+        w = cosine**2
+        return float((w * self.y[row]).sum() / w.sum()) if len(row) else 0.0
+
+    def judge(self, text: str | None) -> tuple[float, list[int]]:
+        """The score, and the ids of the examples that voted."""
+        v = self.vector(Counter(words(text)))
+        if not len(v[0]) or not len(self.ids):
+            return float(np.clip(self.blank, 0, 1)), []
+        cosine, row = self.nearest(*v)
+        return float(np.clip(np.interp(self.vote(cosine, row), self.at, self.level), 0, 1)), self.ids[row].tolist()
 
 
 def _monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,6 +152,26 @@ def _monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray,
     return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
 
 
+def document_frequencies(docs: DataFrame, terms: list[bytes], text: str = "text") -> np.ndarray:
+    """In how many of all rows of docs each term occurs; each task sends one sum for each term."""
+    sent = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def count(batches):
+        at = {t: i for i, t in enumerate(sent.value)}
+        seen = np.zeros(len(at), np.int64)
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                found = [i for i in map(at.get, set(words(t))) if i is not None]
+                seen[found] += 1
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], ["i", "n"])
+
+    rows = docs.select(text).mapInArrow(count, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(len(terms), np.int64)
+    out[[r.i for r in rows]] = [r.n for r in rows]
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Index:
     """An index from the texts of docs that labels (key, label) marks."""
     marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).cast("int").alias("y"))
@@ -139,24 +186,21 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def cut(batches):
         for batch in batches:
-            w = [words(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(w, pa.list_(pa.binary()))], ["id", "y", "w"])
-
-    bags = staged(sample.select(F.col("id").cast("long"), "y", "text").mapInArrow(cut, "id long, y int, w array<binary>"), "bags")
-    n = {r.y: r["count"] for r in bags.groupBy("y").count().collect()}
-    n0, n1 = n.get(0, 0), n.get(1, 0)
+            w = [sorted(Counter(words(t)).items()) for t in batch.column(2).to_pylist()]
+            w = [[{"w": x, "n": n} for x, n in one] for one in w]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(w, pa.list_(pa.struct([("w", pa.binary()), ("n", pa.int32())])))], ["id", "y", "w"])
+
+    bags = staged(sample.select(F.col("id").cast("long"), "y", "text").mapInArrow(cut, "id long, y int, w array<struct<w:binary,n:int>>"), "bags")
+    # the examples are a bounded sample, and the terms are theirs
+    examples = [(r.id, r.y, {bytes(x.w): x.n for x in r.w}) for r in bags.orderBy("id", F.xxhash64("w")).collect()]
+    n0, n1 = (sum(e[1] == c for e in examples) for c in (0, 1))
     if not n0 or not n1:
         return Index([], np.zeros(0), [], sizes)
-    df = bags.select("y", F.explode(F.array_distinct("w")).alias("w")).groupBy("w").agg(F.sum("y").alias("d1"), F.sum(1 - F.col("y")).alias("d0"))
-    p1, p0, p = F.col("d1") / n1, F.col("d0") / n0, (F.col("d1") + F.col("d0") + 1) / (n0 + n1 + 2)
-    df = df.withColumn("z", F.abs(p1 - p0) / F.sqrt(p * (1 - p) * (1 / n0 + 1 / n1)))
-    least = min(LEAST_Z, 0.3 * np.sqrt(n0 + n1))
-    top = df.where(F.col("z") >= least).orderBy(F.desc("z"), "w").limit(TERMS).collect()
-    terms = [bytes(r.w) for r in top]
-    idf = np.array([np.log((n0 + n1 + 1) / (r.d0 + r.d1 + 1)) + 1 for r in top])
-    keep = F.filter("w", lambda x: x.isin(*[F.lit(t) for t in terms])) if terms else F.array().cast("array<binary>")
-    examples = bags.select("id", "y", keep.alias("w")).collect()  # the sample, its chosen words only
-    return Index(terms, idf, [(r.id, r.y, [bytes(x) for x in r.w]) for r in examples], sizes)
+    in_class = [Counter(w for e in examples if e[1] == c for w in e[2]) for c in (0, 1)]
+    terms = sorted(set(in_class[0]) | set(in_class[1]))
+    d0, d1 = (np.array([c[t] for t in terms], np.float64) for c in in_class)
+    idf = np.log((docs.count() + 1) / (document_frequencies(texts, terms) + 1)) + 1
+    return Index(terms, idf * relevance(d0, d1, n0, n1), examples, sizes)
 
 
 def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -169,7 +213,7 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                s, ids = index.judge(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.float64()), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "score", "neighbours"])
+                found = [index.judge(t) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array([i for _, i in found], pa.list_(pa.int64()))], ["doc_id", "score", "neighbours"])
 
     return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(judge, f"doc_id {kind}, score double, neighbours array<long>")
