@@ -1,18 +1,24 @@
 """Personal data: patterns, and a character-level BiLSTM-CRF that adds what they miss.
 
-The patterns' spans are the labelled spans of the training: windows around digits and @ from about SAMPLE texts (a
-documented bound; rows chosen by hash), some of them rewritten with other separators. The trained tagger is sent to all tasks. Every span of these kinds
+The patterns' spans are the labelled spans of the training: windows around digits and @, at most WINDOWS pieces from about SAMPLE texts (both
+documented bounds; texts chosen by hash of their key, so that a copied text comes as often as its share, and equal pieces once). Most of them are rewritten in
+ways that the patterns don't know: phones without plus, with 00, with dots or other separators; addresses with other separators; cards with dots or
+slashes; blanks around the @. Numbers that are no personal data (dates, versions, sums, short phones) are put
+in as spans of nothing. The trained tagger is sent to all tasks. Every span of these kinds
 holds a digit or an @, so only stretches around such characters can hold one; they are cut into windows of WINDOW characters that overlap by half, decoded by
 Viterbi, and reconciled over the whole text: a position has the tag of the window in whose middle it lies. Spans that
-read as their kind and don't touch a pattern's span are added.
+are cut at blanks and grown to whole words, read as their kind, or else as another one, and don't touch a pattern's span are added.
 
 All positions are code points, ends exclusive. Null texts count as empty and have no spans. Repeated rows are judged alike. An empty table gives an
-empty result; without a single labelled span nothing is added.
+empty result; without a single labelled span nothing is added. Very long texts are read whole, their windows in batches. Spans with one start
+are in the order of KINDS. Only key and text are read by scan(), and mask() keeps all columns, so other columns' names can't clash.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +29,11 @@ from trawl.llm.bilstm import Tagger, coded
 from trawl.llm.common import bounded_fraction, share
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, WINDOWS, WINDOW, MARGIN = 800, 1_200, 64, 24
+SAMPLE, WINDOWS, WINDOW, MARGIN = 800, 800, 64, 24
+#: Times that a piece with spans is rewritten, and windows that are decoded at once.
+REWRITES, AT_ONCE, EPOCHS = 2, 256, 6
+_SPACED = re.compile(r"[A-Za-z0-9._%+-]+\x20?@\x20?[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_IP_GAPS = (".", "-", ",", " ", "[.]", "(.)", " . ")
 _TRIGGER = re.compile("[0-9@]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -76,14 +86,15 @@ def reads_as(kind: int, s: str) -> bool:
     """Whether a span that the tagger found reads as its kind."""
     d = _digits(s)
     if kind == 0:
-        name, _, host = s.partition("@")
-        return bool(name and "." in host.strip(".") and not re.search(r"\s", s))
+        return bool(_SPACED.fullmatch(s))
     if kind == 1:
         parts = re.split(r"[^0-9]+", s)
-        return len(parts) == 4 and all(p and len(p) <= 3 and int(p) <= 255 for p in parts) and len(set(re.findall(r"[^0-9]+", s))) == 1
+        return len(parts) == 4 and all(p and len(p) <= 3 and int(p) <= 255 for p in parts) and len(gaps := set(re.findall(r"[^0-9]+", s))) == 1 and gaps <= set(_IP_GAPS)
     if kind == 2:
-        return 14 <= len(d) <= 19 and luhn(d) and len(s) <= 2 * len(d)
-    return 10 <= len(d) <= 15 and len(re.findall(r"[^0-9]+", s)) >= 2 and not re.search(r"[A-Za-z@]", s)
+        return 14 <= len(d) <= 19 and d[0] != "0" and luhn(d) and len(s) <= 2 * len(d)
+    if not (10 <= len(d) <= 15 and re.fullmatch(r"[0-9+(][0-9\x20().+/-]+[0-9]", s)):
+        return False
+    return s.startswith(("00", "+", "(")) or len(re.findall(r"[^0-9]+", s)) >= 2
 
 
 def points(text: str) -> np.ndarray:
@@ -139,6 +150,23 @@ def tagged(model: Tagger, p: np.ndarray, starts: np.ndarray, tags: np.ndarray) -
     return out
 
 
+_LEFT, _RIGHT = re.compile(r"[A-Za-z0-9+(]"), re.compile(r"[A-Za-z0-9]|[.-](?=[A-Za-z0-9])")
+
+
+def whole(text: str, a: int, e: int) -> tuple[int, int]:
+    """A tagged stretch without blanks at its ends, and grown to the ends of words that it cuts."""
+    while a < e and text[a] in " \t\n":
+        a += 1
+    while a < e and not text[e - 1].isalnum():
+        e -= 1
+    low, high = a - WINDOW, e + WINDOW
+    while a > max(0, low) and a < e and text[a].isalnum() and _LEFT.match(text[a - 1]):
+        a -= 1
+    while e < min(len(text), high) and a < e and _RIGHT.match(text, e):
+        e += 1
+    return a, e
+
+
 def find(model: Tagger | None, texts: list[str | None]) -> list[tuple[list[Span], list[Span]]]:
     """(pattern spans, all spans) of each text."""
     out, rows, starts, cuts = [], [], [], []
@@ -148,88 +176,120 @@ def find(model: Tagger | None, texts: list[str | None]) -> list[tuple[list[Span]
         if model is not None and t and _TRIGGER.search(t):
             p = points(t)
             s = windows(p)
-            rows.append((i, p, len(s)))
+            rows.append((i, p))
             starts.append(s)
             cuts.append(cut(p, s))
     if rows:
         x = np.concatenate(cuts)
-        tags = np.concatenate([model.decode(x[a : a + 256]) for a in range(0, len(x), 256)])
+        tags = np.concatenate([model.decode(x[a : a + AT_ONCE]) for a in range(0, len(x), AT_ONCE)])
         at = 0
-        for (i, p, n), s in zip(rows, starts, strict=True):
+        for (i, p), s in zip(rows, starts, strict=True):
             base, more = out[i][0], []
-            for a, k, e in tagged(model, p, s, tags[at : at + n]):
-                if not any(b[0] < e and a < b[2] for b in base) and reads_as(k, texts[i][a:e]):
+            high = list(accumulate((b[2] for b in base), max))  # how far the spans up to each one reach
+            for a, k, e in tagged(model, p, s, tags[at : at + len(s)]):
+                a, e = whole(texts[i], a, e)
+                if k == 0 and (m := _SPACED.search(texts[i], a, e)):
+                    a, e = m.span()
+                k = next((x for x in (k, 3, 1, 2, 0) if reads_as(x, texts[i][a:e])), -1)
+                if k >= 0 and not ((n := bisect.bisect_left(base, (e,))) and high[n - 1] > a):
                     more.append((a, k, e))
             out[i] = (base, sorted(base + more))
-            at += n
+            at += len(s)
     return out
 
 
+def _other(kind: int, s: str, rng) -> str:
+    """A span written another way, such that it still reads as its kind."""
+    pick = lambda *x: x[rng.integers(len(x))]
+    if kind == 0:
+        return s.replace("@", pick(" @ ", " @ ", "@ ", " @"))
+    if kind == 1:
+        return s.replace(".", pick("-", "-", "-", *_IP_GAPS))
+    d = _digits(s)
+    if kind == 2:
+        return pick(".", "/", "-", " ").join(d[i : i + 4] for i in range(0, len(d), 4))
+    gap = pick(" ", ".", ".", "-", "/")
+    cuts = sorted({int(x) for x in rng.integers(2, len(d) - 1, 4)} | {3, 6})
+    body = gap.join(d[a:b] for a, b in zip([0, *cuts], [*cuts, len(d)]) if a < b)
+    if rng.random() < 0.4:  # an international prefix in place of the plus
+        return ("00" + body) if len(d) <= 13 else body
+    if rng.random() < 0.3:
+        return f"({body[:3]}){gap}{body[3:].lstrip(' ./-')}"
+    return ("+" if rng.random() < 0.2 else "") + body
+
+
+def _no_span(rng) -> str:
+    """A number that is no personal data."""
+    n = lambda k: "".join(str(rng.integers(10)) for _ in range(k))
+    forms = (f"{n(4)}-{n(2)}-{n(2)}", f"{n(2)}.{n(2)}.{n(4)}", f"{n(1)}.{n(1)}.{n(2)}", f"{n(3)} {n(4)}", f"{n(2)}:{n(2)}", n(int(rng.integers(1, 9))), f"{n(2)},{n(3)},{n(3)}", f"{n(4)}/{n(2)}", f"${n(3)}.{n(2)}", f"@{'user' + n(2)}", f"{n(5)}-{n(3)}", f"{n(4)}-{n(4)}", f"{n(1)}. {n(2)} {n(3)}")
+    return forms[rng.integers(len(forms))]
+
+
 def _rewritten(text: str, spans: list[Span], rng) -> tuple[str, list[Span]]:
-    """The text with its phones' and cards' separators changed, and the spans moved along."""
-    out, moved, at = [], [], 0
+    """The text with its spans written in other ways, and the spans moved along; now and then a number of no kind in a span's place."""
+    out, moved, at, length = [], [], 0, 0
     for s, k, e in spans:
         if s < at:
             continue
-        new = text[s:e]
-        if k == 3:
-            new = new.lstrip("+") if rng.random() < 0.5 else new
-            new = new.replace(" ", rng.choice([" ", ".", "-"])).replace("(", "").replace(")", "") if rng.random() < 0.5 else new
-            new = new.lstrip(" .-")
-        elif k == 2 and rng.random() < 0.5:
-            d = _digits(new)
-            new = str(rng.choice([" ", "-", ".", "/"])).join(d[i : i + 4] for i in range(0, len(d), 4))
-        out.append(text[at:s])
-        start = sum(map(len, out))
-        out.append(new)
-        moved.append((start, k, start + len(new)))
+        none = rng.random() < 0.15
+        new = _no_span(rng) if none else _other(k, text[s:e], rng)
+        out += [text[at:s], new]
+        length += s - at
+        if not none:
+            moved.append((length, k, length + len(new)))
+        length += len(new)
         at = e
     return "".join([*out, text[at:]]), moved
 
 
-def fit(docs: DataFrame, text: str = "text", epochs: int = 8) -> Tagger | None:
+def pieces_of(t: str) -> list[tuple[str, list[Span]]]:
+    """A piece of text around each cluster of digits and @, with its spans; pieces that would cut a span are left out."""
+    spans, out, last = base_spans(t), [], -1000
+    for h in (m.start() for m in _TRIGGER.finditer(t)):
+        if h - last > 2 * WINDOW:
+            last = h
+            a, b = max(0, h - WINDOW), min(len(t), h + WINDOW)
+            if not any(s < b and e > a and not (a <= s and e <= b) for s, _, e in spans):
+                out.append((t[a:b], [(s - a, k, e - a) for s, k, e in spans if a <= s and e <= b]))
+    return out
+
+
+def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", epochs: int = EPOCHS) -> Tagger | None:
     """A tagger from the patterns' spans in a bounded sample of docs; None if there is no span."""
-    some = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    some = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
     n = some.count()
-    chosen = some.where(share(F.col("text"), bounded_fraction(max(1, n), SAMPLE)))
+    chosen = some.where(share(F.col("key"), bounded_fraction(max(1, n), SAMPLE))).select("text")
 
     def cut_out(batches):
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                spans = base_spans(t)
-                hits = [m.start() for m in _TRIGGER.finditer(t)]
-                keep, last = [], -1000
-                for h in hits:  # a piece of text around each cluster of digits and @
-                    if h - last > 2 * WINDOW:
-                        keep.append(h)
-                        last = h
-                for h in keep:
-                    a, b = max(0, h - WINDOW), min(len(t), h + WINDOW)
-                    inside = [(s - a, k, e - a) for s, k, e in spans if a <= s and e <= b]
-                    if any(s < b and e > a and not (a <= s and e <= b) for s, _, e in spans):
-                        continue
-                    yield pa.RecordBatch.from_pydict({"piece": [t[a:b]], "spans": [[x for s in inside for x in s]]}, pa.schema([("piece", pa.string()), ("spans", pa.list_(pa.int32()))]))
+                for piece, inside in pieces_of(t):
+                    yield pa.RecordBatch.from_pydict({"piece": [piece], "spans": [[x for s in inside for x in s]]}, pa.schema([("piece", pa.string()), ("spans", pa.list_(pa.int32()))]))
 
     pieces = chosen.mapInArrow(cut_out, "piece string, spans array<int>")
     # exact copies would fill the sample
     rows = pieces.distinct().orderBy(F.xxhash64("piece")).limit(WINDOWS).collect()
+    return train([(r.piece, [tuple(r.spans[i : i + 3]) for i in range(0, len(r.spans), 3)]) for r in rows], epochs)
+
+
+def train(pieces: list[tuple[str, list[Span]]], epochs: int = EPOCHS) -> Tagger | None:
+    """A tagger from labelled pieces of text, as they are and rewritten; None if there is no span."""
     rng = np.random.default_rng(5)
     xs, ys = [], []
-    for r in rows:
-        spans = [tuple(r.spans[i : i + 3]) for i in range(0, len(r.spans), 3)]
-        for again in range(2 if spans else 1):
-            t, s = (r.piece, spans) if not again else _rewritten(r.piece, spans, rng)
+    for piece, spans in pieces:
+        for again in range(1 + REWRITES if spans else 1):
+            t, s = (piece, spans) if not again else _rewritten(piece, spans, rng)
             p = points(t)
             y = np.concatenate([np.zeros(MARGIN, np.int64), tags_of(s, len(p)), np.zeros(2 * WINDOW, np.int64)])
             hits = windows(p)
-            start = hits[rng.integers(len(hits))] if len(hits) else 0
-            start = max(-MARGIN, int(start) + int(rng.integers(-8, 9)))
+            start = s[0][0] - int(rng.integers(0, WINDOW // 2)) if s else int(hits[rng.integers(len(hits))]) if len(hits) else 0
+            start = max(-MARGIN, start)
             xs.append(cut(p, np.array([start]))[0])
             ys.append(y[start + MARGIN : start + MARGIN + WINDOW])
     if not xs or not any(y.any() for y in ys):
         return None
     model = Tagger(1 + 2 * len(KINDS))
-    model.train(np.stack(xs), np.stack(ys), epochs)
+    model.train(np.stack(xs), np.stack(ys), epochs, batch=64)
     return model
 
 
@@ -247,8 +307,8 @@ def scan(docs: DataFrame, model: Tagger | None, key: str = "doc_id", text: str =
     def look(batches):
         model = sent.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 found = find(model, part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([named(b) for b, _ in found], kind), pa.array([named(a) for _, a in found], kind)], ["doc_id", "base", "spans"])
 
@@ -276,8 +336,8 @@ def mask(docs: DataFrame, model: Tagger | None, text: str = "text") -> DataFrame
     def replace(batches):
         model = sent.value
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
+            for a in range(0, batch.num_rows, 128):
+                part = batch.slice(a, 128)
                 texts = part.column(at).to_pylist()
                 new = [None if t is None else masked(t, s) for t, (_, s) in zip(texts, find(model, texts), strict=True)]
                 yield part.set_column(at, part.schema.field(at), pa.array(new, part.schema.field(at).type))
