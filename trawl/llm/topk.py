@@ -2,27 +2,30 @@
 
 Components become integers: floor(scale * x). Candidates are dealt by hash into blocks of BLOCK rows; a block's index
 row holds, for every attribute, one bitmap over the block's rows per binary digit of the value less the block's
-smallest one. A query weighs each attribute's slices by the digits of its own component (signed digits, so few
+smallest one. The index is built once, by one task for each block, and written to the shared folder. A query weighs each attribute's slices by the digits of its own component (signed digits, so few
 are set): the shifted slices are added by carry-save bitmap arithmetic into the slices of the score. The top rows are
 then selected from the most significant slice downward; rows that tie at the boundary are resolved exactly, smaller
 ids first. Every score is exact, so merging each query's best of all blocks is exact too.
 
-Queries are dealt into chunks; each (block, chunk) is a task of its own, so neither the queries nor the rows are ever
-in one place. Vectors that are null, or hold a null or a component that is not finite, take no part. Vectors of
+Queries are dealt into chunks of CHUNK, and each (block, chunk) is a task of its own: it reads one index row, of as many bits for each vector as
+its components have digits, and streams the chunk's queries past it. So neither the queries nor the rows are ever
+in one place, and with n vectors and q queries n * q / CHUNK index entries and q * n / BLOCK queries are sent: one for each
+tens of thousands of scores. Where that gives too few tasks for the session, chunks are smaller; the result is the same. Vectors that are null, or hold a null or a component that is not finite, take no part. Vectors of
 unequal length: missing components count as zero. Empty vectors score 0. Repeated ids are separate rows; a query never meets its own id. Integers so large that a score could leave 62 bits raise an error.
+An empty table gives an empty result. Only key and vector are read, so other columns' names can't clash.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK, CHUNK = 65_536, 256
+from trawl.llm.common import staged
+
+BLOCK, CHUNK = 65_536, 16_384
 
 
 def slices_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -56,7 +59,10 @@ def score_slices(slices: np.ndarray, low: np.ndarray, query: np.ndarray) -> tupl
     """Slices of (score - offset), from the least significant, all scores being >= offset."""
     dims, width, words = slices.shape
     ones = np.uint64(0xFFFFFFFFFFFFFFFF)
-    columns: list[list[np.ndarray]] = []
+    flat = slices.reshape(dims * width, words)
+    # the bitmaps of each weight: rows of flat, and whether they are complemented
+    rows: list[list[int]] = []
+    flip: list[list[bool]] = []
     offset = 0
     for d in range(min(dims, len(query))):
         q = int(query[d])
@@ -64,25 +70,29 @@ def score_slices(slices: np.ndarray, low: np.ndarray, query: np.ndarray) -> tupl
         for i, sign in digits(q):
             # minus 2**i * u is 2**i * (complement of u) less 2**i * (2**width - 1)
             offset -= (2**width - 1 << i) if sign < 0 else 0
+            while len(rows) < i + width:
+                rows.append([])
+                flip.append([])
             for j in range(width):
-                while len(columns) <= i + j:
-                    columns.append([])
-                columns[i + j].append(slices[d, j] if sign > 0 else slices[d, j] ^ ones)
-    out, at = [], 0
-    while at < len(columns):
-        column = columns[at]
-        if at + 1 == len(columns) and len(column) > 1:
-            columns.append([])
-        while len(column) > 2:  # three bitmaps of one weight -> one of it and one of the next
-            a, b, c = column.pop(), column.pop(), column.pop()
+                rows[i + j].append(d * width + j)
+                flip[i + j].append(sign < 0)
+    out, at, carried = [], 0, []
+    while at < len(rows) or carried:
+        parts = carried
+        if at < len(rows) and rows[at]:
+            parts = [flat[rows[at]] ^ np.where(flip[at], ones, np.uint64(0))[:, None], *carried]
+        column = np.concatenate(parts) if parts else np.zeros((0, words), np.uint64)
+        carried = []
+        while len(column) > 2:  # three bitmaps of one weight -> one of it and one of the next, many at a time
+            k = len(column) // 3
+            a, b, c = column[:k], column[k : 2 * k], column[2 * k : 3 * k]
             ab = a ^ b
-            column.insert(0, ab ^ c)
-            columns[at + 1].append((a & b) | (ab & c))
+            carried.append((a & b) | (ab & c))
+            column = np.concatenate([ab ^ c, column[3 * k :]])
         if len(column) == 2:
-            a, b = column
-            columns[at + 1].append(a & b)
-            column[:] = [a ^ b]
-        out.append(column[0] if column else np.zeros(words, np.uint64))
+            carried.append(column[:1] & column[1:])
+            column = column[:1] ^ column[1:]
+        out.append(column[0] if len(column) else np.zeros(words, np.uint64))
         at += 1
     return out, offset
 
@@ -123,19 +133,27 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return out
 
 
-def _search(key, index: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
+def _index(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """One row of a block's index: its ids in order, the attributes' smallest values, and the slices."""
+    pdf = pdf.sort_values("id", kind="stable")
+    values = _matrix(pdf["v"])
+    slices, low, n = slices_of(values)
+    return pd.DataFrame({"block": [key[0]], "ids": [pdf["id"].to_numpy(np.int64).tobytes()], "low": [low.tobytes()], "most": [int(np.abs(values).max(initial=0))], "width": [slices.shape[1]], "slices": [slices.tobytes()]})
+
+
+def _search(index: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
     found = []
-    if len(index) and len(asked):
-        index, asked = index.sort_values("id", kind="stable"), asked.sort_values("id", kind="stable")
-        ids, values, queries = index["id"].to_numpy(), _matrix(index["v"]), _matrix(asked["v"])
-        most = int(np.abs(values).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(1, values.shape[1])
-        if most >= 2**62:
-            raise OverflowError("scores may leave 62 bits")
-        slices, low, n = slices_of(values)
+    for row in index.itertuples():
+        ids, low = np.frombuffer(row.ids, np.int64), np.frombuffer(row.low, np.int64)
+        n, dims = len(ids), len(low)
+        slices = np.frombuffer(row.slices, np.uint64).reshape(dims, row.width, -1) if dims and row.width else np.zeros((dims, 0, -(-n // 64)), np.uint64)
         everyone = np.zeros(-(-n // 64) * 8, np.uint8)
         everyone[: -(-n // 8)] = np.packbits(np.ones(n, np.uint8), bitorder="little")
         everyone = everyone.view(np.uint64)
-        for q, v in zip(asked["id"].to_numpy(), queries, strict=True):
+        for q, v in zip(asked["id"], asked["v"], strict=True):
+            v = np.asarray(v, np.int64)
+            if int(np.abs(v).max(initial=0)) * row.most * max(1, dims) >= 2**62:
+                raise OverflowError("scores may leave 62 bits")
             score, offset = score_slices(slices, low, v)
             alive = everyone
             own = np.arange(np.searchsorted(ids, q, "left"), np.searchsorted(ids, q, "right"))
@@ -158,11 +176,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64,
 
     vectors, queries = whole(vectors), whole(queries)
     n_rows, n_queries = vectors.count(), queries.count()
-    blocks, chunks = max(1, math.ceil(n_rows / BLOCK)), max(1, math.ceil(n_queries / CHUNK))
+    blocks = max(1, math.ceil(n_rows / BLOCK))
+    busy = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    chunks = max(1, math.ceil(n_queries / CHUNK), min(math.ceil(busy / blocks), math.ceil(n_queries / 64)))
     deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    index = vectors.select("id", "v", deal(blocks).alias("block")).select("*", spread(chunks).alias("chunk"))
+    index = vectors.select("id", "v", deal(blocks).alias("block")).groupBy("block").applyInPandas(_index, "block int, ids binary, low binary, most long, width int, slices binary")
+    index = staged(index, "slices").select("*", spread(chunks).alias("chunk"))
     asked = queries.select("id", "v", deal(chunks).alias("chunk")).select("*", spread(blocks).alias("block"))
-    found = index.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInPandas(lambda key, a, b: _search(key, a, b, k), "query_id long, vec_id long, score long")
+    found = index.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInPandas(lambda a, b: _search(a, b, k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.select("*", F.row_number().over(best).alias("rank")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
