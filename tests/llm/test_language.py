@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -16,14 +17,34 @@ def rows(n):
     return [(i, text(rnd, lang := list(WORDS)[i % len(WORDS)], rnd.randint(4, 40)), lang, "x", 0.5) for i in range(n)]
 
 
-def test_bits_have_no_false_negative():
-    rng = np.random.default_rng(1)
-    which, gram = rng.integers(0, 11, 4000), rng.integers(0, 1 << 40, 4000)
-    f = language.Filters([f"l{i}" for i in range(11)], which, gram, "l0")
-    for l in range(11):
-        g = gram[which == l].astype(np.uint64)
-        mask = np.bitwise_and.reduce([f.slices[l // 8][s] for s in language.slots(g)])
-        assert (mask >> (l % 8) & 1).all()
+def test_counts_against_exact_sets(spark):
+    """Each language's corrected shares are those of its exact sets of n-grams, but for the filters' false positives."""
+    d = rows(600)
+    f = language.fit(spark.createDataFrame(d, "doc_id long, text string, lang string, known string, score double"))
+    exact = {l: Counter(g for t in {r[1] for r in d if r[2] == l} for g in set(language.grams(t).tolist())) for l in WORDS}
+    size = {l: len({r[1] for r in d if r[2] == l}) for l in WORDS}
+    assert f.languages == sorted(WORDS)
+    for text_ in [text(random.Random(i), l, 30) for i, l in enumerate(WORDS)] + ["the haus and les xq", "zzz"]:
+        g = language.grams(text_).tolist()
+        known, common = f.shares(text_)
+        for l, k, c in zip(f.languages, known, common, strict=True):
+            least = max(2, -(-size[l] // language.COMMON))
+            in_it, often = np.mean([x in exact[l] for x in g]), np.mean([exact[l][x] >= least for x in g])
+            assert abs(k - in_it) < 0.02 and abs(c - often) < 0.02
+    # no false negative
+    for l, name in enumerate(f.languages):
+        at = language.slots(np.array(list(exact[name]), np.uint64))
+        mask = np.bitwise_and.reduce([f.slices[l // 4][s] for s in at])
+        assert (mask >> (2 * (l % 4)) & 1).all()
+
+
+def test_ties_and_a_hot_text(spark):
+    two = [(i, "abcdefg hijklmn", l, "x", 0.5) for i, l in enumerate(["b", "a"] * 20)]
+    f = language.fit(spark.createDataFrame(two, "doc_id long, text string, lang string, known string, score double"))
+    assert f.judge("abcdefg")[0] == "a"
+    hot = [(i, "hot text again", "en", "x", 0.5) for i in range(3000)] + [(3000 + i, text(random.Random(i), "en", 9), "en", "x", 0.5) for i in range(3000)]
+    f = language.fit(spark.createDataFrame(hot, "doc_id long, text string, lang string, known string, score double"))
+    assert f.shares("the water and they with")[1][0] > 0.9
 
 
 def test_held_out_accuracy(spark, tmp_path):

@@ -1,4 +1,4 @@
-"""Query op1; learned filters aren't SQL, so it is tested by held-out accuracy and against exact sets."""
+"""Query op1; learned filters aren't SQL, so it is tested by held-out accuracy and against exact sets of n-grams."""
 
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ def held_out():
 
 def op1_language_bitmask(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    filters = language.fit(docs.where(~held_out()).select("text", "lang"))
+    filters = language.fit(docs.where(~held_out()).select("doc_id", "text", "lang"))
     return language.predict(docs, filters).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "known")
 
 
