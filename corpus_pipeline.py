@@ -19,7 +19,7 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language that was learned go."""
-    return language.accept(docs, language.fit(docs.select("text", "lang")))
+    return language.accept(docs, language.fit(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
