@@ -78,3 +78,10 @@ def test_planted_items_with_words_missing(spark, missing):
     got = {r.doc_id: dict(zip(r["items"], r.edits, strict=True)) for r in leaks.find(df, bench).collect()}
     assert {i: g[i] for i, g in got.items() if i in g} == want
     assert {r.doc_id for r in leaks.clean(df, bench).collect()}.isdisjoint(want)
+
+
+def test_short_items_are_words(spark):
+    docs = spark.createDataFrame([(1, "it was yesterday"), (2, "he said: Yes!"), (3, "eyes"), (4, "yes")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "yes"), (8, None), (9, "  ")], "item_id long, text string")
+    assert {r.doc_id for r in leaks.find(docs, items).where("n_items > 0").collect()} == {2, 4}
+    assert {r.doc_id for r in leaks.clean(docs, items).collect()} == {1, 3}

@@ -5,8 +5,10 @@ from collections import Counter, defaultdict
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from trawl.llm import packing, q_packing
+from trawl.llm import packing, q_packing, tokens
 
 
 def padding(bounds, lengths):
@@ -59,3 +61,27 @@ def test_lengths_are_tokens(spark, tmp_path):
         # 16 buckets hold each of these lengths, and none within the budget is rounded
         assert all(r.bucket_len == r.n_tokens for r in rows.values() if r.n_tokens <= 65_536)
         assert all(r.batch_docs == max(1, 65_536 // r.bucket_len) for r in rows.values())
+
+
+def test_batches_of_token_ids(spark):
+    """Every id of every document stands in one batch, padded to the bucket's length and within the budget."""
+    rows = [(i, "word " * (i % 7) + "end") for i in range(60)] + [(None, "no id"), (3, "again")]
+    docs = tokens.encoded(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path("word_bpe_49k.json"))
+    want = Counter((r.doc_id, tuple(r.ids)) for r in docs.collect())
+    out = packing.batched(packing.pack(docs, buckets=3, budget=40, length=docs["n_tokens"], keep=("ids",)), "ids").collect()
+    got = Counter()
+    for b in out:
+        assert len(b.docs) * b.bucket_len <= max(40, b.bucket_len) and [d.slot for d in b.docs] == list(range(len(b.docs)))
+        for d in b.docs:
+            assert len(d.ids) == b.bucket_len
+            got[d.doc_id, tuple(x for x in d.ids if x)] += 1
+    assert got == Counter({(i, tuple(x for x in ids if x)): n for (i, ids), n in want.items()})
+
+
+def test_long_lengths_and_hot_ids(spark):
+    """Bounds are lengths of documents even above EXACT; ten thousand rows without an id are numbered in many cells."""
+    df = spark.createDataFrame([(i, 70_000 + i * 37) for i in range(50)] + [(None, 5)] * 10_000, "doc_id long, n long")
+    got = packing.pack(df, buckets=2, budget=100, length=F.col("n")).collect()
+    assert {r.bucket_len for r in got} <= {r.n_tokens for r in got} and len(got) == 10_050
+    short = sorted((r.batch, r.slot) for r in got if r.n_tokens == 5)
+    assert short == [(i // 20, i % 20) for i in range(10_000)]

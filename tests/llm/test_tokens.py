@@ -57,3 +57,19 @@ def test_round_trip(spark, monkeypatch):
     assert tokens.occurrences(shards, 1).agg({"n": "sum"}).first()[0] == n_five
     none = spark.createDataFrame([], "doc_id long, text string")
     assert tokens.read_documents(tokens.write_shards(none, PATH)).count() == 0
+
+
+def test_repeated_ids_have_one_order_and_other_tokenizers_whole_texts(spark, tmp_path):
+    rows = [(7, f"text {i}") for i in range(50)]
+    runs = []
+    for n in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        runs.append([(r.start, r.ids_crc32) for r in tokens.read_documents(tokens.write_shards(df, PATH)).orderBy("start").collect()])
+    assert runs[0] == runs[1]
+    from tokenizers import models
+
+    t = Tokenizer(models.BPE(vocab={"a": 0, " ": 1, "a ": 2, "b": 3}, merges=[("a", " ")]))
+    t.save(f"{tmp_path}/blanks.json")
+    e = tokens.Encoder(f"{tmp_path}/blanks.json")
+    assert not e.by_words and e(["a b"])[0].tolist() == [2, 3]
+    assert tokens.Encoder(PATH).by_words

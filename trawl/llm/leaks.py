@@ -8,13 +8,20 @@ diagonal bands of width 2 * (k + 1), each overlapping half of the next: first in
 high at most, then exactly; bands that reach the bound are verified by an alignment near the band.
 
 Texts and items are taken as UTF-8 with A-Z in lower case and blanks squeezed; lengths and edits count bytes there. Items shorter than q + 1 bytes are
-matched exactly. Null and empty texts, and null or blank items, match nothing. Repeated rows are judged alike.
-Items are sent to the tasks in groups of at most GROUP bytes, each group a pass of its own over the texts, so what is
-broadcast and held is bounded however long the benchmark is.
+matched exactly, between characters that are neither letters nor digits. Items of fewer than BRIEF bytes have tables of their own, so that their low bounds don't let more of the
+text through for the others. Null and empty texts, and null or blank items, match nothing. Repeated rows are judged alike. Ties between places of one item go to the first that was found; every item that
+occurs is told. Very long texts are read whole. An empty table gives an empty result. find() reads key and text only, and clean() keeps all columns, so other columns' names can't clash.
+Items are sent to the tasks in groups of at most GROUP bytes, so what is
+broadcast and held is bounded however long the benchmark is. With more than one group, each reads the texts once and writes the ids and text hashes of those with a
+hit; texts are never written.
 """
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +29,7 @@ from pyspark.sql import functions as F
 
 from trawl.llm.common import staged
 
-Q, EDITS, GROUP = 8, 0.1, 4 << 20
+Q, EDITS, GROUP, BRIEF = 8, 0.1, 4 << 20, 64
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _UP = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -45,8 +52,25 @@ def budget(m: int) -> int:
     return max(0, min(int(m * EDITS), (m - Q) // Q))
 
 
+class Group:
+    """The items of one group: brief ones and others."""
+
+    def __init__(self, rows: list[tuple[int, bytes]]):
+        parts = [r for r in rows if len(r[1]) < BRIEF], [r for r in rows if len(r[1]) >= BRIEF]
+        self.parts = [Items(p) for p in parts if p]
+
+    def found(self, text: bytes) -> list[tuple[int, int, int]]:
+        return [x for p in self.parts for x in p.found(text)]
+
+
+def _word(text: bytes, item: bytes) -> int:
+    """Where the item first stands as words of its own, or -1."""
+    m = re.search(rb"(?<![0-9a-z\x80-\xff])" + re.escape(item) + rb"(?![0-9a-z\x80-\xff])", text) if item in text else None
+    return m.start() if m else -1
+
+
 class Items:
-    """The items of one group, and the tables to look their q-grams up."""
+    """Items, and the tables to look their q-grams up."""
 
     def __init__(self, rows: list[tuple[int, bytes]], bits: int = 22):
         self.rows = [(i, b) for i, b in rows if b]
@@ -76,7 +100,7 @@ class Items:
 
     def found(self, text: bytes) -> list[tuple[int, int, int]]:
         """(item id, edits, start) of every item that occurs: its best place."""
-        out = [(self.rows[n][0], 0, text.find(self.rows[n][1])) for n in self.short if self.rows[n][1] in text]
+        out = [(self.rows[n][0], 0, at) for n in self.short if (at := _word(text, self.rows[n][1])) >= 0]
         if len(text) < Q or not len(self.keys):
             return out
         g = grams(text)
@@ -166,53 +190,70 @@ def groups(benchmark: DataFrame, key: str = "item_id", text: str = "text"):
         yield rows
 
 
-def _passes(df: DataFrame, benchmark: DataFrame, step, **names) -> DataFrame:
-    """step(df, broadcast, whether it is the last) for each group of items; what a pass gives is written before the next one, so tasks hold one group only."""
-    sc, todo = df.sparkSession.sparkContext, groups(benchmark, **names)
-    rows = next(todo, [])
-    while True:
-        after = next(todo, None)
-        df = step(df, sc.broadcast(rows), after is None)
-        if after is None:
-            return df
-        df, rows = staged(df, "leaks"), after
+def _scan(docs: DataFrame, rows, texts: str, hits_only: bool) -> DataFrame:
+    """docs (doc_id, text, and hash where hits_only) -> doc_id, hash or nothing, items, edits of one group of items."""
+    sent = docs.sparkSession.sparkContext.broadcast(rows)
+    at = docs.columns.index(texts)
+    others = [i for i in range(len(docs.columns)) if i != at]
+    names = [docs.columns[i] for i in others]
+
+    def scan(batches):
+        table = Group(sent.value)
+        for batch in batches:
+            found = []
+            for t in batch.column(at).to_pylist():
+                best: dict[int, int] = {}
+                for i, d, _ in table.found(plain(t)):
+                    best[i] = min(d, best.get(i, d))
+                found.append(sorted(best.items()))
+            out = pa.RecordBatch.from_arrays([*(batch.column(i) for i in others), pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int64())), pa.array([[d for _, d in f] for f in found], pa.list_(pa.int32()))], [*names, "items", "edits"])
+            yield out.filter(pa.array([bool(f) for f in found], pa.bool_())) if hits_only else out
+
+    shape = ", ".join(f"{n} {docs.schema[n].dataType.simpleString()}" for n in names)
+    return docs.mapInArrow(scan, f"{shape}, items array<long>, edits array<int>")
+
+
+def _hits(docs: DataFrame, first, todo) -> DataFrame:
+    """(doc_id, hash, items, edits) of the texts with hits, over all groups; each group's are written."""
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    parts, rows = [], first
+    while rows is not None:
+        parts.append(staged(_scan(keyed, rows, "text", True), "leaks"))
+        rows = next(todo, None)
+    all_ = reduce(DataFrame.unionByName, parts).dropDuplicates(["doc_id", "hash", "items"])  # equal rows have equal hits
+    pair = all_.select("doc_id", "hash", F.explode(F.arrays_zip("items", "edits")).alias("x")).groupBy("doc_id", "hash", "x.items").agg(F.min("x.edits").alias("edits"))
+    both = F.array_sort(F.collect_list(F.struct("items", "edits")))
+    return pair.groupBy("doc_id", "hash").agg(both.alias("x")).select("doc_id", "hash", F.col("x.items").alias("items"), F.col("x.edits").alias("edits"))
 
 
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_items, items (ids in order, each once), edits (of each, the least found)."""
-    shape = f"doc_id {docs.schema[key].dataType.simpleString()}, {{}}items array<long>, edits array<int>"
-
-    def step(df, sent, last):
-        def scan(batches):
-            table = Items(sent.value)
-            for batch in batches:
-                found = []
-                for t, items, edits in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                    best = dict(zip(items, edits, strict=True))
-                    for i, d, _ in table.found(plain(t)):
-                        best[i] = min(d, best.get(i, d))
-                    found.append(sorted(best.items()))
-                out = {"doc_id": batch.column(0), "text": batch.column(1), "items": pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int64())), "edits": pa.array([[d for _, d in f] for f in found], pa.list_(pa.int32()))}
-                if last:  # the text is of no more use
-                    del out["text"]
-                yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
-
-        return df.mapInArrow(scan, shape.format("" if last else "text string, "))
-
-    empty = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.array().cast("array<long>").alias("items"), F.array().cast("array<int>").alias("edits"))
-    return _passes(empty, benchmark, step, key=item_key, text=item_text).select("doc_id", F.size("items").alias("n_items"), "items", "edits")
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    todo = groups(benchmark, item_key, item_text)
+    first, second = next(todo, []), next(todo, None)
+    if second is None:
+        out = _scan(docs, first, "text", False)
+    else:
+        hits = _hits(docs, first, chain([second], todo)).withColumnsRenamed({"doc_id": "_id", "hash": "_hash"})
+        out = docs.select("doc_id", F.xxhash64("text").alias("hash"))
+        out = out.join(hits, out.doc_id.eqNullSafe(hits["_id"]) & (out.hash == hits["_hash"]), "left")
+        out = out.select("doc_id", F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("edits", F.array().cast("array<int>")).alias("edits"))
+    return out.select("doc_id", F.size("items").alias("n_items"), "items", "edits")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of docs, with their columns, in whose text no item occurs."""
+    todo = groups(benchmark)
+    first, second = next(todo, []), next(todo, None)
+    if second is not None:
+        hits = _hits(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), first, chain([second], todo)).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
+        return docs.join(hits, docs[key].eqNullSafe(hits["_id"]) & (F.xxhash64(docs[text]) == hits["_hash"]), "left_anti")
     at = docs.columns.index(text)
+    sent = docs.sparkSession.sparkContext.broadcast(first)
 
-    def step(df, sent, last):
-        def keep(batches):
-            table = Items(sent.value)
-            for batch in batches:
-                yield batch.filter(pa.array([not table.found(plain(t)) for t in batch.column(at).to_pylist()], pa.bool_()))
-
-        return df.mapInArrow(keep, docs.schema)
+    def keep(batches):
+        table = Group(sent.value)
+        for batch in batches:
+            yield batch.filter(pa.array([not table.found(plain(t)) for t in batch.column(at).to_pylist()], pa.bool_()))
 
-    return _passes(docs, benchmark, step)
+    return docs.mapInArrow(keep, docs.schema)

@@ -7,7 +7,8 @@ stably parted by the bits above it. The planes give access, counting and occurre
 that holds the shards is compressed by Parquet (zstd).
 
 Null texts count as empty; an empty text has the end id alone. Null ids are kept and come first. Repeated ids are
-separate documents in a defined, if arbitrary, order. An empty table gives no shard and no row.
+separate documents in the order of their texts' hashes, and by them a hot id is split. An empty table gives no shard and no row. Very long texts are
+encoded whole and make a shard of their own size. Only key and text are read, so other columns' names can't clash.
 """
 
 from __future__ import annotations
@@ -34,10 +35,15 @@ WORDS = 1_000_000
 SIGNS = string.punctuation.replace("'", "")
 
 
+#: Texts that a tokenizer must encode word by word for words to be remembered.
+PROBES = ("a b", " two  words ", "line\none", "don't stop, now. (ok) 12 3", "\n\nx\n", "é ß 日本 語", "Hello world-wide web's e.g.")
+
+
 class Encoder:
     """Encodes texts as the tokenizer does, remembering the ids of words between blanks.
 
-    Only for tokenizers that drop white space and never let a token cross it."""
+    Only for tokenizers that drop white space and never let a token cross it, which a few probes check; with any other
+    one, texts are encoded whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,6 +55,8 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = bool(mark) and token.endswith(mark)
+        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        self.by_words = all(ids(t) == [i for w in t.replace("\n", " ").split(" ") for i in ids(w)] for t in PROBES)
 
     def _learn(self, words: set[str]) -> None:
         known = self.known
@@ -87,6 +95,8 @@ class Encoder:
             start = end
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_words:
+            return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
         out = []
         parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
         get = self.known.get
@@ -218,9 +228,10 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 1, key: str = "d
     """Encodes docs and writes their shards to the shared folder; returns the shard table (part, shard, n_tokens, payload) as read back.
 
     (part, shard) orders the shards as the ids do. One document never spans two shards."""
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # as many parts as the input has at least, which grows with its bytes
+    n = partitions or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    dealt = docs.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    dealt = docs.withColumn("tie", F.xxhash64("text")).repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 
     def shards(batches):
         encode, part, shard = _encoder(tokenizer), TaskContext.get().partitionId(), 0
@@ -249,6 +260,20 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 1, key: str = "d
     return staged(dealt.mapInArrow(shards, "part int, shard int, n_tokens long, payload binary"), "shards")
 
 
+def encoded(docs: DataFrame, tokenizer: str, end_id: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, n_tokens and ids, the end id included."""
+
+    def encode_all(batches):
+        encode = _encoder(tokenizer)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
+                ids = [np.append(t, end_id).astype(np.int32) for t in encode(rows.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([len(t) for t in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "n_tokens", "ids"])
+
+    return docs.select(F.col(key).alias("doc_id"), text).mapInArrow(encode_all, f"doc_id {docs.schema[key].dataType.simpleString()}, n_tokens long, ids array<int>")
+
+
 def lengths(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_tokens. The end id counts, as in the shards' lengths, so an empty text has one token."""
 
