@@ -1,18 +1,23 @@
 """Exact n-gram Jaccard join: prefix keys find families, signature trees join them.
 
 1. Each text becomes its set of word shingles. Texts with equal sets are one class (by a 64-bit fingerprint of the set).
-2. Shingles are put in one order for all: those that are frequent in a bounded sample last, then by hash. If two sets
+2. Shingles are put in one order for all: those that are frequent last, then by hash. Frequent is what a bounded sample shows, and what more than OFTEN classes have
+   as a key, counted over all classes; the latter is kept as a bitmap of fixed size, and prefixes that hold such a key are cut again. If two sets
    link, the first n - need(n) + l of each share at least l (the smaller l of both): the prefixes are the join keys. Classes with too few keys that
    another class has are left out. Keys of the others connect classes to families; linked classes are in one family.
 3. Families are joined by signature trees: a node has the OR of its sets' token bitmaps, the range of their sizes, and the
    most tokens that one bitmap loses to clashes. Two trees are walked together; a pair of nodes is dropped when its bitmaps allow less overlap
    than its sizes require, or when all its sets are linked already. Pairs of sets that are left are compared exactly.
-   Large families are cut into blocks by hash, and each pair of blocks is a task.
-4. Only the links that connect something new are kept, so copies and near copies give a spanning forest, not all pairs; it has the
+4. A family too large for one task is joined in two steps. First each class meets the lowest class of each of its keys, in chunks of BLOCK: so many copies of
+   a set as it has such leaders, however large the family. That links copies and near copies. Then only keys that still part
+   components are looked at; their classes, if they share enough of them, make families again, whose blocks are joined pair by pair, all sets of one component being linked from the start.
+5. Only the links that connect something new are kept, so copies and near copies give a spanning forest, not all pairs; it has the
    same components.
 
-Frequency and order change the work, never the result. Null and empty texts have an empty set, link with nothing and are their own component. Rows with a
-null id link with nothing and have a null component. Rows that share an id are separate rows. An empty table gives an empty result.
+Frequency, order, blocks and broadcasts change the work, never the result. Links and classes rest on 64-bit hashes of shingles: two different shingles
+of one pair of texts clash with a chance of about n * n / 2**65. Null and empty texts have an empty set, link with nothing and are their own component. Rows with a
+null id link with nothing and have a null component. Rows that share an id are separate rows. Ties don't arise: links are a yes or no. Very long texts are read whole. An empty table gives an empty result.
+Only id and text are read, and one_of_each() keeps all columns, so other columns' names can't clash.
 """
 
 from __future__ import annotations
@@ -24,11 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.llm import shingles
-from trawl.llm.common import bounded_fraction, components, share, staged
+from trawl.llm.common import bounded_fraction, components, released, share, skew_join, staged
 
 #: Words of a shingle; linked: part * union <= 100 * intersection.
 WORDS, PART = 4, 85
 SAMPLE, FREQUENT = 4_000, 50_000
+#: A key of more classes than OFTEN counts as frequent; 2 ** BITS is the size of the bitmap of such keys.
+OFTEN, BITS = 200, 26
 BLOCK, BLOCK_BYTES, FAN, SPARE = 1024, 16 << 20, 8, 16
 #: Representatives' ids are broadcast up to this many, joined otherwise.
 SENT = 1_000_000
@@ -52,7 +59,13 @@ def edges(part: int, most: int = 1 << 40) -> np.ndarray:
     return np.array(out)
 
 
-def prefix(s: np.ndarray, frequent: np.ndarray, part: int = PART) -> tuple[np.ndarray, np.ndarray]:
+def has(often: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Which shingles are in the bitmap."""
+    at = s & np.uint64((1 << BITS) - 1)
+    return (often[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+
+
+def prefix(s: np.ndarray, frequent: np.ndarray, part: int = PART, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The keys of a set: those that aren't frequent, and those that are."""
     n = len(s)
     if not n:
@@ -60,6 +73,8 @@ def prefix(s: np.ndarray, frequent: np.ndarray, part: int = PART) -> tuple[np.nd
     k = min(n, n - need(n, part) + extra(n))
     at = np.searchsorted(frequent, s)
     late = frequent[np.minimum(at, len(frequent) - 1)] == s if len(frequent) else np.zeros(n, bool)
+    if often is not None:
+        late = late | has(often, s)
     early = s[~late][:k]
     return early, s[late][: k - len(early)]
 
@@ -106,19 +121,13 @@ class Tree:
 
 
 class Joined:
-    """Which sets are linked so far."""
+    """Which sets are linked so far: each one's root is at hand at any time."""
 
-    def __init__(self, n: int):
-        self.up = list(range(n))
+    def __init__(self, seeds: np.ndarray):
+        _, self.roots = np.unique(seeds, return_inverse=True)
 
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def roots(self) -> np.ndarray:
-        return np.array([self.root(i) for i in range(len(self.up))])
+    def link(self, i: int, j: int) -> None:
+        self.roots[self.roots == self.roots[i]] = self.roots[j]
 
 
 def _same(roots: np.ndarray, n: int, depth: int) -> list[np.ndarray]:
@@ -131,8 +140,10 @@ def _same(roots: np.ndarray, n: int, depth: int) -> list[np.ndarray]:
     return out
 
 
-def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None, part: int = PART) -> list[tuple[int, int]]:
-    """Links that connect the sets of a (with b None) or of a with b: positions, b's being counted from 0. A spanning forest of all such links."""
+def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None, part: int = PART, seeds: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that connect the sets of a (with b None) or of a with b: positions, b's being counted from 0. A spanning forest of all such links.
+
+    seeds: for each set of a, then of b, the component that it is known to be in."""
     if not a or (b is not None and not b):
         return []
     bits = 1 << max(9, min(16, int(4 * max(map(len, a + (b or [])))).bit_length()))
@@ -146,7 +157,8 @@ def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None, part: int
         ob = order(b)
         b = [b[i] for i in ob]
         right, shift = Tree(b, bits), len(a)
-    joined = Joined(len(a) + (len(b) if shift else 0))
+    n_sets = len(a) + (len(b) if shift else 0)
+    joined = Joined(np.arange(n_sets) if seeds is None else np.concatenate([seeds[: len(a)][oa], seeds[shift:][ob]] if shift else [seeds[oa]]))
     links: list[tuple[int, int]] = []
 
     def possible(la: int, lb: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -159,9 +171,10 @@ def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None, part: int
         return out
 
     def walk(la: int, lb: int, x: np.ndarray, y: np.ndarray) -> None:
-        for at in range(0, len(x), 64):
-            xs, ys = x[at : at + 64], y[at : at + 64]
-            roots = joined.roots()
+        step = 1024 if la == lb == 0 else 256
+        for at in range(0, len(x), step):
+            xs, ys = x[at : at + step], y[at : at + step]
+            roots = joined.roots
             sa, sb = _same(roots[: len(a)], len(a), la + 1)[la], _same(roots[shift : shift + len(b)], len(b), lb + 1)[lb]
             keep = ~((sa[xs] == sb[ys]) & (sa[xs] >= 0))
             if b is a:
@@ -171,16 +184,21 @@ def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None, part: int
             xs, ys = xs[ok], ys[ok]
             if la == 0 and lb == 0:
                 for i, j in zip(xs.tolist(), ys.tolist(), strict=True):
-                    if (b is not a or i < j) and joined.root(i) != joined.root(shift + j):
+                    if (b is not a or i < j) and roots[i] != roots[shift + j]:
                         n = len(np.intersect1d(a[i], b[j], assume_unique=True))
                         if n and 100 * n >= part * (len(a[i]) + len(b[j]) - n):
-                            joined.up[joined.root(i)] = joined.root(shift + j)
+                            joined.link(i, shift + j)
                             links.append((oa[i], ob[j]))
                 continue
-            for i, j in zip(xs.tolist(), ys.tolist(), strict=True):
-                ci = list(left.children(la, i)) if la >= lb else [i]
-                cj = list(right.children(lb, j)) if lb >= la else [j]
-                walk(la - (la >= lb), lb - (lb >= la), np.repeat(ci, len(cj)), np.tile(cj, len(ci)))
+            # the children of all pairs that are left, many at a time
+            down = lambda t, level, at: (at[:, None] * FAN + np.arange(FAN), len(t.levels[level - 1][0]))
+            for a0 in range(0, len(xs), 32):
+                i, j = xs[a0 : a0 + 32], ys[a0 : a0 + 32]
+                ci, ni = down(left, la, i) if la >= lb else (i[:, None], len(left.levels[la][0]))
+                cj, nj = down(right, lb, j) if lb >= la else (j[:, None], len(right.levels[lb][0]))
+                ci, cj = np.broadcast_arrays(ci[:, :, None], cj[:, None, :])
+                real = (ci < ni) & (cj < nj)
+                walk(la - (la >= lb), lb - (lb >= la), ci[real], cj[real])
 
     ta, tb = len(left.levels) - 1, len(right.levels) - 1
     na, nb = len(left.levels[ta][0]), len(right.levels[tb][0])
@@ -189,16 +207,16 @@ def tree_join(a: list[np.ndarray], b: list[np.ndarray] | None = None, part: int
 
 
 def _join_blocks(pdf: pd.DataFrame, part: int) -> pd.DataFrame:
+    """cid, comp (what it is known to be linked with), side, alone, set -> links."""
     pdf = pdf.sort_values("cid")
-    first = pdf[pdf["side"] == 0]
+    first, second = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
     sets = [np.frombuffer(x, np.uint64) for x in first["set"]]
-    ids = first["cid"].to_numpy()
-    if (pdf["side"] == 1).any():
-        second = pdf[pdf["side"] == 1]
-        links = tree_join(sets, [np.frombuffer(x, np.uint64) for x in second["set"]], part)
+    ids, seeds = first["cid"].to_numpy(), first["comp"].to_numpy()
+    if len(second):
+        links = tree_join(sets, [np.frombuffer(x, np.uint64) for x in second["set"]], part, np.concatenate([seeds, second["comp"].to_numpy()]))
         other = second["cid"].to_numpy()
     else:
-        links, other = (tree_join(sets, None, part) if pdf["alone"].iloc[0] else []), ids
+        links, other = (tree_join(sets, None, part, seeds) if pdf["alone"].iloc[0] else []), ids
     return pd.DataFrame({"a": [ids[i] for i, _ in links], "b": [other[j] for _, j in links]}).astype("int64")
 
 
@@ -207,10 +225,9 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*parts, np.zeros(0, np.uint64)]).view(np.int64)))
 
 
-def classes(docs: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
+def classes(docs: DataFrame, common: np.ndarray, words: int = WORDS, part: int = PART) -> DataFrame:
     """doc_id, text_hash, n, band (of sizes), cid (the class's fingerprint), keys and late (its prefix, late being what is frequent); one row per row of docs (doc_id, text), written once."""
-    n_rows = docs.count()
-    sent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, n_rows, words))
+    sent = docs.sparkSession.sparkContext.broadcast(common)
 
     def cut(batches):
         frequent, starts = sent.value, edges(part)
@@ -228,53 +245,107 @@ def classes(docs: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
     return staged(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(cut, shape), "classes")
 
 
-def families(rows: DataFrame, part: int = PART, rounds: int = 2) -> DataFrame:
-    """(cid, family) of the classes that may link with another one.
+def with_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """members (doc_id, cid and more; one row a class) with the class's set, from its text."""
+    extra = [c for c in members.columns if c != "doc_id"]
+    members = F.broadcast(members) if members.count() <= SENT else members
+    texts = docs.join(members, "doc_id").select(*extra, "text")
+    at, kinds = extra.index("cid"), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema.fields[:-1])
 
-    Frequent keys are shared without counting; the others are few of a kind, so each kind is counted in one place. Keys are then told
-    apart by bands of size: sets that link are in the same band or in neighbouring ones. Classes left with too few shared keys go, round by round."""
-    base = rows.where("n > 0 AND doc_id IS NOT NULL").dropDuplicates(["cid"])
-    least = F.ceil(part * F.col("n") / 100)
-    base = base.select("cid", (1 + F.floor(least / SPARE)).cast("int").alias("least"), "band", "keys", "late")
-    early = base.select("cid", "least", "band", F.explode("keys").alias("key"))
-    early = early.withColumn("df", F.count("*").over(Window.partitionBy("key"))).where("df > 1").drop("df")
-    hits = staged(early.unionByName(base.select("cid", "least", "band", F.explode("late").alias("key"))), "hits")
+    def cut(batches):
+        for batch in batches:
+            sets = list(shingles.sets(batch.column(len(extra)).to_pylist(), words))
+            # another row may have the same id and another text
+            good = pa.array([_mark(s) == c for s, c in zip(sets, batch.column(at).to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([s.tobytes() for s in sets], pa.binary())], [*extra, "set"]).filter(good)
+
+    return texts.mapInArrow(cut, f"{kinds}, set binary")
+
+
+def _often(base: DataFrame) -> np.ndarray | None:
+    """A bitmap of the keys that more than OFTEN classes have; None if there is none."""
+    keys = base.select(F.explode("keys").alias("key")).groupBy("key").count().where(F.col("count") > OFTEN)
+    at = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1))
+    word, bit = F.shiftright(at, 6).cast("int"), F.expr("shiftleft(1L, cast(key & 63 AS int))")
+    rows = keys.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # 2 ** (BITS - 6) rows at most
+    if not rows.num_rows:
+        return None
+    out = np.zeros(1 << (BITS - 6), np.uint64)
+    out[rows.column(0).to_numpy()] = rows.column(1).to_numpy().view(np.uint64)
+    return out
+
+
+def candidates(docs: DataFrame, rows: DataFrame, common: np.ndarray, words: int, part: int, rounds: int = 3) -> DataFrame:
+    """One row per class: cid, doc_id (of one of its rows), n, band, keys and late, cut again where a key is frequent among all classes."""
+    base = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("cid").agg(F.min_by(F.struct("doc_id", "n", "band", "keys", "late"), "doc_id").alias("x"))
+    base = staged(base.select("cid", "x.*"), "base")
+    often = None
+    for _ in range(rounds):
+        more = _often(base)
+        if more is None:
+            break
+        often = more if often is None else often | more
+        sent = docs.sparkSession.sparkContext.broadcast((often, common))
+
+        def touched(batches, sent=sent):
+            for batch in batches:
+                keys = batch.column(2)
+                hit = has(sent.value[0], keys.flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+                n = np.diff(keys.offsets.to_numpy())
+                some = np.bincount(np.repeat(np.arange(len(n)), n), weights=hit, minlength=len(n)) > 0
+                yield batch.select(["cid", "doc_id"]).filter(pa.array(some))
+
+        def again(batches, sent=sent):
+            often, common = sent.value
+            for batch in batches:
+                parts = [prefix(np.frombuffer(s.as_buffer(), np.uint64), common, part, often) for s in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), _lists([p[0] for p in parts]), _lists([p[1] for p in parts])], ["cid", "new_keys", "new_late"])
+
+        # only sets that hold such a key: the prefixes of the others are the same in the new order
+        some = base.select("cid", "doc_id", "keys").mapInArrow(touched, "cid long, doc_id long")
+        cut = with_sets(docs, staged(some, "touched"), words).select("cid", "set").mapInArrow(again, "cid long, new_keys array<long>, new_late array<long>")
+        new = base.join(cut, "cid", "left").select("cid", "doc_id", "n", "band", F.coalesce("new_keys", "keys").alias("keys"), F.coalesce("new_late", "late").alias("late"))
+        new = staged(new, "base")
+        released(base)
+        base = new
+    return base
+
+
+def _lowest(near: DataFrame, value: str) -> DataFrame:
+    """key_band, low, and count: the lowest value of each key that has several."""
+    return near.groupBy("key_band").agg(F.min(value).alias("low"), F.max(value).alias("high"), F.count("*").alias("count")).where("low != high").drop("high")
+
+
+def _shared(hits: DataFrame, value: str, rounds: int) -> DataFrame:
+    """hits (cid, least, band, key, value) of keys that several values share in one band or neighbouring ones, of classes with enough of them; round by round."""
     for _ in range(rounds):
-        near = hits.select("*", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("near")).withColumn("key_band", F.xxhash64("key", "near"))
-        low = near.groupBy("key_band").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low != high").drop("high")
-        near = staged(near.join(low, "key_band").select("cid", "least", "band", "key", "low"), "near")
-        one = near.select("cid", "least", "band", "key").distinct()
-        enough = one.groupBy("cid").agg(F.count("*").alias("n"), F.first("least").alias("least")).where("n >= least").select("cid")
-        hits = staged(one.join(enough, "cid"), "hits")
-    # the lowest class of each key may be gone by now: look again
+        near = hits.select("*", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("near")).withColumn("key_band", F.xxhash64("key", "near")).drop("near")
+        near = staged(skew_join(near, _lowest(near, value), "key_band", "count", 2 * hits.count(), "inner").drop("low", "count", "key_band").distinct(), "near")
+        enough = near.groupBy("cid").agg(F.count("*").alias("n"), F.first("least").alias("least")).where("n >= least").select("cid")
+        new = staged(near.join(enough, "cid"), "hits")
+        released(hits, near)
+        hits = new
+    return hits
+
+
+def _stars(hits: DataFrame) -> DataFrame:
+    """(a, b): each class with the lowest class of each of its keys."""
     near = hits.select("cid", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("near"), "key").select("cid", F.xxhash64("key", "near").alias("key_band"))
-    low = near.groupBy("key_band").agg(F.min("cid").alias("b"), F.max("cid").alias("c")).where("b != c").drop("c")
-    edges = near.join(low, "key_band").select(F.col("cid").alias("a"), "b").where("a != b").distinct()
-    return components(edges).select(F.col("node").alias("cid"), F.col("root").alias("family"))
+    return skew_join(near, _lowest(near, "cid"), "key_band", "count", 2 * hits.count(), "inner").select(F.col("cid").alias("a"), F.col("low").alias("b")).where("a != b").distinct()
 
 
-def links(docs: DataFrame, rows: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
-    """(a, b): links between classes; with equal sets being one class, these connect all that is linked."""
-    members = staged(families(rows, part), "families")
-    first = rows.where("doc_id IS NOT NULL").join(members, "cid").groupBy("cid", "family", "band").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    first = staged(first, "members")
-    # blocks of each family's band, and of the bands beside it
-    sizes = first.groupBy("family", "band").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+def _joined(sets: DataFrame, by: list[str], part: int) -> DataFrame:
+    return sets.groupBy(*by).applyInPandas(lambda pdf: _join_blocks(pdf.drop_duplicates("cid"), part), "a long, b long")
+
+
+def by_blocks(docs: DataFrame, members: DataFrame, words: int, part: int) -> DataFrame:
+    """Links inside families: members (cid, doc_id, n, family, band, comp). Pairs of blocks of one band, and of neighbouring ones, are tasks."""
+    sizes = _sizes(members)
+    first = members
     for name, step in (("below", 1), ("above", -1)):
         beside = sizes.select("family", (F.col("band") + step).alias("band"), F.col("blocks").alias(name))
         first = first.join(beside, ["family", "band"], "left").fillna(0, [name])
-    first = first.join(sizes, ["family", "band"])
-    first = F.broadcast(first) if members.count() <= SENT else first
-    texts = docs.join(first, "doc_id").select("cid", "n", "family", "band", "blocks", "below", "above", "text")
-
-    def cut(batches):
-        for batch in batches:
-            sets = list(shingles.sets(batch.column(7).to_pylist(), words))
-            # another row may have the same id and another text
-            good = pa.array([_mark(s) == c for s, c in zip(sets, batch.column(0).to_pylist(), strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in (0, 2, 3, 4, 5, 6)), pa.array([s.tobytes() for s in sets], pa.binary())], ["cid", "family", "band", "blocks", "below", "above", "set"]).filter(good)
-
-    sets = texts.mapInArrow(cut, "cid long, family long, band int, blocks int, below int, above int, set binary")
+    sets = with_sets(docs, first.join(sizes, ["family", "band"]), words)
     sets = sets.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     # tasks: two blocks of one band, or a block of a band and one of the band above it
     own, up = F.sequence(F.lit(0), F.col("blocks") - 1), lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
@@ -285,15 +356,62 @@ def links(docs: DataFrame, rows: DataFrame, words: int = WORDS, part: int = PART
         F.transform(up(F.col("above")), lambda o: task(band, True, block, o, F.lit(0))),
         F.transform(up(F.col("below")), lambda o: task(band - 1, True, o, block, F.lit(1))),
     )
-    sets = sets.select("cid", "set", "family", F.explode(tasks).alias("t")).select("cid", "set", "family", "t.*").withColumn("alone", ~F.col("across") & (F.col("i") == F.col("j")))
-    return sets.groupBy("family", "band", "across", "i", "j").applyInPandas(lambda pdf: _join_blocks(pdf.drop_duplicates("cid"), part), "a long, b long")
+    sets = sets.select("cid", "comp", "set", "family", F.explode(tasks).alias("t")).select("cid", "comp", "set", "family", "t.*").withColumn("alone", ~F.col("across") & (F.col("i") == F.col("j")))
+    return _joined(sets, ["family", "band", "across", "i", "j"], part)
+
+
+def _sizes(members: DataFrame) -> DataFrame:
+    return members.groupBy("family", "band").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+
+
+def by_leaders(docs: DataFrame, stars: DataFrame, base: DataFrame, words: int, part: int) -> DataFrame:
+    """Links between classes that have a leader in common (stars: class a, leader b), and with it: in chunks of about BLOCK classes or BLOCK_BYTES, each with a copy of the leader."""
+    n = base.select(F.col("cid").alias("a"), "n")
+    size = stars.join(n, "a").groupBy("b").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("chunks"), F.count("*").alias("count"))
+    member = skew_join(stars, size, "b", "count", stars.count()).select(F.col("a").alias("cid"), F.struct(F.col("b").alias("leader"), F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int").alias("lo"), F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int").alias("hi")).alias("g"))
+    leader = size.select(F.col("b").alias("cid"), F.struct(F.col("b").alias("leader"), F.lit(0).alias("lo"), (F.col("chunks") - 1).alias("hi")).alias("g"))
+    groups = member.unionByName(leader).groupBy("cid").agg(F.collect_list("g").alias("groups"))  # as many as a class has keys, at most
+    sets = with_sets(docs, groups.join(base.select("cid", "doc_id"), "cid"), words)
+    sets = sets.select("cid", "set", F.explode("groups").alias("g")).select("cid", F.col("cid").alias("comp"), "set", "g.leader", F.explode(F.sequence("g.lo", "g.hi")).alias("chunk"))
+    return _joined(sets.select("*", F.lit(0).alias("side"), F.lit(True).alias("alone")), ["leader", "chunk"], part)
+
+
+def links(docs: DataFrame, rows: DataFrame, common: np.ndarray, words: int = WORDS, part: int = PART) -> DataFrame:
+    """(a, b): links between classes; with equal sets being one class, these connect all that is linked."""
+    base = candidates(docs, rows, common, words, part)
+    least = (1 + F.floor(F.ceil(part * F.col("n") / 100) / SPARE)).cast("int")
+    early = base.select("cid", least.alias("least"), "band", F.explode("keys").alias("key"))
+    # keys that no other class has go; the count of each is known to be OFTEN at most, or nearly so
+    early = early.withColumn("df", F.count("*").over(Window.partitionBy("key"))).where("df > 1").drop("df")
+    hits = staged(early.unionByName(base.select("cid", least.alias("least"), "band", F.explode("late").alias("key"))), "hits")
+    hits = _shared(hits, "cid", 2)
+    stars = staged(_stars(hits), "stars")
+    family = components(stars).select(F.col("node").alias("cid"), F.col("root").alias("family"))
+    members = staged(family.join(base.select("cid", "doc_id", "n", "band"), "cid").withColumn("comp", F.col("cid")), "members")
+    large = staged(_sizes(members).where("blocks > 1").select("family").distinct(), "large")
+    if not large.limit(1).count():
+        return by_blocks(docs, members, words, part)
+    inside = staged(members.join(large, "family").select("cid", "doc_id", "n", "band"), "inside")
+    small = by_blocks(docs, members.join(large, "family", "left_anti"), words, part)
+    own = stars.join(inside.select(F.col("cid").alias("a")), "a").select("a", "b")
+    first = staged(by_leaders(docs, own, base, words, part), "leaders")
+    known = components(first).select(F.col("node").alias("cid"), F.col("root").alias("comp"))
+    rest = hits.join(inside.select("cid"), "cid").join(known, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    rest = _shared(staged(rest, "rest"), "comp", 2)
+    out = small.unionByName(first)
+    if not rest.limit(1).count():
+        return out
+    family = components(_stars(rest.select("cid", "least", "band", "key"))).select(F.col("node").alias("cid"), F.col("root").alias("family"))
+    again = family.join(inside, "cid").join(rest.select("cid", "comp").distinct(), "cid")
+    return out.unionByName(by_blocks(docs, staged(again, "again"), words, part))
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, part: int = PART) -> DataFrame:
     """One row per row of docs: doc_id, text_hash, n_shingles, component_id (smallest doc_id reachable by links), copies (rows with the same set)."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = classes(docs, words, part)
-    roots = staged(components(links(docs, rows, words, part)), "linked").select(F.col("node").alias("cid"), "root")
+    common = frequent_shingles(docs, docs.count(), words)
+    rows = classes(docs, common, words, part)
+    roots = staged(components(links(docs, rows, common, words, part)), "linked").select(F.col("node").alias("cid"), "root")
     same = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("copies"))
     low = same.join(roots, "cid").groupBy("root").agg(F.min("lowest").alias("component"))
     of = same.join(roots.join(low, "root").select("cid", "component"), "cid", "left").select("cid", F.coalesce("component", "lowest").alias("component"), "copies")
