@@ -92,7 +92,6 @@ def test_against_brute_force(spark, monkeypatch, small):
         monkeypatch.setattr(jaccard, "BLOCK", 3)
         monkeypatch.setattr(jaccard, "SENT", 0)
         monkeypatch.setattr(jaccard, "SAMPLE", 50)
-        monkeypatch.setattr(jaccard, "OFTEN", 4)
     rows = [(1000 - 3 * i, t) for i, t in enumerate(corpus(rnd))]
     rows += [(5, None), (6, ""), (7, "  \n"), (None, rows[3][1]), (rows[8][0], rows[30][1]), (2000, rows[4][1]), (2001, "long " * 20_000 + "tail"), (2002, "LONG " * 20_000 + "tail")]
     df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, n int, cid long").repartition(4)
@@ -100,31 +99,6 @@ def test_against_brute_force(spark, monkeypatch, small):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
 
 
-def test_large_families_are_sent_a_bounded_number_of_times(spark, monkeypatch):
-    """A family of near copies, and pages that share three fifths of their words with each other but link with none: twice as many rows, about twice as many sets sent."""
-    monkeypatch.setattr(jaccard, "BLOCK", 32)
-    monkeypatch.setattr(jaccard, "OFTEN", 20)
-    sent = []
-    joined = jaccard._joined
-    monkeypatch.setattr(jaccard, "_joined", lambda sets, by, part: (sent.append(sets.count()), joined(sets, by, part))[1])
-    totals = []
-    for n in (400, 800):
-        rnd = random.Random(n)
-        word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
-        body, template = [word() for _ in range(200)], [word() for _ in range(90)]
-        rows = []
-        for _ in range(n):
-            w = list(body)
-            w[rnd.randrange(200)] = word()
-            rows.append(" ".join(w))
-        rows += [" ".join([*template, *(word() for _ in range(60))]) for _ in range(n)]
-        sent.clear()
-        got = {r.doc_id: r.component_id for r in jaccard.join(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
-        assert all(got[i] == (0 if i < n else i) for i in range(2 * n))
-        totals.append(sum(sent))
-    assert totals[1] < 2.6 * totals[0] and totals[1] < 8 * 800
-
-
 def test_one_of_each(spark):
     rnd = random.Random(9)
     texts = corpus(rnd, 6, 5)

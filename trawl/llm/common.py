@@ -63,10 +63,11 @@ def skew_join(left: DataFrame, right: DataFrame, key: str, count: str, total: in
     where no key has more than one in HOT of the rows. Rows of hot keys are spread by their own hash there."""
     names = [c for c in right.columns if c != key]
     hot = right.where(F.col(count) * HOT > total).select(F.col(key).alias("_key"), F.struct(*names).alias("_hot"))
-    cold = right.where(F.col(count) * HOT <= total).select(F.col(key).cast("string").alias("_cold_key"), F.struct(*names).alias("_cold"))
+    cold = right.where(F.col(count) * HOT <= total).select(F.col(key).alias("_at"), F.struct(*names).alias("_cold"))
     out = left.join(F.broadcast(hot), left[key] == hot["_key"], "left").drop("_key")
-    at = F.when(F.col("_hot").isNull(), F.coalesce(F.col(key).cast("string"), F.lit(""))).otherwise(F.concat(F.lit("\0"), F.xxhash64(*[left[c] for c in left.columns]).cast("string")))
-    out = out.withColumn("_at", at).join(cold, F.col("_at") == F.col("_cold_key"), "left")
+    # a hot row's own hash may be another key: its match is the broadcast one all the same
+    spread = F.xxhash64(*[left[c] for c in left.columns]).cast(left.schema[key].dataType)
+    out = out.withColumn("_at", F.when(F.col("_hot").isNull(), F.col(key)).otherwise(spread)).join(cold, "_at", "left")
     found = F.coalesce("_hot", "_cold")
     out = out.where(found.isNotNull()) if how == "inner" else out
     return out.select(*[left[c] for c in left.columns], *[found[n].alias(n) for n in names])
@@ -86,32 +87,30 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph given as rows (a, b) of longs.
 
     Returns (node, root): root is the smallest node that can be reached. Alternating large-star and small-star
-    rounds until nothing changes: each one is a minimum per node, which is summed on the map side, and a join that splits hot nodes; the state is written to
+    rounds until nothing changes: each one is a minimum per node, which is summed on the map side, and a join; the state is written to
     the shared folder after every round, and the one before it deleted. No neighbourhood is ever gathered in one task or at the driver. An empty
     graph gives no rows; loops count as single nodes."""
     edges = staged(edges.select("a", "b"), "links")  # used several times below
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     edges = staged(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
 
-    def star(e: DataFrame, n: int, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool) -> DataFrame:
         # large: both directions, so that each node sees all its neighbours; small: only those below it
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
-        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        joined = skew_join(both, low, "u", "n", n * (1 + large), "inner")
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        joined = both.join(low, "u")
         if large:
             out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
             out = joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         return out.where("u != v").distinct()
 
-    part = lambda a, b: F.coalesce(F.sum(F.pmod(F.xxhash64(a, b), F.lit((1 << 31) - 1))), F.lit(0))
-    state = lambda e: e.agg(F.count("*"), part("u", "v"), part("v", "u")).first()
-    mark = state(edges)
-    while mark[0]:
-        large = staged(star(edges, mark[0], True), "edges")
-        small = staged(star(large, large.count(), False), "edges")
-        released(edges, large)
-        edges, now = small, state(small)
+    part = lambda a, b: F.sum(F.pmod(F.xxhash64(a, b), F.lit((1 << 31) - 1)))
+    mark = None
+    while True:
+        new = staged(star(star(edges, True), False), "edges")
+        released(edges)
+        edges, now = new, new.agg(F.count("*"), part("u", "v"), part("v", "u")).first()
         if now == mark:
             break
         mark = now
