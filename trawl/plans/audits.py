@@ -109,10 +109,14 @@ def jn_08_children(spark, d):
     return V.children_gap(ag_21_prefix_totals(spark, d))
 
 
+#: The characters a prefix is continued by.
+ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def jn_09_probe(spark, d):
-    """Children of every two-character prefix over the alphabet 0-9: hits, proven zeros, undetermined (every seventh key), by join, not by probing."""
+    """Children of every two-character prefix over the alphabet of 36 characters: hits, proven zeros, undetermined (every seventh key), by join, not by probing."""
     t = ag_21_prefix_totals(spark, d)
-    kids = t.where("length(prefix) = 2").select(F.col("prefix").alias("parent"), F.explode(F.array(*[F.lit(str(i)) for i in range(10)])).alias("c")).withColumn("prefix", F.concat("parent", "c"))
+    kids = t.where("length(prefix) = 2").select(F.col("prefix").alias("parent"), F.explode(F.array(*map(F.lit, ALPHABET))).alias("c")).withColumn("prefix", F.concat("parent", "c"))
     got = t.where("length(prefix) = 3").withColumn("unknown", F.col("total") % 7 == 0)
     x = kids.join(got, "prefix", "left").groupBy("parent").agg(F.sum(F.when(F.col("total").isNull(), 1).otherwise(0)).alias("zero"), F.sum(F.when(F.col("unknown"), 1).otherwise(0)).alias("undetermined"), F.sum(F.when(~F.col("unknown"), 1).otherwise(0)).alias("hit"))
     return x.select("*", (F.col("hit") + F.col("undetermined") == 0).alias("all_dead"), (F.col("undetermined") > 0).alias("incomplete"))
@@ -153,7 +157,15 @@ def jn_10_integrity(spark, d):
     ref, cur = o.where("o_orderkey % 10 <> 1"), o.where("o_orderkey % 10 <> 2")
     x = ref.withColumn("r", F.lit(1)).join(cur.withColumn("c", F.lit(1)), ["c_nationkey", "o_orderkey"], "full")
     x = x.select("c_nationkey", "o_orderkey", F.col("c").isNull().alias("lost"), F.col("r").isNull().alias("extra"))
-    return x.groupBy("c_nationkey").agg(F.sum(F.col("lost").cast("long")).alias("lost"), F.sum(F.col("extra").cast("long")).alias("extra"), F.min(F.when(F.col("lost"), F.col("o_orderkey"))).alias("first_lost"))
+    n = x.groupBy("c_nationkey").agg(F.count(F.when(~F.col("extra"), 1)).alias("expected"), F.sum(F.col("lost").cast("long")).alias("lost"), F.sum(F.col("extra").cast("long")).alias("extra"))
+    # the ten smallest are taken before they are gathered
+    def ten(what):
+        w = Window.partitionBy("c_nationkey").orderBy("o_orderkey")
+        top = x.where(what).select("c_nationkey", "o_orderkey", F.row_number().over(w).alias("no")).where("no <= 10")
+        return top.groupBy("c_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda v: v.cast("string")), ",").alias(f"{what}_examples"))
+
+    n = n.join(ten("lost"), "c_nationkey", "left").join(ten("extra"), "c_nationkey", "left")
+    return n.select("c_nationkey", "lost", "extra", F.round((F.col("expected") - F.col("lost") + F.col("extra")) / F.col("expected"), 6).alias("ratio"), F.coalesce("lost_examples", F.lit("")).alias("lost_examples"), F.coalesce("extra_examples", F.lit("")).alias("extra_examples"))
 
 
 def jn_11_windows(spark, d):
@@ -218,11 +230,13 @@ SQL = {
     "ag_02_distinct_per_prefix": "SELECT substr(l_orderkey::VARCHAR, 1, 3) AS prefix, count(*) AS lines, count(DISTINCT l_partkey) AS uniq FROM lineitem GROUP BY 1",
     "ag_21_prefix_totals": f"WITH {_TOT} SELECT prefix, total FROM tot",
     "jn_08_children": f"WITH {_TOT}, k AS (SELECT substr(prefix, 1, length(prefix) - 1) AS prefix, sum(total) AS covered, count(*) AS children FROM tot WHERE length(prefix) > 1 GROUP BY 1) SELECT prefix, total, covered, children, total - covered AS gap, total - covered > greatest(100, floor(total * 0.02)) AS recorded FROM tot JOIN k USING (prefix)",
-    "jn_09_probe": f"WITH {_TOT}, kids AS (SELECT prefix AS parent, prefix || c AS prefix FROM tot, (SELECT unnest(generate_series(0, 9))::VARCHAR AS c) WHERE length(prefix) = 2), x AS (SELECT parent, sum((total IS NULL)::INT) AS zero, sum(coalesce(total % 7 = 0, false)::INT) AS undetermined, sum(coalesce(total % 7 <> 0, false)::INT) AS hit FROM kids LEFT JOIN tot USING (prefix) GROUP BY 1) SELECT *, hit + undetermined = 0 AS all_dead, undetermined > 0 AS incomplete FROM x",
+    "jn_09_probe": f"WITH {_TOT}, kids AS (SELECT prefix AS parent, prefix || c AS prefix FROM tot, (SELECT unnest(string_split('{ALPHABET}', '')) AS c) WHERE length(prefix) = 2), x AS (SELECT parent, sum((total IS NULL)::INT) AS zero, sum(coalesce(total % 7 = 0, false)::INT) AS undetermined, sum(coalesce(total % 7 <> 0, false)::INT) AS hit FROM kids LEFT JOIN tot USING (prefix) GROUP BY 1) SELECT *, hit + undetermined = 0 AS all_dead, undetermined > 0 AS incomplete FROM x",
     "jn_05_reconcile": f"WITH {_RECON} SELECT * FROM rr",
     "jn_06_recorded_done": f"WITH {_RECON} SELECT o_orderkey, ok AS complete FROM r WHERE ledger = 'todo'",
     "jn_07_tolerance_marks": f"WITH {_RECON} SELECT o_orderkey, ledger, total, cnt FROM rr WHERE tolerance_mark",
-    "jn_10_integrity": "SELECT c_nationkey, count(*) FILTER (o_orderkey % 10 = 2) AS lost, count(*) FILTER (o_orderkey % 10 = 1) AS extra, min(o_orderkey) FILTER (o_orderkey % 10 = 2) AS first_lost FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1",
+    "jn_10_integrity": """WITH o AS (SELECT c_nationkey, o_orderkey, o_orderkey % 10 = 2 AS lost, o_orderkey % 10 = 1 AS extra FROM orders JOIN customer ON o_custkey = c_custkey)
+      SELECT c_nationkey, count(*) FILTER (lost) AS lost, count(*) FILTER (extra) AS extra, round((count(*) FILTER (NOT extra) - count(*) FILTER (lost) + count(*) FILTER (extra)) / count(*) FILTER (NOT extra), 6) AS ratio,
+      coalesce(array_to_string(list_sort(list(o_orderkey) FILTER (lost))[1:10], ','), '') AS lost_examples, coalesce(array_to_string(list_sort(list(o_orderkey) FILTER (extra))[1:10], ','), '') AS extra_examples FROM o GROUP BY 1""",
     "jn_11_windows": "WITH e AS (SELECT user_id, floor(epoch(ts))::BIGINT AS t, event_type FROM events), b AS (SELECT user_id, min(t) - 10 AS lo, min(t) + 86400 AS hi FROM e WHERE event_type = 'purchase' GROUP BY 1) SELECT b.user_id, lo, hi, count(t) AS n, count(t) >= 1 AS ok FROM b LEFT JOIN e ON e.user_id = b.user_id AND t BETWEEN lo AND hi AND event_type IN ('click', 'view') GROUP BY 1, 2, 3",
     "jn_12_lineage": "WITH t AS (SELECT l_suppkey AS id, 2 AS s FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT l_suppkey * 2, 1 FROM lineitem WHERE l_linenumber = 2), m AS (SELECT id, max(s) AS s FROM t GROUP BY 1) SELECT s_suppkey, coalesce(s, 0) AS strength FROM supplier LEFT JOIN m ON id = s_suppkey",
     "jn_14_recovery": "WITH e AS (SELECT event_id, user_id, floor(epoch(ts))::BIGINT AS t, event_type FROM events), x AS (SELECT *, first_value(CASE WHEN event_type = 'click' THEN t END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nt FROM e) SELECT event_id, nt - t AS took, coalesce(nt - t <= 86400, false) AS within FROM x WHERE event_type = 'purchase'",

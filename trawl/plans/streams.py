@@ -34,12 +34,12 @@ def sm_01_seen(spark, d):
 
 
 def sm_02_tumbling(spark, d):
-    out = J.run(J.outcome_counts(_requests(spark, d), "ts", ["event_type"], bad(), "1 hour"), "tumbling", "complete")
+    out = J.run_updates(J.outcome_counts(_requests(spark, d), "ts", ["event_type"], bad(), "1 hour"), "tumbling", ["window", "event_type"], "n")
     return out.select(F.unix_timestamp("window.start").alias("start"), "event_type", "n", "bad")
 
 
 def sm_03_sliding(spark, d):
-    out = J.run(J.outcome_counts(_requests(spark, d), "ts", [], bad(), "2 hours", "1 hour"), "sliding", "complete")
+    out = J.run_updates(J.outcome_counts(_requests(spark, d), "ts", [], bad(), "2 hours", "1 hour"), "sliding", ["window"], "n")
     return out.select(F.unix_timestamp("window.start").alias("start"), "n", "bad")
 
 

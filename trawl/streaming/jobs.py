@@ -30,6 +30,21 @@ def run(df: DataFrame, name: str, mode: str = "append", write: Callable[[DataFra
     return spark.read.schema(df.schema).parquet(path) if write is None or sinks.exists(spark, path) else spark.createDataFrame([], df.schema)
 
 
+def run_updates(df: DataFrame, name: str, keys: list[str], order: str) -> DataFrame:
+    """Drains the stream in update mode: every batch appends the rows that changed, and of each key the row with the greatest order stands.
+
+    Unlike complete mode, no batch holds the whole result, and state behind the watermark is dropped."""
+    write = lambda b, i, p: b.withColumn("_batch", F.lit(i)).write.mode("append").parquet(p)
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    q = df.writeStream.outputMode("update").option("checkpointLocation", path + "-checkpoint").trigger(availableNow=True).foreachBatch(lambda b, i: write(b, i, path)).start()
+    q.awaitTermination()
+    schema = df.schema.add("_batch", "long")
+    rows = spark.read.schema(schema).parquet(path) if sinks.exists(spark, path) else spark.createDataFrame([], schema)
+    # a batch that was written twice has the same rows twice
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.struct("_batch", order)).alias("_row"))
+    return last.select("_row.*")
+
+
 def source(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """A parquet file or folder as a stream; the schema is that of the files."""
     schema = spark.read.parquet(path).schema
