@@ -61,10 +61,18 @@ def test_limiter(spark):
 
 def test_stall_alarm_once(spark, tmp_path):
     data = [(1, 0.0, 5), (1, 500.0, 5), (1, 901.0, 5), (1, 1500.0, 5), (1, 1600.0, 6), (1, 1700.0, 6), (2, 0.0, 1), (2, 899.0, 1)]
+    data = [(run, 1e6 + t, mark) for run, t, mark in data]  # rows at the epoch itself are late for any watermark
     spark.createDataFrame(data, "run long, t double, mark long").coalesce(1).write.parquet(f"{tmp_path}/in")
     s = spark.readStream.schema("run long, t double, mark long").parquet(f"{tmp_path}/in")
-    got = jobs.run(jobs.stall_alarms(s, 900), "test-stalls").orderBy("t").collect()
-    assert [(r.run, r.t, r.event) for r in got] == [(1, 901.0, "stall_detected"), (1, 1600.0, "stall_cleared")]
+    got = jobs.run(jobs.stall_alarms(s, 900), "test-stalls").orderBy("t", "run").collect()
+    # run 2 falls silent: its alarm comes by timer, once; alarms have the time at which the limit was reached, however the rows were batched
+    want = [(1, 1e6 + 900, "stall_detected"), (2, 1e6 + 900, "stall_detected"), (1, 1e6 + 1600, "stall_cleared")]
+    assert [(r.run, r.t, r.event) for r in got] == want
+    for i in range(0, len(data), 3):
+        spark.createDataFrame(sorted(data, key=lambda r: r[1])[i : i + 3], "run long, t double, mark long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/many")
+    s = spark.readStream.schema("run long, t double, mark long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/many")
+    got = jobs.run(jobs.stall_alarms(s, 900), "test-stalls").orderBy("t", "run").collect()
+    assert [(r.run, r.t, r.event) for r in got] == want
 
 
 def test_versions_go_on_between_batches(spark, tmp_path):

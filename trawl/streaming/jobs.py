@@ -81,24 +81,34 @@ def breaker(df: DataFrame) -> DataFrame:
     return df.groupBy("domain").applyInPandasWithState(step, "domain long, ord long, state_from string, state_to string", "state string, streak int, until double", "append", GroupStateTimeout.NoTimeout)
 
 
-def stall_alarms(df: DataFrame, limit: float = 900) -> DataFrame:
-    """(run, t, mark) -> one alarm when a mark hasn't changed for limit seconds, one 'cleared' when it does again."""
+def stall_alarms(df: DataFrame, limit: float = 900, delay: str = "0 seconds") -> DataFrame:
+    """(run, t, mark) -> one alarm when a mark hasn't changed for limit seconds, one 'cleared' when it does again.
+
+    A run that falls silent raises its alarm by a timer: when the watermark, which rows of other runs move on, passes the limit."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         mark, since, alarmed = state.get if state.exists else (None, None, False)
         out = []
-        for r in pd.concat(list(batches)).sort_values("t").itertuples():
-            if since is None or r.mark != mark:
-                if alarmed:
-                    out.append((key[0], float(r.t), "stall_cleared"))
-                mark, since, alarmed = int(r.mark), float(r.t), False
-            elif r.t - since >= limit and not alarmed:
-                out.append((key[0], float(r.t), "stall_detected"))
-                alarmed = True
+        if state.hasTimedOut:
+            out.append((key[0], since + limit, "stall_detected"))
+            alarmed = True
+        else:
+            # one run's rows of one batch, in order
+            for r in pd.concat(list(batches)).sort_values("t").itertuples():
+                if since is not None and r.t - since >= limit and not alarmed:
+                    out.append((key[0], since + limit, "stall_detected"))
+                    alarmed = True
+                if since is None or r.mark != mark:
+                    if alarmed:
+                        out.append((key[0], float(r.t), "stall_cleared"))
+                    mark, since, alarmed = int(r.mark), float(r.t), False
         state.update((mark, since, alarmed))
+        if not alarmed:
+            state.setTimeoutTimestamp(max(int((since + limit) * 1000), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["run", "t", "event"]).astype({"run": "int64", "t": "float64"})
 
-    return df.groupBy("run").applyInPandasWithState(step, "run long, t double, event string", "mark long, since double, alarmed boolean", "append", GroupStateTimeout.NoTimeout)
+    timed = df.withColumn("ts", F.timestamp_seconds("t")).withWatermark("ts", delay)
+    return timed.groupBy("run").applyInPandasWithState(step, "run long, t double, event string", "mark long, since double, alarmed boolean", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def plausible(df: DataFrame, t: str, now: float, earliest: float = EARLIEST) -> tuple[DataFrame, DataFrame]:
