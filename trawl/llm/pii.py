@@ -7,7 +7,7 @@ slashes; blanks around the @. Numbers that are no personal data (dates, versions
 in as spans of nothing. The trained tagger is sent to all tasks. Every span of these kinds
 holds a digit or an @, so only stretches around such characters can hold one; they are cut into windows of WINDOW characters that overlap by half, decoded by
 Viterbi, and reconciled over the whole text: a position has the tag of the window in whose middle it lies. Spans that
-are cut at blanks and grown to whole words, read as their kind, or else as another one, and don't touch a pattern's span are added.
+are cut at blanks and grown to whole words or addresses, read as their kind, or else as another one, and don't touch a pattern's span are added.
 
 All positions are code points, ends exclusive. Null texts count as empty and have no spans. Repeated rows are judged alike. An empty table gives an
 empty result; without a single labelled span nothing is added. Very long texts are read whole, their windows in batches. Spans with one start
@@ -188,8 +188,9 @@ def find(model: Tagger | None, texts: list[str | None]) -> list[tuple[list[Span]
             high = list(accumulate((b[2] for b in base), max))  # how far the spans up to each one reach
             for a, k, e in tagged(model, p, s, tags[at : at + len(s)]):
                 a, e = whole(texts[i], a, e)
-                if k == 0 and (m := _SPACED.search(texts[i], a, e)):
-                    a, e = m.span()
+                if k == 0:  # the address that the tagged stretch is a part of
+                    near = _SPACED.finditer(texts[i], max(0, a - WINDOW), e + WINDOW)
+                    a, e = next((m.span() for m in near if m.start() < e and a < m.end()), (a, e))
                 k = next((x for x in (k, 3, 1, 2, 0) if reads_as(x, texts[i][a:e])), -1)
                 if k >= 0 and not ((n := bisect.bisect_left(base, (e,))) and high[n - 1] > a):
                     more.append((a, k, e))
