@@ -100,11 +100,12 @@ def outcome(status: Column, body: Column, exc_name: Column, exc_message: Column)
     return F.when(status.isNull(), exception_class(exc_name, exc_message)).when(by_status == "ok", F.when(by_body.isin("blocked", "challenge"), "blocked").when(by_body == "soft_limit", "limited").otherwise("ok")).when(status.isin(301, 302, 303, 307, 308), "ok").otherwise(by_status)
 
 
-def next_action(cls: Column, status: Column, err: Column, page_empty: Column) -> Column:
-    """struct(action, reason) that follows from a fetch."""
+def next_action(cls: Column, status: Column, err: Column, page_empty: Column, signature_error: Column | None = None) -> Column:
+    """struct(action, reason) that follows from a fetch; signature_error: the page says that the request was signed wrongly."""
     step = lambda a, r: F.struct(F.lit(a).alias("action"), (F.lit(r) if isinstance(r, str) else r).alias("reason"))
     return (
-        F.when((cls == "ok") & page_empty, step("escalate_browser", "empty_shell"))
+        F.when((cls == "ok") & (F.lit(False) if signature_error is None else signature_error), step("needs_reverse", "signature_error_marker"))
+        .when((cls == "ok") & page_empty, step("escalate_browser", "empty_shell"))
         .when(cls == "ok", step("ok", "success"))
         .when(cls == "channel", step("switch_egress", "channel_unavailable"))
         .when(cls == "circuit_open", step("retry_later", "circuit_cooldown"))

@@ -64,8 +64,8 @@ _OUT = f"CASE WHEN status IS NULL THEN {_EXC} WHEN status BETWEEN 200 AND 299 TH
 
 
 def cls_09_next_action(spark, d):
-    r = requests(spark, d).select("event_id", "status", F.element_at(F.array(*map(F.lit, CLASSES)), (F.col("event_id") % len(CLASSES) + 1).cast("int")).alias("cls"), F.when(F.col("event_id") % 5 == 0, "CHALLENGE: x").alias("err"), (F.col("event_id") % 6 == 0).alias("empty"))
-    return r.select("event_id", C.next_action(F.col("cls"), F.col("status"), F.col("err"), F.col("empty")).alias("s")).select("event_id", "s.action", "s.reason")
+    r = requests(spark, d).select("event_id", "status", F.element_at(F.array(*map(F.lit, CLASSES)), (F.col("event_id") % len(CLASSES) + 1).cast("int")).alias("cls"), F.when(F.col("event_id") % 5 == 0, "CHALLENGE: x").alias("err"), (F.col("event_id") % 6 == 0).alias("empty"), (F.col("event_id") % 16 == 0).alias("badly_signed"))
+    return r.select("event_id", C.next_action(F.col("cls"), F.col("status"), F.col("err"), F.col("empty"), F.col("badly_signed")).alias("s")).select("event_id", "s.action", "s.reason")
 
 
 CLASSES = ("ok", "channel", "circuit_open", "blocked", "limited", "transient", "fatal", "unknown")
@@ -193,8 +193,8 @@ SQL = {
     "cls_06_empty_shell": f"SELECT page_id, {_VISIBLE} AS visible, {_VISIBLE} < 1200 AS shell FROM pages",
     "cls_07_login_page": f"WITH {_SIGNED} SELECT page_id, {_any('lower(substr(body, 1, 6000))', C.LOGIN)} AS login FROM pg",
     "cls_08_outcome": f"WITH {REQUESTS}, r AS (SELECT *, ({_SIGNS})[event_id % 8 + 1] AS body FROM req) SELECT event_id, {_OUT} AS cls FROM r",
-    "cls_09_next_action": f"""WITH {REQUESTS}, r AS (SELECT event_id, status, ({_list_(CLASSES)})[event_id % 8 + 1] AS cls, event_id % 5 = 0 AS ch, event_id % 6 = 0 AS emp FROM req)
-      SELECT event_id, split_part(a, '|', 1) AS action, split_part(a, '|', 2) AS reason FROM (SELECT event_id, CASE cls WHEN 'ok' THEN CASE WHEN emp THEN 'escalate_browser|empty_shell' ELSE 'ok|success' END WHEN 'channel' THEN 'switch_egress|channel_unavailable'
+    "cls_09_next_action": f"""WITH {REQUESTS}, r AS (SELECT event_id, status, ({_list_(CLASSES)})[event_id % 8 + 1] AS cls, event_id % 5 = 0 AS ch, event_id % 6 = 0 AS emp, event_id % 16 = 0 AS bad FROM req)
+      SELECT event_id, split_part(a, '|', 1) AS action, split_part(a, '|', 2) AS reason FROM (SELECT event_id, CASE cls WHEN 'ok' THEN CASE WHEN bad THEN 'needs_reverse|signature_error_marker' WHEN emp THEN 'escalate_browser|empty_shell' ELSE 'ok|success' END WHEN 'channel' THEN 'switch_egress|channel_unavailable'
       WHEN 'circuit_open' THEN 'retry_later|circuit_cooldown' WHEN 'blocked' THEN CASE WHEN ch THEN 'escalate_browser|challenge_page' ELSE 'retry_later|block_sign_cooldown' END WHEN 'limited' THEN 'retry_later|rate_limited' WHEN 'transient' THEN 'retry_later|transient_exhausted'
       WHEN 'fatal' THEN CASE WHEN status = 403 THEN 'escalate_browser|forbidden_waf_suspect' ELSE 'give_up|fatal_status' END ELSE 'retry_later|unknown_cls:' || cls END AS a FROM r)""",
     "cls_10_wait_band": f"WITH {REQUESTS}, g AS (SELECT {_RETRY} AS cls, attempt, count(*) AS n FROM req GROUP BY 1, 2) SELECT cls, attempt, n, least(cap, base * pow(factor, attempt)) / 2 AS lo, least(cap, base * pow(factor, attempt)) AS hi FROM g JOIN {_BANDS} USING (cls)",

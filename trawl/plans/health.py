@@ -1,7 +1,6 @@
 """Health queries: WN-14..17, WN-19/20, VD-03, and snapshots WN-03..05, JN-16, AG-17, VD-11, TXT-10, TXT-23."""
 
 import difflib
-import re
 
 import pandas as pd
 from pyspark.sql import Window
@@ -10,6 +9,7 @@ from pyspark.sql import types as T_
 from pyspark.sql.functions import pandas_udf as udf
 
 from trawl.functions import text as T
+from trawl.functions.identifiers import identifiers
 from trawl.operators import health as H
 from trawl.operators import ledger as L
 from trawl.operators import snapshots as S
@@ -103,27 +103,17 @@ def vd_11_monitor(spark, d):
     return v.join(words, "site_id").select("site_id", "versions", "changes", "flaps", "watch_hits")
 
 
-IDENTIFIERS = T_.ArrayType(T_.StructType([T_.StructField(n, T_.StringType()) for n in ("kind", "value", "evidence")]))
-PATTERNS = (("number", r"(?<![\w.])(\d{5,10})\b"), ("email", r"([\w.+-]+@[\w-]+\.[\w.]+)"), ("handle", r"token ?[=:] ?\"?([0-9a-f]{8,40})"))
-
-
-@udf(IDENTIFIERS)
-def _identifiers(texts: pd.Series) -> pd.Series:
-    """Identifiers by pattern with 60 characters of evidence on each side; each (kind, value) once a page."""
-    rules = [(k, re.compile(p)) for k, p in PATTERNS]
-
-    def one(t):
-        out = {}
-        for kind, p in rules:
-            for m in p.finditer(t or ""):
-                out.setdefault((kind, m[1]), " ".join(t[max(0, m.start() - 60) : m.end() + 60].split()))
-        return [{"kind": k, "value": v, "evidence": e} for (k, v), e in out.items()]
-
-    return pd.Series([one(t) for t in texts])
+# what the documents lack: a group's number, a number of members, links, an account, escaped signs
+_SNIPPETS = ("群号：{}", "群 {} 人聚集", '<a href="https://t.me/joinchat/u{}">', "微信号：wx{}", "&#32676;&#21495;: {}", "<b>https://qm.qq.com/cgi-bin/qm/qr?k=K{}</b>", "QQ群：{} 群:{}")
 
 
 def txt_10_identifiers(spark, d):
-    return read(spark, d, "documents").select("doc_id", F.explode(_identifiers("text")).alias("x")).select("doc_id", "x.kind", "x.value", F.length("x.evidence").alias("evidence_len"))
+    """Identifiers of every document, read as a page with a line of contacts before its text."""
+    docs = read(spark, d, "documents")
+    number = (F.length("text") * 31 + F.col("doc_id") + 10_000).cast("string")
+    snippet = F.element_at(F.array(*map(F.lit, _SNIPPETS)), (F.length("text") % len(_SNIPPETS) + 1).cast("int"))
+    page = F.concat(F.replace(snippet, F.lit("{}"), number), F.lit(" | "), "text")
+    return docs.select("doc_id", F.explode(identifiers(page)).alias("x")).select("doc_id", "x.kind", "x.value")
 
 
 @udf(T_.StringType())
@@ -167,5 +157,11 @@ SQL = {
     "wn_05_flaps": f"WITH {_VERS} SELECT site_id, ord, ver FROM v WHERE flap",
     "jn_16_capture_state": f"WITH {_VERS}, o AS (SELECT site_id, arg_max(sha, ord) AS os FROM c WHERE ord % 2 = 0 AND site_id <> 'src7' GROUP BY 1), nw AS (SELECT site_id, CASE WHEN site_id <> 'src3' THEN arg_max(sha, ord) END AS ns, 1 AS tried FROM c WHERE ord % 2 = 1 AND site_id <> 'src9' GROUP BY 1) SELECT site_id, CASE WHEN tried IS NULL THEN 'missing' WHEN ns IS NULL THEN 'failed' WHEN os IS NULL THEN 'baseline' WHEN os = ns THEN 'unchanged' ELSE 'changed' END AS state FROM o FULL JOIN nw USING (site_id)",
     "ag_17_site_totals": f"WITH {_VERS}, g AS (SELECT site_id, sum(is_new) AS versions FROM v GROUP BY 1), s AS (SELECT 'src' || unnest(generate_series(0, 24)) AS site_id) SELECT count(*) FILTER (versions IS NULL) AS missing, count(versions) AS ok, sum(versions) AS versions FROM s LEFT JOIN g USING (site_id)",
+    "txt_10_identifiers": f"""WITH p AS (SELECT doc_id, replace(([{', '.join(f"'{x}'" for x in _SNIPPETS)}])[length(text) % {len(_SNIPPETS)} + 1], '{{}}', (length(text) * 31 + doc_id + 10000)::VARCHAR) || ' | ' || text AS raw FROM documents),
+      q AS (SELECT doc_id, raw, replace(replace(regexp_replace(raw, '<[^>]+>', ' ', 'g'), '&#32676;', '群'), '&#21495;', '号') AS plain FROM p),
+      x AS (SELECT doc_id, 'qq_num' AS kind, unnest(regexp_extract_all(regexp_replace(plain, '[0-9]+ 人聚集', '', 'g'), '群\\s*号?\\s*[:：]?\\s*([0-9]{{5,10}})\\b', 1)) AS value FROM q
+        UNION ALL SELECT doc_id, 'tg', unnest(regexp_extract_all(raw, 't\\.me/(?:joinchat/)?([A-Za-z0-9_+%-]{{4,60}})', 1)) FROM q
+        UNION ALL SELECT doc_id, 'wx_hint', unnest(regexp_extract_all(plain, '微信号?\\s*[:：]\\s*([A-Za-z][A-Za-z0-9_-]{{4,29}})', 1)) FROM q
+        UNION ALL SELECT doc_id, 'qq_link', unnest(regexp_extract_all(raw, 'qm\\.qq\\.com/cgi-bin/qm/qr\\?[^\"\\s<>]*?k=[A-Za-z0-9_-]+', 0)) FROM q) SELECT DISTINCT doc_id, kind, value FROM x""",
     "vd_11_monitor": f"WITH {_VERS}, g AS (SELECT site_id, sum(is_new) AS versions, sum(is_new) - 1 AS changes, sum(flap::INT) AS flaps FROM v GROUP BY 1), t AS (SELECT source AS site_id, lower(arg_max(text, doc_id)) AS t FROM documents GROUP BY 1) SELECT site_id, versions, changes, flaps, (length(t) - length(replace(t, 'the', ''))) // 3 + (length(t) - length(replace(t, 'und', ''))) // 3 + (length(t) - length(replace(t, 'que', ''))) // 3 AS watch_hits FROM g JOIN t USING (site_id)",
 }

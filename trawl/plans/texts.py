@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from trawl.functions import text as T
+from trawl.operators.logs import LOG_PATTERNS, groups, log_facts
 from trawl.plans.classes import LEADS, _leads
-from trawl.plans.tables import read
+from trawl.plans.tables import REQUESTS, read, requests
 
 _SCRIPTS = r"regexp_replace(regexp_replace({}, '(?is)<script.*?</script>', ' ', 'g'), '(?is)<style.*?</style>', ' ', 'g')"
 _TAGS = r"regexp_replace(regexp_replace(regexp_replace({}, '(?i)<br\s*/?>', chr(10), 'g'), '(?i)</(p|div|li|tr|h[1-6]|section|article|td|th)>', chr(10), 'g'), '<[^>]+>', ' ', 'g')"
@@ -125,17 +126,18 @@ def txt_21_tolerances(spark, d):
     return o.select("o_orderkey", T.leaf_tolerance(F.col("total")).cast("long").alias("leaf"), T.branch_threshold(F.col("total")).cast("long").alias("branch"))
 
 
-FACTS = (("digits", r"([0-9]{3,})"), ("secret", r"(?:token|password) ?= ?\"?([0-9a-f]+)"), ("license", r"(Apache License)"), ("shout", r"([A-Z]{4,}!!)"))
+FACTS = {"digits": r"([0-9]{3,})", "secret": r"(?:token|password) ?= ?\"?([0-9a-f]+)", "license": r"(Apache License)", "shout": r"([A-Z]{4,}!!)"}
+PATTERNS = {**LOG_PATTERNS, **FACTS}
 
 
 def txt_22_log_facts(spark, d):
-    """Lines against a table of patterns, as one projection: count, numeric captures and samples of each."""
+    """Lines of documents and of requests, as a run logs them, against the run's patterns and four of the documents'."""
     x = read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    hits = F.filter(F.array(*[F.struct(F.lit(n).alias("name"), F.regexp_extract("line", p, 1).alias("got"), F.col("line").rlike(p).alias("hit")) for n, p in FACTS]), lambda h: h.hit)
-    x = x.select("doc_id", "no", F.explode(hits).alias("h")).select("doc_id", "no", "h.name", "h.got")
-    # the three first samples of each, without gathering the rest
-    first = F.min_by("got", F.struct("doc_id", "no"))
-    return x.groupBy("name").agg(F.count("*").alias("n"), F.sum(F.col("got").rlike("^[0-9]+$").cast("long")).alias("numeric"), first.alias("first_sample"))
+    r = requests(spark, d)
+    line = F.when(F.col("status").isNull(), F.concat(F.lit("EXC "), "exc", F.lit(": "), "msg")).when(F.col("status") >= 400, F.concat(F.lit("HTTP "), "status", F.lit(" q="), "domain")).when(F.col("event_type") == "view", F.concat(F.lit("叶子 '"), "domain", F.lit("' total="), "lim", F.lit(" 唯一="), "attempt"))
+    line = F.coalesce(line, F.concat(F.lit("[throttle] mode="), "event_type", F.lit(" interval="), "attempt", F.lit(".5s")))
+    x = x.unionByName(r.select((-F.col("event_id")).alias("doc_id"), F.lit(0).alias("no"), line.alias("line")))
+    return log_facts(x, "line", ["doc_id", "no"], PATTERNS).select("name", "n", "numeric", F.array_join("samples", ",").alias("samples"))
 
 
 def txt_24_progress_problems(spark, d):
@@ -159,6 +161,12 @@ def txt_24_progress_problems(spark, d):
 QUERIES = {k: v for k, v in list(globals().items()) if k[:4] == "txt_"}
 _HOST = r"lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"
 _ZLINES = "ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents)"
+def _fact_sql(item):
+    name, p = item[0], item[1].replace("'", "''")
+    found = [f"regexp_extract_all(line, '{p}', {i})" for i in groups(item[1])]
+    return f"SELECT doc_id, no, '{name}' AS name, i, [{', '.join(f'({x})[i]' for x in found)}] AS parts FROM (SELECT *, unnest(range(1, len({found[0]}) + 1)) AS i FROM al)"
+
+
 SQL = {
     "txt_01_html_text": f"SELECT page_id, {_TEXT} AS text FROM pages",
     "txt_02_html_plain": f"SELECT page_id, md5({_PLAIN}) AS md5 FROM pages",
@@ -185,6 +193,9 @@ SQL = {
     "txt_19_verdict": "SELECT doc_id, toxic = 1 AS intl, 'c' || quality AS category FROM labels",
     "txt_20_header": "SELECT doc_id, sha256(text) AS sha, true AS same FROM documents",
     "txt_21_tolerances": "SELECT o_orderkey, greatest(2, floor(floor(o_totalprice) * 0.015))::BIGINT AS leaf, greatest(100, floor(floor(o_totalprice) * 0.02))::BIGINT AS branch FROM orders",
-    "txt_22_log_facts": f"WITH {_ZLINES}, h AS (" + " UNION ALL ".join(f"SELECT doc_id, no, '{n}' AS name, regexp_extract(line, '{p}', 1) AS got FROM ln WHERE regexp_matches(line, '{p}')" for n, p in ((n, p.replace('\\"', '"')) for n, p in FACTS)) + ") SELECT name, count(*) AS n, sum(CASE WHEN regexp_matches(got, '^[0-9]+$') THEN 1 ELSE 0 END) AS numeric, arg_min(got, (doc_id, no)) AS first_sample FROM h GROUP BY 1",
+    "txt_22_log_facts": f"""WITH {_ZLINES}, {REQUESTS}, al AS (SELECT doc_id, no, line FROM ln UNION ALL SELECT -event_id, 0, CASE WHEN status IS NULL THEN 'EXC ' || exc || ': ' || msg WHEN status >= 400 THEN 'HTTP ' || status || ' q=' || domain
+      WHEN event_type = 'view' THEN '叶子 ''' || domain || ''' total=' || lim || ' 唯一=' || attempt ELSE '[throttle] mode=' || event_type || ' interval=' || attempt || '.5s' END FROM req),
+      h AS ({" UNION ALL ".join(map(_fact_sql, PATTERNS.items()))}), f AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id, no, i) AS r FROM h)
+      SELECT name, count(*) AS n, count(*) FILTER (len(list_filter(parts, lambda x: regexp_matches(x, '^[0-9.]+$'))) > 0) AS numeric, string_agg(array_to_string(parts, '|'), ',' ORDER BY r) FILTER (r <= 3) AS samples FROM f GROUP BY 1""",
     "txt_24_progress_problems": "SELECT o_orderkey, unnest(CASE o_orderkey % 5 WHEN 0 THEN ['todo.p'] WHEN 1 THEN ['done', 'stats.records'] WHEN 2 THEN ['unparsable'] WHEN 3 THEN [] ELSE ['todo'] END) AS problem FROM orders",
 }
