@@ -60,7 +60,7 @@ def identifiers(page: Column, rules: tuple[Rule, ...] = RULES, window: int = 60)
                 text = plain if rule.plain else raw
                 for m in pattern.finditer(text):
                     at, end = m.span(1)
-                    if m[1].lower() not in rule.stops and not guard.search(text, at, at + AHEAD):
+                    if m[1].lower() not in rule.stops and not guard.search(text[at : at + AHEAD]):
                         hits.setdefault((rule.kind, m[1]), " ".join(text[max(0, at - window) : end + window].split()))
             return [{"kind": k, "value": v, "evidence": e} for (k, v), e in hits.items()]
 
