@@ -39,7 +39,7 @@ BLOCK = 2_000_000
 WIDE = 16_384
 #: Bytes of a text that are cut into terms at a time.
 PIECE = 1 << 20
-#: The first masks evaluated at a time; doubled from step to step.
+#: Documents scored at a time at first, or one mask's; doubled from step to step.
 STEP = 64
 SALTS = 256
 
@@ -137,9 +137,10 @@ class Block:
         maxima = maxima[by_mask]
         done, step, scored = 0, STEP, 0
         while done < len(first) and maxima[done] >= limit:
-            # no more masks than may matter, STEP of them at first
-            upto = min(done + step, int(np.searchsorted(-maxima, -limit, "right")))
-            d = docs[ends[done - 1] if done else 0 : ends[upto - 1]]
+            # the next mask, with those behind it that may matter as far as there are no more than so many documents
+            start = int(ends[done - 1]) if done else 0
+            upto = max(done + 1, min(int(np.searchsorted(ends, start + step, "right")), int(np.searchsorted(-maxima, -limit, "right"))))
+            d = docs[start : ends[upto - 1]]
             score = self._scores(d, where, weights)
             scored += len(d)
             found = d[score >= limit]
