@@ -1,8 +1,8 @@
 """The queries of this subpackage and their SQL."""
 
-from trawl.llm import q_jaccard, q_language, q_leaks, q_merkle, q_packing, q_pii, q_ranking, q_secrets, q_tokens, q_topk, q_toxicity, q_urls
+from trawl.llm import q_automaton, q_jaccard, q_language, q_leaks, q_merkle, q_packing, q_pii, q_ranking, q_secrets, q_tokens, q_topk, q_toxicity, q_urls
 
-MODULES = (q_jaccard, q_language, q_leaks, q_packing, q_pii, q_ranking, q_secrets, q_tokens, q_topk, q_toxicity, q_urls, q_ranking, q_merkle)
+MODULES = (q_jaccard, q_language, q_leaks, q_packing, q_pii, q_ranking, q_secrets, q_tokens, q_topk, q_toxicity, q_urls, q_automaton, q_ranking, q_merkle)
 
 
 def queries():
