@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from trawl.functions import classify as C
@@ -18,6 +21,56 @@ def test_ingest_files(spark, tmp_path):
     assert J.read_tree(spark, str(tmp_path), "*.jsonl").count() == 2  # Spark gives no row for an empty file
 
 
+def small_ranges(spark, size):
+    """Spark reads files in ranges of so many bytes."""
+    for k, v in {"maxPartitionBytes": size, "openCostInBytes": 1, "minPartitionNum": 1}.items():
+        spark.conf.set(f"spark.sql.files.{k}", v)
+
+
+@pytest.fixture
+def ranges(spark):
+    yield lambda size: small_ranges(spark, size)
+    for k in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"):
+        spark.conf.unset(f"spark.sql.files.{k}")
+
+
+@pytest.mark.parametrize("size", [7, 64, 1000, 1 << 20])
+def test_lines_of_files_in_ranges(spark, tmp_path, ranges, size):
+    r = random.Random(size)
+    texts = {"torn": "a\nbb\n\n{x", "whole": "a\n\n", "none": "", "one": "x", "end": "\n", "cr": "a\r\nb\r"}
+    texts["long"] = "\n".join("é" * r.randint(0, 40) for _ in range(300))
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    ranges(size)
+    lines = J.read_lines(spark, str(tmp_path))
+    assert size > 1000 or lines.select("file", "_part").distinct().count() > len(texts)
+    got = {}
+    for x in lines.collect():
+        got.setdefault(x.file.split("/")[-1], []).append((x.line_no, x.value, x.last))
+    for name, text in texts.items():
+        want = text.removesuffix("\n").split("\n") if text else []
+        assert sorted(got.get(name, [])) == [(i + 1, v, i + 1 == len(want) and not text.endswith("\n")) for i, v in enumerate(want)], name
+
+
+def test_repair(spark, tmp_path, ranges):
+    for name, text in {"tear": '{"k":1}\n{"k":2}\n{"k":3,"half":', "mid": '{"k":1}\nNOT-JSON\n{"k":3}\n', "good": '{"k":1}\n{"k":2}', "bad": "x\n"}.items():
+        (tmp_path / name).write_text(text)
+    ranges(9)
+    p = J.parsed(J.read_lines(spark, str(tmp_path)), "k int").withColumn("file", F.substring_index("file", "/", -1))
+    assert {r.file: (r.lines, r.bad_lines, r.truncated_bytes, r.repaired) for r in J.repair_report(p).collect()} == {"tear": (3, 0, 14, True), "mid": (3, 1, 0, True), "good": (2, 0, 0, False), "bad": (1, 1, 0, True)}
+    good, quarantine = J.repaired(p)
+    assert sorted((r.file, r.line_no) for r in good.collect()) == [("good", 1), ("good", 2), ("mid", 1), ("mid", 3), ("tear", 1), ("tear", 2)]
+    assert sorted(map(tuple, quarantine.collect())) == [("bad", 1, "x"), ("mid", 2, "NOT-JSON")]
+
+
+def test_attribution_across_ranges(spark, tmp_path, ranges):
+    """A damaged line takes its prefix from a good line many ranges before."""
+    (tmp_path / "f").write_text('{"mms":"1","prefix":"A"}\n' + "junk junk junk\n" * 200 + '{"mms":"2","prefix":"B"}\ntorn')
+    ranges(50)
+    got = J.attributed(J.read_lines(spark, str(tmp_path))).groupBy("prefix", "inferred").count().collect()
+    assert sorted(map(tuple, got)) == [("A", True, 200), ("B", True, 1)]
+
+
 def test_salvage_and_attribution(spark):
     rows = [("f", 1, '{"mms":"1","prefix":"A"}'), ("f", 2, '{"mms":"x","prefix":"Q","ti{"mms":"2","prefix":"B"}'), ("f", 3, "junk"), ("f", 4, '{"mms":"","prefix":"C"}'), ("f", 5, '{"mms":"3","prefix":null}'), ("g", 1, "torn {\"a\": 1}"), ("g", 2, None)]
     got = [(r.file, r.line_no, r.salvaged, r.prefix, r.inferred) for r in J.attributed(spark.createDataFrame(rows, "file string, line_no int, value string")).orderBy("file", "line_no").collect()]

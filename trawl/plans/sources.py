@@ -1,6 +1,5 @@
 """Source and sink queries: SRC and SNK, over lines and files that Spark derives from the tables."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trawl.plans.tables import read
@@ -12,18 +11,33 @@ RECORD = "mms string, prefix string, title string"
 
 
 def _lines(spark, d):
-    """documents as JSON lines of one file per source; some broken, some glued, the last of some files torn."""
-    x = read(spark, d, "documents").select("doc_id", F.col("source").alias("file"), F.substring(F.regexp_replace("text", r"[^A-Za-z ]", ""), 1, 20).alias("title"))
+    """documents as JSON lines of files by source, each of at most LINES lines; some broken, some glued, by id and text."""
+    file = F.concat_ws("-", "source", F.expr(f"doc_id div {LINES}"))
+    x = read(spark, d, "documents").select("doc_id", file.alias("file"), F.length("text").alias("n"), F.substring(F.regexp_replace("text", r"[^A-Za-z ]", ""), 1, 20).alias("title"))
     rec = F.to_json(F.struct(F.concat(F.lit("m"), "doc_id").alias("mms"), F.concat(F.lit("P"), F.col("doc_id") % 7).alias("prefix"), "title"))
-    n = F.col("doc_id") % 20
-    value = F.when(n == 3, "NOT-JSON").when(n == 5, F.concat(F.lit('{"mms":"x","prefix":"Q9","ti'), rec)).when(n == 8, F.expr("substring(rec, 1, length(rec) - 4)")).when(n == 11, '{"mms":"","prefix":null}').otherwise(F.col("rec"))
-    x = x.withColumn("rec", rec).withColumn("value", value)
-    w = Window.partitionBy("file").orderBy("doc_id")
-    return x.select("file", F.row_number().over(w).alias("line_no"), "value", (F.lead("doc_id").over(w).isNull()).alias("last"), "doc_id")
+    n = (F.col("doc_id") * 7 + F.col("n")) % 20
+    value = F.when(n == 3, "NOT-JSON").when(n == 5, F.concat(F.lit('{"mms":"x","prefix":"Q9","ti'), rec)).when(n == 8, F.expr("substring(rec, 1, length(rec) - 4)")).when(n == 11, '{"mms":"","prefix":null}').when(n == 13, "").otherwise(F.col("rec"))
+    return x.withColumn("rec", rec).withColumn("value", value).select("doc_id", "file", "value")
+
+
+#: Lines of a file: about a gigabyte, some times what a task reads.
+LINES = 10_000_000
+
+
+def _files(spark, d):
+    """The lines written as text files, in order of doc_id, without a line end behind the last one; a file's lines are one task's to write."""
+    x = _lines(spark, d)
+    first = x.groupBy("file").agg(F.min("doc_id").alias("first"))
+    # the writer's separator is a blank here, and line ends stand before all lines but the first
+    x = x.join(first, "file").select("file", "doc_id", F.concat(F.when(F.col("doc_id") == F.col("first"), "").otherwise("\n"), "value").alias("value"))
+    path = scratch(spark, "lines")
+    x.repartition("file").sortWithinPartitions("file", "doc_id").drop("doc_id").write.partitionBy("file").option("lineSep", " ").text(path)
+    lines = J.read_lines(spark, path)
+    return lines.withColumn("file", F.regexp_extract("file", "file=([^/]*)/", 1))
 
 
 def src_01_ingest(spark, d):
-    return J.repair_report(J.parsed(_lines(spark, d), RECORD))
+    return J.repair_report(J.parsed(_files(spark, d), RECORD))
 
 
 def src_02_valid(spark, d):
@@ -36,7 +50,7 @@ def src_03_salvage(spark, d):
 
 
 def src_04_attribution(spark, d):
-    return J.attributed(_lines(spark, d)).groupBy("prefix", "inferred").agg(F.count("*").alias("damaged"), F.count("salvaged").alias("salvaged"))
+    return J.attributed(_files(spark, d)).groupBy("file", "prefix", "inferred").agg(F.count("*").alias("damaged"), F.count("salvaged").alias("salvaged"))
 
 
 FILES = ("audit.jsonl", "audit.jsonl.2", "records.jsonl", "memguard.jsonl", "keeper-a.jsonl", "scrape.log", "x.txt")
@@ -49,10 +63,12 @@ def src_05_roles(spark, d):
 
 
 def src_06_tree(spark, d):
-    """Texts written as files and read as a tree, one row per file."""
+    """Whole texts written as a tree of files of at most a hundred documents, and read as such: one row per file."""
     path = scratch(spark, "tree")
-    read(spark, d, "nation").select(F.concat_ws(" ", "n_name", "n_nationkey").alias("value"), "n_regionkey").repartition("n_regionkey").write.partitionBy("n_regionkey").text(path)
-    return J.read_tree(spark, path).select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
+    x = read(spark, d, "documents").select(F.concat(F.col("doc_id"), F.lit(" "), F.md5("text"), F.lit(" "), F.regexp_replace("text", r"\s+", " ")).alias("value"), "source", F.expr("doc_id div 100").alias("part"))
+    x.repartition("source", "part").sortWithinPartitions("source", "part").write.partitionBy("source", "part").text(path)
+    line = J.read_tree(spark, path).select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
+    return line.select(F.substring_index("line", " ", 1).cast("long").alias("doc_id"), F.md5("line").alias("md5"))
 
 
 DOC = "pnx struct<display: map<string, array<string>>>, delivery struct<holding: array<struct<libraryCode: string, callNumber: string, availabilityStatus: string>>>"
@@ -118,12 +134,18 @@ def snk_04_snapshots(spark, d):
 
 
 QUERIES = {k: v for k, v in list(globals().items()) if k[:4] in ("src_", "snk_")}
-_L = "ln AS (SELECT doc_id, source AS file, doc_id % 20 AS n, doc_id % 7 AS p, length('{\"mms\":\"m' || doc_id || '\",\"prefix\":\"P' || (doc_id % 7) || '\",\"title\":\"' || substr(regexp_replace(text, '[^A-Za-z ]', '', 'g'), 1, 20) || '\"}') AS len, lead(doc_id) OVER (PARTITION BY source ORDER BY doc_id) IS NULL AS last FROM documents)"
+_L = f"""rc AS (SELECT doc_id, source || '-' || (doc_id // {LINES}) AS file, (doc_id * 7 + length(text)) % 20 AS n, '{{"mms":"m' || doc_id || '","prefix":"P' || (doc_id % 7) || '","title":"' || substr(regexp_replace(text, '[^A-Za-z ]', '', 'g'), 1, 20) || '"}}' AS rec FROM documents),
+  ln AS (SELECT doc_id, file, CASE n WHEN 3 THEN 'NOT-JSON' WHEN 5 THEN '{{"mms":"x","prefix":"Q9","ti' || rec WHEN 8 THEN substr(rec, 1, length(rec) - 4) WHEN 11 THEN '{{"mms":"","prefix":null}}' WHEN 13 THEN '' ELSE rec END AS value FROM rc),
+  ok AS (SELECT *, lead(doc_id) OVER (PARTITION BY file ORDER BY doc_id) IS NULL AS last, CASE WHEN json_valid(value) THEN json_type(value, '$.mms') = 'VARCHAR' AND length(value ->> '$.mms') > 0 AND list_contains(json_keys(value), 'prefix') ELSE false END AS valid FROM ln),
+  sv AS (SELECT *, CASE WHEN NOT valid THEN list_filter(range(2, length(value) + 1), lambda i: substr(value, i, 1) = '{{' AND json_valid(substr(value, i)))[1] END AS pos FROM ok)"""
 SQL = {
-    "src_01_ingest": f"WITH {_L}, b AS (SELECT *, n IN (3, 5, 8) AS bad, CASE n WHEN 3 THEN 8 WHEN 5 THEN 28 + len WHEN 8 THEN len - 4 ELSE len END AS bytes FROM ln) SELECT file, count(*) AS lines, count(*) FILTER (bad AND NOT last) AS bad_lines, coalesce(sum(bytes) FILTER (bad AND last), 0) AS truncated_bytes, count(*) FILTER (bad) > 0 AS repaired FROM b GROUP BY 1",
-    "src_02_valid": f"WITH {_L} SELECT doc_id, n NOT IN (3, 5, 8, 11) AS valid FROM ln",
+    "src_01_ingest": f"WITH {_L} SELECT file, count(*) AS lines, count(*) FILTER (NOT json_valid(value) AND NOT last) AS bad_lines, coalesce(sum(strlen(value) + 1) FILTER (NOT json_valid(value) AND last), 0) AS truncated_bytes, count(*) FILTER (NOT json_valid(value)) > 0 AS repaired FROM ok GROUP BY 1",
+    "src_02_valid": f"WITH {_L} SELECT doc_id, valid FROM ok",
+    "src_03_salvage": f"WITH {_L} SELECT doc_id, CASE WHEN pos IS NOT NULL THEN substr(value, pos) ->> '$.mms' END AS mms, (pos - 1)::INT AS offset FROM sv WHERE NOT valid",
+    "src_04_attribution": f"""WITH {_L}, b AS (SELECT *, last_value(CASE WHEN valid THEN value ->> '$.prefix' END IGNORE NULLS) OVER (PARTITION BY file ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, nullif(regexp_extract(substr(value, 1, coalesce(pos - 1, length(value))), '"prefix"\\s*:\\s*"([^"]*)"', 1), '') AS named FROM sv)
+      SELECT file, coalesce(named, before) AS prefix, named IS NULL AND before IS NOT NULL AS inferred, count(*) AS damaged, count(pos) AS salvaged FROM b WHERE NOT valid GROUP BY 1, 2, 3""",
     "src_05_roles": "SELECT page_id, (['audit', 'audit', 'data', 'aux', 'keeper', 'log', 'other'])[page_id % 7 + 1] AS role, page_id % 7 IN (0, 1, 4) AS authoritative FROM pages",
-    "src_06_tree": "SELECT n_name || ' ' || n_nationkey AS line FROM nation",
+    "src_06_tree": r"SELECT doc_id, md5(doc_id || ' ' || md5(text) || ' ' || regexp_replace(text, '\s+', ' ', 'g')) AS md5 FROM documents",
     "src_07_flatten": "WITH h AS (SELECT l_orderkey, count(*) AS n, string_agg('L' || l_suppkey || '/' || CASE WHEN l_linenumber % 2 = 0 THEN l_suppkey::VARCHAR ELSE '' END || '/' || l_returnflag, ';' ORDER BY l_linenumber, l_suppkey, l_returnflag) AS holdings FROM lineitem GROUP BY 1) SELECT l_orderkey, l_orderkey::VARCHAR AS mms, CASE WHEN l_orderkey % 3 > 0 THEN 'T' || l_orderkey ELSE '' END AS title, '' AS creator, CASE WHEN l_orderkey % 5 > 0 THEN n ELSE 0 END AS n_holdings, CASE WHEN l_orderkey % 5 > 0 THEN holdings ELSE '' END AS holdings FROM h",
     "src_08_unnest": "SELECT conv_id AS query, turn, role AS title FROM conversations",
     "src_09_decode": "SELECT doc_id, md5(text) AS md5 FROM documents",

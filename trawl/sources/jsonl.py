@@ -10,15 +10,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 from pyspark.sql.functions import pandas_udf as udf
 
+from trawl.operators.order import AT, PART, dealt, scan
+
 
 SALVAGED = T_.StructType([T_.StructField("salvaged", T_.StringType()), T_.StructField("offset", T_.IntegerType())])
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line_no (from 1), value, last (no line end follows) of all text files under a path. Files are read whole, as only so the missing last line end shows; rotate them below a partition's size."""
-    whole = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    x = whole.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "value"), (~F.col("value").endswith("\n")).alias("torn"), F.size(F.split("value", "\n")).alias("n"))
-    return x.where((F.col("value") != "")).select("file", (F.col("pos") + 1).alias("line_no"), "value", (F.col("torn") & (F.col("pos") == F.col("n") - 1)).alias("last"))
+    """Lines of all text files under a path: file, line_no (from 1), value, last (no line end follows), and _part and _at, by which trawl.operators.order goes on.
+
+    Files are read in byte ranges as Spark splits them, so one of any size is many tasks' work. A line belongs to the range
+    in which it begins. Ranges are counted in a first pass; a file's counts, one small row a range, are summed up, and each
+    line takes its range's total: lines aren't shuffled. Only the line end (0x0A) parts lines, so that the bytes of lines and line ends
+    tell whether the last one is missing; empty lines are lines. A compressed file is one range, and its last line counts as whole."""
+    x = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    x = x.select(F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_size").alias("_size"), F.col("_metadata.file_block_start").alias(PART), F.monotonically_increasing_id().alias(AT))
+    ranges = x.groupBy("file", PART).agg(F.min(AT).alias("_start"), F.count("*").alias("_n"), F.sum(F.octet_length("value") + 1).alias("_bytes"))
+    of = Window.partitionBy("file")
+    before = F.coalesce(F.sum("_n").over(of.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # one byte more than the file has: the line end of the last line isn't there
+    ranges = ranges.select("file", PART, (before - F.col("_start") + 1).alias("_shift"), F.sum("_n").over(of).alias("_lines"), F.sum("_bytes").over(of).alias("_bytes"))
+    x = x.join(ranges, ["file", PART]).withColumn("line_no", F.col(AT) + F.col("_shift"))
+    return x.select("file", "line_no", "value", ((F.col("line_no") == F.col("_lines")) & (F.col("_bytes") == F.col("_size") + 1)).alias("last"), PART, AT)
 
 
 def read_tree(spark: SparkSession, path: str, glob: str = "*.{md,txt,html}") -> DataFrame:
@@ -65,11 +78,20 @@ def salvage(raw: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(s) for s in raw], columns=["salvaged", "offset"]).astype({"offset": "Int32"})
 
 
+def repaired(p: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines that stay, and those for quarantine: bad ones but for a torn last line, which is dropped. Both keep file and line_no."""
+    keep = ["file", "line_no", "value"]
+    return p.where(~F.col("bad")).select(*keep), p.where(F.col("bad") & ~F.col("last")).select(*keep)
+
+
 def attributed(lines: DataFrame) -> DataFrame:
-    """Damaged lines with salvaged text and the prefix they are laid to: the last one named before the salvage point, else that of the last good line of the file."""
-    x = lines.withColumn("good", valid_record(F.col("value")))
-    w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("before", F.last(F.when(F.col("good"), F.get_json_object("value", "$.prefix")), ignorenulls=True).over(w))
+    """Damaged lines with salvaged text and the prefix they are laid to: the last one named before the salvage point, else that of the last good line of the file.
+
+    The last good line may be any number of ranges before: each range hands its last good prefix on, so no file is one task's. Lines that don't come
+    from read_lines are dealt by range of (file, line_no) first."""
+    x = lines if AT in lines.columns else dealt(lines, ["file"], [F.col("line_no")])
+    x = x.withColumn("good", valid_record(F.col("value")))
+    x = scan(x, ["file"], lasts={"before": F.when(F.col("good"), F.get_json_object("value", "$.prefix"))})
     bad = x.where(~F.col("good")).withColumn("s", salvage("value"))
     head = F.when(F.col("s.offset").isNotNull(), F.expr("substring(value, 1, s.offset)")).otherwise(F.col("value"))
     named = F.nullif(F.regexp_extract(head, r'"prefix"\s*:\s*"([^"]*)"', 1), F.lit(""))
