@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.operators.order import AT, PART, dealt, scan
+
 # Breaker and limiter constants.
 THRESHOLD, COOLDOWN, BLOCK_COOLDOWN = 5, 120.0, 180.0
 BASE, CEILING, FLOOR = 2.5, 60.0, 0.2
@@ -13,48 +15,55 @@ COUNTED = ("transient", "limited", "blocked")
 
 
 def watermarks(df: DataFrame, key: str, order: list[str], leaves: str, records: str, t: str) -> DataFrame:
-    """Monotone high-water marks: wm_leaves, wm_records, advanced, clamped, advance_count, clamp_events, clamp_episode, first_clamp_t, wm_t."""
-    w = Window.partitionBy(key).orderBy(*order)
-    past, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    x = df.withColumn("_pl", zero(F.max(leaves).over(past))).withColumn("_pr", zero(F.max(records).over(past)))
+    """Monotone high-water marks: wm_leaves, wm_records, advanced, clamped, advance_count, clamp_events, clamp_episode, first_clamp_t, wm_t.
+
+    As the other functions on runs here, by prefix scans over range partitions: no run is one task's work."""
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    x = dealt(df, [key], [F.col(o) for o in order])
+    x = scan(x, [key], maxima={"_wl": F.col(leaves), "_wr": F.col(records)}, sums={"_row": F.lit(1)})
+    x = scan(x, [key], lags={"_pl": F.col("_wl"), "_pr": F.col("_wr")})
+    x = x.withColumn("_pl", zero("_pl")).withColumn("_pr", zero("_pr"))
     x = x.withColumn("wm_leaves", F.greatest("_pl", leaves)).withColumn("wm_records", F.greatest("_pr", records))
     x = x.withColumn("advanced", (F.col("wm_leaves") > F.col("_pl")) | (F.col("wm_records") > F.col("_pr"))).withColumn("clamped", (F.col(leaves) < F.col("_pl")) | (F.col(records) < F.col("_pr")))
-    x = x.withColumn("advance_count", F.sum(F.col("advanced").cast("int")).over(upto)).withColumn("clamp_events", F.sum(F.col("clamped").cast("int")).over(upto))
-    x = x.withColumn("_island", F.sum((~F.col("clamped")).cast("int")).over(upto))
-    inside = Window.partitionBy(key, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("clamp_episode", F.sum(F.col("clamped").cast("int")).over(inside)).withColumn("first_clamp_t", F.when(F.col("clamped"), F.min(F.when(F.col("clamped"), F.col(t))).over(inside)))
-    first = F.row_number().over(w) == 1
-    return x.withColumn("wm_t", F.max(F.when(F.col("advanced") | first, F.col(t))).over(upto)).drop("_pl", "_pr", "_island")
+    advance = F.when(F.col("advanced") | (F.col("_row") == 1), F.col(t))
+    x = scan(x, [key], sums={"advance_count": F.col("advanced").cast("int"), "clamp_events": F.col("clamped").cast("int")}, maxima={"wm_t": advance}, lags={"_pc": F.col("clamped")})
+    # an episode is counted from the last row that wasn't clamped, and begins where none was before
+    begins = F.col("clamped") & ~F.coalesce(F.col("_pc"), F.lit(False))
+    x = scan(x, [key], lasts={"_before": F.when(~F.col("clamped"), F.col("clamp_events")), "first_clamp_t": F.when(begins, F.col(t))})
+    x = x.withColumn("clamp_episode", F.col("clamp_events") - zero("_before")).withColumn("first_clamp_t", F.when(F.col("clamped"), F.col("first_clamp_t")))
+    return x.drop("_wl", "_wr", "_row", "_pl", "_pr", "_pc", "_before", PART, AT)
 
 
 def stalls(df: DataFrame, key: str, order: list[str], mark: str, t: str, limit: int = 900) -> DataFrame:
     """Rows where a stall is first seen: age since the mark's last change is limit or more, once until the mark changes again."""
-    w = Window.partitionBy(key).orderBy(*order)
-    changed = (~F.col(mark).eqNullSafe(F.lag(mark).over(w))) | (F.row_number().over(w) == 1)
-    x = df.withColumn("_ch", changed.cast("int")).withColumn("_island", F.sum("_ch").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = Window.partitionBy(key, "_island").orderBy(*order)
-    x = x.withColumn("age", F.col(t) - F.first(t).over(inside))
-    x = x.withColumn("_seen", F.sum((F.col("age") >= limit).cast("int")).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    return x.where((F.col("age") >= limit) & (F.col("_seen") == 1)).drop("_ch", "_island", "_seen")
+    x = dealt(df, [key], [F.col(o) for o in order])
+    x = scan(x, [key], lags={"_prev": F.col(mark)}, sums={"_row": F.lit(1)})
+    x = x.withColumn("_ch", (F.col("_row") == 1) | ~F.col(mark).eqNullSafe(F.col("_prev")))
+    x = scan(x, [key], lasts={"_since": F.when(F.col("_ch"), F.struct(F.col(t).alias("t")))}).withColumn("age", F.col(t) - F.col("_since.t"))
+    x = x.withColumn("_late", F.coalesce(F.col("age") >= limit, F.lit(False)).cast("int"))
+    x = scan(x, [key], sums={"_n": F.col("_late")})
+    x = scan(x, [key], lasts={"_base": F.when(F.col("_ch"), F.col("_n") - F.col("_late"))})
+    return x.where((F.col("_late") == 1) & (F.col("_n") - F.col("_base") == 1)).drop("_prev", "_row", "_ch", "_since", "_late", "_n", "_base", PART, AT)
+
+
+def since(x: DataFrame, key: str, counted: Column, name: str) -> DataFrame:
+    """Dealt rows with the number of counted rows in a row up to each; a row that isn't counted sets it to 0."""
+    x = scan(x.withColumn("_is", F.coalesce(counted, F.lit(False))), [key], sums={"_n": F.col("_is").cast("int")})
+    x = scan(x, [key], lasts={"_base": F.when(~F.col("_is"), F.col("_n"))})
+    return x.withColumn(name, F.col("_n") - F.coalesce("_base", F.lit(0))).drop("_is", "_n", "_base")
 
 
 def no_progress(df: DataFrame, key: str, order: list[str], progressed: str, limit: int = 5) -> DataFrame:
     """Rows at which a run of iterations without progress reaches the limit."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    x = df.withColumn("_island", F.sum(F.col(progressed).cast("int")).over(w))
-    n = F.sum((~F.col(progressed)).cast("int")).over(Window.partitionBy(key, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return x.withColumn("streak", n).where((F.col("streak") == limit) & ~F.col(progressed)).drop("_island")
+    x = since(dealt(df, [key], [F.col(o) for o in order]), key, ~F.col(progressed), "streak")
+    return x.where((F.col("streak") == limit) & ~F.col(progressed)).drop(PART, AT)
 
 
 def flapping(deaths: DataFrame, key: str, order: list[str], lifetime: str, rapid: int = 20, limit: int = 3, tick: int = 5, cap: int = 120) -> DataFrame:
     """deaths with rapid_n (consecutive short lives), flapping, wait."""
-    short = F.coalesce(F.col(lifetime) < rapid, F.lit(False))
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    x = deaths.withColumn("_short", short).withColumn("_island", F.sum((~short).cast("int")).over(w))
-    x = x.withColumn("rapid_n", F.sum(F.col("_short").cast("int")).over(Window.partitionBy(key, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    x = since(dealt(deaths, [key], [F.col(o) for o in order]), key, F.col(lifetime) < rapid, "rapid_n")
     wait = F.least(F.lit(cap), tick * F.pow(F.lit(2), F.greatest(F.col("rapid_n") - 1, F.lit(0)))).cast("int")
-    return x.withColumn("flapping", F.col("rapid_n") >= limit).withColumn("wait", wait).drop("_short", "_island")
+    return x.withColumn("flapping", F.col("rapid_n") >= limit).withColumn("wait", wait).drop(PART, AT)
 
 
 def heartbeat_verdict(h: DataFrame, stale: int = 900, grace: int = 120, gate_warn: int = 30, gate_freeze: int = 300) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trawl.operators.order import AT, PART, dealt, scan
+
 
 def nearest_rank(c: str | Column, p: float) -> Column:
     """Exact nearest-rank percentile: the value of rank ceil(p * n)."""
@@ -16,11 +18,11 @@ def summary(df: DataFrame, by: list[str], c: str) -> DataFrame:
 
 
 def streaks(df: DataFrame, key: str, order: list[str], ok: str) -> DataFrame:
-    """df with streak: length so far of the run of equal ok values (gaps and islands)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    change = (~F.col(ok).eqNullSafe(F.lag(ok).over(w))).cast("int")
-    df = df.withColumn("_island", F.sum(change).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return df.withColumn("streak", F.row_number().over(Window.partitionBy(key, "_island").orderBy(*order))).drop("_island")
+    """df with streak: length so far of the run of equal ok values. Scans over range partitions: a run may be longer than any task's share."""
+    x = dealt(df, [key], [F.col(o) for o in order])
+    x = scan(x, [key], lags={"_prev": F.col(ok)}, sums={"_row": F.lit(1)})
+    x = scan(x, [key], lasts={"_start": F.when((F.col("_row") == 1) | ~F.col(ok).eqNullSafe(F.col("_prev")), F.col("_row"))})
+    return x.withColumn("streak", F.col("_row") - F.col("_start") + 1).drop("_prev", "_row", "_start", PART, AT)
 
 
 def trailing_rate(df: DataFrame, key: str, t: str, bad: Column, seconds: int) -> DataFrame:

@@ -3,7 +3,6 @@
 import difflib
 
 import pandas as pd
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 from pyspark.sql.functions import pandas_udf as udf
@@ -12,6 +11,7 @@ from trawl.functions import text as T
 from trawl.functions.identifiers import identifiers
 from trawl.operators import health as H
 from trawl.operators import ledger as L
+from trawl.operators import order as O
 from trawl.operators import snapshots as S
 from trawl.plans.tables import read, requests
 
@@ -22,7 +22,8 @@ def wn_14_watermarks(spark, d):
 
 
 def wn_15_stalls(spark, d):
-    e = read(spark, d, "events").select("user_id", "event_id", F.unix_timestamp("ts").alias("t"), F.sum((F.col("event_type") == "purchase").cast("int")).over(Window.partitionBy("user_id").orderBy("event_id")).alias("mark"))
+    e = read(spark, d, "events").select("user_id", "event_id", F.unix_timestamp("ts").alias("t"), (F.col("event_type") == "purchase").cast("int").alias("bought"))
+    e = O.scan(O.dealt(e, ["user_id"], [F.col("event_id")]), ["user_id"], sums={"mark": F.col("bought")}).drop("bought", O.PART, O.AT)
     return H.stalls(e, "user_id", ["event_id"], "mark", "t", 86_400).select("event_id", "mark", "age")
 
 
@@ -33,7 +34,8 @@ def wn_16_no_progress(spark, d):
 
 def wn_17_flapping(spark, d):
     t = F.unix_timestamp("ts")
-    e = read(spark, d, "events").where("event_type = 'error'").select("user_id", "event_id", (t - F.lag(t).over(Window.partitionBy("user_id").orderBy("event_id"))).alias("life"))
+    e = read(spark, d, "events").where("event_type = 'error'").select("user_id", "event_id", t.alias("t"))
+    e = O.scan(O.dealt(e, ["user_id"], [F.col("event_id")]), ["user_id"], lags={"before": F.col("t")}).drop(O.PART, O.AT).withColumn("life", F.col("t") - F.col("before"))
     return H.flapping(e, "user_id", ["event_id"], "life", rapid=100_000).select("event_id", "rapid_n", "flapping", "wait")
 
 
@@ -87,7 +89,7 @@ def jn_16_capture_state(spark, d):
 
 
 def ag_17_site_totals(spark, d):
-    sites = spark.range(25).select(F.concat(F.lit("src"), "id").alias("site_id"))
+    sites = read(spark, d, "documents").select(F.col("source").alias("site_id")).union(read(spark, d, "customer").select(F.concat(F.lit("src"), "c_nationkey"))).distinct()
     v = S.report(S.versions(_captures(spark, d)))
     x = sites.join(v, "site_id", "left")
     return x.agg(F.sum(F.col("captures").isNull().cast("int")).alias("missing"), F.count("captures").alias("ok"), F.sum("versions").alias("versions"))
@@ -145,7 +147,7 @@ SQL = {
       p AS (SELECT *, coalesce(max(leaves) OVER q, 0) AS pl, coalesce(max(records) OVER q, 0) AS pr, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM e WINDOW q AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
       w AS (SELECT *, greatest(pl, leaves) AS wm_leaves, greatest(pr, records) AS wm_records, greatest(pl, leaves) > pl OR greatest(pr, records) > pr AS advanced, leaves < pl OR records < pr AS clamped FROM p),
       c AS (SELECT *, sum(advanced::INT) OVER u AS advance_count, sum(clamped::INT) OVER u AS clamp_events, sum((NOT clamped)::INT) OVER u AS isl, max(CASE WHEN advanced OR rn = 1 THEN t END) OVER u AS wm_t FROM w WINDOW u AS (PARTITION BY user_id ORDER BY event_id))
-      SELECT user_id, event_id, leaves, records, t, wm_leaves, wm_records, advanced, clamped, advance_count, clamp_events, sum(clamped::INT) OVER i AS clamp_episode, CASE WHEN clamped THEN min(CASE WHEN clamped THEN t END) OVER i END AS first_clamp_t, wm_t FROM c WINDOW i AS (PARTITION BY user_id, isl ORDER BY event_id)""",
+      SELECT user_id, event_id, leaves, records, t, wm_leaves, wm_records, advanced, clamped, advance_count, clamp_events, sum(clamped::INT) OVER i AS clamp_episode, CASE WHEN clamped THEN arg_min(t, event_id) FILTER (clamped) OVER i END AS first_clamp_t, wm_t FROM c WINDOW i AS (PARTITION BY user_id, isl ORDER BY event_id)""",
     "wn_15_stalls": "WITH e AS (SELECT user_id, event_id, floor(epoch(ts))::BIGINT AS t, sum((event_type = 'purchase')::INT) OVER (PARTITION BY user_id ORDER BY event_id) AS mark FROM events), a AS (SELECT *, t - first_value(t) OVER (PARTITION BY user_id, mark ORDER BY event_id) AS age FROM e) SELECT event_id, mark, age FROM a WHERE age >= 86400 QUALIFY row_number() OVER (PARTITION BY user_id, mark ORDER BY event_id) = 1",
     "wn_16_no_progress": "WITH e AS (SELECT user_id, event_id, event_type = 'purchase' AS p, sum((event_type = 'purchase')::INT) OVER (PARTITION BY user_id ORDER BY event_id) AS isl FROM events), s AS (SELECT *, sum((NOT p)::INT) OVER (PARTITION BY user_id, isl ORDER BY event_id) AS streak FROM e) SELECT user_id, event_id, streak FROM s WHERE streak = 5 AND NOT p",
     "wn_17_flapping": "WITH e AS (SELECT user_id, event_id, floor(epoch(ts))::BIGINT AS t FROM events WHERE event_type = 'error'), l AS (SELECT *, coalesce(t - lag(t) OVER (PARTITION BY user_id ORDER BY event_id) < 100000, false) AS short FROM e), i AS (SELECT *, sum((NOT short)::INT) OVER (PARTITION BY user_id ORDER BY event_id) AS isl FROM l), n AS (SELECT *, sum(short::INT) OVER (PARTITION BY user_id, isl ORDER BY event_id) AS rapid_n FROM i) SELECT event_id, rapid_n, rapid_n >= 3 AS flapping, least(120, 5 * pow(2, greatest(rapid_n - 1, 0)))::INT AS wait FROM n",
@@ -156,7 +158,7 @@ SQL = {
     "wn_04_changes": f"WITH {_VERS} SELECT site_id || '#v' || ver AS key, substr(prev, 1, 12) AS old_sha12, substr(sha, 1, 12) AS new_sha12, ord FROM v WHERE is_new = 1 AND ver > 1",
     "wn_05_flaps": f"WITH {_VERS} SELECT site_id, ord, ver FROM v WHERE flap",
     "jn_16_capture_state": f"WITH {_VERS}, o AS (SELECT site_id, arg_max(sha, ord) AS os FROM c WHERE ord % 2 = 0 AND site_id <> 'src7' GROUP BY 1), nw AS (SELECT site_id, CASE WHEN site_id <> 'src3' THEN arg_max(sha, ord) END AS ns, 1 AS tried FROM c WHERE ord % 2 = 1 AND site_id <> 'src9' GROUP BY 1) SELECT site_id, CASE WHEN tried IS NULL THEN 'missing' WHEN ns IS NULL THEN 'failed' WHEN os IS NULL THEN 'baseline' WHEN os = ns THEN 'unchanged' ELSE 'changed' END AS state FROM o FULL JOIN nw USING (site_id)",
-    "ag_17_site_totals": f"WITH {_VERS}, g AS (SELECT site_id, sum(is_new) AS versions FROM v GROUP BY 1), s AS (SELECT 'src' || unnest(generate_series(0, 24)) AS site_id) SELECT count(*) FILTER (versions IS NULL) AS missing, count(versions) AS ok, sum(versions) AS versions FROM s LEFT JOIN g USING (site_id)",
+    "ag_17_site_totals": f"WITH {_VERS}, g AS (SELECT site_id, sum(is_new) AS versions FROM v GROUP BY 1), s AS (SELECT source AS site_id FROM documents UNION SELECT 'src' || c_nationkey FROM customer) SELECT count(*) FILTER (versions IS NULL) AS missing, count(versions) AS ok, sum(versions) AS versions FROM s LEFT JOIN g USING (site_id)",
     "txt_10_identifiers": f"""WITH p AS (SELECT doc_id, replace(([{', '.join(f"'{x}'" for x in _SNIPPETS)}])[length(text) % {len(_SNIPPETS)} + 1], '{{}}', (length(text) * 31 + doc_id + 10000)::VARCHAR) || ' | ' || text AS raw FROM documents),
       q AS (SELECT doc_id, raw, replace(replace(regexp_replace(raw, '<[^>]+>', ' ', 'g'), '&#32676;', '群'), '&#21495;', '号') AS plain FROM p),
       x AS (SELECT doc_id, 'qq_num' AS kind, unnest(regexp_extract_all(regexp_replace(plain, '[0-9]+ 人聚集', '', 'g'), '群\\s*号?\\s*[:：]?\\s*([0-9]{{5,10}})\\b', 1)) AS value FROM q
