@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.operators.order import AT, PART, dealt, scan
+from trawl.operators.selection import percentiles
 
 
 def nearest_rank(c: str | Column, p: float) -> Column:
@@ -14,7 +17,11 @@ def nearest_rank(c: str | Column, p: float) -> Column:
 
 
 def summary(df: DataFrame, by: list[str], c: str) -> DataFrame:
-    return df.groupBy(*by).agg(F.count(c).alias("n"), *[nearest_rank(c, p / 100).alias(f"p{p}") for p in (50, 95, 99)], F.avg(c).alias("mean"), F.max(c).alias("max"))
+    """n, p50, p95, p99, mean and max of each group; percentiles by selection, so that a group may have any share of all rows."""
+    plain = df.groupBy(*by).agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.max(c).alias("max"))
+    ranks = percentiles(df, by, {f"p{p}": (c, p / 100) for p in (50, 95, 99)})
+    on = reduce(lambda x, y: x & y, [plain[k].eqNullSafe(ranks[k]) for k in by])
+    return plain.join(ranks, on).select(*[plain[k] for k in by], "n", "p50", "p95", "p99", "mean", "max")
 
 
 def streaks(df: DataFrame, key: str, order: list[str], ok: str) -> DataFrame:

@@ -94,13 +94,13 @@ def _leads(spark, d):
     x = read(spark, d, "documents")
     n = F.col("doc_id")
     return x.select(
-        "doc_id", F.element_at(F.array(*map(F.lit, KINDS)), (n % len(KINDS) + 1).cast("int")).alias("kind"), F.get(F.split("text", r"[ \n]"), 1).alias("value"), F.substring("text", 1, 120).alias("evidence"), F.col("source").alias("src"), (n % 100 / 100).alias("conf"), "text",
+        "doc_id", F.element_at(F.array(*map(F.lit, KINDS)), (n % len(KINDS) + 1).cast("int")).alias("kind"), F.get(F.split("text", r"[ \n]"), 1).alias("value"), F.col("text").alias("evidence"), F.col("source").alias("src"), (n % 100 / 100).alias("conf"), "text",
     ).withColumn("value", F.when(n % 10 == 3, F.concat(F.lit("_"), "value")).when(n % 10 == 4, F.lpad((n * 7919).cast("string"), 6, "1")).when(n % 50 == 7, F.lit("")).otherwise(F.col("value")))
 
 
 KINDS = ("wx_hint", "qq_num", "qq_link", "tg_link", "fb_page")
 LEADS = """leads AS (SELECT doc_id, (['wx_hint', 'qq_num', 'qq_link', 'tg_link', 'fb_page'])[doc_id % 5 + 1] AS kind, CASE WHEN doc_id % 10 = 3 THEN '_' || w WHEN doc_id % 10 = 4 THEN CASE WHEN length((doc_id * 7919)::VARCHAR) > 6 THEN substr((doc_id * 7919)::VARCHAR, 1, 6) ELSE lpad((doc_id * 7919)::VARCHAR, 6, '1') END
-  WHEN doc_id % 50 = 7 THEN '' ELSE w END AS value, substr(text, 1, 120) AS evidence, source AS src, (doc_id % 100) / 100 AS conf, text FROM (SELECT *, (regexp_split_to_array(text, '[ \\n]'))[2] AS w FROM documents))"""
+  WHEN doc_id % 50 = 7 THEN '' ELSE w END AS value, text AS evidence, source AS src, (doc_id % 100) / 100 AS conf, text FROM (SELECT *, (regexp_split_to_array(text, '[ \\n]'))[2] AS w FROM documents))"""
 BLACKLIST = ("report", "function", "script", "the", "with")
 
 
@@ -142,13 +142,15 @@ def flt_07_host_suffix(spark, d):
 def cls_12_promote(spark, d):
     x = _leads(spark, d)
     hit = F.col("evidence").contains("the ")
-    promoted = x.where(hit).select("doc_id", F.lit("contact").alias("kind"), F.substring("evidence", 1, 100).alias("value"))
+    promoted = x.where(hit).select("doc_id", F.lit("contact").alias("kind"), F.substring("evidence", 1, 200).alias("value"))
     return x.select("doc_id", "kind", "value").unionByName(promoted)
 
 
 def cls_13_article_score(spark, d):
-    x = read(spark, d, "documents").select("doc_id", F.substring("text", 1, 40).alias("title"), F.substring("text", 41, 120).alias("digest"))
-    p = "the|und|que"
+    """The title is a document's first line, the digest all that follows."""
+    title = F.substring_index("text", "\n", 1)
+    x = read(spark, d, "documents").select("doc_id", title.alias("title"), F.expr("substring(text, length(substring_index(text, '\n', 1)) + 2)").alias("digest"))
+    p = "ingth|und der|que la"
     return x.select("doc_id", (F.col("title").rlike(p).cast("int") * 2 + F.coalesce(F.col("digest").rlike(p).cast("int"), F.lit(0))).alias("score"))
 
 
@@ -199,8 +201,8 @@ SQL = {
       WHEN 'fatal' THEN CASE WHEN status = 403 THEN 'escalate_browser|forbidden_waf_suspect' ELSE 'give_up|fatal_status' END ELSE 'retry_later|unknown_cls:' || cls END AS a FROM r)""",
     "cls_10_wait_band": f"WITH {REQUESTS}, g AS (SELECT {_RETRY} AS cls, attempt, count(*) AS n FROM req GROUP BY 1, 2) SELECT cls, attempt, n, least(cap, base * pow(factor, attempt)) / 2 AS lo, least(cap, base * pow(factor, attempt)) AS hi FROM g JOIN {_BANDS} USING (cls)",
     "cls_11_platform": f"WITH l AS (SELECT page_id, ({_LINKS})[page_id % {len(LINKS)} + 1] || '?u=' || url AS link FROM pages) SELECT page_id, CASE WHEN contains(link, 't.me/') THEN 'tg_link' WHEN contains(link, 'facebook.com/groups/') THEN 'fb_group' WHEN contains(link, 'facebook.com/') THEN 'fb_page' WHEN regexp_matches(link, 'chat\\.whatsapp\\.com|wa\\.me|whatsapp\\.com/channel') THEN 'wa_link' WHEN regexp_matches(link, 'discord\\.(gg|com/invite)') THEN 'dc_link' WHEN contains(link, 'instagram.com/') THEN 'ig_page' END AS kind FROM l",
-    "cls_12_promote": f"WITH {LEADS} SELECT doc_id, kind, value FROM leads UNION ALL SELECT doc_id, 'contact', substr(evidence, 1, 100) FROM leads WHERE contains(evidence, 'the ')",
-    "cls_13_article_score": "SELECT doc_id, CASE WHEN regexp_matches(substr(text, 1, 40), 'the|und|que') THEN 2 ELSE 0 END + CASE WHEN regexp_matches(substr(text, 41, 120), 'the|und|que') THEN 1 ELSE 0 END AS score FROM documents",
+    "cls_12_promote": f"WITH {LEADS} SELECT doc_id, kind, value FROM leads UNION ALL SELECT doc_id, 'contact', substr(evidence, 1, 200) FROM leads WHERE contains(evidence, 'the ')",
+    "cls_13_article_score": "SELECT doc_id, CASE WHEN regexp_matches(split_part(text, chr(10), 1), 'ingth|und der|que la') THEN 2 ELSE 0 END + CASE WHEN regexp_matches(substr(text, length(split_part(text, chr(10), 1)) + 2), 'ingth|und der|que la') THEN 1 ELSE 0 END AS score FROM documents",
     "cls_14_domains": f"WITH {LEADS}, {_DOMAINS} SELECT doc_id, domain FROM doms",
     "ag_23_domain_counts": f"WITH {LEADS}, {_DOMAINS} SELECT domain, count(DISTINCT doc_id) AS n, count(DISTINCT doc_id) >= 3 AS productive FROM doms GROUP BY 1",
     "cls_15_section": f"WITH {LEADS} SELECT CASE WHEN kind IN ('qq_num', 'qq_link') THEN 'groups' ELSE 'contacts' END AS kind_group, CASE WHEN toxic = 1 THEN 'core' WHEN quality = 1 THEN 'related' ELSE 'other' END AS section, count(*) AS n FROM leads LEFT JOIN labels USING (doc_id) GROUP BY 1, 2",

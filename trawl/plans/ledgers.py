@@ -1,9 +1,9 @@
 """Ledger queries: WN-01/02/18, AG-01/03/04/18, ST, SR, JN-01..04/15/17/18, VD-09/10."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trawl.operators import ledger as L
+from trawl.operators.order import ranked
 from trawl.plans.classes import LEADS, _leads
 from trawl.plans.tables import read
 
@@ -127,7 +127,7 @@ def jn_18_redirects(spark, d):
 def sr_01_merge_order(spark, d):
     """The merge order as a rank within each kind: conf falling, null as 0, then id."""
     x = _leads(spark, d).select("doc_id", "kind", F.when(F.col("doc_id") % 13 == 0, None).otherwise(F.col("conf")).alias("conf"))
-    return L.top_per(x, ["kind"], [F.coalesce("conf", F.lit(0.0)).desc(), F.col("doc_id")], 1 << 30).select("doc_id", "kind", "rn")
+    return ranked(x, ["kind"], [F.coalesce("conf", F.lit(0.0)).desc(), F.col("doc_id")]).select("doc_id", "kind", "rn")
 
 
 def sr_02_top(spark, d):
@@ -136,8 +136,8 @@ def sr_02_top(spark, d):
 
 def sr_03_top_per_section(spark, d):
     x = _leads(spark, d).join(read(spark, d, "labels"), "doc_id", "left").withColumn("section", F.when(F.col("toxic") == 1, "core").when(F.col("quality") == 1, "related").otherwise("other"))
-    n = F.when(F.col("section") == "other", 80).otherwise(1 << 30)
-    return L.top_per(x, ["section"], [F.desc("conf"), F.col("doc_id")], n).select("doc_id", "section", "rn")
+    x = ranked(x.select("doc_id", "section", "conf"), ["section"], [F.desc("conf"), F.col("doc_id")])
+    return x.where("section <> 'other' OR rn <= 80").select("doc_id", "section", "rn")
 
 
 def sr_04_newest(spark, d):
@@ -155,9 +155,11 @@ def sr_06_link_budget(spark, d):
 
 def sr_07_dig_order(spark, d):
     """Score falling; articles without a score only within 70 % of the budget."""
-    x = read(spark, d, "documents").select("source", "doc_id", (F.substring("text", 1, 40).rlike("the|und|que").cast("int") * 2).alias("score"))
+    x = read(spark, d, "documents").select("source", "doc_id", (F.col("text").rlike("ingth|und der|que la").cast("int") * 2).alias("score"))
     budget = 20
-    return L.top_per(x, ["source"], [F.desc("score"), F.col("doc_id")], F.when(F.col("score") > 0, budget).otherwise(int(budget * 0.7)))
+    # the bound for all comes first: so many rows of a source are kept before they are sent
+    x = L.top_per(x, ["source"], [F.desc("score"), F.col("doc_id")], budget)
+    return x.where((F.col("score") > 0) | (F.col("rn") <= int(budget * 0.7)))
 
 
 def sr_08_samples(spark, d):
@@ -171,9 +173,9 @@ def wn_18_bounded(spark, d):
 def vd_09_consistency(spark, d):
     x = _leads(spark, d)
     missing = x.where("value IS NULL OR value = ''").select(F.lit("missing_field").alias("issue"), "doc_id")
-    repeats = x.withColumn("n", F.count("*").over(Window.partitionBy("kind", "value"))).where("n > 1").select(F.lit("duplicate"), "doc_id")
-    evidence = x.where("NOT contains(evidence, value) AND kind NOT IN ('qq_link', 'fb_page')").select(F.lit("evidence"), "doc_id")
-    return missing.unionAll(repeats).unionAll(evidence).groupBy("issue").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
+    repeats = x.groupBy("kind", "value").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).where("n > 1").groupBy(F.lit("duplicate").alias("issue")).agg(F.sum("n").alias("n"), F.min("first_doc").alias("first_doc"))
+    evidence = x.where("NOT contains(evidence, value) AND kind NOT IN ('qq_link', 'fb_page')").select(F.lit("evidence").alias("issue"), "doc_id")
+    return missing.unionAll(evidence).groupBy("issue").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc")).unionByName(repeats)
 
 
 def vd_10_deliverable(spark, d):
@@ -209,7 +211,7 @@ SQL = {
     "sr_04_newest": "SELECT event_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 20",
     "sr_05_batch": f"WITH {_FRONT} SELECT url, ord FROM fr ORDER BY ord LIMIT 500",
     "sr_06_link_budget": "SELECT l_suppkey AS page, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS rn FROM lineitem QUALIFY rn <= 40",
-    "sr_07_dig_order": "WITH x AS (SELECT source, doc_id, CASE WHEN regexp_matches(substr(text, 1, 40), 'the|und|que') THEN 2 ELSE 0 END AS score FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) AS rn FROM x) SELECT * FROM r WHERE rn <= CASE WHEN score > 0 THEN 20 ELSE 14 END",
+    "sr_07_dig_order": "WITH x AS (SELECT source, doc_id, CASE WHEN regexp_matches(text, 'ingth|und der|que la') THEN 2 ELSE 0 END AS score FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) AS rn FROM x) SELECT * FROM r WHERE rn <= CASE WHEN score > 0 THEN 20 ELSE 14 END",
     "sr_08_samples": "SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn FROM events QUALIFY rn <= 4",
     "wn_18_bounded": "SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS rn FROM events QUALIFY rn <= 500",
     "vd_09_consistency": f"WITH {LEADS}, i AS (SELECT 'missing_field' AS issue, doc_id FROM leads WHERE value IS NULL OR value = '' UNION ALL SELECT 'duplicate', doc_id FROM (SELECT doc_id, count(*) OVER (PARTITION BY kind, value) AS n FROM leads) WHERE n > 1 UNION ALL SELECT 'evidence', doc_id FROM leads WHERE NOT contains(evidence, value) AND kind NOT IN ('qq_link', 'fb_page')) SELECT issue, count(*) AS n, min(doc_id) AS first_doc FROM i GROUP BY 1",

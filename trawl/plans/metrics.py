@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from trawl.functions import classify as C
 from trawl.operators import ledger as L
 from trawl.operators import metrics as M
+from trawl.operators.selection import percentiles
 from trawl.plans.tables import REQUESTS, read, requests
 
 def bad():
@@ -49,8 +50,12 @@ def ag_11_end_to_end(spark, d):
     """Queue and transfer times added up, by kind and overall."""
     li = read(spark, d, "lineitem").select(F.col("l_returnflag").alias("kind"), F.col("l_quantity").cast("long").alias("http"), (F.col("l_partkey") % 60).alias("wait"))
     li = li.withColumn("e2e", F.col("http") + F.col("wait"))
-    out = li.rollup("kind").agg(F.count("*").alias("n"), *[M.nearest_rank(c, 0.95).alias(f"{c}_p95") for c in ("http", "wait", "e2e")], F.sum((F.col("e2e") > 90).cast("long")).alias("over_n"))
-    return out.select("*", (F.col("e2e_p95") > 90).alias("p95_over"))
+    # the total is a group of its own that holds all rows
+    li = li.select(F.explode(F.array(F.struct("kind", F.lit(0).alias("level")), F.struct(F.lit(None).cast("string").alias("kind"), F.lit(1).alias("level")))).alias("of"), "http", "wait", "e2e").select("of.kind", "of.level", "http", "wait", "e2e")
+    out = li.groupBy("kind", "level").agg(F.count("*").alias("n"), F.sum((F.col("e2e") > 90).cast("long")).alias("over_n"))
+    ranks = percentiles(li, ["kind", "level"], {f"{c}_p95": (c, 0.95) for c in ("http", "wait", "e2e")}).withColumnRenamed("kind", "of").withColumnRenamed("level", "at")
+    out = out.join(ranks, out["kind"].eqNullSafe(ranks["of"]) & (out["level"] == ranks["at"]))
+    return out.select("kind", "n", "http_p95", "wait_p95", "e2e_p95", "over_n", (F.col("e2e_p95") > 90).alias("p95_over"))
 
 
 def ag_12_active_window(spark, d):
@@ -63,8 +68,8 @@ def ag_13_throughput(spark, d):
     """Unique keys a day on the run's own span, and the difference in per cent against the run with id 1."""
     r = requests(spark, d).groupBy("domain").agg(F.count_distinct("event_type", "status").alias("uniq"), F.count("*").alias("n"), (F.max("t") - F.min("t")).alias("span"))
     r = r.select("domain", "uniq", "n", F.when(F.col("span") > 0, F.floor(F.col("n") * 8640000 / F.col("span"))).alias("per_day_100"))
-    base = r.where("domain = 1").select(F.col("per_day_100").alias("base"))
-    return r.join(F.broadcast(base), F.lit(True), "left").select("domain", "uniq", "n", "per_day_100", F.when(F.col("base") > 0, F.floor((F.col("per_day_100") - F.col("base")) * 1000 / F.col("base"))).alias("delta_permille"))
+    base = r.where("domain = 1").agg(F.max("per_day_100").alias("base"))  # one row by its form
+    return r.join(F.broadcast(base), F.lit(True)).select("domain", "uniq", "n", "per_day_100", F.when(F.col("base") > 0, F.floor((F.col("per_day_100") - F.col("base")) * 1000 / F.col("base"))).alias("delta_permille"))
 
 
 def ag_14_rate_bands(spark, d):
