@@ -28,7 +28,7 @@ def test_rules_and_parts(spark):
 
 def test_signs(spark):
     long_ = "<p>" + "plain words " * 20 + "</p>"
-    cases = [(1, "http://a.org/x", long_, 0), (2, "http://a.org/x", None, None), (3, "http://a.org/x", "<p>short</p>", 1), (4, "http://m.casino-win.org/", long_, 1), (5, "http://a.org/Best-Bets/", long_, 1), (6, "http://alphabets.org/", long_, 0), (7, "http://a.org", long_ + "<a href=x>l</a>" * 20, 1), (8, "http://a.org", long_ * 20_000 + "%", 0), (9, None, "%" * 100, 1)]
+    cases = [(1, "http://a.org/x", long_, 0), (2, "http://a.org/x", None, None), (3, "http://a.org/x", "<p>short</p>", 1), (4, "http://m.casino-win.org/", long_, 0), (5, "http://a.org/Best-Bets/", long_, 1), (6, "http://alphabets.org/", long_, 0), (7, "http://a.org", long_ + "<a href=x>l</a>" * 20, 1), (8, "http://a.org", long_ * 20_000 + "%", 0), (9, None, "%" * 100, 1)]
     df = spark.createDataFrame(cases, "page_id long, url string, html string, want int")
     for r in df.select("page_id", "want", urls.bad_page(F.col("url"), F.col("html")).alias("got")).collect():
         assert r.got == r.want, r
@@ -50,6 +50,20 @@ def test_bad_hosts_are_blocked_by_the_corpus_own_rate(spark):
     assert {(r.host, r._host) for r in got} == {("x", "z")}
 
 
+def test_pages_decide_not_names(spark):
+    """A host with a listed word and good pages stays; an innocent name with bad pages is blocked."""
+    good, bad = "<p>" + "plain words " * 20 + "</p>", "<p>" + "%%$$ words " * 20 + "</p>"
+    rows = [(f"http://{h}/{i}", bad if h == "quiet.garden.org" else good) for h in ("casino.xxx-spam.org", "quiet.garden.org", *[f"h{k}.org" for k in range(40)]) for i in range(30)]
+    got = urls.judge(spark.createDataFrame(rows, "url string, html string"), rules=()).select("judged.host", "judged.verdict").distinct().collect()
+    assert {r.host for r in got if r.verdict == "block"} == {"quiet.garden.org"} and len(got) == 42
+
+
+def test_long_urls_and_pages(spark):
+    rows = [("http://h.org/" + "a" * 100_000 + "?" + "q" * 100_000, "<p>" + "word " * 200_000), ("http://" + "h" * 50_000 + ".org", "x" * 300_000)]
+    got = urls.judge(spark.createDataFrame(rows, "url string, html string")).select("judged.*").collect()
+    assert sorted(len(r.path) for r in got) == [0, 100_001] and {r.verdict for r in got} == {"allow"}
+
+
 def test_query_columns(spark, tmp_path):
     spark.createDataFrame([(1, "http://a.co.uk:80/x", "t", "u", "v")], "page_id long, url string, html string, verdict string, host string").write.parquet(f"{tmp_path}/pages.parquet")
     got = q_urls.op10_url_reputation(spark, str(tmp_path))

@@ -15,7 +15,7 @@ _LAST = r"(:[0-9]*)?$"
 _TWO = rf"regexp_extract(host, '([^.:]+\.[^.:]+){_LAST}', 1)"
 _PUBLIC, _THREE = f"regexp_extract(host, '{urls._DOUBLE}', 1)", f"regexp_extract(host, '{urls._DOUBLE_DOMAIN}', 1)"
 _TEXT = "length(regexp_replace(html, '<[^>]*>', '', 'g'))"
-_BAD = f"""(length(html) - length(translate(html, '{urls.SYMBOLS}', ''))) * {urls.NOISE} > length(html) OR regexp_matches(host || translate(path, '{urls.UPPER}', '{urls.LOWER}'), '{urls._WORD}')
+_BAD = f"""(length(html) - length(translate(html, '{urls.SYMBOLS}', ''))) * {urls.NOISE} > length(html) OR regexp_matches(translate(path, '{urls.UPPER}', '{urls.LOWER}'), '{urls._WORD}')
   OR {_TEXT} < {urls.THIN} OR (length(html) - length(replace(html, '<a ', ''))) / 3.0 * {urls.CROWDED} > {_TEXT}"""
 _FITS = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v) for v, h, p in sorted(urls.RULES, key=lambda r: -len(r[1] + r[2]))]
 

@@ -2,8 +2,9 @@
 
 Every page has an outcome, bad or good: that of a column of labels where one is given, else that of signs on the page. A page
 is bad when one of these signs shows: symbols of the kind that garbled pages repeat make up more than one in NOISE of its characters;
-its host or path has a word of WORDS; it has markup but fewer than THIN characters of text; it has more than one link for
-each CROWDED characters of text. Pages without html have no outcome. Bad rates are shrunk level by level: the suffix towards the
+its path has a word of WORDS; it has markup but fewer than THIN characters of text; it has more than one link for
+each CROWDED characters of text. The host's name is no sign: what
+is estimated for a host rests on its pages alone. Pages without html have no outcome. Bad rates are shrunk level by level: the suffix towards the
 corpus, the registered domain towards its suffix, the host towards its domain, each as the mean of a beta-binomial
 posterior whose prior strength is estimated from the spread of that level (method of moments). A host is blocked
 when the lower bound of its posterior bad rate is above LIFT times the corpus' own bad rate (at most HIGHEST). List rules come first: the longest that fits wins.
@@ -75,7 +76,7 @@ def bad_page(url, html):
     noise = F.length(html) - F.length(F.translate(html, SYMBOLS, ""))
     text = F.length(F.regexp_replace(html, "<[^>]*>", ""))
     links = (F.length(html) - F.length(F.replace(html, F.lit("<a "), F.lit("")))) / 3
-    words = F.concat(host_of(url), F.translate(path_of(url), UPPER, LOWER)).rlike(_WORD)
+    words = F.translate(path_of(url), UPPER, LOWER).rlike(_WORD)
     bad = (noise * NOISE > F.length(html)) | words | (text < THIN) | (links * CROWDED > text)
     return F.when(html.isNull(), None).when(bad, 1).otherwise(0)
 
