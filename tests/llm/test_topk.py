@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import pytest
 
@@ -29,12 +30,30 @@ def test_against_brute_force(spark, monkeypatch, k):
     assert got == brute(rows, k)
 
 
-def test_empty_and_large(spark):
+def test_empty(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(none, none).count() == 0
-    big = spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>")
-    with pytest.raises(Exception, match="too large"):
-        topk.top_k(big, big).count()
+
+
+def test_components_of_any_size(spark):
+    """Exact ranks beside components far beyond 64 bits, with repeated and null ids."""
+    r = random.Random(3)
+    rows = [(i, [r.gauss(0, 1), r.choice([1e20, -1e20, 1e300, 2.0**55, 0.5, 0.25]), r.gauss(0, 1e6)]) for i in range(60)]
+    rows += [(20, [1.0, 2.0, 3.0]), (20, [1e20, 1.0, 1.0]), (7, [0.1, 0.1, 0.1]), (None, [1e25, 1.0, 1.0]), (61, [5e-324, -1.7e308, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((x.query_id, x.rank, x.vec_id, x.score) for x in topk.top_k(df, df.where("vec_id % 20 = 0"), 200).collect())
+    whole = [(i, [math.floor(Fraction(x) * 64) for x in v]) for i, v in rows if i is not None]
+    scores = {}
+    for q, a in whole:
+        if q % 20 == 0:
+            scores.setdefault(q, []).extend((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in whole if i != q)
+    want = [(q, n + 1, i, min(max(-s, -(2**63)), 2**63 - 1)) for q, found in scores.items() for n, (s, i) in enumerate(sorted(found)[:200])]
+    assert got == sorted(want)
+
+
+def test_order():
+    values = sorted(random.Random(1).sample(range(-1000, 1000), 500) + [10**300, -(10**300), 2**63, -(2**63)])
+    assert sorted(values, key=topk._order) == values
 
 
 def test_digits():

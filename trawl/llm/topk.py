@@ -11,13 +11,18 @@ Queries are dealt into chunks of CHUNK, and each (block, chunk) is a task of its
 its components have digits, and streams the chunk's queries past it. So neither the queries nor the rows are ever
 in one place, and with n vectors and q queries n * q / CHUNK index entries and q * n / BLOCK queries are sent: one for each
 tens of thousands of scores. Where that gives too few tasks for the session, chunks are smaller; the result is the same. Vectors that are null, or hold a null or a component that is not finite, take no part. Vectors of
-unequal length: missing components count as zero. Empty vectors score 0. Repeated ids are separate rows; a query never meets its own id. Integers so large that a score could leave 62 bits raise an error.
+unequal length: missing components count as zero. Empty vectors score 0. Repeated ids are separate rows, dealt by id and vector; a query never meets its own id.
+Components of any finite size are exact: slices and scores have as many digits as the numbers ask for. Rows with a
+component of 2 ** WIDE or more after scaling go to blocks of their own, of FEW rows, as their slices are many. Ranks follow
+the whole scores; a score beyond 64 bits is given as the nearest long.
 An empty table gives an empty result. Only key and vector are read, so other columns' names can't clash.
 """
 
 from __future__ import annotations
 
 import math
+from fractions import Fraction
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -26,18 +31,22 @@ from pyspark.sql import functions as F
 from trawl.llm.common import staged
 
 BLOCK, CHUNK = 65_536, 16_384
+#: Digits from which on rows are indexed apart, and how many of them a block has.
+WIDE, FEW = 56, 1_024
 
 
 def slices_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """(attributes x digits x words) bitmaps, the attributes' smallest values, and the number of rows."""
     n, dims = values.shape
     low = values.min(axis=0) if n else np.zeros(dims, np.int64)
-    up = (values - low).astype(np.uint64)
-    width = int(up.max(initial=0)).bit_length()
+    up = values - low
+    width = int(up.max()).bit_length() if up.size else 0
+    if values.dtype != object:
+        up = up.astype(np.uint64)
     words = -(-n // 64)
     out = np.zeros((dims, width, words * 8), np.uint8)
     for j in range(width):
-        bits = ((up >> np.uint64(j)) & np.uint64(1)).astype(np.uint8)
+        bits = ((up >> (j if up.dtype == object else np.uint64(j))) & (1 if up.dtype == object else np.uint64(1))).astype(np.uint8)
         out[:, j, : -(-n // 8)] = np.packbits(bits, axis=0, bitorder="little").T
     return out.view(np.uint64), low, n
 
@@ -125,35 +134,55 @@ def value_of(score: list[np.ndarray], rows: np.ndarray, offset: int) -> list[int
     return out
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
+def _whole(x: float, scale: float) -> int:
+    """floor(scale * x), also where the product is no double."""
+    y = scale * x
+    return math.floor(y) if math.isfinite(y) else math.floor(Fraction(x) * Fraction(scale))
+
+
+def _matrix(column: pd.Series, scale: float) -> np.ndarray:
+    """Scaled components as integers: of 64 bits where all are small, else Python's."""
     n = max((len(x) for x in column), default=0)
-    out = np.zeros((len(column), n), np.int64)
+    out = np.zeros((len(column), n), np.float64)
     for i, x in enumerate(column):
         out[i, : len(x)] = x
-    return out
+    with np.errstate(over="ignore"):
+        scaled = np.floor(scale * out)
+    if np.abs(scaled).max(initial=0) < 2.0**62:
+        return scaled.astype(np.int64)
+    return np.array([[_whole(x, scale) for x in row] for row in out.tolist()], object).reshape(out.shape)
 
 
-def _index(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+def _index(key: tuple, pdf: pd.DataFrame, scale: float) -> pd.DataFrame:
     """One row of a block's index: its ids in order, the attributes' smallest values, and the slices."""
     pdf = pdf.sort_values("id", kind="stable")
-    values = _matrix(pdf["v"])
+    values = _matrix(pdf["v"], scale)
     slices, low, n = slices_of(values)
-    return pd.DataFrame({"block": [key[0]], "ids": [pdf["id"].to_numpy(np.int64).tobytes()], "low": [low.tobytes()], "most": [int(np.abs(values).max(initial=0))], "width": [slices.shape[1]], "slices": [slices.tobytes()]})
+    return pd.DataFrame({"block": [key[0]], "ids": [pdf["id"].to_numpy(np.int64).tobytes()], "low": [[str(x) for x in low]], "width": [slices.shape[1]], "slices": [slices.tobytes()]})
+
+
+def _order(score: int) -> str:
+    """A text that orders as the scores do, whatever their size."""
+    digits = str(abs(score))
+    if score >= 0:
+        return f"1{len(digits):04d}{digits}"
+    return f"0{9999 - len(digits):04d}" + digits.translate(_NINES)
+
+
+_NINES = str.maketrans("0123456789", "9876543210")
 
 
-def _search(index: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
+def _search(index: pd.DataFrame, asked: pd.DataFrame, k: int, scale: float) -> pd.DataFrame:
     found = []
+    queries = [(q, _matrix(pd.Series([v]), scale)[0]) for q, v in zip(asked["id"], asked["v"], strict=True)]
     for row in index.itertuples():
-        ids, low = np.frombuffer(row.ids, np.int64), np.frombuffer(row.low, np.int64)
+        ids, low = np.frombuffer(row.ids, np.int64), [int(x) for x in row.low]
         n, dims = len(ids), len(low)
         slices = np.frombuffer(row.slices, np.uint64).reshape(dims, row.width, -1) if dims and row.width else np.zeros((dims, 0, -(-n // 64)), np.uint64)
         everyone = np.zeros(-(-n // 64) * 8, np.uint8)
         everyone[: -(-n // 8)] = np.packbits(np.ones(n, np.uint8), bitorder="little")
         everyone = everyone.view(np.uint64)
-        for q, v in zip(asked["id"], asked["v"], strict=True):
-            v = np.asarray(v, np.int64)
-            if int(np.abs(v).max(initial=0)) * row.most * max(1, dims) >= 2**62:
-                raise OverflowError("scores may leave 62 bits")
+        for q, v in queries:
             score, offset = score_slices(slices, low, v)
             alive = everyone
             own = np.arange(np.searchsorted(ids, q, "left"), np.searchsorted(ids, q, "right"))
@@ -161,29 +190,31 @@ def _search(index: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
                 alive = alive.copy()
                 np.bitwise_and.at(alive, own >> 6, ~(np.uint64(1) << (own & 63).astype(np.uint64)))
             rows = top_rows(score, alive, k)
-            found += [(q, ids[r], s) for r, s in zip(rows, value_of(score, rows, offset), strict=True)]
-    return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+            found += [(q, ids[r], min(max(s, -(2**63)), 2**63 - 1), _order(s)) for r, s in zip(rows, value_of(score, rows, offset), strict=True)]
+    return pd.DataFrame(found, columns=["query_id", "vec_id", "score", "by"]).astype({"query_id": "int64", "vec_id": "int64", "score": "int64"})
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, vec: str = "embedding", key: str = "vec_id") -> DataFrame:
     """Each query's k best rows of vectors: query_id, rank (from 1), vec_id, score. queries has the same columns."""
 
     def whole(df: DataFrame) -> DataFrame:
-        v = F.transform(vec, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
         fit = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-        huge = F.exists(vec, lambda x: F.abs(x.cast("double")) >= 2.0**60 / scale)
-        return df.where(F.col(key).isNotNull() & F.col(vec).isNotNull() & fit).select(F.col(key).cast("long").alias("id"), F.when(huge, F.raise_error(F.lit("a component is too large"))).otherwise(v).alias("v"))
+        wide = F.exists("v", lambda x: F.abs(x) >= 2.0**WIDE / scale)
+        return df.where(F.col(key).isNotNull() & F.col(vec).isNotNull() & fit).select(F.col(key).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v")).withColumn("wide", wide)
 
     vectors, queries = whole(vectors), whole(queries)
-    n_rows, n_queries = vectors.count(), queries.count()
-    blocks = max(1, math.ceil(n_rows / BLOCK))
+    n_rows, n_wide = vectors.agg(F.count("*"), F.count_if("wide")).first()
+    n_queries = queries.count()
+    plain, apart = max(1, math.ceil((n_rows - n_wide) / BLOCK)), math.ceil(n_wide / FEW)
+    blocks = plain + apart
     busy = 2 * vectors.sparkSession.sparkContext.defaultParallelism
     chunks = max(1, math.ceil(n_queries / CHUNK), min(math.ceil(busy / blocks), math.ceil(n_queries / 64)))
-    deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(max(1, n))).cast("int")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    index = vectors.select("id", "v", deal(blocks).alias("block")).groupBy("block").applyInPandas(_index, "block int, ids binary, low binary, most long, width int, slices binary")
+    index = vectors.select("id", "v", F.when(F.col("wide"), deal(apart) + plain).otherwise(deal(plain)).alias("block"))
+    index = index.groupBy("block").applyInPandas(lambda key, pdf: _index(key, pdf, float(scale)), "block int, ids binary, low array<string>, width int, slices binary")
     index = staged(index, "slices").select("*", spread(chunks).alias("chunk"))
     asked = queries.select("id", "v", deal(chunks).alias("chunk")).select("*", spread(blocks).alias("block"))
-    found = index.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInPandas(lambda a, b: _search(a, b, k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = index.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInPandas(lambda a, b: _search(a, b, k, float(scale)), "query_id long, vec_id long, score long, by string")
+    best = Window.partitionBy("query_id").orderBy(F.desc("by"), "vec_id")
     return found.select("*", F.row_number().over(best).alias("rank")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
