@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trawl.operators import audit as A
+from trawl.operators import contract as K
 from trawl.operators import coverage as V
 from trawl.plans.tables import read
 
@@ -31,60 +32,110 @@ def wn_07_time_regressions(spark, d):
     return A.time_regressions(_audit(spark, d), ["user_id"], "line", "t").select("line", "t", "high")
 
 
-LAYOUTS = ('{"schema": "r3-audit-v2", "seq": 1}', '{"adapter": "keeper", "event": "restart"}', '{"mem_mb": 5, "event": "trim"}', '{"ts": 5, "event": "x"}', "{}")
-ALIASES = {"restart": "keeper_restart", "trim": "mem_abort", "level-up": "mem_level_change", "deadline_breach": "deadline_breached"}
+#: What the audit queries take as known: the contract's own tables, with this data's first day.
+CONTRACT = K.Contract(earliest=1_704_100_000)
+COMPAT = K.Contract(earliest=1_704_100_000, compat=True)
+#: events' types as names of audit events: canonical ones, one alias, and others that stay unknown
+AS_EVENTS = {"click": "retry_scheduled", "view": "run_start", "purchase": "keeper_restart", "error": "restart"}
 
 
-def _lines(spark, d):
-    e = read(spark, d, "events")
-    return e.select("event_id", F.element_at(F.array(*map(F.lit, LAYOUTS)), (F.col("event_id") % 5 + 1).cast("int")).alias("raw"))
+#: Seconds of a run: a user's events of so long are one run's lines.
+SPAN = 3 * 86_400
+RUN = f"user_id || '-' || (floor(epoch(ts))::BIGINT // {SPAN})"
+
+
+def run_of(user, t):
+    return F.concat_ws("-", user, F.floor(t / SPAN).cast("long"))
+
+
+def lines(spark, d):
+    """events as JSON lines of audit files: run, line, sure (the file is an authoritative one), value. What a line lacks or has wrong goes by the event's own value and time."""
+    b, t = F.floor(F.col("value") * 100).cast("long"), F.unix_timestamp("ts")
+    e = read(spark, d, "events").select("event_id", "user_id", "event_type", b.alias("b"), t.alias("t"))
+    b, t = F.col("b"), F.col("t")
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    part = lambda name, c: F.concat(F.lit(f'"{name}":'), c)
+    iso = F.date_format(F.timestamp_seconds(t + F.when(b % 13 == 0, 60).otherwise(0)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    name = F.coalesce(F.create_map(*[F.lit(x) for kv in AS_EVENTS.items() for x in kv])[F.col("event_type")], F.col("event_type"))
+    fields = [
+        F.when(b % 29 == 0, part("schema", F.lit('"keeper-audit-v1"'))).when(b % 31 != 0, part("schema", F.lit('"r3-audit-v2"'))),
+        F.when(b % 17 != 0, part("ts_epoch", t.cast("string"))).otherwise(part("ts", t.cast("string"))),
+        F.when(b % 37 == 0, part("ts_iso", F.lit('"soon"'))).when(b % 53 != 0, part("ts_iso", text(iso))),
+        F.when(b % 41 == 0, part("pid", text(F.col("user_id").cast("string")))).otherwise(part("pid", F.col("user_id").cast("string"))),
+        F.when(b % 43 != 0, part("writer", text(F.element_at(F.array(*map(F.lit, ("retry", "converge", "keeper"))), (b % 3 + 1).cast("int"))))),
+        part("seq", (F.col("event_id") % 200).cast("string")),
+        part("level", text(F.element_at(F.array(*map(F.lit, ("request", "block", "process", "request", "process", "odd"))), (b % 6 + 1).cast("int")))),
+        part("event", text(name)),
+        F.when(b % 19 == 0, part("detail", F.lit('"none"'))).when(b % 23 != 0, part("detail", F.concat(F.lit('{"b":'), b.cast("string"), F.lit("}")))),
+    ]
+    value = F.when(b % 59 == 0, "torn {").otherwise(F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")))
+    return e.select(run_of(F.col("user_id"), t).alias("run"), F.col("event_id").alias("line"), (b % 47 != 0).alias("sure"), value.alias("value"))
+
+
+def _read(spark, d, contract=CONTRACT):
+    return K.read(lines(spark, d), contract, authoritative="sure")
 
 
 def cls_16_layout(spark, d):
-    has = lambda k: F.get_json_object("raw", f"$.{k}").isNotNull()
-    layout = F.when(F.get_json_object("raw", "$.schema") == "r3-audit-v2", "v2").when(has("adapter"), "keeper").when(has("mem_mb"), "memguard").when(has("ts"), "legacy").otherwise("aux")
-    return _lines(spark, d).groupBy(layout.alias("layout")).agg(F.count("*").alias("n"))
+    return _read(spark, d).groupBy("rec.layout").agg(F.count("*").alias("n"))
 
 
 def cls_17_alias(spark, d):
-    name = F.get_json_object("raw", "$.event")
-    table = F.create_map(*[F.lit(x) for kv in ALIASES.items() for x in kv])
-    return _lines(spark, d).groupBy(F.coalesce(table[name], name).alias("event")).agg(F.count("*").alias("n"))
+    return _read(spark, d).groupBy("rec.layout", "rec.raw_event", "rec.event").agg(F.count("*").alias("n"))
 
 
 def cls_18_normalised(spark, d):
-    g = lambda k: F.get_json_object("raw", f"$.{k}")
-    return _lines(spark, d).select("event_id", F.coalesce(g("ts"), F.lit("0")).cast("long").alias("ts"), F.coalesce(g("seq"), F.lit("0")).cast("long").alias("seq"), F.coalesce(g("event"), F.lit("")).alias("event"))
-
-
-EVENTS = {"click": ("request",), "view": ("request", "block"), "purchase": ("process",)}
+    r = _read(spark, d).where("rec.layout <> 'bad'")
+    return r.select("line", "rec.layout", F.floor("rec.ts").cast("long").alias("ts"), "rec.ts_iso", "rec.pid", "rec.writer", "rec.seq", "rec.level", "rec.event", "rec.detail")
 
 
 def cls_19_line_issues(spark, d):
-    """Contract violations, one row each: time range, seq, level, event table, level pairing."""
-    a = _audit(spark, d)
-    level = F.element_at(F.array(*map(F.lit, ("request", "block", "process", "odd"))), (F.col("line") % 4 + 1).cast("int"))
-    a = a.withColumn("level", level)
-    known = F.col("event_type").isin(*EVENTS)
-    allowed = F.create_map(*[x for k, v in EVENTS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    issues = F.array_compact(F.array(
-        F.when(F.col("t") < 1_704_070_000, "ts_implausible"),
-        F.when(F.col("seq") < 1, "seq_not_positive"),
-        F.when(F.col("level") == "odd", "level_not_in_enum"),
-        F.when(~known, "event_unknown"),
-        F.when(known & (F.col("level") != "odd") & ~F.array_contains(allowed[F.col("event_type")], F.col("level")), "event_level_mismatch"),
-    ))
-    return a.select("line", F.explode(issues).alias("issue"))
-
-
-SOFT = ("event_unknown", "ts_implausible")
-_ISSUES = f"""WITH {AUDIT}, a AS (SELECT *, (['request', 'block', 'process', 'odd'])[line % 4 + 1] AS level FROM au), i AS (SELECT line, 'ts_implausible' AS issue FROM a WHERE t < 1704070000 UNION ALL SELECT line, 'seq_not_positive' FROM a WHERE seq < 1 UNION ALL SELECT line, 'level_not_in_enum' FROM a WHERE level = 'odd'
-  UNION ALL SELECT line, 'event_unknown' FROM a WHERE event_type NOT IN ('click', 'view', 'purchase') UNION ALL SELECT line, 'event_level_mismatch' FROM a WHERE level <> 'odd' AND ((event_type = 'click' AND level <> 'request') OR (event_type = 'view' AND level NOT IN ('request', 'block')) OR (event_type = 'purchase' AND level <> 'process')))"""
+    """Violations of strict reading, one row each."""
+    return K.each_issue(_read(spark, d), "line")
 
 
 def cls_20_severity(spark, d):
-    x = cls_19_line_issues(spark, d)
-    return x.groupBy("issue", F.when(F.col("issue").isin(*SOFT), "soft").otherwise("hard").alias("severity")).agg(F.count("*").alias("n"))
+    """How the issues grade in both modes."""
+    out = None
+    for mode, contract in (("strict", CONTRACT), ("compat", COMPAT)):
+        x = K.each_issue(_read(spark, d, contract), "rec.layout")
+        x = x.groupBy(F.lit(mode).alias("mode"), "issue", K.severity(F.col("layout"), F.col("issue"), contract).alias("severity")).agg(F.count("*").alias("n"))
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+_allowed = lambda names: ", ".join(f"'{x}'" for x in names)
+_known = {n: [l for m, l in K.EVENTS if m == n] for n in ("retry_scheduled", "run_start", "keeper_restart")}  # noqa: E741
+#: The same lines, read by DuckDB's JSON functions: x has a column for each field with its JSON type.
+LINES = f"""ev AS (SELECT event_id AS line, user_id, {RUN} AS run, floor(value * 100)::BIGINT AS b, floor(epoch(ts))::BIGINT AS t, coalesce(map {{{', '.join(f"'{k}': '{v}'" for k, v in AS_EVENTS.items())}}}[event_type], event_type) AS name FROM events),
+  ln AS (SELECT line, run, b % 47 <> 0 AS sure, CASE WHEN b % 59 = 0 THEN 'torn {{' ELSE '{{' || array_to_string(list_filter([CASE WHEN b % 29 = 0 THEN '"schema":"keeper-audit-v1"' WHEN b % 31 <> 0 THEN '"schema":"r3-audit-v2"' END, CASE WHEN b % 17 <> 0 THEN '"ts_epoch":' || t ELSE '"ts":' || t END,
+    CASE WHEN b % 37 = 0 THEN '"ts_iso":"soon"' WHEN b % 53 <> 0 THEN '"ts_iso":"' || strftime(to_timestamp(t + CASE WHEN b % 13 = 0 THEN 60 ELSE 0 END)::TIMESTAMPTZ AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') || '"' END, CASE WHEN b % 41 = 0 THEN '"pid":"' || user_id || '"' ELSE '"pid":' || user_id END,
+    CASE WHEN b % 43 <> 0 THEN '"writer":"' || (['retry', 'converge', 'keeper'])[b % 3 + 1] || '"' END, '"seq":' || (line % 200), '"level":"' || (['request', 'block', 'process', 'request', 'process', 'odd'])[b % 6 + 1] || '"', '"event":"' || name || '"',
+    CASE WHEN b % 19 = 0 THEN '"detail":"none"' WHEN b % 23 <> 0 THEN '"detail":{{"b":' || b || '}}' END], lambda p: p IS NOT NULL), ',') || '}}' END AS value FROM ev),
+  js AS (SELECT line, run, sure, CASE WHEN json_valid(value) THEN value END AS j FROM ln),
+  x AS (SELECT line, run, j, CASE WHEN j IS NULL THEN 'bad' WHEN NOT sure THEN 'aux' WHEN j ->> '$.schema' = '{K.SCHEMA}' THEN 'v2' WHEN starts_with(coalesce(j ->> '$.schema', ''), 'keeper-audit') THEN 'keeper' ELSE 'canonical-v1' END AS layout, (j ->> '$.ts_epoch')::BIGINT AS te, (j ->> '$.ts')::BIGINT AS tl, j ->> '$.ts_iso' AS iso,
+    try_strptime(j ->> '$.ts_iso', '%Y-%m-%dT%H:%M:%SZ') AS iso_t, CASE WHEN json_type(j, '$.pid') <> 'VARCHAR' THEN (j ->> '$.pid')::BIGINT END AS pid, coalesce(j ->> '$.writer', '') AS writer, (j ->> '$.seq')::BIGINT AS seq, CASE WHEN j ->> '$.level' IN ({_allowed(K.LEVELS)}) THEN j ->> '$.level' END AS level, j ->> '$.event' AS raw_event,
+    coalesce(map {{{', '.join(f"'{k}': '{v}'" for k, v in K.ALIASES.items())}}}[j ->> '$.event'], j ->> '$.event') AS canonical, json_type(j, '$.detail') AS dt, j ->> '$.detail' AS detail FROM js)"""
+_NAMES = _allowed([n for n, _ in K.EVENTS])
+_PAIRED = " OR ".join(f"(raw_event = '{n}' AND level IN ({_allowed(levels)}))" for n, levels in _known.items())
+
+
+def _line_issues(compat):
+    """SQL of the violations: rows (line, layout, issue)."""
+    v2 = {
+        "ts_epoch_missing_or_not_number": "te IS NULL", "ts_iso_missing": "iso IS NULL", "pid_missing_or_not_int": "pid IS NULL", "writer_missing": "writer = ''", "ts_implausible": f"te < {CONTRACT.earliest}", "legacy_ts_key": "tl IS NOT NULL", "ts_iso_unparsable": "iso IS NOT NULL AND iso_t IS NULL",
+        "ts_iso_mismatch": "abs(epoch(iso_t) - te) > 5", "seq_not_positive": "seq < 1", "level_not_in_enum": "level IS NULL", "event_unknown": f"raw_event NOT IN ({_NAMES})", "event_level_mismatch": f"level IS NOT NULL AND raw_event IN ({_NAMES}) AND NOT ({_PAIRED})", "detail_missing": "dt IS NULL", "detail_not_object": "dt <> 'OBJECT'",
+    }
+    old = {"legacy_layout": "true", "ts_epoch_missing_or_not_number": "te IS NULL", "legacy_ts_key": "tl IS NOT NULL"}
+    if compat:
+        old = {"legacy_field_missing:pid": "pid IS NULL", "legacy_field_missing:level": "level IS NULL"}
+    parts = [f"SELECT line, run, layout, '{k}' AS issue FROM x WHERE layout = 'v2' AND ({c})" for k, c in v2.items()] + [f"SELECT line, run, layout, '{k}' FROM x WHERE layout IN ('keeper', 'canonical-v1') AND ({c})" for k, c in old.items()]
+    return " UNION ALL ".join([*parts, "SELECT line, run, layout, 'aux_level_type_conflict' FROM x WHERE layout = 'aux' AND level IS NULL"])
+
+
+def _grade(compat):
+    soft = _allowed([*K.SOFT, *(K.COMPAT_SOFT if compat else ())])
+    return f"CASE WHEN layout = 'aux' THEN 'soft' WHEN layout <> 'v2' THEN '{'soft' if compat else 'hard'}' WHEN issue IN ({soft}) THEN 'soft' ELSE 'hard' END"
 
 
 def cls_23_missing_fields(spark, d):
@@ -216,16 +267,15 @@ def vd_02_gap_budget(spark, d):
 
 QUERIES = {k: v for k, v in list(globals().items()) if k[:3] in ("wn_", "ag_", "jn_", "vd_") or k[:4] == "cls_"}
 _TOT = "tot AS (SELECT substr(o_orderkey::VARCHAR, 1, k) AS prefix, count(*) AS total FROM orders, (VALUES (1), (2), (3), (4)) v(k) WHERE k <= length(o_orderkey::VARCHAR) GROUP BY 1)"
-_LAY = "ln AS (SELECT event_id, event_id % 5 AS k FROM events)"
 SQL = {
     "wn_06_sequence_issues": f"WITH {AUDIT}, w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY line) AS no, row_number() OVER (PARTITION BY user_id, seq ORDER BY line) AS again, lag(seq) OVER (PARTITION BY user_id ORDER BY line) AS prev FROM au) SELECT user_id, line, seq, 'seq_group_not_from_1' AS issue FROM w WHERE no = 1 AND seq <> 1 UNION ALL SELECT user_id, line, seq, CASE WHEN again > 1 THEN 'seq_duplicate' WHEN seq < prev THEN 'seq_reorder' ELSE 'seq_gap' END FROM w WHERE again > 1 OR seq < prev OR seq <> prev + 1",
     "wn_06_sequence_groups": f"WITH {AUDIT}, w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY line) AS no FROM au) SELECT user_id, count(*) AS n, arg_min(seq, line) AS seq_first, arg_max(seq, line) AS seq_last, bool_and(seq = no) AS ok FROM w GROUP BY 1",
     "wn_07_time_regressions": f"WITH {AUDIT}, w AS (SELECT *, max(t) OVER (PARTITION BY user_id ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high FROM au) SELECT line, t, high FROM w WHERE t < high - 1",
-    "cls_16_layout": f"WITH {_LAY} SELECT (['v2', 'keeper', 'memguard', 'legacy', 'aux'])[k + 1] AS layout, count(*) AS n FROM ln GROUP BY 1",
-    "cls_17_alias": f"WITH {_LAY} SELECT ([NULL, 'keeper_restart', 'mem_abort', 'x', NULL])[k + 1] AS event, count(*) AS n FROM ln GROUP BY 1",
-    "cls_18_normalised": f"WITH {_LAY} SELECT event_id, CASE WHEN k = 3 THEN 5 ELSE 0 END AS ts, CASE WHEN k = 0 THEN 1 ELSE 0 END AS seq, (['', 'restart', 'trim', 'x', ''])[k + 1] AS event FROM ln",
-    "cls_19_line_issues": f"{_ISSUES} SELECT line, issue FROM i",
-    "cls_20_severity": f"{_ISSUES} SELECT issue, CASE WHEN issue IN ('event_unknown', 'ts_implausible') THEN 'soft' ELSE 'hard' END AS severity, count(*) AS n FROM i GROUP BY 1, 2",
+    "cls_16_layout": f"WITH {LINES} SELECT layout, count(*) AS n FROM x GROUP BY 1",
+    "cls_17_alias": f"WITH {LINES} SELECT layout, raw_event, CASE WHEN layout = 'v2' THEN raw_event ELSE canonical END AS event, count(*) AS n FROM x GROUP BY 1, 2, 3",
+    "cls_18_normalised": f"WITH {LINES} SELECT line, layout, CASE layout WHEN 'v2' THEN te WHEN 'aux' THEN tl ELSE coalesce(te, tl) END AS ts, CASE WHEN layout <> 'aux' THEN iso END AS ts_iso, pid, writer, seq, CASE WHEN layout = 'aux' THEN 'process' ELSE level END AS level, CASE WHEN layout = 'v2' THEN raw_event ELSE canonical END AS event, CASE WHEN layout = 'aux' THEN '{{}}' WHEN dt = 'OBJECT' THEN detail WHEN layout <> 'v2' THEN '{{}}' END AS detail FROM x WHERE layout <> 'bad'",
+    "cls_19_line_issues": f"WITH {LINES}, i AS ({_line_issues(False)}) SELECT line, issue FROM i",
+    "cls_20_severity": f"WITH {LINES}, s AS ({_line_issues(False)}), c AS ({_line_issues(True)}) SELECT 'strict' AS mode, issue, {_grade(False)} AS severity, count(*) AS n FROM s GROUP BY ALL UNION ALL SELECT 'compat', issue, {_grade(True)}, count(*) FROM c GROUP BY ALL",
     "cls_23_missing_fields": "WITH e AS (SELECT event_type, coalesce(json_keys(props::JSON), []) AS keys FROM events), m AS (SELECT event_type, unnest(list_filter(CASE WHEN event_type = 'purchase' THEN ['amount', 'currency'] ELSE ['page'] END, lambda x: NOT list_contains(keys, x))) AS missing FROM e) SELECT event_type, missing, count(*) AS n FROM m GROUP BY 1, 2",
     "ag_02_distinct_per_prefix": "SELECT substr(l_orderkey::VARCHAR, 1, 3) AS prefix, count(*) AS lines, count(DISTINCT l_partkey) AS uniq FROM lineitem GROUP BY 1",
     "ag_21_prefix_totals": f"WITH {_TOT} SELECT prefix, total FROM tot",
