@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from trawl.functions import classify as C
 from trawl.operators import ledger as L
 from trawl.operators import metrics as M
+from trawl.operators import sliding as S
 from trawl.operators.selection import percentiles
 from trawl.plans.tables import REQUESTS, read, requests
 
@@ -113,13 +114,10 @@ def wn_10_count_windows(spark, d):
 
 
 def wn_11_latency_rise(spark, d):
-    """p50 of the last 30 against p10 of the last 256, by class; unfrozen form, index floor(n * q)."""
-    e = read(spark, d, "events").select("event_id", "event_type", F.floor(F.col("value") * 100).cast("long").alias("v"))
-    w = Window.partitionBy("event_type").orderBy("event_id")
-    at = lambda c, q: F.element_at(c, (F.least(F.size(c) - 1, F.floor(F.size(c) * q)) + 1).cast("int"))
-    e = e.withColumn("a", F.sort_array(F.collect_list("v").over(w.rowsBetween(-29, 0)))).withColumn("b", F.sort_array(F.collect_list("v").over(w.rowsBetween(-255, 0))))
-    e = e.select("event_id", at(F.col("a"), 0.5).alias("p50"), at(F.col("b"), 0.1).alias("p10"))
-    return e.select("*", (F.col("p50") * 10 >= F.col("p10") * 18).alias("risen"))
+    """Latencies of requests that went well, by kind of request: recent p50 against the baseline, which is frozen while it is bad."""
+    r = requests(spark, d).where("status BETWEEN 200 AND 299").select("event_id", "event_type", F.floor(F.col("value") * 100).cast("long").alias("v"))
+    r = S.latency_rise(r, "event_type", ["event_id"], "v")
+    return r.select("event_id", "p50", "cand", "base", F.floor(F.col("ratio") * 1000).cast("long").alias("permille"), (F.col("rise") > 0).alias("risen"))
 
 
 def wn_12_gaps(spark, d):
@@ -167,7 +165,7 @@ SQL = {
     "wn_08_streaks": f"WITH {REQUESTS}, b AS (SELECT domain, t, event_id, {_BAD} AS bad FROM req), c AS (SELECT *, row_number() {_W}) - row_number() OVER (PARTITION BY domain, bad ORDER BY t, event_id) AS isl FROM b), s AS (SELECT domain, bad, isl, count(*) AS n FROM c GROUP BY 1, 2, 3) SELECT domain, bad, max(n) AS longest FROM s GROUP BY 1, 2",
     "wn_09_trailing_rate": f"WITH {REQUESTS} SELECT event_id, count(*) OVER w AS n_window, sum({_BAD}::INT) OVER w AS bad_window FROM req WINDOW w AS (PARTITION BY domain ORDER BY t RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW)",
     "wn_10_count_windows": f"WITH {REQUESTS}, x AS (SELECT event_id, " + ", ".join(f"sum({_BAD}::INT) {_W} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS bad_{n}" for n in (20, 10, 3)) + " FROM req) SELECT *, bad_3 = 3 AS burst FROM x",
-    "wn_11_latency_rise": f"WITH e AS (SELECT event_id, list_sort(list(v) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) AS a, list_sort(list(v) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 255 PRECEDING AND CURRENT ROW)) AS b FROM (SELECT event_id, event_type, floor(value * 100)::BIGINT AS v FROM events)), p AS (SELECT event_id, {_AT('a', 0.5)} AS p50, {_AT('b', 0.1)} AS p10 FROM e) SELECT *, p50 * 10 >= p10 * 18 AS risen FROM p",
+    "wn_11_latency_rise": f"WITH {REQUESTS}, e AS (SELECT event_id, row_number() OVER c AS n, event_type, list_sort(list(v) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)) AS a, list_sort(list(v) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 255 PRECEDING AND CURRENT ROW)) AS b FROM (SELECT event_id, event_type, floor(value * 100)::BIGINT AS v FROM req WHERE status BETWEEN 200 AND 299) WINDOW c AS (PARTITION BY event_type ORDER BY event_id)), p AS (SELECT event_id, event_type, n, {_AT('a', 0.5)} AS p50, {_AT('b', 0.1)} AS cand FROM e), q AS (SELECT *, coalesce(last_value(CASE WHEN NOT (n >= 30 AND p50 <> 0 AND cand > 0 AND p50 >= 1.5 * cand) THEN cand END IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), cand) AS base FROM p) SELECT event_id, p50, cand, base, CASE WHEN n >= 30 AND base > 0 THEN floor(p50 / base * 1000)::BIGINT END AS permille, coalesce(n >= 30 AND base > 0 AND p50 / base >= 1.8, false) AS risen FROM q",
     "wn_12_gaps": f"WITH {REQUESTS} SELECT event_id, t - lag(t) {_W}) AS gap FROM req",
     "wn_13_most_in_window": f"WITH {REQUESTS}, x AS (SELECT domain, count(*) OVER (PARTITION BY domain ORDER BY t RANGE BETWEEN CURRENT ROW AND 3599 FOLLOWING) AS n FROM req) SELECT domain, max(n) AS most FROM x GROUP BY 1",
     "sm_02_tumbling_batch": f"WITH {REQUESTS} SELECT t // 3600 * 3600 AS start, event_type, count(*) AS n, sum({_BAD}::INT) AS bad FROM req GROUP BY 1, 2",
