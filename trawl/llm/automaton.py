@@ -25,6 +25,9 @@ from __future__ import annotations
 
 import json
 import re
+import string
+import sys
+from array import array
 from bisect import bisect_right
 from functools import cached_property
 
@@ -77,7 +80,7 @@ class Automaton:
             self.target[a] = len(self.base) - 1
         self.dead = dead
         self._rows: dict[int, tuple[list[int], list[int]]] = {}
-        self.table: list[dict[int, int] | None] = [None] * len(self.base)
+        self.table: list[dict[int, int]] = [{} for _ in self.base]
 
     def _lacks(self, state: int, number: int) -> bool:
         while state:
@@ -108,15 +111,9 @@ class Automaton:
         los, his = self._lost(state)
         i = bisect_right(los, self.number[label]) - 1
         to = -1 if self.dead[label] or (i >= 0 and self.number[label] < his[i]) else self.target[label]
-        self.row(state)[label] = to
+        self.table[state][label] = to
         return to
 
-    def row(self, state: int) -> dict[int, int]:
-        row = self.table[state]
-        if row is None:
-            row = self.table[state] = {}
-        return row
-
 
 def _preorder(size: int, parent: list[int], children: dict[int, list[int]]) -> tuple[list[int], list[int]]:
     """Each token's number in preorder, and the number behind its last descendant's."""
@@ -167,6 +164,10 @@ class Tokenizer:
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {"": b""}
         between = lambda t: [w for p in t.replace("\n", " ").split(" ") for w in self.split(p)]
+        #: signs that are a word of their own behind letters; nothing else is known of them
+        self.signs = "".join(c for c in string.punctuation if all(self.split(w + c * k) == [w.lower(), c * k] for w in ("ab", "Zq") for k in (1, 2)))
+        if self.split("Ab" + self.signs) != ["ab", self.signs]:
+            self.signs = ""
         self.by_pieces = not any(" " in t or "\n" in t for t in self.special) and all(self.split(t) == between(t) for t in PROBES)
 
     @cached_property
@@ -199,35 +200,52 @@ class Tokenizer:
         return [w for w, _ in self._split.pre_tokenize_str(text)] if self._split is not None else [text]
 
     def word(self, word: str) -> bytes:
-        """The ids of one pre-split word."""
-        symbols, automaton = self._symbols(word), self.automaton
+        """The ids of one pre-split word: the automaton's path through the lattice of tokens in it, longest tokens first.
+
+        A prefix has one accepted path, so a position has one state; where a path doesn't go on to the end of the word, it is
+        left for the next shorter token, and its positions aren't tried again."""
+        symbols, root = self._symbols(word), self.trie[1]
+        table, arc = self.automaton.table, self.automaton.arc
         n = len(symbols)
-        states, last, starts = [-1] * (n + 1), [0] * (n + 1), [0] * (n + 1)
-        states[0] = 0
-        root = self.trie[1]
-        for i in range(n):
-            state = states[i]
-            if state < 0:
-                continue  # no token sequence ends here, as a letter isn't in the vocabulary
-            row, below = automaton.row(state), root
-            for j in range(i, n):
-                node = below.get(symbols[j])
-                if node is None:
+        tried = bytearray(n + 1)
+        path: list[int] = []
+        states, lattice, at = [0], [], 0
+        while at < n:
+            if len(lattice) < len(states):  # the tokens that begin here, the longest one last
+                here, below = [], root
+                for j in range(at, n):
+                    node = below.get(symbols[j])
+                    if node is None:
+                        break
+                    label, below = node
+                    if label >= 0:
+                        here.append((j + 1, label))
+                lattice.append(here)
+            here, state = lattice[-1], states[-1]
+            row = table[state]
+            while here:
+                end, label = here.pop()
+                if tried[end]:
+                    continue
+                to = row.get(label)
+                if to is None:
+                    to = arc(state, label)
+                if to >= 0:
+                    tried[end] = 1
+                    path.append(label)
+                    states.append(to)
+                    at = end
                     break
-                label, below = node
-                if label >= 0:
-                    to = row.get(label)
-                    if to is None:
-                        to = automaton.arc(state, label)
-                    if to >= 0:
-                        states[j + 1], last[j + 1], starts[j + 1] = to, label, i
-        if states[n] < 0:
-            raise ValueError(f"no tokens for {word!r}")
-        ids, at = [], n
-        while at:
-            ids.append(last[at])
-            at = starts[at]
-        return np.array(ids[::-1], "<u4").tobytes()
+            else:
+                if not path:
+                    raise ValueError(f"no tokens for {word!r}")
+                lattice.pop()
+                states.pop()
+                path.pop()
+        ids = array("I", path)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def _known(self, word: str) -> bytes:
         ids = self.words.get(word)
@@ -243,6 +261,9 @@ class Tokenizer:
         """The ids of any text."""
         if self._specials is not None and self._specials.search(text):
             return b"".join(self.special[p] if i % 2 else self.piece(p) for i, p in enumerate(self._specials.split(text)))
+        core = text.rstrip(self.signs) if self.signs else ""
+        if core.isalpha() and core.isascii() and text.isascii():
+            return self._known(core.lower()) + (self._known(text[len(core) :]) if len(core) < len(text) else b"")
         return b"".join(map(self._known, self.split(text)))
 
     def encode(self, text: str | None) -> bytes:
