@@ -131,3 +131,32 @@ def test_text(spark):
     assert [r.t for r in df.select(T.html_text(F.col("h")).alias("t")).collect()] == ["a&b\n\nc d".replace("\n\n", "\n"), "", "never closed"]
     links = spark.createDataFrame([('<a href="/x"><a href="y"><a href="//h/z"><a href="mailto:a"><a href="http://q/"><a href="#f">', "https://h.org/a/b?c")], "h string, u string")
     assert links.select(T.links(F.col("h"), F.col("u")).alias("l")).first().l == ["https://h.org/x", "https://h.org/a/y", "https://h/z", "http://q/"]
+
+
+def test_keyed_sink_reads_only_its_buckets(spark, tmp_path):
+    """A batch goes through although every bucket but its own is unreadable; buckets with many files become one file."""
+    import glob
+    import os
+
+    path, schema = f"file://{tmp_path}/t", "k int, v string"
+    K.append_new(spark.createDataFrame([(i, "a") for i in range(500)], schema), path, ["k"])
+    K.append_new(spark.createDataFrame([(None, "n"), (None, "n")], schema), path, ["k"])
+    batch = spark.createDataFrame([(7, "again"), (9, "again"), (1000, "new"), (None, "n")], schema)
+    mine = {r[0] for r in batch.select(K.bucket_of(["k"])).collect()}
+    files = [f for f in glob.glob(f"{tmp_path}/t/_bucket=*/*.parquet") if int(f.split("_bucket=")[1].split("/")[0]) not in mine]
+    kept = {f: open(f, "rb").read() for f in files}
+    assert len(files) > 40
+    for f in files:
+        os.remove(os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc"))
+        open(f, "wb").write(b"no parquet file")
+    K.append_new(batch, path, ["k"])
+    K.append_new(batch, path, ["k"])
+    for f, data in kept.items():
+        open(f, "wb").write(data)
+    rows = lambda: sorted((r.k is None, r.k, r.v) for r in spark.read.schema(schema).parquet(path).collect())
+    before = rows()
+    assert len(before) == 502 and (False, 1000, "new") in before and (False, 7, "a") in before
+    for i in range(3):
+        K.append_new(spark.createDataFrame([(2000 + j, "m") for j in range(i * 300, i * 300 + 300)], schema), path, ["k"])
+    before, done = rows(), K.compact(spark, path, batch.schema, 2)
+    assert done and rows() == before and all(len(glob.glob(f"{tmp_path}/t/_bucket={b}/*.parquet")) == 1 for b in done)

@@ -109,7 +109,8 @@ def snk_01_append(spark, d):
     o = read(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     K.append_new(o.where("o_orderkey % 3 < 2"), path, ["o_orderkey"])
     K.append_new(o.where("o_orderkey % 3 > 0"), path, ["o_orderkey"])
-    return spark.read.parquet(path)
+    K.compact(spark, path, o.schema, 1)
+    return spark.read.parquet(path).drop(K.BUCKET)
 
 
 def snk_02_replace(spark, d):

@@ -29,8 +29,9 @@ def bad():
 
 
 def sm_01_seen(spark, d):
-    r = _requests(spark, d).select("ts", F.concat_ws("/", F.col("domain") % 50, "event_type").alias("key"))
-    return J.run(J.seen_once(r, ["key"], "ts", "400 days"), "seen").select("key")
+    """Whole keys, each once as long as it comes again within a month; a key's state goes a month behind the latest time."""
+    r = _requests(spark, d).select("ts", F.concat_ws("/", "domain", "event_type", F.coalesce(F.col("status").cast("string"), F.lit("none"))).alias("key"))
+    return J.run(J.seen_once(r, ["key"], "ts", "31 days"), "seen").select("key")
 
 
 def sm_02_tumbling(spark, d):
@@ -44,7 +45,8 @@ def sm_03_sliding(spark, d):
 
 
 def sm_04_sessions(spark, d):
-    out = J.run(J.sessions(_requests(spark, d), "ts", "domain", "6 hours"), "sessions", "complete")
+    """Closed sessions: each is written once, when the watermark has passed its end."""
+    out = J.run(J.sessions(_requests(spark, d), "ts", "domain", "6 hours"), "sessions")
     return out.select("domain", F.unix_timestamp("session_window.start").alias("start"), "n")
 
 
@@ -106,10 +108,10 @@ def ud_03_pattern_table(spark, d):
 QUERIES = {k: v for k, v in list(globals().items()) if k[:3] in ("sm_", "ud_")}
 _BAD = "(status IS NULL OR status >= 400)"
 SQL = {
-    "sm_01_seen": f"WITH {REQUESTS} SELECT DISTINCT (domain % 50) || '/' || event_type AS key FROM req",
+    "sm_01_seen": f"WITH {REQUESTS} SELECT DISTINCT domain || '/' || event_type || '/' || coalesce(status::VARCHAR, 'none') AS key FROM req",
     "sm_02_tumbling": f"WITH {REQUESTS} SELECT t // 3600 * 3600 AS start, event_type, count(*) AS n, sum({_BAD}::INT) AS bad FROM req GROUP BY 1, 2",
     "sm_03_sliding": f"WITH {REQUESTS}, x AS (SELECT t // 3600 * 3600 - 3600 * k AS start, {_BAD} AS bad FROM req, (VALUES (0), (1)) v(k)) SELECT start, count(*) AS n, sum(bad::INT) AS bad FROM x GROUP BY 1",
-    "sm_04_sessions": f"WITH {REQUESTS}, g AS (SELECT domain, ts, t, event_id, CASE WHEN ts >= lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) + INTERVAL 6 HOUR OR lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) IS NULL THEN 1 ELSE 0 END AS f FROM req), s AS (SELECT *, sum(f) OVER (PARTITION BY domain ORDER BY ts, event_id) AS sid FROM g) SELECT domain, min(t) AS start, count(*) AS n FROM s GROUP BY domain, sid",
+    "sm_04_sessions": f"WITH {REQUESTS}, g AS (SELECT domain, ts, t, event_id, CASE WHEN ts >= lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) + INTERVAL 6 HOUR OR lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) IS NULL THEN 1 ELSE 0 END AS f FROM req), s AS (SELECT *, sum(f) OVER (PARTITION BY domain ORDER BY ts, event_id) AS sid FROM g) SELECT domain, min(t) AS start, count(*) AS n FROM s GROUP BY domain, sid HAVING max(ts) + INTERVAL 6 HOUR <= date_trunc('milliseconds', (SELECT max(ts) FROM req)) - INTERVAL 5 MINUTE",
     "sm_07_implausible": "SELECT event_id, event_id % 13 <> 0 AND event_id % 17 <> 0 AS plausible FROM events",
     "sm_08_idempotent_sink": f"WITH {REQUESTS} SELECT DISTINCT domain || '/' || event_type AS key FROM req",
     "sm_09_monitor": "WITH l AS (SELECT source AS site_id, doc_id, sha256(text) AS sha, lag(sha256(text)) OVER (PARTITION BY source ORDER BY doc_id) AS prev FROM documents) SELECT site_id, count(*) AS versions, count(*) AS last_ver FROM l WHERE prev IS NULL OR sha <> prev GROUP BY 1",

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from trawl.operators import snapshots as S
 from trawl.operators.health import Breaker
@@ -27,7 +28,7 @@ def run(df: DataFrame, name: str, mode: str = "append", write: Callable[[DataFra
         write = lambda b, _, p: b.write.mode("overwrite").parquet(p)  # noqa: E731  each batch holds the whole result
     q = w.foreachBatch(lambda b, i: write(b, i, path)).start() if write else w.format("parquet").start(path)
     q.awaitTermination()
-    return spark.read.schema(df.schema).parquet(path) if write is None or sinks.exists(spark, path) else spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns) if write is None or sinks.exists(spark, path) else spark.createDataFrame([], df.schema)
 
 
 def run_updates(df: DataFrame, name: str, keys: list[str], order: str) -> DataFrame:
@@ -65,6 +66,7 @@ def outcome_counts(df: DataFrame, ts: str, by: list[str], bad, window: str, slid
 
 
 def sessions(df: DataFrame, ts: str, by: str, gap: str, delay: str = "5 minutes") -> DataFrame:
+    """Sessions by gap. In append mode each comes once, when the watermark passes its end, and its state goes; those still open at the end of a drained stream stay in the state."""
     return df.withWatermark(ts, delay).groupBy(F.session_window(ts, gap), by).agg(F.count("*").alias("n"))
 
 
@@ -122,11 +124,17 @@ def append_new(keys: list[str]) -> Callable[[DataFrame, int, str], None]:
     return lambda batch, _, path: sinks.append_new(batch, path, keys)
 
 
+VERSIONS = StructType().add("site_id", "string").add("ord", "long").add("sha", "string").add("ver", "long")
+
+
 def versions_into(batch: DataFrame, _: int, path: str) -> None:
-    """A writer for run(): new captures (site_id, ord, sha) as versions, going on from each site's last one."""
+    """A writer for run(): new captures (site_id, ord, sha) as versions, going on from each site's last one. Only the buckets of the batch's sites are read; a batch that comes again adds nothing."""
     spark = batch.sparkSession
-    old = spark.read.schema("site_id string, ord long, sha string, ver long").parquet(path) if sinks.exists(spark, path) else spark.createDataFrame([], "site_id string, ord long, sha string, ver long")
+    batch = batch.select("site_id", "ord", "sha", sinks.bucket_of(["site_id"]).alias(sinks.BUCKET))
+    old = sinks.in_buckets(spark, path, VERSIONS, sinks.touched(batch))
     last = old.groupBy("site_id").agg(F.max_by(F.struct("ord", "sha", "ver"), "ver").alias("l")).select("site_id", "l.ord", "l.sha", F.col("l.ver").alias("old_ver"))
-    both = batch.select("site_id", "ord", "sha", F.lit(None).cast("long").alias("old_ver")).unionByName(last)
+    new = batch.join(last.select("site_id", F.col("ord").alias("old_ord")), "site_id", "left").where("old_ord IS NULL OR ord > old_ord")
+    both = new.select("site_id", "ord", "sha", F.lit(None).cast("long").alias("old_ver")).unionByName(last)
     v = S.versions(both).join(last.select("site_id", F.col("old_ver").alias("from_ver")), "site_id", "left")
-    v.where("is_new = 1 AND old_ver IS NULL").select("site_id", "ord", "sha", (F.col("ver") + F.coalesce(F.col("from_ver") - 1, F.lit(0))).alias("ver")).write.mode("append").parquet(path)
+    v = v.where("is_new = 1 AND old_ver IS NULL").select("site_id", "ord", "sha", (F.col("ver") + F.coalesce(F.col("from_ver") - 1, F.lit(0))).alias("ver"))
+    sinks.into_buckets(v.withColumn(sinks.BUCKET, sinks.bucket_of(["site_id"])), path)
