@@ -1,11 +1,12 @@
 """Streaming queries (SM) over the tables' files, and the pluggable parts (UD)."""
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from trawl.functions import classify as C
+from trawl.plans.classes import LEADS
 from trawl.plans.tables import REQUESTS, requests
 from trawl.streaming import jobs as J
+from trawl.streaming.shared import scratch
 
 
 class _Streaming:
@@ -80,17 +81,25 @@ def sm_09_monitor(spark, d):
     return out.groupBy("site_id").agg(F.count("*").alias("versions"), F.max("ver").alias("last_ver"))
 
 
+def _say(prompts):
+    """Stands for a caller's classifier: it refuses prompts that end in a digit, and says nothing of use on some."""
+    import re
+
+    if any(p[-1:].isdigit() for p in prompts):
+        raise ValueError("refused")
+    return ["I can't tell." if len(p) % 11 == 0 else 'Verdict: {"intl": %s, "category": "%s"}.' % (str(bool(re.search("the|und", p))).lower(), "long" if len(p) > 1500 else "short") for p in prompts]
+
+
 def ud_02_classifier(spark, d):
-    """A pluggable classifier over leads: the caller's function gives text, the verdict is parsed from it."""
-    from trawl.functions.text import json_in
+    """Leads are classified in two calls: the second one asks only for what the first one left, or failed at."""
+    from trawl.operators import verdicts as V
     from trawl.plans.classes import _leads
 
-    def say(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "said": ['Verdict: {"intl": %s, "category": "%s"}.' % ("true" if k in ("tg_link", "fb_page") else "false", k) for k in pdf["kind"]]})
-
-    said = _leads(spark, d).select("doc_id", "kind").mapInPandas(say, "doc_id long, said string")
-    return said.select("doc_id", json_in(F.col("said"), "intl boolean, category string").alias("v")).select("doc_id", "v.intl", "v.category")
+    keys, ddl, path = ["kind", "value"], "intl boolean, category string", scratch(spark, "verdicts")
+    leads = _leads(spark, d).where("value <> ''").select("kind", "value", "evidence", "conf", "doc_id", "src")
+    for part in (leads.where("src < 'src2'"), leads):
+        V.classify_new(part, path, _say, F.concat("value", F.lit(": "), "evidence"), ddl, "v1", keys, [(-F.col("conf")).alias("c"), F.col("doc_id").alias("i")])
+    return V.verdicts(spark, path, leads, keys, ddl, "v1").select("kind", "value", "ok", "verdict.intl", "verdict.category", "error", "tries")
 
 
 def ud_03_pattern_table(spark, d):
@@ -115,6 +124,9 @@ SQL = {
     "sm_07_implausible": "SELECT event_id, event_id % 13 <> 0 AND event_id % 17 <> 0 AS plausible FROM events",
     "sm_08_idempotent_sink": f"WITH {REQUESTS} SELECT DISTINCT domain || '/' || event_type AS key FROM req",
     "sm_09_monitor": "WITH l AS (SELECT source AS site_id, doc_id, sha256(text) AS sha, lag(sha256(text)) OVER (PARTITION BY source ORDER BY doc_id) AS prev FROM documents) SELECT site_id, count(*) AS versions, count(*) AS last_ver FROM l WHERE prev IS NULL OR sha <> prev GROUP BY 1",
-    "ud_02_classifier": "SELECT doc_id, doc_id % 5 IN (3, 4) AS intl, (['wx_hint', 'qq_num', 'qq_link', 'tg_link', 'fb_page'])[doc_id % 5 + 1] AS category FROM documents",
+    "ud_02_classifier": f"""WITH {LEADS}, l AS (SELECT *, src < 'src2' AS early FROM leads WHERE value <> ''), k AS (SELECT kind, value, bool_or(early) AS early, arg_min(value || ': ' || evidence, (-conf, doc_id)) FILTER (early) AS first, arg_min(value || ': ' || evidence, (-conf, doc_id)) AS best FROM l GROUP BY 1, 2),
+      s AS (SELECT *, CASE WHEN p IS NULL THEN NULL WHEN regexp_matches(p, '[0-9]$') THEN 'ValueError: refused' WHEN length(p) % 11 = 0 THEN 'no verdict in the answer' ELSE '' END AS e FROM (SELECT *, first AS p FROM k)), t AS (SELECT *, CASE WHEN regexp_matches(best, '[0-9]$') THEN 'ValueError: refused' WHEN length(best) % 11 = 0 THEN 'no verdict in the answer' ELSE '' END AS e2 FROM s),
+      u AS (SELECT *, coalesce(e = '', false) AS at_first, CASE WHEN coalesce(e = '', false) THEN p ELSE best END AS used FROM t)
+      SELECT kind, value, at_first OR e2 = '' AS ok, CASE WHEN at_first OR e2 = '' THEN regexp_matches(used, 'the|und') END AS intl, CASE WHEN at_first OR e2 = '' THEN CASE WHEN length(used) > 1500 THEN 'long' ELSE 'short' END END AS category, nullif(greatest(CASE WHEN NOT at_first THEN coalesce(e, '') ELSE '' END, CASE WHEN NOT at_first THEN e2 ELSE '' END), '') AS error, CASE WHEN e IS NULL OR at_first THEN 1 ELSE 2 END AS tries FROM u""",
     "ud_03_pattern_table": "SELECT DISTINCT page_id, (['tg_link', 'fb_group', 'fb_page', 'wa_link', 'dc_link', 'ig_page', NULL])[page_id % 7 + 1] AS kind FROM pages",
 }
