@@ -24,6 +24,17 @@ def children_gap(totals: DataFrame) -> DataFrame:
     return x.select("prefix", "total", "covered", "children", gap.alias("gap"), (gap > T.branch_threshold(F.col("total"))).alias("recorded"))
 
 
+def probe_outcomes(parents: DataFrame, results: DataFrame, alphabet: str, parent: str = "parent") -> DataFrame:
+    """A probe of each parent's children over an alphabet: hit, zero and undetermined children, covered (the hits' totals), all_dead, incomplete.
+
+    results: prefix, total, unknown (the probe failed); a child without a result is a proven zero. Children are made by exploding the alphabet, and met by an equality join."""
+    kids = parents.select(parent, F.explode(F.array(*map(F.lit, alphabet))).alias("_c")).withColumn("prefix", F.concat(parent, "_c"))
+    unknown, hit = F.coalesce("unknown", F.lit(False)), F.coalesce(~F.col("unknown") & (F.col("total") > 0), F.lit(False))
+    x = kids.join(results.select("prefix", "total", "unknown"), "prefix", "left").groupBy(parent).agg(
+        F.count_if(hit).alias("hit"), F.count_if(~hit & ~unknown).alias("zero"), F.count_if(unknown).alias("undetermined"), F.coalesce(F.sum(F.when(hit, F.col("total"))), F.lit(0)).alias("covered"))
+    return x.select("*", ((F.col("hit") + F.col("zero") == 0) & (F.col("undetermined") > 0)).alias("all_dead"), (F.col("undetermined") > 0).alias("incomplete"))
+
+
 def recorded_done(total, cnt, tainted):
     """Whether records alone show that a leaf is complete."""
     return (total > 0) & (total <= LEAF_MAX) & ~tainted & (cnt > 0) & (cnt >= total - T.leaf_tolerance(total))

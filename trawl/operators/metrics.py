@@ -24,6 +24,13 @@ def summary(df: DataFrame, by: list[str], c: str) -> DataFrame:
     return plain.join(ranks, on).select(*[plain[k] for k in by], "n", "p50", "p95", "p99", "mean", "max")
 
 
+def active_window(df: DataFrame, key: str, t: str, bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
+    """Per run: first and last sample, n, span, and what the run's bounds (key, start, end) leave before and behind: startup and tail, 0 at least, null where a bound is."""
+    x = df.groupBy(key).agg(F.min(t).alias("first_t"), F.max(t).alias("last_t"), F.count(t).alias("n")).join(bounds.select(key, F.col(start).alias("_start"), F.col(end).alias("_end")), key, "left")
+    left = lambda a, b: F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.greatest(F.col(a) - F.col(b), F.lit(0)))
+    return x.select(key, "first_t", "last_t", "n", (F.col("last_t") - F.col("first_t")).alias("span"), left("first_t", "_start").alias("startup"), left("_end", "last_t").alias("tail"))
+
+
 def streaks(df: DataFrame, key: str, order: list[str], ok: str) -> DataFrame:
     """df with streak: length so far of the run of equal ok values. Scans over range partitions: a run may be longer than any task's share."""
     x = dealt(df, [key], [F.col(o) for o in order])

@@ -167,10 +167,8 @@ ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def jn_09_probe(spark, d):
     """Children of every two-character prefix over the alphabet of 36 characters: hits, proven zeros, undetermined (every seventh key), by join, not by probing."""
     t = ag_21_prefix_totals(spark, d)
-    kids = t.where("length(prefix) = 2").select(F.col("prefix").alias("parent"), F.explode(F.array(*map(F.lit, ALPHABET))).alias("c")).withColumn("prefix", F.concat("parent", "c"))
     got = t.where("length(prefix) = 3").withColumn("unknown", F.col("total") % 7 == 0)
-    x = kids.join(got, "prefix", "left").groupBy("parent").agg(F.sum(F.when(F.col("total").isNull(), 1).otherwise(0)).alias("zero"), F.sum(F.when(F.col("unknown"), 1).otherwise(0)).alias("undetermined"), F.sum(F.when(~F.col("unknown"), 1).otherwise(0)).alias("hit"))
-    return x.select("*", (F.col("hit") + F.col("undetermined") == 0).alias("all_dead"), (F.col("undetermined") > 0).alias("incomplete"))
+    return V.probe_outcomes(t.where("length(prefix) = 2").select(F.col("prefix").alias("parent")), got, ALPHABET)
 
 
 def _ledgers(spark, d):
@@ -280,7 +278,7 @@ SQL = {
     "ag_02_distinct_per_prefix": "SELECT substr(l_orderkey::VARCHAR, 1, 3) AS prefix, count(*) AS lines, count(DISTINCT l_partkey) AS uniq FROM lineitem GROUP BY 1",
     "ag_21_prefix_totals": f"WITH {_TOT} SELECT prefix, total FROM tot",
     "jn_08_children": f"WITH {_TOT}, k AS (SELECT substr(prefix, 1, length(prefix) - 1) AS prefix, sum(total) AS covered, count(*) AS children FROM tot WHERE length(prefix) > 1 GROUP BY 1) SELECT prefix, total, covered, children, total - covered AS gap, total - covered > greatest(100, floor(total * 0.02)) AS recorded FROM tot JOIN k USING (prefix)",
-    "jn_09_probe": f"WITH {_TOT}, kids AS (SELECT prefix AS parent, prefix || c AS prefix FROM tot, (SELECT unnest(string_split('{ALPHABET}', '')) AS c) WHERE length(prefix) = 2), x AS (SELECT parent, sum((total IS NULL)::INT) AS zero, sum(coalesce(total % 7 = 0, false)::INT) AS undetermined, sum(coalesce(total % 7 <> 0, false)::INT) AS hit FROM kids LEFT JOIN tot USING (prefix) GROUP BY 1) SELECT *, hit + undetermined = 0 AS all_dead, undetermined > 0 AS incomplete FROM x",
+    "jn_09_probe": f"WITH {_TOT}, kids AS (SELECT prefix AS parent, prefix || c AS prefix FROM tot, (SELECT unnest(string_split('{ALPHABET}', '')) AS c) WHERE length(prefix) = 2), x AS (SELECT parent, sum((total IS NULL)::INT) AS zero, sum(coalesce(total % 7 = 0, false)::INT) AS undetermined, sum(coalesce(total % 7 <> 0, false)::INT) AS hit, coalesce(sum(total) FILTER (total % 7 <> 0), 0) AS covered FROM kids LEFT JOIN tot USING (prefix) GROUP BY 1) SELECT *, hit + zero = 0 AND undetermined > 0 AS all_dead, undetermined > 0 AS incomplete FROM x",
     "jn_05_reconcile": f"WITH {_RECON} SELECT * FROM rr",
     "jn_06_recorded_done": f"WITH {_RECON} SELECT o_orderkey, ok AS complete FROM r WHERE ledger = 'todo'",
     "jn_07_tolerance_marks": f"WITH {_RECON} SELECT o_orderkey, ledger, total, cnt FROM rr WHERE tolerance_mark",

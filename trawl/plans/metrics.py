@@ -60,9 +60,10 @@ def ag_11_end_to_end(spark, d):
 
 
 def ag_12_active_window(spark, d):
-    r = requests(spark, d).groupBy("domain").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.count("*").alias("n"))
-    start = F.unix_timestamp(F.lit("2024-01-01 00:00:00"))
-    return r.select("*", (F.col("last_t") - F.col("first_t")).alias("span"), F.greatest(F.lit(0), F.col("first_t") - start).alias("startup"))
+    """Each run's own samples against its bounds: sign-ups begin a run and purchases end it, where there are any."""
+    r = requests(spark, d).select("domain", "t", "event_type")
+    bounds = r.groupBy("domain").agg(F.min(F.when(F.col("event_type") == "signup", F.col("t"))).alias("start"), F.max(F.when(F.col("event_type") == "purchase", F.col("t"))).alias("end"))
+    return M.active_window(r.where("event_type IN ('click', 'view')"), "domain", "t", bounds)
 
 
 def ag_13_throughput(spark, d):
@@ -156,7 +157,7 @@ SQL = {
     "ag_09_duplicate_work": f"WITH {REQUESTS} SELECT domain, event_type, count(*) AS n FROM req WHERE lim >= 500 GROUP BY 1, 2 HAVING count(*) > 1 ORDER BY n DESC, domain, event_type LIMIT 8",
     "ag_10_distribution": "SELECT event_type, count(value) AS n, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.99) AS p99, avg(value) AS mean, max(value) AS max FROM events GROUP BY 1",
     "ag_11_end_to_end": "WITH l AS (SELECT l_returnflag AS kind, floor(l_quantity)::BIGINT AS http, l_partkey % 60 AS wait, floor(l_quantity)::BIGINT + l_partkey % 60 AS e2e FROM lineitem) SELECT kind, count(*) AS n, quantile_disc(http, 0.95) AS http_p95, quantile_disc(wait, 0.95) AS wait_p95, quantile_disc(e2e, 0.95) AS e2e_p95, count(*) FILTER (e2e > 90) AS over_n, quantile_disc(e2e, 0.95) > 90 AS p95_over FROM l GROUP BY ROLLUP (kind)",
-    "ag_12_active_window": f"WITH {REQUESTS} SELECT domain, min(t) AS first_t, max(t) AS last_t, count(*) AS n, max(t) - min(t) AS span, greatest(0, min(t) - epoch(TIMESTAMP '2024-01-01')::BIGINT) AS startup FROM req GROUP BY 1",
+    "ag_12_active_window": f"WITH {REQUESTS}, b AS (SELECT domain, min(t) FILTER (event_type = 'signup') AS s, max(t) FILTER (event_type = 'purchase') AS e FROM req GROUP BY 1), a AS (SELECT domain, min(t) AS first_t, max(t) AS last_t, count(*) AS n FROM req WHERE event_type IN ('click', 'view') GROUP BY 1) SELECT domain, first_t, last_t, n, last_t - first_t AS span, CASE WHEN s IS NOT NULL THEN greatest(0, first_t - s) END AS startup, CASE WHEN e IS NOT NULL THEN greatest(0, e - last_t) END AS tail FROM a LEFT JOIN b USING (domain)",
     "ag_13_throughput": f"WITH {REQUESTS}, r AS (SELECT domain, count(DISTINCT CASE WHEN status IS NOT NULL THEN (event_type, status) END) AS uniq, count(*) AS n, max(t) - min(t) AS span FROM req GROUP BY 1), p AS (SELECT domain, uniq, n, CASE WHEN span > 0 THEN floor(n * 8640000 / span)::BIGINT END AS per_day_100 FROM r) SELECT p.*, CASE WHEN b.per_day_100 > 0 THEN floor((p.per_day_100 - b.per_day_100) * 1000 / b.per_day_100)::BIGINT END AS delta_permille FROM p LEFT JOIN (SELECT per_day_100 FROM p WHERE domain = 1) b ON true",
     "ag_14_rate_bands": f"WITH {REQUESTS}, h AS (SELECT t // 3600 AS hour, count(*) AS rate, count(*) FILTER (status = 429) AS errors FROM req GROUP BY 1), b AS (SELECT rate, sum(errors) AS errors, count(*) AS hours FROM h GROUP BY 1) SELECT max(rate) FILTER (errors = 0) AS highest_clean, min(rate) FILTER (errors > 0) AS first_errors, sum(hours) AS hours FROM b",
     "ag_16_limiter_snapshot": f"WITH {REQUESTS}, l AS (SELECT * FROM req QUALIFY row_number() OVER (PARTITION BY domain ORDER BY t DESC, event_id DESC) <= 20), g AS (SELECT *, t - lag(t) {_W}) AS gap FROM l) SELECT domain, count(*) AS n, count(*) FILTER {_BAD} AS errors, min(gap) AS gap_min, max(gap) AS gap_max, quantile_disc(gap, 0.5) AS gap_p50, quantile_disc(gap, 0.8) AS gap_p80 FROM g GROUP BY 1",
