@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trawl.streaming.shared import written
+
 # The patterns of a run's log, by name.
 LOG_PATTERNS = {
     "branch": r"细分 '([^']*)' \(total=(\d+)\) -> (\d+)子块 覆盖(\d+) 缺口(\d+)",
@@ -40,13 +42,14 @@ def groups(pattern: str) -> range:
 def log_facts(lines: DataFrame, line: str, order: list[str], patterns: dict[str, str] = LOG_PATTERNS, samples: int = 3) -> DataFrame:
     """name, n (matches), numeric (matches with a part of digits and points only), samples (the first ones in this order, parts joined by |).
 
-    Patterns without a match have no row. One projection over the lines; the first few of each name are taken before the shuffle."""
+    Patterns without a match have no row. Lines are read once: their matches, a small part of them, are written, and then counted and sampled; the first few of each name are taken before the shuffle."""
 
     def facts(name, p):
         parts = F.arrays_zip(*[F.regexp_extract_all(line, F.lit(p), F.lit(i)).alias(f"g{i}") for i in groups(p)])
         return F.transform(parts, lambda m, i: F.struct(F.lit(name).alias("name"), i.alias("at"), F.array(*[m[f"g{j}"] for j in groups(p)]).alias("parts")))
 
     hits = lines.select(*order, F.explode(F.concat(*[facts(k, p) for k, p in patterns.items()])).alias("h")).select(*order, "h.*")
+    hits = written(hits, "matches")
     n = hits.groupBy("name").agg(F.count("*").alias("n"), F.sum(F.exists("parts", lambda x: x.rlike(r"^[0-9.]+$")).cast("long")).alias("numeric"))
     first = hits.withColumn("no", F.row_number().over(Window.partitionBy("name").orderBy(*order, "at"))).where(F.col("no") <= samples)
     first = first.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("no", F.array_join("parts", "|").alias("text")))).alias("s"))

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trawl.streaming.shared import scratch
+from trawl.streaming.shared import written
 
 PART, AT = "_part", "_at"
 
@@ -25,14 +25,8 @@ def dealt(df: DataFrame, group: list[str], order: list[Column], partitions: int
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     by = [F.col(g).asc_nulls_first() for g in group] + list(order)
     x = df.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn(AT, F.monotonically_increasing_id())
-    path = scratch(spark, "ordered")
-    x.write.option("compression", "zstd").parquet(path)
     # the upper bits of such an id are its partition's number
-    return spark.read.schema(x.schema).parquet(path).withColumn(PART, F.shiftright(AT, 33))
-
-
-def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
+    return written(x, "ordered").withColumn(PART, F.shiftright(AT, 33))
 
 
 def _with_carries(rows: DataFrame, carries: DataFrame, group: list[str], names: list[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.streaming.shared import scratch
+from trawl.streaming.shared import written
 
 #: Values of a group that one task sorts.
 BOUND = 65_536
@@ -21,13 +21,6 @@ BOUND = 65_536
 GRID, REACH = 256, 2
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def percentiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, float]], bound: int = BOUND) -> DataFrame:
     """One row per group: the columns of by, and each wanted name's nearest-rank percentile (column, p); null where a group has no value.
 
@@ -44,7 +37,7 @@ def percentiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, float
     found = []
     while True:
         here = rows.groupBy(*at).agg(F.count("*").alias("_n"), F.percentile_approx("_v", [i / GRID for i in range(GRID + 1)], 10_000).alias("_grid"))
-        state = _written(_join(state, here, at), "ranks")
+        state = written(_join(state, here, at), "ranks")
         small = state.where(f"_n <= {bound}")
         lists = _join(rows, small.select(*at).distinct(), at).groupBy(*at).agg(F.sort_array(F.collect_list("_v")).alias("_all"))
         found.append(_join(small.select(*at, "name", "_rank"), lists, at).select(*by, "name", F.get("_all", (F.col("_rank") - 1).cast("int")).alias("_v")))
@@ -59,12 +52,12 @@ def percentiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, float
         x = _join(large, met, [*by, "name"])
         rank, upto = F.col("_rank"), [F.col("_less"), F.col("_less") + F.col("_low"), F.col("_less") + F.col("_low") + F.col("_mid"), F.col("_less") + F.col("_low") + F.col("_mid") + F.col("_high")]
         side = F.when(rank <= upto[0], "less").when(rank <= upto[1], "low").when(rank <= upto[2], "mid").when(rank <= upto[3], "high").otherwise("more")
-        x = _written(x.withColumn("_side", side).withColumn("_left", rank - F.when(F.col("_side") == "less", 0).when(F.col("_side") == "mid", upto[1]).otherwise(upto[3])), "sides")
+        x = written(x.withColumn("_side", side).withColumn("_left", rank - F.when(F.col("_side") == "less", 0).when(F.col("_side") == "mid", upto[1]).otherwise(upto[3])), "sides")
         found.append(x.where("_side IN ('low', 'high')").select(*by, "name", F.when(F.col("_side") == "low", lo).otherwise(hi).alias("_v")))
         x = x.where("_side NOT IN ('low', 'high')")
         inside = F.when(F.col("_side") == "less", v < lo).when(F.col("_side") == "mid", (v > lo) & (v < hi)).otherwise(v > hi)
         # from now on a name has rows of its own
-        rows = _written(_join(rows, x.select(*at, "name", "_side", "_lo", "_hi"), at).where(inside).select(*by, F.col("name").alias("_at"), "_v"), "inside")
+        rows = written(_join(rows, x.select(*at, "name", "_side", "_lo", "_hi"), at).where(inside).select(*by, F.col("name").alias("_at"), "_v"), "inside")
         state = x.select(*by, F.col("name").alias("_at"), "name", F.col("_left").alias("_rank"))
 
     all_found = reduce(DataFrame.unionByName, found).groupBy(*by).agg(*[F.max(F.when(F.col("name") == name, F.col("_v"))).cast(df.schema[c].dataType).alias(name) for name, (c, _) in wanted.items()])

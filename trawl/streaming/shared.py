@@ -14,3 +14,10 @@ def scratch(spark, name: str) -> str:
         at = "file://" + tempfile.mkdtemp(prefix="trawl-")
         spark.conf.set("spark.checkpoint.dir", at)
     return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df, name: str):
+    """df written to a new path of the shared folder and read again: what comes after doesn't make it twice."""
+    path = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
