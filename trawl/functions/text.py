@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from html import unescape
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf as udf
+from pyspark.sql.types import StringType
 
 # Entities that are replaced, in this order.
 ENTITIES = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&#x27;", "'"))
@@ -24,12 +29,21 @@ def html_text(html: Column) -> Column:
     return _replaced(out, (r"(?U)^\s+|\s+$", ""))
 
 
+@udf(StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else unescape(t))
+
+
+def unescaped(text: Column) -> Column:
+    """All character references of HTML as their characters: named ones with or without their semicolon, decimal and hexadecimal ones. Only texts with one go to the helper."""
+    some = text.rlike(r"&#?[A-Za-z0-9]")
+    return F.when(some, _unescaped(F.when(some, text))).otherwise(text)
+
+
 def html_plain(html: Column, limit: int = 200_000) -> Column:
-    """Script, style and noscript blocks and tags as blanks; the common entities."""
+    """Script, style and noscript blocks and tags as blanks; all character references."""
     out = _replaced(F.substring(F.coalesce(html, F.lit("")), 1, limit), (r"(?is)<(script|style|noscript)[^>]*>.*?</\1\s*>", " "), (r"<[^>]+>", " "))
-    for a, b in (*ENTITIES[1:], ENTITIES[0]):
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return out
+    return unescaped(out)
 
 
 def squeezed(c: Column) -> Column:
