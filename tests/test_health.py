@@ -64,17 +64,30 @@ def test_stall_alarm_once(spark, tmp_path):
     data = [(run, 1e6 + t, mark) for run, t, mark in data]  # rows at the epoch itself are late for any watermark
     spark.createDataFrame(data, "run long, t double, mark long").coalesce(1).write.parquet(f"{tmp_path}/in")
     s = spark.readStream.schema("run long, t double, mark long").parquet(f"{tmp_path}/in")
-    got = jobs.run(jobs.stall_alarms(s, 900), "test-stalls").orderBy("t", "run").collect()
+    got = jobs.run(jobs.stall_alarms(s, 900), "test-stalls", rocks=True).orderBy("t", "run").collect()
     # run 2 falls silent: its alarm comes by timer, once; alarms have the time at which the limit was reached, however the rows were batched
     want = [(1, 1e6 + 900, "stall_detected"), (2, 1e6 + 900, "stall_detected"), (1, 1e6 + 1600, "stall_cleared")]
     assert [(r.run, r.t, r.event) for r in got] == want
     for i in range(0, len(data), 3):
         spark.createDataFrame(sorted(data, key=lambda r: r[1])[i : i + 3], "run long, t double, mark long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/many")
     s = spark.readStream.schema("run long, t double, mark long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/many")
-    got = jobs.run(jobs.stall_alarms(s, 900), "test-stalls").orderBy("t", "run").collect()
+    got = jobs.run(jobs.stall_alarms(s, 900), "test-stalls", rocks=True).orderBy("t", "run").collect()
     assert [(r.run, r.t, r.event) for r in got] == want
 
 
+def test_state_goes_when_sessions_close(spark, tmp_path):
+    """Sessions are written once, when they are over, and their state is dropped."""
+    for i in range(6):
+        spark.createDataFrame([(u, 1e6 + i * 10_000.0 + k) for u in range(20) for k in range(3)], "u long, t double").select("u", F.timestamp_seconds("t").alias("ts")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    s = spark.readStream.schema("u long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    out = jobs.sessions(s, "ts", "u", "10 minutes", "1 minute").select("u", "n")
+    q = out.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start(f"{tmp_path}/out")
+    q.awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").groupBy("n").count().collect() == [(3, 100)]
+    state = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    assert state[-1]["numRowsTotal"] == 20 and sum(x["numRowsRemoved"] for x in state) == 100
+
+
 def test_versions_go_on_between_batches(spark, tmp_path):
     """baseline, unchanged, changed, back again; two batches give what one gives."""
     one = [("a", 1, "x"), ("a", 2, "x"), ("a", 3, "y"), ("b", 1, "p")]

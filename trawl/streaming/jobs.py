@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
@@ -19,15 +21,26 @@ from trawl.streaming.shared import scratch
 EARLIEST, AHEAD, SLACK_BEFORE, SLACK_AFTER = 1_735_689_600, 600, 10, 300
 
 
-def run(df: DataFrame, name: str, mode: str = "append", write: Callable[[DataFrame, int, str], None] | None = None) -> DataFrame:
-    """Drains the stream into a table of the shared folder and reads it; write(batch, id, path) replaces the plain writer."""
+#: The store that processors with state of their own need.
+ROCKS = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def run(df: DataFrame, name: str, mode: str = "append", write: Callable[[DataFrame, int, str], None] | None = None, rocks: bool = False) -> DataFrame:
+    """Drains the stream into a table of the shared folder and reads it; write(batch, id, path) replaces the plain writer; rocks keeps its state in RocksDB, whatever the session's setting."""
     spark = df.sparkSession
     path = scratch(spark, name)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", path + "-checkpoint").trigger(availableNow=True)
     if write is None and mode == "complete":
         write = lambda b, _, p: b.write.mode("overwrite").parquet(p)  # noqa: E731  each batch holds the whole result
-    q = w.foreachBatch(lambda b, i: write(b, i, path)).start() if write else w.format("parquet").start(path)
-    q.awaitTermination()
+    before = spark.conf.get(ROCKS[0], None)
+    if rocks:
+        spark.conf.set(*ROCKS)
+    try:
+        q = w.foreachBatch(lambda b, i: write(b, i, path)).start() if write else w.format("parquet").start(path)
+        q.awaitTermination()
+    finally:
+        if rocks:
+            spark.conf.unset(ROCKS[0]) if before is None else spark.conf.set(ROCKS[0], before)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns) if write is None or sinks.exists(spark, path) else spark.createDataFrame([], df.schema)
 
 
@@ -83,34 +96,54 @@ def breaker(df: DataFrame) -> DataFrame:
     return df.groupBy("domain").applyInPandasWithState(step, "domain long, ord long, state_from string, state_to string", "state string, streak int, until double", "append", GroupStateTimeout.NoTimeout)
 
 
-def stall_alarms(df: DataFrame, limit: float = 900, delay: str = "0 seconds") -> DataFrame:
-    """(run, t, mark) -> one alarm when a mark hasn't changed for limit seconds, one 'cleared' when it does again.
+class StallAlarms(StatefulProcessor):
+    """One run's mark, since when it stands, and whether that was alarmed; a timer of event time stands at the moment at which the alarm is due."""
 
-    A run that falls silent raises its alarm by a timer: when the watermark, which rows of other runs move on, passes the limit."""
+    def __init__(self, limit: float):
+        self.limit = limit
 
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        mark, since, alarmed = state.get if state.exists else (None, None, False)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("stall", "mark long, since double, alarmed boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        mark, since, alarmed = self.state.get() if self.state.exists() else (None, None, False)
         out = []
-        if state.hasTimedOut:
-            out.append((key[0], since + limit, "stall_detected"))
-            alarmed = True
-        else:
-            # one run's rows of one batch, in order
-            for r in pd.concat(list(batches)).sort_values("t").itertuples():
-                if since is not None and r.t - since >= limit and not alarmed:
-                    out.append((key[0], since + limit, "stall_detected"))
-                    alarmed = True
-                if since is None or r.mark != mark:
-                    if alarmed:
-                        out.append((key[0], float(r.t), "stall_cleared"))
-                    mark, since, alarmed = int(r.mark), float(r.t), False
-        state.update((mark, since, alarmed))
+        # one run's rows of one batch, in order
+        for t, new in sorted((t, m) for pdf in rows for t, m in zip(pdf["t"].tolist(), pdf["mark"].tolist(), strict=True)):
+            if since is not None and t - since >= self.limit and not alarmed:
+                out.append((key[0], since + self.limit, "stall_detected"))
+                alarmed = True
+            if since is None or new != mark:
+                if alarmed:
+                    out.append((key[0], float(t), "stall_cleared"))
+                mark, since, alarmed = int(new), float(t), False
+        self.state.update((mark, since, alarmed))
+        for due in list(self.handle.listTimers()):
+            self.handle.deleteTimer(due)
         if not alarmed:
-            state.setTimeoutTimestamp(max(int((since + limit) * 1000), state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["run", "t", "event"]).astype({"run": "int64", "t": "float64"})
+            self.handle.registerTimer(max(math.ceil((since + self.limit) * 1000), timerValues.getCurrentWatermarkInMs() + 1))
+        yield self._rows(out)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        mark, since, alarmed = self.state.get()
+        self.state.update((mark, since, True))
+        yield self._rows([] if alarmed else [(key[0], since + self.limit, "stall_detected")])
+
+    def close(self) -> None:
+        pass
+
+    @staticmethod
+    def _rows(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["run", "t", "event"]).astype({"run": "int64", "t": "float64"})
+
+
+def stall_alarms(df: DataFrame, limit: float = 900, delay: str = "0 seconds") -> DataFrame:
+    """(run, t, mark) -> one alarm when a mark hasn't changed for limit seconds, one 'cleared' when it does again. Run it with rocks.
+
+    A run that falls silent raises its alarm by a timer: when the watermark, which rows of other runs move on, passes the limit."""
     timed = df.withColumn("ts", F.timestamp_seconds("t")).withWatermark("ts", delay)
-    return timed.groupBy("run").applyInPandasWithState(step, "run long, t double, event string", "mark long, since double, alarmed boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    return timed.groupBy("run").transformWithStateInPandas(statefulProcessor=StallAlarms(limit), outputStructType="run long, t double, event string", outputMode="Append", timeMode="EventTime")
 
 
 def plausible(df: DataFrame, t: str, now: float, earliest: float = EARLIEST) -> tuple[DataFrame, DataFrame]:
