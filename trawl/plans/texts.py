@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from trawl.functions import results as R
 from trawl.functions import text as T
 from trawl.operators.logs import LOG_PATTERNS, groups, log_facts
 from trawl.plans.classes import LEADS, _leads
@@ -57,11 +58,29 @@ def txt_06_squeeze(spark, d):
     return read(spark, d, "documents").select("doc_id", F.md5(T.squeezed(F.regexp_replace("text", "<[^>]+>", " "))).alias("md5"))
 
 
+#: The forms by number, and how a result stands in each: {h} and {t} for link and title, AED for what may follow.
+FORM_NAMES = ("so360", "sogou", "bing", "brave", "weixin")
+_SHAPES = ('<h3 class="res-title x"><a href="{h}">{t}</a></h3>', '<h3> <a id="i" href="{h}">{t}</a></h3>', '<h2 class="t"><a href="{h}">{t}</a></h2>', '<a rel="r" href="{h}">{t}</a>', '<h3><a href="{h}">{t}</a></h3>AED')
+_ANCHOR = r'<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
+
+
 def txt_07_search_rows(spark, d):
-    """List items with a link -> (title, href); short titles and repeats dropped."""
-    p = read(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r"(?s)<li>(.*?)</li>"), F.lit(1))).alias("li"))
-    p = p.select("page_id", F.regexp_extract("li", r'href="([^"]*)"', 1).alias("href"), T.squeezed(F.regexp_replace("li", "<[^>]+>", " ")).alias("title"))
-    return p.where((F.length("title") > 3) & (F.col("href") != "")).dropDuplicates(["page_id", "href", "title"])
+    """Result pages of five forms, made of each page's own links: some scripts, some redirects, with and without account, time and digest."""
+    n = F.length("html") % len(FORM_NAMES)
+    p = read(spark, d, "pages").select("page_id", n.cast("int").alias("n"), F.arrays_zip(F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(1)).alias("h"), F.regexp_extract_all("html", F.lit(_ANCHOR), F.lit(2)).alias("t")).alias("a"))
+
+    def shaped(x, i):
+        href = F.when(i % 7 == 3, "javascript:;").when(i % 5 == 2, F.concat(F.lit("/link?url="), x["h"])).when(i % 2 == 0, F.concat(F.lit("http://x.org"), x["h"])).otherwise(x["h"])
+        out = F.replace(F.replace(F.element_at(F.array(*map(F.lit, _SHAPES)), F.col("n") + 1), F.lit("{h}"), href), F.lit("{t}"), x["t"])
+        more = F.concat(F.when(i % 2 == 0, F.concat(F.lit('<a class="account" href="#">by '), i.cast("string"), F.lit("</a>"))).otherwise(""), F.when(i % 3 == 0, F.concat(F.lit("document.write(timeConvert('17"), i.cast("string"), F.lit("'))"))).otherwise(""), F.when(i % 4 == 0, '<p class="txt-info">some <b>digest</b></p>').otherwise(""))
+        return F.when(F.col("n") == 4, F.concat(F.substring(out, 1, F.length(out) - 3), more)).otherwise(out)
+
+    p = p.select("page_id", "n", F.concat(F.array_join(F.transform("a", shaped), "\n"), F.lit("</ul>")).alias("html"))
+    out = None
+    for k, name in enumerate(FORM_NAMES):
+        x = R.result_rows(p.where(F.col("n") == k), R.FORMS[name]).select("page_id", F.lit(name).alias("form"), F.posexplode("results").alias("at", "r")).select("page_id", "form", "at", "r.*")
+        out = x if out is None else out.unionByName(x)
+    return out
 
 
 def txt_09_article(spark, d):
@@ -180,8 +199,11 @@ SQL = {
       l AS (SELECT page_id, list_transform(list_concat(list_concat(regexp_extract_all(html, '<img[^>]+src="([^"]+)"', 1), regexp_extract_all(html, 'data-src="([^"]+)"', 1)), regexp_extract_all(html, 'content="(https?://[^"]+\.(?:png|jpg|jpeg|gif))"', 1)), lambda x: replace(x, '&amp;', '&')) AS a FROM h),
       u AS (SELECT page_id, unnest(a) AS image, generate_subscripts(a, 1) AS i FROM l), f AS (SELECT page_id, image, min(i) AS i FROM u GROUP BY 1, 2), r AS (SELECT page_id, image, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos FROM f) SELECT page_id, pos, image FROM r WHERE pos < 40""",
     "txt_06_squeeze": r"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))) AS md5 FROM documents",
-    "txt_07_search_rows": r"""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1)) AS li FROM pages), t AS (SELECT page_id, regexp_extract(li, 'href="([^"]*)"', 1) AS href, trim(regexp_replace(regexp_replace(li, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM l)
-      SELECT DISTINCT page_id, href, title FROM t WHERE length(title) > 3 AND href <> ''""",
+    "txt_07_search_rows": rf"""WITH p AS (SELECT page_id, length(html) % 5 AS n, regexp_extract_all(html, '{_ANCHOR}', 1) AS h, regexp_extract_all(html, '{_ANCHOR}', 2) AS t FROM pages), a AS (SELECT page_id, n, unnest(h) AS h, unnest(t) AS t, unnest(range(len(h))) AS i FROM p),
+      b AS (SELECT page_id, n, i, CASE WHEN i % 7 = 3 THEN 'javascript:;' WHEN i % 5 = 2 THEN '/link?url=' || h WHEN i % 2 = 0 THEN 'http://x.org' || h ELSE h END AS href, {_entities("t", (*T.ENTITIES[1:], ("&copy;", "©"), ("&middot;", "·"), T.ENTITIES[0]))} AS t FROM a),
+      c AS (SELECT page_id, n, i, CASE WHEN n = 1 AND starts_with(href, '/') THEN 'https://www.sogou.com' || replace(href, '&amp;', '&') ELSE replace(href, '&amp;', '&') END AS href, trim(regexp_replace(t, '\s+', ' ', 'g')) AS title FROM b WHERE href <> ''),
+      k AS (SELECT * FROM c WHERE NOT starts_with(href, 'javascript') AND length(title) >= CASE WHEN n = 3 THEN 4 ELSE 1 END AND (n NOT IN (2, 3) OR starts_with(href, 'http')) AND (n <> 4 OR starts_with(href, '/link?url=')) QUALIFY n <> 3 OR row_number() OVER (PARTITION BY page_id, substr(href, 1, 400) ORDER BY i) = 1)
+      SELECT page_id, (['so360', 'sogou', 'bing', 'brave', 'weixin'])[n + 1] AS form, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS at, href, title, CASE WHEN n = 4 AND i % 2 = 0 THEN 'by ' || i END AS account, CASE WHEN n = 4 AND i % 3 = 0 THEN ('17' || i)::BIGINT END AS epoch, CASE WHEN n = 4 AND i % 4 = 0 THEN 'some digest' END AS digest FROM k""",
     "txt_09_article": r"""SELECT page_id, substr(coalesce(nullif(regexp_extract(html, 'og:title" content="([^"]*)"', 1), ''), nullif(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), ''), nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ''), ''), 1, 80) AS title,
       md5(CASE WHEN strpos(html, '<article') > 0 THEN substr(html, strpos(html, '<article'), 400000) ELSE substr(html, 1, 400000) END) AS body_md5 FROM pages""",
     "txt_11_relevance": f"SELECT doc_id, ({_REL}) / 100 AS rel FROM (SELECT doc_id, substr(text, 1, 50000) AS t FROM documents)",
