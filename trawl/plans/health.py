@@ -136,7 +136,7 @@ def txt_23_diff(spark, d):
     # each version is the new one of its change and the old one of the next
     sides = v.select("site_id", "ord", F.explode(F.array(F.struct("ver", F.lit(True).alias("is_new")), F.struct((F.col("ver") + 1).alias("ver"), F.lit(False).alias("is_new")))).alias("x"))
     pair = sides.groupBy("site_id", "x.ver").agg(F.max(F.when(~F.col("x.is_new"), F.col("ord"))).alias("old_ord"), F.max(F.when(F.col("x.is_new"), F.col("ord"))).alias("new_ord")).where("old_ord IS NOT NULL AND new_ord IS NOT NULL")
-    text = docs.select("ord", "text")
+    text = docs.select("ord", T.header_stripped(F.col("text")).alias("text"))  # a capture's head of # lines isn't content
     pair = pair.join(text.toDF("old_ord", "old"), "old_ord").join(text.toDF("new_ord", "new"), "new_ord")
     return pair.select("site_id", "ver", diff_preview("old", "new").alias("diff")).select("site_id", "ver", F.size(F.split("diff", "\n")).alias("lines"), F.length("diff").alias("chars"))
 
