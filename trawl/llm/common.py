@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,3 +121,10 @@ def components(edges: DataFrame) -> DataFrame:
     roots = edges.groupBy("u").agg(F.min("v").alias("root"))
     return nodes.join(roots, nodes.node == roots.u, "left").select("node", F.coalesce("root", "node").alias("root"))
 
+
+def trimmed() -> None:
+    """Gives back what earlier tasks of this worker process left unused: stages of a pipeline share workers."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every platform has it
+        ctypes.CDLL(None).malloc_trim(0)

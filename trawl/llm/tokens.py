@@ -24,13 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trawl.llm.common import staged
+from trawl.llm.common import staged, trimmed
 
 SHARD = 1 << 20
 SAMPLE = 512  # bits from one rank sample to the next
 HEAD = struct.Struct("<4sBQI")
 #: Words whose ids a worker remembers.
 WORDS = 1_000_000
+#: The same where only lengths are taken, beside other work.
+FEWER = 200_000
 #: Signs that form a piece of their own behind letters (the apostrophe may begin another).
 SIGNS = string.punctuation.replace("'", "")
 
@@ -45,11 +47,11 @@ class Encoder:
     Only for tokenizers that drop white space and never let a token cross it, which a few probes check; with any other
     one, texts are encoded whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.words = Tokenizer.from_file(path), words
         self.known: dict[str, bytes] = {"": b""}
         mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
@@ -60,7 +62,7 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         known = self.known
-        if len(known) + len(words) > WORDS:
+        if len(known) + len(words) > self.words:
             known.clear()
             known[""] = b""
         # latin letters with or without a run of signs behind them: two pieces, the ids of the lower-case letters and those of the signs
@@ -215,13 +217,13 @@ class Shard:
         return v
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def _encoder(path: str, words: int = WORDS) -> Encoder:
+    if (path, words) not in _ENCODERS:
+        _ENCODERS[path, words] = Encoder(path, words)
+    return _ENCODERS[path, words]
 
 
 def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 1, key: str = "doc_id", text: str = "text", partitions: int | None = None) -> DataFrame:
@@ -278,7 +280,8 @@ def lengths(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
     """One row per row of docs: doc_id, n_tokens. The end id counts, as in the shards' lengths, so an empty text has one token."""
 
     def count(batches):
-        encode = _encoder(tokenizer)
+        trimmed()
+        encode = _encoder(tokenizer, FEWER)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
