@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import bounded_fraction, share, staged
+from trawl.llm.common import bounded_fraction, share, staged, trimmed
 
 N, HASHES, SLOTS = 5, 2, 1 << 21
 SAMPLE, COMMON, COMMON_WEIGHS = 1_500, 100, 0.75
@@ -141,6 +141,7 @@ def accept(docs: DataFrame, filters: Filters, least_score: float = 0.3, least_kn
     at = docs.columns.index(text)
 
     def keep(batches):
+        trimmed()
         f = sent.value
         for batch in batches:
             out = [f.judge(t) for t in batch.column(at).to_pylist()]

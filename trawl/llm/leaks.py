@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import staged
+from trawl.llm.common import staged, trimmed
 
 Q, EDITS, GROUP, BRIEF = 8, 0.1, 4 << 20, 64
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -252,6 +252,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str =
     sent = docs.sparkSession.sparkContext.broadcast(first)
 
     def keep(batches):
+        trimmed()
         table = Group(sent.value)
         for batch in batches:
             yield batch.filter(pa.array([not table.found(plain(t)) for t in batch.column(at).to_pylist()], pa.bool_()))

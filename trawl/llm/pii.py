@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.llm.bilstm import Tagger, coded
-from trawl.llm.common import bounded_fraction, share
+from trawl.llm.common import bounded_fraction, share, trimmed
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, WINDOWS, WINDOW, MARGIN = 800, 800, 64, 24
@@ -335,6 +335,7 @@ def mask(docs: DataFrame, model: Tagger | None, text: str = "text") -> DataFrame
     at = docs.columns.index(text)
 
     def replace(batches):
+        trimmed()
         model = sent.value
         for batch in batches:
             for a in range(0, batch.num_rows, 128):
