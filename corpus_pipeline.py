@@ -40,7 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each document is packed: bucket, batch and slot. Lengths are tokens, with the end id."""
-    lengths = tokens.lengths(docs, public_tokenizers.path("word_bpe_49k.json"))
+    lengths = tokens.lengths(docs, public_tokenizers.path("word_bpe_49k.json"), lean=True)
     return packing.pack(lengths, buckets=16, budget=65_536, length=lengths["n_tokens"])
 
 

@@ -31,7 +31,7 @@ SAMPLE = 512  # bits from one rank sample to the next
 HEAD = struct.Struct("<4sBQI")
 #: Words whose ids a worker remembers.
 WORDS = 1_000_000
-#: The same where only lengths are taken, beside other work.
+#: The same in a stage among others, where memory is shared.
 FEWER = 200_000
 #: Signs that form a piece of their own behind letters (the apostrophe may begin another).
 SIGNS = string.punctuation.replace("'", "")
@@ -276,12 +276,15 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = 1, key: str = "doc_id
     return docs.select(F.col(key).alias("doc_id"), text).mapInArrow(encode_all, f"doc_id {docs.schema[key].dataType.simpleString()}, n_tokens long, ids array<int>")
 
 
-def lengths(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_tokens. The end id counts, as in the shards' lengths, so an empty text has one token."""
+def lengths(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", lean: bool = False) -> DataFrame:
+    """One row per row of docs: doc_id, n_tokens. The end id counts, as in the shards' lengths, so an empty text has one token.
+
+    lean: for a stage among others; a worker gives back what earlier ones left, and remembers FEWER words."""
 
     def count(batches):
-        trimmed()
-        encode = _encoder(tokenizer, FEWER)
+        if lean:
+            trimmed()
+        encode = _encoder(tokenizer, FEWER if lean else WORDS)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
