@@ -1,5 +1,6 @@
 """Source and sink queries: SRC and SNK, over lines and files that Spark derives from the tables."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trawl.plans.tables import read
@@ -25,13 +26,14 @@ LINES = 10_000_000
 
 
 def _files(spark, d):
-    """The lines written as text files, in order of doc_id, without a line end behind the last one; a file's lines are one task's to write."""
-    x = _lines(spark, d)
-    first = x.groupBy("file").agg(F.min("doc_id").alias("first"))
+    """The lines written as text files, in order of doc_id, without a line end behind the last one; a file's lines are one task's to write.
+
+    The first line is told by a window, not by a join: a join on the file would stand in for the repartition, and is read anew in other pieces once it has become a broadcast join."""
+    of = Window.partitionBy("file").orderBy("doc_id")
     # the writer's separator is a blank here, and line ends stand before all lines but the first
-    x = x.join(first, "file").select("file", "doc_id", F.concat(F.when(F.col("doc_id") == F.col("first"), "").otherwise("\n"), "value").alias("value"))
+    x = _lines(spark, d).repartition("file").withColumn("value", F.concat(F.when(F.row_number().over(of) == 1, "").otherwise("\n"), "value"))
     path = scratch(spark, "lines")
-    x.repartition("file").sortWithinPartitions("file", "doc_id").drop("doc_id").write.partitionBy("file").option("lineSep", " ").text(path)
+    x.sortWithinPartitions("file", "doc_id").drop("doc_id").write.partitionBy("file").option("lineSep", " ").text(path)
     lines = J.read_lines(spark, path)
     return lines.withColumn("file", F.regexp_extract("file", "file=([^/]*)/", 1))
 
