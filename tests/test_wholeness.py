@@ -42,3 +42,8 @@ def several_files(spark, d):
 def test_ingest_of_files_that_one_task_writes(spark, tmp_path, late_broadcast):
     several_files(spark, tmp_path)
     same(spark, str(tmp_path), "src_01_ingest", "documents")
+
+
+def test_attribution_of_files_that_one_task_writes(spark, tmp_path, late_broadcast):
+    several_files(spark, tmp_path)
+    same(spark, str(tmp_path), "src_04_attribution", "documents")
