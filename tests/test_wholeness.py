@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trawl import catalog
+from trawl.streaming import jobs
 
 SF = "/root/testdata/sf0.01"
 
@@ -47,3 +48,20 @@ def test_ingest_of_files_that_one_task_writes(spark, tmp_path, late_broadcast):
 def test_attribution_of_files_that_one_task_writes(spark, tmp_path, late_broadcast):
     several_files(spark, tmp_path)
     same(spark, str(tmp_path), "src_04_attribution", "documents")
+
+
+def test_monitor_of_files_that_come_in_another_order(spark, tmp_path):
+    """The file with the later captures is the older one."""
+    x, at = spark.read.parquet(f"{SF}/documents.parquet"), f"{tmp_path}/documents.parquet"
+    for i, part in enumerate(("doc_id >= 500", "doc_id < 300", "doc_id BETWEEN 300 AND 499")):
+        x.where(part).coalesce(1).write.mode("append").parquet(at)
+        for f in os.listdir(at):
+            if f.endswith(".parquet") and os.stat(f"{at}/{f}").st_mtime > 1e9 + 9:
+                os.utime(f"{at}/{f}", (1e9 + i, 1e9 + i))
+    same(spark, str(tmp_path), "sm_09_monitor", "documents")
+
+
+def test_captures_of_a_batch_that_comes_again(spark, tmp_path):
+    for _ in range(2):
+        jobs.captures_into(spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "site_id string, ord long, sha string"), 0, f"file://{tmp_path}/c")
+    assert spark.read.parquet(f"{tmp_path}/c").count() == 2

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from trawl.functions import classify as C
+from trawl.operators import snapshots as S
 from trawl.plans.classes import LEADS
 from trawl.plans.tables import REQUESTS, requests
 from trawl.streaming import jobs as J
@@ -77,7 +78,8 @@ def sm_08_idempotent_sink(spark, d):
 def sm_09_monitor(spark, d):
     docs = J.source(spark, f"{d}/documents.parquet", 1)
     c = docs.select(F.col("source").alias("site_id"), F.col("doc_id").alias("ord"), F.sha2("text", 256).alias("sha"))
-    out = J.run(c.withColumn("ver", F.lit(None).cast("long")), "monitor", write=lambda b, i, p: J.versions_into(b.drop("ver"), i, p))
+    # the stream's files come by time of change, which needn't be the captures' order
+    out = S.versions(J.run(c, "monitor", write=J.captures_into)).where("is_new = 1")
     return out.groupBy("site_id").agg(F.count("*").alias("versions"), F.max("ver").alias("last_ver"))
 
 
