@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trawl import catalog
+from trawl.functions import text as T
 from trawl.streaming import jobs
 
 SF = "/root/testdata/sf0.01"
@@ -65,3 +66,11 @@ def test_captures_of_a_batch_that_comes_again(spark, tmp_path):
     for _ in range(2):
         jobs.captures_into(spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "site_id string, ord long, sha string"), 0, f"file://{tmp_path}/c")
     assert spark.read.parquet(f"{tmp_path}/c").count() == 2
+
+
+def test_references_that_markup_cuts_off(spark, tmp_path):
+    pages = [(0, "u", "<title>a&amp;&amp;&amp</title>b"), (1, "u", "<b>&quo</b>&amp;lt;&amp<script>x</script>"), (2, "u", "x &copy; &amp"), (3, "u", "&middot;&am<br>")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    same(spark, str(tmp_path), "txt_02_html_plain", "pages")
+    got = spark.createDataFrame([("a &copy b &amp;c&#233;&eacute d<i>&amp</i>",)], "h string").select(T.html_plain("h")).first()[0]
+    assert got == "a © b &céé d &amp "
