@@ -74,3 +74,15 @@ def test_references_that_markup_cuts_off(spark, tmp_path):
     same(spark, str(tmp_path), "txt_02_html_plain", "pages")
     got = spark.createDataFrame([("a &copy b &amp;c&#233;&eacute d<i>&amp</i>",)], "h string").select(T.html_plain("h")).first()[0]
     assert got == "a © b &céé d &amp "
+
+
+def test_sessions_still_open_at_the_end(spark, tmp_path):
+    """Every event is in a session, in whatever batches the events come."""
+    same(spark, SF, "sm_04_sessions", "events")
+    sizes = catalog.queries()["sm_04_sessions"](spark, SF).agg(F.sum("n")).first()[0]
+    assert sizes == spark.read.parquet(f"{SF}/events.parquet").count()
+    for i in range(4):
+        spark.createDataFrame([(u, 1e6 + i * 10_000.0 + k) for u in range(20) for k in range(3)], "u long, t double").select("u", F.timestamp_seconds("t").alias("ts")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    s = spark.readStream.schema("u long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    got = jobs.run_sessions(jobs.sessions(s, "ts", "u", "10 minutes", "1 minute"), "sessions")
+    assert got.groupBy("n").count().collect() == [(3, 80)]

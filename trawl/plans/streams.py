@@ -47,8 +47,8 @@ def sm_03_sliding(spark, d):
 
 
 def sm_04_sessions(spark, d):
-    """Closed sessions: each is written once, when the watermark has passed its end."""
-    out = J.run(J.sessions(_requests(spark, d), "ts", "domain", "6 hours"), "sessions")
+    """All sessions: a closed one is written once, when the watermark has passed its end; those still open when the stream is drained are read from its state."""
+    out = J.run_sessions(J.sessions(_requests(spark, d), "ts", "domain", "6 hours"), "sessions")
     return out.select("domain", F.unix_timestamp("session_window.start").alias("start"), "n")
 
 
@@ -122,7 +122,7 @@ SQL = {
     "sm_01_seen": f"WITH {REQUESTS} SELECT DISTINCT domain || '/' || event_type || '/' || coalesce(status::VARCHAR, 'none') AS key FROM req",
     "sm_02_tumbling": f"WITH {REQUESTS} SELECT t // 3600 * 3600 AS start, event_type, count(*) AS n, sum({_BAD}::INT) AS bad FROM req GROUP BY 1, 2",
     "sm_03_sliding": f"WITH {REQUESTS}, x AS (SELECT t // 3600 * 3600 - 3600 * k AS start, {_BAD} AS bad FROM req, (VALUES (0), (1)) v(k)) SELECT start, count(*) AS n, sum(bad::INT) AS bad FROM x GROUP BY 1",
-    "sm_04_sessions": f"WITH {REQUESTS}, g AS (SELECT domain, ts, t, event_id, CASE WHEN ts >= lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) + INTERVAL 6 HOUR OR lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) IS NULL THEN 1 ELSE 0 END AS f FROM req), s AS (SELECT *, sum(f) OVER (PARTITION BY domain ORDER BY ts, event_id) AS sid FROM g) SELECT domain, min(t) AS start, count(*) AS n FROM s GROUP BY domain, sid HAVING max(ts) + INTERVAL 6 HOUR <= date_trunc('milliseconds', (SELECT max(ts) FROM req)) - INTERVAL 5 MINUTE",
+    "sm_04_sessions": f"WITH {REQUESTS}, g AS (SELECT domain, ts, t, event_id, CASE WHEN ts >= lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) + INTERVAL 6 HOUR OR lag(ts) OVER (PARTITION BY domain ORDER BY ts, event_id) IS NULL THEN 1 ELSE 0 END AS f FROM req), s AS (SELECT *, sum(f) OVER (PARTITION BY domain ORDER BY ts, event_id) AS sid FROM g) SELECT domain, min(t) AS start, count(*) AS n FROM s GROUP BY domain, sid",
     "sm_06_stall_alarms": f"""WITH {REQUESTS}, r AS (SELECT domain AS run, t, event_id // 1000 AS mark FROM req), c AS (SELECT *, lag(mark) OVER (PARTITION BY run ORDER BY t, mark) AS prev FROM r), i AS (SELECT run, t, lead(t) OVER (PARTITION BY run ORDER BY t, mark) AS nxt FROM c WHERE prev IS NULL OR prev <> mark)
       SELECT run, t + 86400.0::DOUBLE AS t, 'stall_detected' AS event FROM i WHERE coalesce(nxt, (SELECT max(t) FROM req)) - t >= 86400 UNION ALL SELECT run, nxt::DOUBLE, 'stall_cleared' FROM i WHERE nxt - t >= 86400""",
     "sm_07_implausible": "SELECT event_id, event_id % 13 <> 0 AND event_id % 17 <> 0 AS plausible FROM events",
