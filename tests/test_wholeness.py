@@ -86,3 +86,11 @@ def test_sessions_still_open_at_the_end(spark, tmp_path):
     s = spark.readStream.schema("u long, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
     got = jobs.run_sessions(jobs.sessions(s, "ts", "u", "10 minutes", "1 minute"), "sessions")
     assert got.groupBy("n").count().collect() == [(3, 80)]
+
+
+def test_files_of_the_tree_are_full(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("trawl.plans.sources.scratch", lambda spark, name: f"file://{tmp_path}/{name}")
+    same(spark, SF, "src_06_tree", "documents")
+    sizes = [len(f.read_text().splitlines()) for f in tmp_path.rglob("*.txt")]
+    x = spark.read.parquet(f"{SF}/documents.parquet")
+    assert max(sizes) <= 100 and sum(sizes) == x.count() and len(sizes) <= x.count() / 100 + x.select("source").distinct().count()

@@ -65,10 +65,12 @@ def src_05_roles(spark, d):
 
 
 def src_06_tree(spark, d):
-    """Whole texts written as a tree of files of at most a hundred documents, and read as such: one row per file."""
+    """Whole texts written as a tree of files of at most a hundred documents, and read as such: one row per file.
+
+    A folder has one source's of ten thousand documents, and all its files but the last are full, so that there are little more of them than a hundredth of the documents."""
     path = scratch(spark, "tree")
-    x = read(spark, d, "documents").select(F.concat(F.col("doc_id"), F.lit(" "), F.md5("text"), F.lit(" "), F.regexp_replace("text", r"\s+", " ")).alias("value"), "source", F.expr("doc_id div 100").alias("part"))
-    x.repartition("source", "part").sortWithinPartitions("source", "part").write.partitionBy("source", "part").text(path)
+    x = read(spark, d, "documents").select(F.concat(F.col("doc_id"), F.lit(" "), F.md5("text"), F.lit(" "), F.regexp_replace("text", r"\s+", " ")).alias("value"), "source", F.expr("doc_id div 10000").alias("part"))
+    x.repartition("source", "part").sortWithinPartitions("source", "part").write.option("maxRecordsPerFile", 100).partitionBy("source", "part").text(path)
     line = J.read_tree(spark, path).select(F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
     return line.select(F.substring_index("line", " ", 1).cast("long").alias("doc_id"), F.md5("line").alias("md5"))
 
