@@ -94,3 +94,11 @@ def test_files_of_the_tree_are_full(spark, tmp_path, monkeypatch):
     sizes = [len(f.read_text().splitlines()) for f in tmp_path.rglob("*.txt")]
     x = spark.read.parquet(f"{SF}/documents.parquet")
     assert max(sizes) <= 100 and sum(sizes) == x.count() and len(sizes) <= x.count() / 100 + x.select("source").distinct().count()
+
+
+def test_titles_without_a_pass_over_the_whole_text(spark, tmp_path):
+    texts = ["", "1" * 5000 + "ab", "é9 " * 40, "a" * 19 + "1" * 99 + "bc", "😀x\ny" * 30, "no 20"] * 20
+    spark.createDataFrame([(i, t, "s", "en", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, source string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    same(spark, str(tmp_path), "src_03_salvage", "documents")
+    plan = catalog.queries()["src_03_salvage"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract(text#" in plan and "regexp_replace(text#" not in plan

@@ -14,7 +14,9 @@ RECORD = "mms string, prefix string, title string"
 def _lines(spark, d):
     """documents as JSON lines of files by source, each of at most LINES lines; some broken, some glued, by id and text."""
     file = F.concat_ws("-", "source", F.expr(f"doc_id div {LINES}"))
-    x = read(spark, d, "documents").select("doc_id", file.alias("file"), F.length("text").alias("n"), F.substring(F.regexp_replace("text", r"[^A-Za-z ]", ""), 1, 20).alias("title"))
+    # the text up to its twentieth letter or blank, without what else is there: the same as from the whole text without it, which would be made anew wherever value is used
+    title = F.regexp_replace(F.regexp_extract("text", r"^(?:[^A-Za-z ]*+[A-Za-z ]){0,20}", 0), r"[^A-Za-z ]", "")
+    x = read(spark, d, "documents").select("doc_id", file.alias("file"), F.length("text").alias("n"), title.alias("title"))
     rec = F.to_json(F.struct(F.concat(F.lit("m"), "doc_id").alias("mms"), F.concat(F.lit("P"), F.col("doc_id") % 7).alias("prefix"), "title"))
     n = (F.col("doc_id") * 7 + F.col("n")) % 20
     value = F.when(n == 3, "NOT-JSON").when(n == 5, F.concat(F.lit('{"mms":"x","prefix":"Q9","ti'), rec)).when(n == 8, F.expr("substring(rec, 1, length(rec) - 4)")).when(n == 11, '{"mms":"","prefix":null}').when(n == 13, "").otherwise(F.col("rec"))
