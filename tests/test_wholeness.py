@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from trawl import catalog
 from trawl.functions import text as T
+from trawl.functions.identifiers import SLICE, identifiers
 from trawl.streaming import jobs
 
 SF = "/root/testdata/sf0.01"
@@ -102,3 +103,11 @@ def test_titles_without_a_pass_over_the_whole_text(spark, tmp_path):
     same(spark, str(tmp_path), "src_03_salvage", "documents")
     plan = catalog.queries()["src_03_salvage"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract(text#" in plan and "regexp_replace(text#" not in plan
+
+
+def test_identifiers_of_more_pages_than_a_slice(spark):
+    """Pages reach Python as Arrow's own array, not as a batch of Python texts."""
+    pages = [(i, None if i % 7 == 0 else f"群号：{10_000 + i}") for i in range(SLICE * 3 + 5)]
+    df = spark.createDataFrame(pages, "i int, page string").coalesce(1).select("i", identifiers(F.col("page")).alias("x"))
+    assert "], 250" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.i: [h.value for h in r.x] for r in df.collect()} == {i: [] if p is None else [str(10_000 + i)] for i, p in pages}

@@ -6,9 +6,9 @@ import html
 import re
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 
 class Rule(NamedTuple):
@@ -24,6 +24,8 @@ class Rule(NamedTuple):
 
 # Characters that a guard looks at, markup, numbers of members (no group numbers), words that are no account, and the patterns by kind.
 AHEAD = 24
+#: Pages whose hits are gathered in Python before they are a piece of the result.
+SLICE = 64
 BLOCKS, TAGS = r"(?is)<(script|style|noscript)[^>]*>.*?</\1\s*>", r"<[^>]+>"
 MEMBERS = r"人\s*(聚集|加入|关注|收藏|浏览|在读|参与)"
 NO_ACCOUNT = ("id", "号", "群", "二维码")
@@ -50,8 +52,10 @@ def identifiers(page: Column, rules: tuple[Rule, ...] = RULES, window: int = 60)
     Evidence is the text around it, window characters on each side, blanks squeezed. The plain text is the whole page without scripts, styles and
     tags, all entities replaced. A null page has none. Positions need Python's matcher: one Arrow-batched helper."""
 
-    @pandas_udf("array<struct<kind: string, value: string, evidence: string>>")
-    def seek(pages: pd.Series) -> pd.Series:
+    kind = pa.list_(pa.struct([(k, pa.string()) for k in ("kind", "value", "evidence")]))
+
+    @arrow_udf("array<struct<kind: string, value: string, evidence: string>>")
+    def seek(pages: pa.Array) -> pa.Array:
         tests = [(r, re.compile(r.pattern), re.compile(r.guard or r"(?!)")) for r in rules]
 
         def of(raw):
@@ -64,6 +68,8 @@ def identifiers(page: Column, rules: tuple[Rule, ...] = RULES, window: int = 60)
                         hits.setdefault((rule.kind, m[1]), " ".join(text[max(0, at - window) : end + window].split()))
             return [{"kind": k, "value": v, "evidence": e} for (k, v), e in hits.items()]
 
-        return pages.map(lambda raw: of(raw or ""))
+        # one page at a time is a text in Python, beside the batch as it came
+        done = [pa.array([of(raw.as_py() or "") for raw in pages[at : at + SLICE]], kind) for at in range(0, len(pages), SLICE)]
+        return pa.concat_arrays(done) if done else pa.array([], kind)
 
     return seek(page)
