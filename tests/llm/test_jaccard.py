@@ -99,6 +99,64 @@ def test_against_brute_force(spark, monkeypatch, small):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
 
 
+@pytest.mark.parametrize("part", [50, 80, 85, 95])
+def test_linked_sets_share_a_key(part):
+    rnd = np.random.default_rng(part)
+    cuts, starts, most = jaccard.parts_of(part), jaccard.edges(part), 0
+    for n in [*range(1, 140), 199, 400, 1000, 5000]:
+        a = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64))
+        frequent = np.sort(rnd.permutation(a)[: rnd.integers(0, n + 1)])
+        for added in {0, jaccard.differing(n, part) // 2, 100 * n // part - n}:
+            b = np.concatenate([a, rnd.integers(0, 1 << 63, added, dtype=np.uint64)])
+            # as many others as may go
+            gone = next(g for g in range(n - 1, -1, -1) if 100 * (n - g) >= part * len(b))
+            b = np.sort(rnd.permutation(b) if gone == 0 else np.concatenate([rnd.permutation(a)[gone:], b[n:]]))
+            both = [jaccard.keys_of(x, frequent, int(np.searchsorted(starts, len(x), "right")), cuts, part) for x in (a, b)]
+            assert not both[0][2] + both[1][2]
+            assert len(np.intersect1d(np.concatenate(both[0][:2]), np.concatenate(both[1][:2])))
+            most = max(most, sum(map(len, both[0][:2])) / n)
+    assert part == 50 or most <= 4
+
+
+def test_parts_too_few(spark, monkeypatch):
+    """Shingles that lie in fewer parts than may differ: single shingles are the keys."""
+    real = jaccard.parts_of
+    assert jaccard.keys_of(np.arange(1, 301, dtype=np.uint64) << np.uint64(32), np.zeros(0, np.uint64), 20, [128] * 99)[2] == [20]
+    monkeypatch.setattr(jaccard, "parts_of", lambda part, tokens=frozenset(): [0 if g in tokens else min(p, 1) for g, p in enumerate(real(part))])
+    rows = list(enumerate(corpus(random.Random(3), 5, 5)))
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
+
+
+def test_common_phrases_make_no_family(spark, monkeypatch):
+    """Texts of a few words share most of their shingles with some other text each, and link with none: their sets aren't sent to be compared."""
+    rnd, sent = random.Random(7), {}
+    rows = [(i, " ".join(rnd.choice("abcdefghij") for _ in range(110))) for i in range(400)]
+    rows += [(1000 + i, t + " k") for i, t in rows[:3]]
+    real = jaccard.staged
+
+    def staged(df, name):
+        out = real(df, name)
+        sent[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", staged)
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
+    assert 6 <= sent["members"] < 30
+
+
+def test_keys_are_deleted(spark, monkeypatch):
+    """Once families are known, what they were found by takes no room."""
+    import os
+
+    at, real = {}, jaccard.staged
+    monkeypatch.setattr(jaccard, "staged", lambda df, name: at.setdefault(name, []).append(real(df, name)) or at[name][-1])
+    jaccard.join(spark.createDataFrame(list(enumerate(corpus(random.Random(8), 3, 3))), "doc_id long, text string")).collect()
+    there = [x for name in at for x in at[name] if os.path.exists(x.staged_at.removeprefix("file://")) and {"keys", "key", "late"} & set(x.columns)]
+    assert not there
+
+
 def test_one_of_each(spark):
     rnd = random.Random(9)
     texts = corpus(rnd, 6, 5)

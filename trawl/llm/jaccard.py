@@ -1,9 +1,10 @@
-"""Exact n-gram Jaccard join: prefix keys find families, signature trees join them.
+"""Exact n-gram Jaccard join: prefix keys of parts find families, signature trees join them.
 
 1. Each text becomes its set of word shingles. Texts with equal sets are one class (by a 64-bit fingerprint of the set).
-2. Shingles are put in one order for all: those that are frequent in a bounded sample last, then by hash. If two sets
-   link, the first n - need(n) + l of each share at least l (the smaller l of both): the prefixes are the join keys. Classes with too few keys that
-   another class has are left out. Keys of the others connect classes to families; linked classes are in one family.
+2. A set is cut into parts by its shingles' hashes. Sets that link differ in few shingles, so most parts of both are the same; of a part's order that its own
+   contents give (those with several shingles that aren't frequent in a bounded sample first), the first d + 1 parts of each have one in common, where d is the most shingles that
+   may differ. These are the join keys. A key stands for several shingles together, so texts that have only common phrases in common share none. Keys
+   connect classes to families; linked classes are in one family.
 3. Families are joined by signature trees: a node has the OR of its sets' token bitmaps, the range of their sizes, and the
    most tokens that one bitmap loses to clashes. Two trees are walked together; a pair of nodes is dropped when its bitmaps allow less overlap
    than its sizes require, or when all its sets are linked already. Pairs of sets that are left are compared exactly.
@@ -26,12 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.llm import shingles
-from trawl.llm.common import bounded_fraction, components, share, staged
+from trawl.llm.common import bounded_fraction, components, released, share, staged
 
 #: Words of a shingle; linked: part * union <= 100 * intersection.
 WORDS, PART = 4, 85
 SAMPLE, FREQUENT = 4_000, 50_000
-BLOCK, BLOCK_BYTES, FAN, SPARE = 1024, 16 << 20, 8, 16
+#: Keys are looked at in so many slices, one after another.
+SLICES = 4
+BLOCK, BLOCK_BYTES, FAN = 1024, 16 << 20, 8
 #: Representatives' ids are broadcast up to this many, joined otherwise.
 SENT = 1_000_000
 
@@ -41,9 +44,9 @@ def need(n, part=PART):
     return -(-part * n // 100)
 
 
-def extra(n):
-    """How many shared keys the prefix of a set of n is long enough for."""
-    return 1 + n // SPARE
+def differing(n, part=PART):
+    """Most shingles that are in only one of a set of n and a set that it links with."""
+    return (n + 100 * n // part) * (100 - part) // (100 + part)
 
 
 def edges(part: int, most: int = 1 << 40) -> np.ndarray:
@@ -54,16 +57,47 @@ def edges(part: int, most: int = 1 << 40) -> np.ndarray:
     return np.array(out)
 
 
-def prefix(s: np.ndarray, frequent: np.ndarray, part: int = PART) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of a set: those that aren't frequent, and those that are."""
-    n = len(s)
+def parts_of(part: int = PART, tokens: frozenset[int] = frozenset()) -> list[int]:
+    """For each g, into how many parts the sets of bands g - 1 and g are cut (a power of two, by the shingles' last bits), or 0: single shingles, as in those of tokens.
+
+    There are enough for more filled parts than shingles may differ, by far: of two sets that link, some filled part is the same."""
+    out = [0]
+    for g, hi in enumerate((edges(part)[1:] - 1).tolist(), 1):
+        p, least = 1, 1.15 * differing(hi, part) + 6
+        while p < 2 * hi and p * -np.expm1(-hi / p) < least:
+            p *= 2
+        out.append(p if p < 2 * hi and g not in tokens else 0)
+    return out
+
+
+def keys_of(s: np.ndarray, frequent: np.ndarray, band: int, cuts: list[int], part: int = PART) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """The keys of a set: those of its first parts, and those among them that have nothing but frequent shingles; the g where it has too few filled parts.
+
+    Of two sets that link, at most d = differing(n) parts differ, so that the first d + 1 filled parts of both, in an order that
+    the parts' contents give, have one in common. First come the parts with the most shingles that aren't frequent, then the largest."""
+    n, early, late, odd = len(s), [], [], []
     if not n:
-        return s, s
-    k = min(n, n - need(n, part) + extra(n))
+        return s, s, odd
     at = np.searchsorted(frequent, s)
-    late = frequent[np.minimum(at, len(frequent) - 1)] == s if len(frequent) else np.zeros(n, bool)
-    early = s[~late][:k]
-    return early, s[late][: k - len(early)]
+    rare = frequent[np.minimum(at, len(frequent) - 1)] != s if len(frequent) else np.ones(n, bool)
+    for g in (band,) if cuts[band] == cuts[band + 1] > 0 else (band, band + 1):
+        if p := cuts[g]:
+            where = s & np.uint64(p - 1)
+            order = np.argsort(where, kind="stable")
+            where = where[order]
+            begins = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+            some, r = np.add.reduceat(shingles.mixed(s[order] + np.uint64(p)), begins), np.minimum(np.add.reduceat(rare[order].astype(np.int64), begins), 3)
+            size, k = np.minimum(np.diff(np.append(begins, n)), 3), differing(n, part) + 1
+            if len(some) < k:
+                odd.append(g)
+        else:
+            some, r, size, k = s ^ np.uint64(g << 32), rare.astype(np.int64), 1, n - need(n, part) + 1
+        # 48 bits: two parts that clash are one more pair to compare
+        some = shingles.mixed(some) >> np.uint64(16)
+        first = np.lexsort((some, -(4 * r + size)))[:k]
+        early.append(some[first[r[first] > 0]])
+        late.append(some[first[r[first] == 0]])
+    return np.concatenate(early), np.concatenate(late), odd
 
 
 def _mark(s: np.ndarray) -> int:
@@ -210,54 +244,58 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def classes(docs: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
-    """doc_id, text_hash, n, band (of sizes), cid (the class's fingerprint), keys and late (its prefix, late being what is frequent); one row per row of docs (doc_id, text), written once."""
+    """doc_id, text_hash, n, band (of sizes), cid (the class's fingerprint), keys and late (those that are frequent); one row per row of docs (doc_id, text), written once."""
     n_rows = docs.count()
     sent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, n_rows, words))
+    shape = "doc_id long, text_hash long, n long, band int, cid long, keys array<long>, late array<long>, odd array<int>"
+    tokens = frozenset()
+    while True:
+
+        def cut(batches, tokens=tokens):
+            frequent, starts, cuts = sent.value, edges(part), parts_of(part, tokens)
+            for batch in batches:
+                n, band, cid, keys, late, odd = [], [], [], [], [], []
+                for s in shingles.sets(batch.column(1).to_pylist(), words):
+                    n.append(len(s))
+                    band.append(int(np.searchsorted(starts, len(s), "right")))
+                    cid.append(_mark(s))
+                    early, rest, few = keys_of(s, frequent, band[-1], cuts, part)
+                    keys.append(early)
+                    late.append(rest)
+                    odd.append(few)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(band, pa.int32()), pa.array(cid, pa.int64()), _lists(keys), _lists(late), pa.array(odd, pa.list_(pa.int32()))], ["doc_id", "text_hash", "n", "band", "cid", "keys", "late", "odd"])
+
+        rows = staged(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(cut, shape), "classes")
+        more = {r.g for r in rows.select(F.explode("odd").alias("g")).distinct().collect()}
+        if not more:
+            return rows
+        # shingles that happen to lie in few parts: sets of these sizes have single shingles as keys
+        tokens |= more
+        released(rows)
+
+
+def families(rows: DataFrame) -> DataFrame:
+    """(cid, family) of the classes that may link with another one: those connected by keys.
+
+    Keys that aren't frequent are few of a kind, so each kind is looked at in one place, a slice of them at a time; a frequent key's lowest class is summed up first."""
+    base = rows.where("n > 0 AND doc_id IS NOT NULL")
+    kind, pairs = Window.partitionBy("key"), []
+    for i in range(SLICES):
+        keys = base.select("cid", F.explode(F.filter("keys", lambda k: k % SLICES == i)).alias("key"))
+        pairs.append(staged(keys.select(F.col("cid").alias("a"), F.min("cid").over(kind).alias("b")).where("a != b").distinct(), "pairs"))
+    late = base.select("cid", F.explode("late").alias("key")).distinct()
+    low = late.groupBy("key").agg(F.min("cid").alias("b"), F.max("cid").alias("c")).where("b != c").drop("c")
+    pairs.append(staged(late.join(low, "key").select(F.col("cid").alias("a"), "b").where("a != b").distinct(), "pairs"))
+    edges = pairs[0]
+    for x in pairs[1:]:
+        edges = edges.union(x)
+    out = staged(components(edges.distinct()).select(F.col("node").alias("cid"), F.col("root").alias("family")), "families")
+    released(*pairs)
+    return out
 
-    def cut(batches):
-        frequent, starts = sent.value, edges(part)
-        for batch in batches:
-            n, cid, keys, late = [], [], [], []
-            for s in shingles.sets(batch.column(1).to_pylist(), words):
-                n.append(len(s))
-                cid.append(_mark(s))
-                early, rest = prefix(s, frequent, part)
-                keys.append(early)
-                late.append(rest)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(np.searchsorted(starts, n, "right"), pa.int32()), pa.array(cid, pa.int64()), _lists(keys), _lists(late)], ["doc_id", "text_hash", "n", "band", "cid", "keys", "late"])
-
-    shape = "doc_id long, text_hash long, n long, band int, cid long, keys array<long>, late array<long>"
-    return staged(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(cut, shape), "classes")
-
-
-def families(rows: DataFrame, part: int = PART, rounds: int = 2) -> DataFrame:
-    """(cid, family) of the classes that may link with another one.
-
-    Frequent keys are shared without counting; the others are few of a kind, so each kind is counted in one place. Keys are then told
-    apart by bands of size: sets that link are in the same band or in neighbouring ones. Classes left with too few shared keys go, round by round."""
-    base = rows.where("n > 0 AND doc_id IS NOT NULL").dropDuplicates(["cid"])
-    least = F.ceil(part * F.col("n") / 100)
-    base = base.select("cid", (1 + F.floor(least / SPARE)).cast("int").alias("least"), "band", "keys", "late")
-    early = base.select("cid", "least", "band", F.explode("keys").alias("key"))
-    early = early.withColumn("df", F.count("*").over(Window.partitionBy("key"))).where("df > 1").drop("df")
-    hits = staged(early.unionByName(base.select("cid", "least", "band", F.explode("late").alias("key"))), "hits")
-    for _ in range(rounds):
-        near = hits.select("*", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("near")).withColumn("key_band", F.xxhash64("key", "near"))
-        low = near.groupBy("key_band").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low != high").drop("high")
-        near = staged(near.join(low, "key_band").select("cid", "least", "band", "key", "low"), "near")
-        one = near.select("cid", "least", "band", "key").distinct()
-        enough = one.groupBy("cid").agg(F.count("*").alias("n"), F.first("least").alias("least")).where("n >= least").select("cid")
-        hits = staged(one.join(enough, "cid"), "hits")
-    # the lowest class of each key may be gone by now: look again
-    near = hits.select("cid", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("near"), "key").select("cid", F.xxhash64("key", "near").alias("key_band"))
-    low = near.groupBy("key_band").agg(F.min("cid").alias("b"), F.max("cid").alias("c")).where("b != c").drop("c")
-    edges = near.join(low, "key_band").select(F.col("cid").alias("a"), "b").where("a != b").distinct()
-    return components(edges).select(F.col("node").alias("cid"), F.col("root").alias("family"))
-
-
-def links(docs: DataFrame, rows: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
-    """(a, b): links between classes; with equal sets being one class, these connect all that is linked."""
-    members = staged(families(rows, part), "families")
+
+def links(docs: DataFrame, rows: DataFrame, members: DataFrame, words: int = WORDS, part: int = PART) -> DataFrame:
+    """(a, b): links between classes; with equal sets being one class, these connect all that is linked. members: (cid, family)."""
     first = rows.where("doc_id IS NOT NULL").join(members, "cid").groupBy("cid", "family", "band").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
     first = staged(first, "members")
     # blocks of each family's band, and of the bands beside it
@@ -294,8 +332,11 @@ def links(docs: DataFrame, rows: DataFrame, words: int = WORDS, part: int = PART
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, part: int = PART) -> DataFrame:
     """One row per row of docs: doc_id, text_hash, n_shingles, component_id (smallest doc_id reachable by links), copies (rows with the same set)."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = classes(docs, words, part)
-    roots = staged(components(links(docs, rows, words, part)), "linked").select(F.col("node").alias("cid"), "root")
+    keyed = classes(docs, words, part)
+    members = families(keyed)
+    rows = staged(keyed.drop("keys", "late", "odd"), "classes")
+    released(keyed)  # the keys take the most room
+    roots = staged(components(links(docs, rows, members, words, part)), "linked").select(F.col("node").alias("cid"), "root")
     same = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("cid").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("copies"))
     low = same.join(roots, "cid").groupBy("root").agg(F.min("lowest").alias("component"))
     of = same.join(roots.join(low, "root").select("cid", "component"), "cid", "left").select("cid", F.coalesce("component", "lowest").alias("component"), "copies")
