@@ -77,6 +77,16 @@ def test_references_that_markup_cuts_off(spark, tmp_path):
     assert got == "a © b &céé d &amp "
 
 
+def test_plain_text_of_whole_pages(spark, tmp_path):
+    """Pages of more than 200,000 characters, one with a script across that point."""
+    long = "<p>some words &amp; more</p>\n" * 12_000
+    pages = [(0, "u", long + "the end"), (1, "u", long[:199_990] + "<script>x" + "y" * 50 + "</script> tail &copy;"), (2, "u", "short")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    same(spark, str(tmp_path), "txt_02_html_plain", "pages")
+    got = spark.createDataFrame([(long + "the end",)], "h string").select(T.html_plain("h")).first()[0]
+    assert got.endswith("the end") and got.count("some words & more") == 12_000
+
+
 def test_sessions_still_open_at_the_end(spark, tmp_path):
     """Every event is in a session, in whatever batches the events come."""
     same(spark, SF, "sm_04_sessions", "events")

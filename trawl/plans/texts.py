@@ -19,7 +19,7 @@ def _entities(c, pairs=T.ENTITIES):
 
 
 _TEXT = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '[ \t\r\f\v]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '\n{{2,}}', chr(10), 'g'), '^\s+|\s+$', '', 'g')".format(_entities(_TAGS.format(_SCRIPTS.format("coalesce(html, '')"))))
-_PLAIN = _entities(r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(substr(html, 1, 200000), '(?is)<script[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style[^>]*>.*?</style\s*>', ' ', 'g'), '(?is)<noscript[^>]*>.*?</noscript\s*>', ' ', 'g'), '<[^>]+>', ' ', 'g')", (*[(a, "\u00a0" if a == "&nbsp;" else b) for a, b in (*T.ENTITIES[1:], ("&copy;", "©"), ("&middot;", "·"))], T.ENTITIES[0]))
+_PLAIN = _entities(r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style[^>]*>.*?</style\s*>', ' ', 'g'), '(?is)<noscript[^>]*>.*?</noscript\s*>', ' ', 'g'), '<[^>]+>', ' ', 'g')", (*[(a, "\u00a0" if a == "&nbsp;" else b) for a, b in (*T.ENTITIES[1:], ("&copy;", "©"), ("&middot;", "·"))], T.ENTITIES[0]))
 #: References and what they stand for.
 REFERENCES = (("&eacute;", "é"), ("&#233;", "é"), ("&#xE9;", "é"), ("&copy ", "© "), ("&amp;lt;", "&lt;"), ("&notin;", "∉"), ("&nosuch;", "&nosuch;"), ("&frac12;", "½"), ("&#128512;", "😀"), ("&#x1F600;", "😀"), ("&euro;", "€"), ("&#0;", "�"), ("&ngE;", "≧̸"), ("&hellip;", "…"))
 _TITLE = r"substr(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')), 1, 200)"
